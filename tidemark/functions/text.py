@@ -98,11 +98,15 @@ def missing_to_null(text: Column) -> Column:
     return F.when(~text.isin(*MISSING_TOKENS), text)
 
 
+def whole_identifier(text: Column) -> Column:
+    """Identifier text without the decimals a spreadsheet adds: ``219175.0`` is ``219175``."""
+    decimal = text.rlike(r"^-?[0-9\p{Nd}]+\.0+\z")
+    return F.when(decimal, F.substring_index(text, ".", 1)).otherwise(text)
+
+
 def identifier(value: Column) -> Column:
-    """Identifier text: trimmed, blank to null, and ``219175.0`` read as ``219175``."""
-    text = clean_text(value.cast("string"))
-    whole = F.regexp_replace(text, r"(?U)^(-?\d+)\.0+\z", "$1")
-    return F.when(F.contains(text, F.lit(".0")), whole).otherwise(text)
+    """Identifier text of any value: trimmed, blank to null, added decimals dropped."""
+    return whole_identifier(clean_text(value.cast("string")))
 
 
 def lower_columns(frame):

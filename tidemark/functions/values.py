@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from collections.abc import Iterable, Sequence
@@ -44,14 +45,18 @@ def _foreign_digits() -> tuple[str, str]:
 
 
 def _digits(text: Column) -> Column:
-    """Any script's decimal digits written as 0-9."""
-    return F.translate(text, *_foreign_digits())
+    """Any script's decimal digits written as 0-9; ASCII text is passed through."""
+    ascii_only = F.octet_length(text) == F.length(text)
+    return F.when(ascii_only, text).otherwise(F.translate(text, *_foreign_digits()))
 
 
-def _calendar_date(year: Column, month: Column, day: Column) -> Column:
-    """The date of three number texts, null when there is no such day."""
-    parts = (F.lpad(year.cast("string"), 4, "0"), F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-    return F.concat_ws("-", *parts).try_cast("date")
+def _day_of(year: Column, month: Column, day: Column) -> Column:
+    """The date of three integers, null when there is no such day.
+
+    The month is checked before it is used, because ``make_date`` raises in ANSI mode.
+    """
+    first = F.when(month.between(1, 12) & year.between(1, 9999), F.make_date(year, month, F.lit(1)))
+    return F.when(day.between(1, F.dayofmonth(F.last_day(first))), F.date_add(first, day - 1))
 
 
 def whole_number(value: Column) -> Column:
@@ -66,14 +71,33 @@ def whole_number(value: Column) -> Column:
     return F.when(text.rlike(NUMBER_PATTERN), F.coalesce(exact, integral))
 
 
+def _fixed_width_date(text: Column, pattern: str) -> Column:
+    """Date of text in a pattern of yyyy, MM, dd and separators, by position."""
+    shape = re.escape(pattern)
+    for part in ("yyyy", "MM", "dd"):
+        shape = shape.replace(part, r"\d{%d}" % len(part))
+    pieces = [
+        F.substring(text, pattern.index(part) + 1, len(part)) for part in ("yyyy", "MM", "dd")
+    ]
+    return F.when(text.rlike(f"^{shape}\\z"), F.concat_ws("-", *pieces).try_cast("date"))
+
+
+def _date_in(text: Column, pattern: str) -> Column:
+    letters = re.findall("[A-Za-z]+", pattern)
+    if sorted(letters) == ["MM", "dd", "yyyy"]:
+        return _fixed_width_date(text, pattern)
+    return F.try_to_date(text, pattern)
+
+
 def calendar_date(value: Column, formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
     """Date of text under the first format that fits, else null.
 
-    Text that starts with an ISO date and goes on with a time is cut to the date.
+    An ISO date followed by a time of day, as a workbook's date cells read, is that date.
     """
-    iso_day = F.regexp_extract(value, r"^(\d{4}-\d{2}-\d{2})[T ]\d{2}:\d{2}", 1)
-    text = F.when(iso_day != "", iso_day).otherwise(value)
-    return F.coalesce(*[F.try_to_date(text, pattern) for pattern in formats])
+    iso_moment = F.when(
+        value.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), F.substring(value, 1, 10).try_cast("date")
+    )
+    return F.coalesce(*[_date_in(value, pattern) for pattern in formats], iso_moment)
 
 
 def file_name(path: Column) -> Column:
@@ -89,13 +113,29 @@ def snapshot_date_from_name(name: Column) -> Column:
     stem = F.regexp_replace(name, r"^(.+)\.[^.]+$", "$1")
     year_first = F.regexp_extract(stem, FILE_DATE_YEAR_FIRST, 0)
     day_first = F.regexp_extract(stem, FILE_DATE_DAY_FIRST, 0)
-    found = F.when(year_first != "", year_first).otherwise(day_first)
-    parts = F.split(_digits(found), "[-_.]")
-    first, middle, last = (F.get(parts, F.lit(i)) for i in range(3))
-    return (
-        F.when(year_first != "", _calendar_date(first, middle, last))
-        .when(day_first != "", _calendar_date(last, middle, first))
-    )
+    # a year zero is spoiled on purpose: it is an impossible date here, but not for a cast
+    ordered = F.when(year_first != "", F.regexp_replace(year_first, "^0000.*|[-_.]", "-")).otherwise(
+        F.regexp_replace(day_first, r"(?U)^(\d+)[-_.](\d+)[-_.](?!0000)(\d+)$", "$3-$2-$1")
+    )
+    return _digits(ordered).try_cast("date")
+
+
+def note_date_text(note: Column) -> Column:
+    """The first day/month[/year] of a note as written, empty when there is none."""
+    return _digits(F.regexp_extract(note, NOTE_DATE_PATTERN, 0))
+
+
+def note_date(written: Column, snapshot_date: Column) -> Column:
+    """Date of a :func:`note_date_text`, seen from its snapshot."""
+    parts = F.split(written, "[/-]")
+    day, month, given_year = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
+    own_year = F.year(snapshot_date)
+    century = F.when(given_year < 100, given_year + 2000).otherwise(given_year)
+    named = _day_of(F.coalesce(century, own_year), month, day)
+    too_late = given_year.isNull() & (named > F.date_add(snapshot_date, NOTE_LOOKAHEAD_DAYS))
+    chosen = F.when(too_late, _day_of(own_year - 1, month, day)).otherwise(named)
+    limits = (F.lit(limit).cast("date") for limit in (EARLIEST_NOTE_DATE, LATEST_NOTE_DATE))
+    return F.when(chosen.between(*limits) & snapshot_date.isNotNull(), chosen)
 
 
 def follow_up_date(note: Column, snapshot_date: Column) -> Column:
@@ -105,19 +145,7 @@ def follow_up_date(note: Column, snapshot_date: Column) -> Column:
     31 days after the snapshot is taken from the previous year. Impossible dates
     and dates no nanosecond timestamp can hold are null.
     """
-    found = _digits(F.regexp_extract(note, NOTE_DATE_PATTERN, 0))
-    parts = F.split(found, "[/-]")
-    day, month, written = (F.get(parts, F.lit(i)) for i in range(3))
-    short = written.try_cast("int")
-    own_year = F.year(snapshot_date)
-    year = F.when(written.isNull(), own_year).otherwise(F.when(short < 100, short + 2000).otherwise(short))
-    named = _calendar_date(year, month, day)
-    latest = F.date_add(snapshot_date, NOTE_LOOKAHEAD_DAYS)
-    rolled = F.when(
-        written.isNull() & (named > latest), _calendar_date(own_year - 1, month, day)
-    ).otherwise(named)
-    in_range = rolled.between(F.lit(EARLIEST_NOTE_DATE).cast("date"), F.lit(LATEST_NOTE_DATE).cast("date"))
-    return F.when((found != "") & snapshot_date.isNotNull() & in_range, rolled)
+    return note_date(note_date_text(note), snapshot_date)
 
 
 def age_in_days(snapshot_date: Column, event_date: Column) -> Column:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.contract import ROW_NUMBER, Contract
-from tidemark.functions.text import clean_text, identifier
+from tidemark.contract import BLANK_ROW, ROW_NUMBER, Contract
+from tidemark.functions.text import trim_text, whole_identifier
 from tidemark.functions.values import calendar_date, whole_number
 
 SHEET_SCOPE = ("source_file", "source_sheet")
@@ -24,11 +24,11 @@ def drop_blank_rows(rows: DataFrame, contract: Contract) -> DataFrame:
     return rows.dropna(how="all", subset=contract.business_columns(rows.columns))
 
 
-def cleaned_value(name: str, contract: Contract) -> Column:
-    """The cleaned and typed form of one source column."""
-    text = clean_text(F.col(name))
+def typed_value(name: str, contract: Contract) -> Column:
+    """The typed form of one source column whose text is already clean."""
+    text = F.col(name)
     if name in (contract.id_column, contract.request_column):
-        return identifier(F.col(name))
+        return whole_identifier(text.cast("string"))
     if name in contract.number_columns:
         return whole_number(text)
     if name in contract.date_columns:
@@ -37,14 +37,21 @@ def cleaned_value(name: str, contract: Contract) -> Column:
 
 
 def clean_values(rows: DataFrame, contract: Contract) -> DataFrame:
-    """Trim, blank to null, and type every source column; other columns unchanged."""
+    """Trim, blank to null, and type every source column; other columns unchanged.
+
+    Three projections rather than one: each names a value that the next one uses
+    several times, so that it is computed once.
+    """
     business = set(contract.business_columns(rows.columns))
-    return rows.select(
-        *[
-            cleaned_value(name, contract).alias(name) if name in business else F.col(name)
-            for name in rows.columns
-        ]
-    )
+
+    def projected(frame: DataFrame, change: Callable[[str], Column]) -> DataFrame:
+        return frame.select(
+            *[change(c).alias(c) if c in business else F.col(c) for c in frame.columns]
+        )
+
+    trimmed = projected(rows, lambda name: trim_text(F.col(name)))
+    filled = projected(trimmed, lambda name: F.when(F.col(name) != "", F.col(name)))
+    return projected(filled, lambda name: typed_value(name, contract))
 
 
 def drop_null_ids(rows: DataFrame, contract: Contract) -> DataFrame:
@@ -80,17 +87,14 @@ def collapse_sheets(rows: DataFrame, contract: Contract) -> DataFrame:
     The clean rows and the cleaning counters both follow from this one frame
     (:func:`clean_rows`, :func:`clean_metrics`), so a job shuffles the rows once.
     """
-    business = contract.business_columns(rows.columns)
-    values = [
-        cleaned_value(name, contract).alias(name) if name in business else F.col(name)
-        for name in rows.columns
-    ]
-    return collapse_copies(rows.select(*values, is_blank_row(business).alias("blank_row")))
+    blank = is_blank_row(contract.business_columns(rows.columns))
+    marked = rows.withColumn(BLANK_ROW, blank)
+    return collapse_copies(clean_values(marked, contract))
 
 
 def clean_rows(collapsed: DataFrame, contract: Contract) -> DataFrame:
-    kept = collapsed.filter(~F.col("blank_row"))
-    return drop_null_ids(kept, contract).drop("blank_row", "copies")
+    kept = collapsed.filter(~F.col(BLANK_ROW))
+    return drop_null_ids(kept, contract).drop(BLANK_ROW, "copies")
 
 
 def clean_metrics(
@@ -98,10 +102,10 @@ def clean_metrics(
 ) -> DataFrame:
     """Rows read, rows without id, exact duplicates and clean rows per worksheet."""
     has_id = F.col(contract.id_column).isNotNull()
-    kept = ~F.col("blank_row") & has_id
+    kept = ~F.col(BLANK_ROW) & has_id
     return collapsed.groupBy(*scope).agg(
         F.sum("copies").alias("raw_rows"),
-        F.sum(F.when(~F.col("blank_row") & ~has_id, F.col("copies")).otherwise(0)).alias(
+        F.sum(F.when(~F.col(BLANK_ROW) & ~has_id, F.col("copies")).otherwise(0)).alias(
             "rows_without_id"
         ),
         F.sum(F.when(kept, F.col("copies") - 1).otherwise(0)).alias("exact_duplicates"),

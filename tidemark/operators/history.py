@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contract import NOTE_CELL_DATE, STATE_ORDER, Contract
-from tidemark.functions.values import age_in_days, follow_up_date, record_hash
+from tidemark.functions.values import age_in_days, note_date, note_date_text, record_hash
 
 
 def newest_first(order: Sequence[str]) -> list[Column]:
@@ -49,14 +49,16 @@ def add_follow_up(history: DataFrame, contract: Contract) -> DataFrame:
     A note cell that holds a date rather than text is that date.
     """
     snapshot = F.col("snapshot_date")
-    found = follow_up_date(F.col(contract.follow_up_notes_column).cast("string"), snapshot)
+    written = note_date_text(F.col(contract.follow_up_notes_column).cast("string"))
+    found = note_date(F.col("note_written"), snapshot)
     if NOTE_CELL_DATE in history.columns:
         cell_date = F.col(NOTE_CELL_DATE)
         found = F.when(cell_date.isNotNull() & snapshot.isNotNull(), cell_date).otherwise(found)
     return (
-        history.withColumn("follow_up_date", found)
+        history.withColumn("note_written", written)
+        .withColumn("follow_up_date", found)
         .withColumn("follow_up_age_days", age_in_days(snapshot, F.col("follow_up_date")))
-        .drop(NOTE_CELL_DATE)
+        .drop("note_written", NOTE_CELL_DATE)
     )
 
 
