@@ -310,10 +310,15 @@ def undated_files(spark, sf_dir):
     return discovery.undated_files(_site_files(spark, sf_dir)).select("path", "source_file")
 
 
+def _shown(rows: DataFrame) -> DataFrame:
+    """Working columns under plain names."""
+    return rows.withColumnsRenamed({n: n.lstrip("_") for n in rows.columns if n.startswith("_")})
+
+
 @registered
 def lineage(spark, sf_dir):
     files = discovery.snapshot_order(_site_files(spark, sf_dir))
-    return contracts.stamp_lineage(samples.site_rows(spark, sf_dir), files, CONTRACT)
+    return _shown(contracts.stamp_lineage(samples.site_rows(spark, sf_dir), files, CONTRACT))
 
 
 def _books(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,7 +364,7 @@ def column_fill(spark, sf_dir):
 
 @registered
 def contract_failures(spark, sf_dir):
-    filled = contracts.filled_counts(_site_dirty(spark, sf_dir), DIRTY_COLUMNS)
+    filled = contracts.filled_cells(_site_dirty(spark, sf_dir), DIRTY_COLUMNS)
     found = contracts.contract_failures(filled, DIRTY_CONTRACT)
     names = F.array_join("missing_columns", "|").alias("missing_columns")
     return found.select("source_file", "source_sheet", names)
@@ -375,7 +380,7 @@ _WORKBOOK_COLUMNS = [
 def read_workbooks(spark, sf_dir):
     contents = samples.workbook_contents(spark, sf_dir)
     records = workbooks.parse_workbooks(contents, WORKBOOK_CONTRACT)
-    return workbooks.sheet_rows(records, _WORKBOOK_COLUMNS, WORKBOOK_CONTRACT)
+    return _shown(workbooks.sheet_rows(records, _WORKBOOK_COLUMNS, WORKBOOK_CONTRACT))
 
 
 @registered

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog.workbook_bytes import workbook_bytes
-from tidemark.contract import Contract
+from tidemark.contract import ROW_PATH, ROW_SHEET, Contract
 from tidemark.functions.text import canonical_label
 from tidemark.functions.values import sla_status
 from tidemark.operators import contracts
@@ -160,8 +160,8 @@ def site_file() -> Column:
 def site_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as rows of the files in :func:`site_paths`, by worksheet."""
     return table(spark, sf_dir, "events").select(
-        site_path().alias("path"),
-        canonical_label(F.col("event_type")).alias("sheet_key"),
+        site_path().alias(ROW_PATH),
+        canonical_label(F.col("event_type")).alias(ROW_SHEET),
         (F.col("event_id") + 2).alias("source_row_number"),
         F.concat(F.lit("LINE-"), F.col("user_id")).alias("line_id"),
     )

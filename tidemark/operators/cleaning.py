@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.contract import BLANK_ROW, ROW_NUMBER, Contract
+from tidemark.contract import BLANK_ROW, COPIES, ROW_NUMBER, Contract
 from tidemark.functions.text import trim_text, whole_identifier
 from tidemark.functions.values import calendar_date, whole_number
 
@@ -66,7 +66,7 @@ def collapse_copies(rows: DataFrame) -> DataFrame:
     """
     content = [name for name in rows.columns if name != ROW_NUMBER]
     return rows.groupBy(*content).agg(
-        F.max(ROW_NUMBER).alias(ROW_NUMBER), F.count(F.lit(1)).alias("copies")
+        F.max(ROW_NUMBER).alias(ROW_NUMBER), F.count(F.lit(1)).alias(COPIES)
     )
 
 
@@ -94,7 +94,7 @@ def collapse_sheets(rows: DataFrame, contract: Contract) -> DataFrame:
 
 def clean_rows(collapsed: DataFrame, contract: Contract) -> DataFrame:
     kept = collapsed.filter(~F.col(BLANK_ROW))
-    return drop_null_ids(kept, contract).drop(BLANK_ROW, "copies")
+    return drop_null_ids(kept, contract).drop(BLANK_ROW, COPIES)
 
 
 def clean_metrics(
@@ -104,10 +104,10 @@ def clean_metrics(
     has_id = F.col(contract.id_column).isNotNull()
     kept = ~F.col(BLANK_ROW) & has_id
     return collapsed.groupBy(*scope).agg(
-        F.sum("copies").alias("raw_rows"),
-        F.sum(F.when(~F.col(BLANK_ROW) & ~has_id, F.col("copies")).otherwise(0)).alias(
+        F.sum(COPIES).alias("raw_rows"),
+        F.sum(F.when(~F.col(BLANK_ROW) & ~has_id, F.col(COPIES)).otherwise(0)).alias(
             "rows_without_id"
         ),
-        F.sum(F.when(kept, F.col("copies") - 1).otherwise(0)).alias("exact_duplicates"),
+        F.sum(F.when(kept, F.col(COPIES) - 1).otherwise(0)).alias("exact_duplicates"),
         F.count_if(kept).alias("clean_rows"),
     )

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.contract import Contract
+from tidemark.contract import ROW_PATH, ROW_SHEET, Contract
 from tidemark.functions.text import canonical_label
 from tidemark.operators.cleaning import SHEET_SCOPE
 
@@ -96,37 +96,43 @@ def header_collisions(sheets: DataFrame) -> DataFrame:
     )
 
 
-def filled_counts(
+def filled_cells(
     rows: DataFrame, columns: Sequence[str], scope: Sequence[str] = SHEET_SCOPE
 ) -> DataFrame:
-    """Non-null cells of every column, one row per worksheet."""
-    return rows.groupBy(*scope).agg(*[F.count(F.col(name)).alias(name) for name in columns])
+    """Number of non-null cells by column, as one map per worksheet."""
+    if not columns:
+        empty = F.create_map().cast("map<string,bigint>")
+        return rows.select(*scope).distinct().withColumn("filled_cells", empty)
+    counts = [F.count(F.col(name)).alias(name) for name in columns]
+    entries = [part for name in columns for part in (F.lit(name), F.col(name))]
+    counted = rows.groupBy(*scope).agg(*counts)
+    return counted.select(*scope, F.create_map(*entries).alias("filled_cells"))
 
 
 def column_fill(
     rows: DataFrame, columns: Sequence[str], scope: Sequence[str] = SHEET_SCOPE
 ) -> DataFrame:
     """Worksheet, column and number of non-null cells; zero marks an absent column."""
-    counts = filled_counts(rows, columns, scope)
-    return counts.unpivot(list(scope), list(columns), "column_name", "filled_cells")
+    return filled_cells(rows, columns, scope).select(
+        *scope, F.explode("filled_cells").alias("column_name", "filled_cells")
+    )
 
 
-def missing_required(contract: Contract, columns: Sequence[str]) -> Column:
-    """Sorted required columns without a value, in a row of :func:`filled_counts`."""
-    absent = [
-        F.lit(name) if name not in columns else F.when(F.coalesce(F.col(name), F.lit(0)) == 0, name)
-        for name in sorted(contract.required_columns)
-    ]
-    return F.array_compact(F.array(*absent))
+def missing_required(contract: Contract) -> Column:
+    """Sorted required columns without a value, in a row of :func:`filled_cells`."""
+    filled = F.col("filled_cells")
+    return F.filter(
+        texts(sorted(contract.required_columns)),
+        lambda name: F.coalesce(F.try_element_at(filled, name), F.lit(0)) == 0,
+    )
 
 
 def contract_failures(
     filled: DataFrame, contract: Contract, scope: Sequence[str] = SHEET_SCOPE
 ) -> DataFrame:
     """Worksheets that lack a required column, with the missing columns."""
-    missing = missing_required(contract, filled.columns)
     return (
-        filled.select(*scope, missing.alias("missing_columns"))
+        filled.select(*scope, missing_required(contract).alias("missing_columns"))
         .filter(F.size("missing_columns") > 0)
     )
 
@@ -141,12 +147,15 @@ def sheet_lineage(contract: Contract, sheet_key: Column) -> tuple[Column, Column
 def stamp_lineage(rows: DataFrame, files: DataFrame, contract: Contract) -> DataFrame:
     """Snapshot date and order, file, contract sheet label and position on every row.
 
-    ``rows`` carries ``path`` and ``sheet_key``; rows of unexpected sheets drop out.
-    The files table is joined without a hint: Spark broadcasts it while it is small
-    and otherwise sorts and merges, splitting a file that holds too many rows.
+    Rows name their workbook and worksheet in ``ROW_PATH`` and ``ROW_SHEET``; rows of
+    unexpected sheets drop out. The files table is joined without a hint: Spark
+    broadcasts it while it is small and otherwise sorts and merges, splitting a file
+    that holds too many rows.
     """
-    label, position = sheet_lineage(contract, F.col("sheet_key"))
+    label, position = sheet_lineage(contract, F.col(ROW_SHEET))
     stamped = rows.withColumn("source_sheet", label).withColumn("sheet_order", position)
     stamped = stamped.filter(F.col("sheet_order").isNotNull())
-    dated = files.select("path", "snapshot_date", "snapshot_order", "source_file")
-    return stamped.join(dated, "path")
+    dated = files.select(
+        F.col("path").alias(ROW_PATH), "snapshot_date", "snapshot_order", "source_file"
+    )
+    return stamped.join(dated, ROW_PATH)

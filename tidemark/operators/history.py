@@ -25,7 +25,7 @@ def last_per_key(
     every map task before the shuffle, so a key that holds a third of the rows
     reaches its reduce task as at most one row per map task.
     """
-    position = rank or "position_in_key"
+    position = rank or "_position"
     window = Window.partitionBy(*keys).orderBy(*newest_first(order))
     last = rows.withColumn(position, F.row_number().over(window)).filter(F.col(position) == 1)
     return last if rank else last.drop(position)
@@ -50,15 +50,15 @@ def add_follow_up(history: DataFrame, contract: Contract) -> DataFrame:
     """
     snapshot = F.col("snapshot_date")
     written = note_date_text(F.col(contract.follow_up_notes_column).cast("string"))
-    found = note_date(F.col("note_written"), snapshot)
+    found = note_date(F.col("_note_written"), snapshot)
     if NOTE_CELL_DATE in history.columns:
         cell_date = F.col(NOTE_CELL_DATE)
         found = F.when(cell_date.isNotNull() & snapshot.isNotNull(), cell_date).otherwise(found)
     return (
-        history.withColumn("note_written", written)
+        history.withColumn("_note_written", written)
         .withColumn("follow_up_date", found)
         .withColumn("follow_up_age_days", age_in_days(snapshot, F.col("follow_up_date")))
-        .drop("note_written", NOTE_CELL_DATE)
+        .drop("_note_written", NOTE_CELL_DATE)
     )
 
 

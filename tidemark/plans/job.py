@@ -15,10 +15,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.contract import LINEAGE_COLUMNS, NOTE_CELL_DATE, ROW_NUMBER, Contract
+from tidemark.contract import (
+    LINEAGE_COLUMNS,
+    NOTE_CELL_DATE,
+    ROW_NUMBER,
+    ROW_PATH,
+    ROW_SHEET,
+    Contract,
+)
 from tidemark.functions.values import file_name
 from tidemark.operators import cleaning, contracts, history, quality
 from tidemark.plans.report import METRICS, quality_report
@@ -26,7 +33,7 @@ from tidemark.sinks import database, tables
 from tidemark.sources import discovery, workbooks
 from tidemark.staging import Stage
 
-SHEET_KEYS = ("path", "sheet_key")
+ROW_SCOPE = (ROW_PATH, ROW_SHEET)
 
 
 @dataclass
@@ -74,55 +81,81 @@ def ingest_records(
     sheets = stage.write(sheet_status(readable, rows, columns, contract), "sheets")
 
     kept = filled_columns(sheets, columns)
-    failing = sheets.filter(~F.col("passes")).select(*SHEET_KEYS)
-    passing = rows.join(failing, list(SHEET_KEYS), "left_anti")
+    passing = rows.join(row_scope(sheets.filter(~F.col("passes"))), list(ROW_SCOPE), "left_anti")
     stamped = contracts.stamp_lineage(passing, numbered, contract)
-    ordered = stamped.select(*LINEAGE_COLUMNS, *kept, ROW_NUMBER, NOTE_CELL_DATE)
+    ordered = stamped.select(
+        *LINEAGE_COLUMNS,
+        *kept,
+        *[F.lit(None).cast("string").alias(name) for name in undelivered(kept, contract)],
+        ROW_NUMBER,
+        NOTE_CELL_DATE,
+    )
     collapsed = stage.write(cleaning.collapse_sheets(ordered, contract), "collapsed")
     return Ingested(files, records, sheets, collapsed)
 
 
+def undelivered(columns: list[str], contract: Contract) -> list[str]:
+    """Columns the history cannot do without, where no worksheet delivered them."""
+    needed = (contract.id_column, contract.follow_up_notes_column)
+    return [name for name in needed if name not in columns]
+
+
 def header_columns(records: DataFrame, numbered: DataFrame, contract: Contract) -> list[str]:
-    """Source columns of all worksheets in first-seen order (schema metadata)."""
-    sheets = workbooks.sheet_list(records).join(
-        numbered.select("path", "snapshot_order"), "path"
-    )
+    """Source columns of the worksheets in first-seen order (schema metadata).
+
+    Only worksheets that can fulfil the contract count. Others deliver no rows, and a
+    stray worksheet must not widen the table by whatever its first row holds.
+    """
+    required = contracts.texts(contract.required_columns)
     _, position = contracts.sheet_lineage(contract, F.col("sheet_key"))
-    seen = sheets.select(
-        "snapshot_order", position.alias("sheet_order"), F.posexplode("header_keys").alias("at", "name")
-    )
-    first = seen.groupBy("name").agg(
-        F.min(F.struct("snapshot_order", "sheet_order", "at")).alias("first_seen")
+    seen = (
+        workbooks.sheet_list(records)
+        .filter(F.size(F.array_except(required, "header_keys")) == 0)
+        .join(numbered.select("path", "snapshot_order"), "path")
+        .select(
+            F.struct("snapshot_order", position.alias("sheet_order")).alias("sheet"),
+            F.posexplode("header_keys").alias("at", "name"),
+        )
     )
+    first = seen.groupBy("name").agg(F.min(F.struct("sheet", "at")).alias("first_seen"))
     names = [row["name"] for row in first.orderBy("first_seen").select("name").collect()]
     return contract.business_columns(workbooks.source_columns(names))
 
 
+def row_scope(sheets: DataFrame) -> DataFrame:
+    """Keys of worksheets under the names the rows use."""
+    return sheets.select(F.col("path").alias(ROW_PATH), F.col("sheet_key").alias(ROW_SHEET))
+
+
 def sheet_status(
     records: DataFrame, rows: DataFrame, columns: list[str], contract: Contract
 ) -> DataFrame:
     """Every expected worksheet with its filled cells per column and what it violates."""
-    filled = contracts.filled_counts(rows, columns, SHEET_KEYS)
-    joined = workbooks.sheet_list(records).join(filled, list(SHEET_KEYS), "left")
-    missing = contracts.missing_required(contract, columns)
+    filled = contracts.filled_cells(rows, columns, ROW_SCOPE)
+    filled = filled.withColumnsRenamed({ROW_PATH: "path", ROW_SHEET: "sheet_key"})
+    missing = contracts.missing_required(contract)
     if contract.allow_empty_sheets:
         missing = F.when(F.col("raw_rows") > 0, missing).otherwise(contracts.texts([]))
-    return joined.withColumns(
-        {
-            "colliding_columns": contracts.repeated(F.col("header_keys")),
-            "missing_columns": missing,
-        }
-    ).withColumn(
-        "passes", (F.size("colliding_columns") == 0) & (F.size("missing_columns") == 0)
-    )
+    violations = {
+        "colliding_columns": contracts.repeated(F.col("header_keys")),
+        "reserved_columns": F.array_intersect("header_keys", contracts.texts(LINEAGE_COLUMNS)),
+        "missing_columns": missing,
+    }
+    joined = workbooks.sheet_list(records).join(filled, ["path", "sheet_key"], "left")
+    found = sum((F.size(name) for name in violations), F.lit(0))
+    return joined.withColumns(violations).withColumn("passes", found == 0)
 
 
 def filled_columns(sheets: DataFrame, columns: list[str]) -> list[str]:
     """Columns that hold a value in some passing worksheet, in their order."""
-    if not columns:
-        return []
-    totals = sheets.filter("passes").agg(*[F.sum(name).alias(name) for name in columns]).first()
-    return [name for name in columns if totals[name]]
+    totals = (
+        sheets.filter("passes")
+        .select(F.explode("filled_cells").alias("name", "cells"))
+        .groupBy("name")
+        .agg(F.sum("cells").alias("cells"))
+    )
+    filled = {row["name"] for row in totals.filter("cells > 0").collect()}
+    return [name for name in columns if name in filled]
 
 
 def source_issues(ingested: Ingested, contract: Contract) -> list[DataFrame]:
@@ -131,14 +164,19 @@ def source_issues(ingested: Ingested, contract: Contract) -> list[DataFrame]:
     books = workbooks.workbook_list(ingested.records).withColumn("source_file", name)
     sheet_severity = quality.ERROR if contract.strict_sheets else quality.WARNING
 
-    def described(text: str, *parts: Column) -> Column:
-        return F.format_string(text, *parts)
-
+    described = F.format_string
     failing = ingested.sheets.filter(~F.col("passes")).withColumn("source_file", name)
-    reason = F.when(
-        F.size("colliding_columns") > 0,
-        described("Headers collide: %s", F.array_join("colliding_columns", ", ")),
-    ).otherwise(described("Required columns are missing: %s", F.array_join("missing_columns", ", ")))
+    reason = F.concat_ws(
+        "; ",
+        *[
+            F.when(F.size(columns) > 0, F.concat(F.lit(text), F.array_join(columns, ", ")))
+            for columns, text in (
+                ("colliding_columns", "Headers collide: "),
+                ("reserved_columns", "Headers are reserved: "),
+                ("missing_columns", "Required columns are missing: "),
+            )
+        ],
+    )
     return [
         quality.issue_rows(
             discovery.undated_files(ingested.files),
@@ -248,7 +286,7 @@ def run_job(
     ingested = ingest(spark, folder, contract, stage)
 
     target = tables.run_folder(output, stage.run_id) if output else stage.root
-    resolved = resolve_history(with_contract_columns(ingested.collapsed, contract), contract)
+    resolved = resolve_history(ingested.collapsed, contract)
     settled = tables.write_history(resolved, target, contract)
     counters = run_counters(ingested, settled, contract)
     issues = tables.write_table(
@@ -275,16 +313,6 @@ def run_job(
     return result
 
 
-def with_contract_columns(collapsed: DataFrame, contract: Contract) -> DataFrame:
-    """Null columns for contract columns no worksheet delivered, so an empty run still resolves."""
-    needed = {
-        contract.id_column: "string",
-        contract.follow_up_notes_column: "string",
-    }
-    absent = {n: F.lit(None).cast(t) for n, t in needed.items() if n not in collapsed.columns}
-    return collapsed.withColumns(absent) if absent else collapsed
-
-
 def run_metrics_frame(spark: SparkSession, counters: dict[str, int]) -> DataFrame:
     schema = ", ".join(f"{name} BIGINT" for name in METRICS)
     return spark.createDataFrame([tuple(counters[name] for name in METRICS)], schema)

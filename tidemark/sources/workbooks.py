@@ -19,12 +19,13 @@ from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
 from itertools import islice
 from xml.etree import ElementTree
+from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.contract import NOTE_CELL_DATE, ROW_NUMBER, Contract
+from tidemark.contract import NOTE_CELL_DATE, ROW_NUMBER, ROW_PATH, ROW_SHEET, Contract
 from tidemark.functions.text import canonical_name, missing_to_null
 from tidemark.sources.discovery import list_files, snapshot_files
 
@@ -49,6 +50,7 @@ _ARROW_SCHEMA = pa.schema(
     ]
 )
 _RECORDS_PER_BATCH = 4096
+_CHUNK_BYTES = 1 << 18
 
 # Cell kinds.
 TEXT, NUMBER, FLAG, DATE, TIME = "text", "number", "flag", "date", "time"
@@ -122,25 +124,23 @@ class _Book:
         target = self.sheets[name]
         return self.archive.open(target.lstrip("/") if target.startswith("/") else f"xl/{target}")
 
-    def value(self, cell) -> tuple[str, str | None] | None:
+    def value(self, attributes: dict[str, str], raw: str) -> tuple[str, str | None] | None:
         """Kind and text of a cell, ``None`` for an empty one; an error has no text."""
-        kind = cell.get("t") or "n"
-        if kind == "inlineStr":
-            return TEXT, "".join(_text(part) for part in _children(cell, "is"))
-        raw = next((part.text for part in _children(cell, "v")), None)
-        if raw is None:
+        if not raw:
             return None
+        kind = attributes.get("t", "n")
+        if kind == "n":
+            style = int(attributes.get("s", 0))
+            dated = style < len(self.date_styles) and self.date_styles[style]
+            return self._moment(float(raw)) if dated else (NUMBER, _number(raw))
         if kind == "s":
-            return TEXT, self.strings[int(raw)]
+            text = self.strings[int(raw)]
+            return (TEXT, text) if text else None
         if kind == "b":
             return FLAG, "True" if raw == "1" else "False"
         if kind == "d":
             return DATE, raw.replace("T", " ").removesuffix(" 00:00:00")
-        if kind == "n":
-            style = int(cell.get("s") or 0)
-            dated = style < len(self.date_styles) and self.date_styles[style]
-            return self._moment(float(raw)) if dated else (NUMBER, _number(raw))
-        return (TEXT, raw) if kind == "str" else (TEXT, None)
+        return TEXT, None if kind == "e" else raw
 
     def _moment(self, serial: float) -> tuple[str, str]:
         seconds = round(serial % 1 * 86400)
@@ -154,42 +154,86 @@ class _Book:
 
 def _number(raw: str) -> str:
     """Number text, without a fraction when the number is whole."""
+    if raw.lstrip("+-").isdigit():
+        return str(int(raw))
     value = float(raw)
-    if not value.is_integer():
-        return repr(value)
-    return str(int(raw)) if re.fullmatch(r"[+-]?\d+", raw) else str(int(value))
+    return str(int(value)) if value.is_integer() else repr(value)
 
 
-def _column_index(reference: str | None, previous: int) -> int:
-    letters = re.match("[A-Z]+", reference or "")
-    if letters is None:
-        return previous + 1
+def _column_index(letters: str) -> int:
     index = 0
-    for letter in letters.group():
+    for letter in letters:
         index = index * 26 + ord(letter) - 64
     return index - 1
 
 
-def _sheet_rows(book: _Book, stream) -> Iterator[tuple[int, dict[int, tuple[str, str | None]]]]:
-    """Row number and cells by column index, one row at a time."""
-    holder, number = None, 0
-    for event, element in ElementTree.iterparse(stream, events=("start", "end")):
-        name = _local(element)
-        if event == "start" and name == "sheetData":
-            holder = element
-        if event == "end" and name == "row":
-            number = int(element.get("r") or number + 1)
-            cells, index = {}, -1
-            for cell in _children(element, "c"):
-                index = _column_index(cell.get("r"), index)
-                value = book.value(cell)
-                if value is not None:
-                    cells[index] = value
-            yield number, cells
-            holder.clear()
-
-
-def _headers(cells: dict[int, tuple[str, str | None]]) -> dict[int, str]:
+Cells = dict[int, tuple[str, str | None]]
+
+
+class _RowHandler:
+    """Collects the rows of a worksheet part while it is fed to the XML parser."""
+
+    def __init__(self, book: _Book):
+        self.book = book
+        self.rows: list[tuple[int, Cells]] = []
+        self.columns: dict[str, int] = {}
+        self.number = 0
+        self.cells: Cells = {}
+        self.index = -1
+        self.attributes: dict[str, str] = {}
+        self.pieces: list[str] = []
+        self.phonetic = False
+        self.parser = expat.ParserCreate()
+        self.parser.buffer_text = True
+        self.parser.StartElementHandler = self.start
+        self.parser.EndElementHandler = self.end
+
+    def start(self, name: str, attributes: dict[str, str]) -> None:
+        if ":" in name:
+            name = name.rpartition(":")[2]
+        if name == "c":
+            self.attributes, self.pieces = attributes, []
+        elif name in ("v", "t"):
+            if not self.phonetic:
+                self.parser.CharacterDataHandler = self.pieces.append
+        elif name == "row":
+            self.number = int(attributes.get("r", self.number + 1))
+            self.cells, self.index = {}, -1
+        elif name == "rPh":
+            self.phonetic = True
+
+    def end(self, name: str) -> None:
+        if ":" in name:
+            name = name.rpartition(":")[2]
+        if name in ("v", "t"):
+            self.parser.CharacterDataHandler = None
+        elif name == "c":
+            reference = self.attributes.get("r")
+            letters = reference.rstrip("0123456789") if reference else ""
+            if letters not in self.columns:
+                self.columns[letters] = _column_index(letters)
+            self.index = self.columns[letters] if letters else self.index + 1
+            value = self.book.value(self.attributes, "".join(self.pieces))
+            if value is not None:
+                self.cells[self.index] = value
+        elif name == "row":
+            self.rows.append((self.number, self.cells))
+        elif name == "rPh":
+            self.phonetic = False
+
+
+def _sheet_rows(book: _Book, stream) -> Iterator[tuple[int, Cells]]:
+    """Row number and cells by column index, in the order of the part."""
+    handler = _RowHandler(book)
+    while chunk := stream.read(_CHUNK_BYTES):
+        handler.parser.Parse(chunk, False)
+        yield from handler.rows
+        handler.rows = []
+    handler.parser.Parse(b"", True)
+    yield from handler.rows
+
+
+def _headers(cells: Cells) -> dict[int, str]:
     """Header text by column index; a repeated header gets a number."""
     headers, used = {}, set()
     for index in sorted(cells):
@@ -332,8 +376,8 @@ def sheet_rows(records: DataFrame, columns: Sequence[str], contract: Contract) -
         values.append(value.alias(name))
     note = cells[contract.follow_up_notes_column]
     return records.filter(F.col("record") == "row").select(
-        "path",
-        "sheet_key",
+        F.col("path").alias(ROW_PATH),
+        F.col("sheet_key").alias(ROW_SHEET),
         F.col("row_number").alias(ROW_NUMBER),
         *values,
         F.when(note["kind"] == DATE, note["text"].try_cast("date")).alias(NOTE_CELL_DATE),
