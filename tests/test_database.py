@@ -1,0 +1,77 @@
+"""The database sink without a database: what it asks Spark to do."""
+
+from __future__ import annotations
+
+import pytest
+
+from tidemark import Contract, ContractError
+from tidemark.sinks import database
+
+
+class Recorder:
+    """Stands for the history, its session and its writer."""
+
+    def __init__(self):
+        self.statements, self.settings, self.written = [], {}, {}
+        self.sparkSession = self.conf = self.write = self
+        self.columns = ["SNAPSHOT_DATE", "Line_Id"]
+
+    def set(self, key, value):
+        self.settings[key] = value
+
+    def sql(self, statement):
+        self.statements.append(statement)
+
+    def toDF(self, *names):
+        self.written["columns"] = names
+        return self
+
+    def format(self, name):
+        self.written["format"] = name
+        return self
+
+    def options(self, **options):
+        self.written.update(options)
+        return self
+
+    def mode(self, mode):
+        self.written["mode"] = mode
+        return self
+
+    def save(self):
+        self.statements.append("save")
+
+
+URL = "jdbc:postgresql://host/db"
+
+
+def test_replace_loads_a_staging_table_and_swaps():
+    history = Recorder()
+    name = database.write_database(history, URL, Contract(), {"driver": "org.postgresql.Driver"})
+    assert name == "analytics.historical_operations"
+    assert history.statements == [
+        "CREATE NAMESPACE IF NOT EXISTS tidemark_database.analytics",
+        "save",
+        "DROP TABLE IF EXISTS tidemark_database.analytics.historical_operations",
+        "ALTER TABLE tidemark_database.analytics.historical_operations_staging "
+        "RENAME TO analytics.historical_operations",
+    ]
+    assert history.written["dbtable"] == "analytics.historical_operations_staging"
+    assert history.written["columns"] == ("snapshot_date", "line_id")
+    assert (history.written["mode"], history.written["batchsize"]) == ("overwrite", "5000")
+    assert history.settings["spark.sql.catalog.tidemark_database.url"] == URL
+
+
+@pytest.mark.parametrize(("mode", "saved"), [("append", "append"), ("fail", "errorifexists")])
+def test_append_and_fail_write_the_table_itself(mode, saved):
+    history = Recorder()
+    database.write_database(history, URL, Contract(database_mode=mode, database_batch_rows=7))
+    assert history.statements[1:] == ["save"]
+    assert history.written["dbtable"] == "analytics.historical_operations"
+    assert (history.written["mode"], history.written["batchsize"]) == (saved, "7")
+
+
+def test_unsafe_names_are_refused():
+    for contract in (Contract(database_schema="a b"), Contract(database_table='t"')):
+        with pytest.raises(ContractError):
+            database.write_database(Recorder(), URL, contract)

@@ -3,18 +3,43 @@
 from __future__ import annotations
 
 import json
+from datetime import date
+from pathlib import Path
 
 import pytest
-from conftest import HEADER, process_row, snapshot_sheets, write_snapshots  # noqa: F401
+from conftest import HEADER, process_row, snapshot_sheets
 
-from tidemark import QualityGateError, run_job
-from tidemark.operators import analytics
-from tidemark.sinks.tables import open_published, register_views
+from tidemark import QualityGateError, TidemarkError, run_job
+from tidemark.catalog.workbook_bytes import workbook_bytes
+from tidemark.contract import Contract
+from tidemark.operators import analytics, quality
+from tidemark.plans import job
+from tidemark.sinks.tables import current_run, open_published, register_views
+from tidemark.staging import Stage
+
+DAY = date(2026, 8, 1)
+
+
+def write(folder: Path, name: str, sheets: dict) -> None:
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_bytes(workbook_bytes(sheets))
+
+
+def issues_of(spark, folder, contract):
+    """Issues of a run, whether or not they block it."""
+    ingested = job.ingest(spark, str(folder), contract, Stage(spark))
+    resolved = job.resolve_history(ingested.collapsed, contract)
+    counters = job.run_counters(ingested, resolved, contract)
+    issues = job.run_issues(spark, ingested, resolved, counters, contract).collect()
+    found = [(r["code"], r["severity"], r["count"], r["source_file"], r["source_sheet"]) for r in issues]
+    return counters, sorted(found, key=str)
 
 
 def test_job_builds_and_publishes_all_tables(spark, sample_dir, tmp_path, contract):
     output = str(tmp_path / "out")
+    before = {p.name: p.read_bytes() for p in sample_dir.iterdir()}
     result = run_job(spark, str(sample_dir), contract, output, csv=True)
+    assert {p.name: p.read_bytes() for p in sample_dir.iterdir()} == before
     assert result.metrics == {
         "files_discovered": 3,
         "files_processed": 3,
@@ -34,27 +59,165 @@ def test_job_builds_and_publishes_all_tables(spark, sample_dir, tmp_path, contra
         "quality_issues": 1,
     }
     assert [r["code"] for r in published["quality_issues"].collect()] == ["MISSING_FOLLOW_UP"]
-    report = result.report.first()
-    assert report["status"] == "passed"
-    assert report["metrics"]["records_in_history"] == 54
-    assert published["history"].select("snapshot_date", "line_id").distinct().count() == 54
+    history = published["history"]
+    assert history.select("snapshot_date", "line_id").distinct().count() == 54
+    assert result.history.columns == [
+        "snapshot_date", "snapshot_order", "source_file", "source_sheet", "sheet_order", "line_id",
+        "request_id", "item", "business_area", "company", "process_type", "start_date", "due_date",
+        "sla_days_remaining", "sla_status", "current_stage", "follow_up_notes", "source_row_number",
+        "follow_up_date", "follow_up_age_days", "record_hash",
+    ]
+    types = dict(result.history.dtypes)
+    assert (types["start_date"], types["sla_days_remaining"]) == ("date", "bigint")
 
-    per_day = analytics.processes_by_date(published["history"], contract).collect()
+    per_day = analytics.processes_by_date(history, contract).collect()
     assert [r["unique_processes"] for r in per_day] == [18, 18, 18]
-    overdue = analytics.overdue_by_stage(published["history"], contract).collect()
+    overdue = analytics.overdue_by_stage(history, contract).collect()
     assert [tuple(r) for r in overdue] == [
         ("Approval", 1),
         ("Intake", 1),
         ("Negotiation", 1),
         ("Specification", 1),
     ]
-    stale = analytics.stale_follow_ups(published["history"], contract).collect()
+    stale = analytics.stale_follow_ups(history, contract).collect()
     assert [(r["line_id"], r["follow_up_age_days"]) for r in stale] == [
         ("LINE-0003", 5), ("LINE-0009", 5), ("LINE-0015", 5),
         ("LINE-0002", 4), ("LINE-0008", 4), ("LINE-0014", 4),
     ]
-    assert analytics.state_changes(published["history"], contract).count() == 36
+    assert analytics.state_changes(history, contract).count() == 36
+    sheets = {(r["snapshot_date"].day, r["source_sheet"]): r["record_count"] for r in result.summary.collect()}
+    assert [sheets[3, label] for label in contract.expected_sheets] == [4, 4, 2, 4, 4]
+
+    (report,) = [json.loads(p.read_text()) for p in Path(result.output_paths["quality_report"]).glob("*.json")]
+    assert report["status"] == "passed"
+    assert report["metrics"]["records_in_history"] == 54
+    csv = spark.read.option("header", True).csv(result.output_paths["latest_position_csv"])
+    assert csv.count() == 18
 
     register_views(published, contract)
-    counted = spark.sql("SELECT count(*) AS n FROM historical_operations WHERE sla_status = 'OVERDUE'")
-    assert counted.first()["n"] > 0
+    counted = spark.sql("SELECT count(*) AS n FROM historical_operations WHERE sla_days_remaining < 0")
+    assert counted.first()["n"] == 8
+
+
+def test_job_without_output_keeps_its_tables_in_the_stage(spark, sample_dir):
+    result = run_job(spark, str(sample_dir))
+    assert (result.history.count(), result.output_paths) == (54, {})
+
+
+def test_every_source_issue(spark, tmp_path, contract):
+    good = snapshot_sheets(0, 18, DAY)
+    write(tmp_path, "a_2026-08-01.xlsx", good | {"Extra": [("x",)], "alpha": [("x",)]})
+    missing = {k: v for k, v in snapshot_sheets(1, 18, DAY).items() if k != "Overdue"}
+    write(tmp_path, "b_2026-08-02.xlsx", missing)
+    no_stage = [row[:10] + row[11:] for row in good["Overdue"]]
+    write(tmp_path, "c_2026-08-03.xlsx", good | {"Overdue": no_stage})
+    clash = [(*HEADER, "item "), *[(*row, "x") for row in good["Overdue"][1:]]]
+    write(tmp_path, "d_2026-08-04.xlsx", good | {"Overdue": clash, " OVERDUE ": good["Overdue"]})
+    write(tmp_path, "e_2026-08-05.xlsx", good | {"Overdue": [HEADER]})
+    reserved = [(*HEADER, "Snapshot Date"), *[(*row, "x") for row in good["Overdue"][1:]]]
+    write(tmp_path, "f_2026-08-06.xlsx", good | {"Overdue": reserved})
+    (tmp_path / "g_2026-08-07.xlsx").write_bytes(workbook_bytes(good)[:500])
+    (tmp_path / "h_2026-08-08.xlsx").touch()
+    write(tmp_path, "undated.xlsx", good)
+    counters, found = issues_of(spark, tmp_path, contract)
+    expected = [
+        ("MISSING_FOLLOW_UP", "info", 5, None, None),
+        ("MISSING_WORKSHEET", "error", 1, "b_2026-08-02.xlsx", "Overdue"),
+        ("SNAPSHOT_DATE_NOT_FOUND", "warning", 1, "undated.xlsx", None),
+        ("UNEXPECTED_SHEETS", "info", 2, "a_2026-08-01.xlsx", None),
+        ("WORKBOOK_READ_FAILED", "error", 1, "g_2026-08-07.xlsx", None),
+        ("WORKBOOK_READ_FAILED", "error", 1, "h_2026-08-08.xlsx", None),
+        ("WORKSHEET_CONTRACT_FAILED", "error", 1, "c_2026-08-03.xlsx", "Overdue"),
+        ("WORKSHEET_CONTRACT_FAILED", "error", 1, "d_2026-08-04.xlsx", None),
+        ("WORKSHEET_CONTRACT_FAILED", "error", 1, "d_2026-08-04.xlsx", "Overdue"),
+        ("WORKSHEET_CONTRACT_FAILED", "error", 1, "e_2026-08-05.xlsx", "Overdue"),
+        ("WORKSHEET_CONTRACT_FAILED", "error", 1, "f_2026-08-06.xlsx", "Overdue"),
+    ]
+    assert found == sorted(expected, key=str)
+    assert (counters["files_discovered"], counters["files_processed"]) == (9, 6)
+
+
+def test_worksheet_names_that_collide_block_the_run(spark, tmp_path, contract):
+    good = snapshot_sheets(0, 18, DAY)
+    write(tmp_path, "d_2026-08-04.xlsx", good | {" OVERDUE ": good["Overdue"]})
+    with pytest.raises(QualityGateError, match="blocked by 1 "):
+        run_job(spark, str(tmp_path), contract)
+
+
+def test_lenient_sheets_and_empty_sheets(spark, tmp_path):
+    sheets = snapshot_sheets(0, 18, DAY)
+    sheets["Overdue"] = [HEADER]
+    del sheets["26 to 35 Days"]
+    write(tmp_path / "in", "a_2026-08-01.xlsx", sheets)
+    contract = Contract(strict_sheets=False, allow_empty_sheets=True)
+    result = run_job(spark, str(tmp_path / "in"), contract)
+    codes = {r["code"]: r["severity"] for r in result.issues.collect()}
+    assert codes["MISSING_WORKSHEET"] == "warning"
+    assert result.history.count() == 12
+    with pytest.raises(QualityGateError):
+        run_job(spark, str(tmp_path / "in"), Contract(strict_sheets=False))
+
+
+def test_same_day_appearances_are_resolved(spark, tmp_path, contract):
+    sheets = snapshot_sheets(0, 18, DAY)
+    write(tmp_path / "in", "b_2026-08-01.xlsx", sheets)
+    moved = process_row(1, 0, DAY)
+    sheets["0 to 7 Days"] = [*sheets["0 to 7 Days"], (*moved[:10], "Moved", moved[11])]
+    sheets["Overdue"] = [*sheets["Overdue"], sheets["Overdue"][1], (None, "REQ-1", "no id")]
+    write(tmp_path / "in", "A_2026-08-01.xlsx", sheets)
+    result = run_job(spark, str(tmp_path / "in"), contract)
+    assert result.metrics["exact_duplicates_removed"] == 1
+    assert result.metrics["rows_without_id_removed"] == 1
+    assert result.metrics["daily_duplicates_removed"] == 19
+    # the file that sorts last wins, whatever the case of its name
+    assert {r["source_file"] for r in result.history.collect()} == {"b_2026-08-01.xlsx"}
+    resolved = [r for r in result.issues.collect() if r["code"] == "DAILY_DUPLICATES_RESOLVED"]
+    assert [(r["severity"], r["count"]) for r in resolved] == [("info", 19)]
+
+
+def test_optional_columns_may_differ_between_files(spark, tmp_path, contract):
+    plain = {name: [row[:2] + row[8:] for row in rows] for name, rows in snapshot_sheets(0, 18, DAY).items()}
+    write(tmp_path / "in", "a_2026-08-01.xlsx", plain)
+    # names the job itself uses for files and sheets are ordinary source columns
+    odd = {
+        name: [(*HEADER, "Path", "Sheet", "Copies", "Passes"), *[(*row, "p", 1.5, True, "q") for row in rows[1:]]]
+        for name, rows in snapshot_sheets(1, 18, date(2026, 8, 2)).items()
+    }
+    write(tmp_path / "in", "b_2026-08-02.xlsx", odd)
+    result = run_job(spark, str(tmp_path / "in"), contract)
+    rows = {(r["snapshot_date"].day, r["path"], r["sheet"], r["copies"], r["passes"]) for r in result.history.collect()}
+    assert rows == {(1, None, None, None, None), (2, "p", "1.5", "True", "q")}
+    assert result.history.columns[5:8] == ["line_id", "request_id", "sla_days_remaining"]
+
+
+def test_a_blocked_run_leaves_the_published_tables_alone(spark, sample_dir, tmp_path, contract):
+    output = str(tmp_path / "out")
+    with pytest.raises(TidemarkError, match="Nothing has been published"):
+        current_run(spark, output)
+    run_job(spark, str(sample_dir), contract, output)
+    first = current_run(spark, output)
+    write(sample_dir, "bad_2026-08-09.xlsx", {"Overdue": [HEADER]})
+    with pytest.raises(QualityGateError, match="blocked by"):
+        run_job(spark, str(sample_dir), contract, output)
+    assert current_run(spark, output) == first
+    (sample_dir / "bad_2026-08-09.xlsx").write_bytes(
+        workbook_bytes(snapshot_sheets(3, 18, date(2026, 8, 9)))
+    )
+    run_job(spark, str(sample_dir), contract, output)
+    assert current_run(spark, output) != first
+    assert open_published(spark, output)["history"].count() == 72
+
+
+def test_no_input(spark, tmp_path, contract):
+    with pytest.raises(FileNotFoundError):
+        run_job(spark, str(tmp_path / "none"), contract)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    _, found = issues_of(spark, folder, contract)
+    assert [(code, severity) for code, severity, *_ in found] == [
+        ("EMPTY_HISTORY", quality.ERROR),
+        ("NO_INPUT_FILES", quality.ERROR),
+    ]
+    write(folder, "undated.xlsx", snapshot_sheets(0, 18, DAY))
+    with pytest.raises(QualityGateError, match="blocked by 2"):
+        run_job(spark, str(folder), contract)

@@ -93,8 +93,8 @@ raw AS (
          CASE WHEN event_id % 17 = 0 THEN 'n/a' WHEN event_id % 31 = 0 THEN '1,000'
               WHEN event_id % 43 = 0 THEN '5d' WHEN event_id % 47 = 0 THEN '2.5'
               ELSE CAST(CAST(floor(value / 10) - 10 AS INTEGER) AS VARCHAR) END AS sla_days_remaining,
-         CASE WHEN event_id % 5 = 0 THEN strftime(CAST(ts AS DATE), '%d/%m/%Y')
-              WHEN event_id % 53 = 0 THEN 'x'
+         CASE WHEN event_id % 53 = 0 THEN 'x'
+              WHEN event_id % 5 = 0 THEN strftime(CAST(ts AS DATE), '%d/%m/%Y')
               ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS start_date,
          CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 1 AS INTEGER) AS snapshot_order
   FROM events JOIN shifts ON shift = 0 OR event_id % 10 = 0),

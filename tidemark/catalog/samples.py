@@ -106,8 +106,8 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(every(43), "5d")
         .when(every(47), "2.5")
         .otherwise(sla),
-        "start_date": F.when(every(5), F.date_format(day, "dd/MM/yyyy"))
-        .when(every(53), "x")
+        "start_date": F.when(every(53), "x")
+        .when(every(5), F.date_format(day, "dd/MM/yyyy"))
         .otherwise(day.cast("string")),
     }
     copies = F.when(every(10), F.array(F.lit(0), F.lit(1_000_000))).otherwise(F.array(F.lit(0)))

@@ -65,14 +65,15 @@ def collapse_copies(rows: DataFrame) -> DataFrame:
     so a group that holds a third of the table reaches one task as a handful of rows.
     """
     content = [name for name in rows.columns if name != ROW_NUMBER]
-    return rows.groupBy(*content).agg(
+    collapsed = rows.groupBy(*content).agg(
         F.max(ROW_NUMBER).alias(ROW_NUMBER), F.count(F.lit(1)).alias(COPIES)
     )
+    return collapsed.select(*rows.columns, COPIES)
 
 
 def drop_exact_duplicates(rows: DataFrame) -> DataFrame:
     """Keep the last of the rows that agree on everything but the row number."""
-    return collapse_copies(rows).select(*rows.columns)
+    return collapse_copies(rows).drop(COPIES)
 
 
 def clean(rows: DataFrame, contract: Contract) -> DataFrame:

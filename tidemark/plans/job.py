@@ -65,9 +65,9 @@ def ingest(spark: SparkSession, folder: str, contract: Contract, stage: Stage) -
     listed = discovery.snapshot_files(discovery.list_files(spark, folder, contract), contract)
     files = stage.write(listed, "files")
     numbered = stage.write(discovery.snapshot_order(files), "numbered_files")
-    records = stage.write(
-        workbooks.scan_workbooks(spark, folder, contract), "records", partition_by=("record",)
-    )
+    scanned = workbooks.scan_workbooks(spark, folder, contract)
+    found = scanned.unionByName(workbooks.empty_file_records(files))
+    records = stage.write(found, "records", partition_by=("record",))
     return ingest_records(files, numbered, records, contract, stage)
 
 

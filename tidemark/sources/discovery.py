@@ -19,25 +19,36 @@ FILE_ORDER = ("snapshot_date", "file_sort_name", "path")
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above this many bits
 
 
-def list_files(
-    spark: SparkSession,
-    folder: str,
-    contract: Contract,
-    columns: tuple[str, ...] = ("path", "length"),
-) -> DataFrame:
-    """Every file below ``folder`` that a pattern names.
-
-    Contents are read only when ``columns`` asks for them.
+def scan_files(spark: SparkSession, folder: str, contract: Contract) -> DataFrame:
+    """Scan of every file below ``folder`` that a pattern names (``binaryFile`` columns).
+
+    Contents are read only where the column is used.
     """
     patterns = "{" + ",".join(contract.file_patterns) + "}"
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
-        listed = reader.option("pathGlobFilter", patterns).load(folder)
+        return reader.option("pathGlobFilter", patterns).load(folder)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"Input folder not found: {folder}") from error
         raise
-    return listed.select(*columns)
+
+
+def list_files(spark: SparkSession, folder: str, contract: Contract) -> DataFrame:
+    """Path and size of every file below ``folder`` that a pattern names.
+
+    A scan passes over files without a single byte, but a snapshot whose upload failed
+    must be reported. The names Spark has listed anyway tell whether there are any.
+    """
+    scanned = scan_files(spark, folder, contract).select("path", "length")
+    uris = scanned.inputFiles()
+    if len(uris) == scanned.count():
+        return scanned
+    uri = F.replace(F.col("uri"), F.lit("+"), F.lit("%2B"))
+    path = F.regexp_replace(F.url_decode(uri), "^file:/+", "file:/")
+    named = spark.createDataFrame([(name,) for name in uris], "uri STRING").select(path.alias("path"))
+    empty = named.join(scanned, "path", "left_anti").withColumn("length", F.lit(0).cast("bigint"))
+    return scanned.unionByName(empty)
 
 
 def snapshot_files(paths: DataFrame, contract: Contract) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import NOTE_CELL_DATE, ROW_NUMBER, ROW_PATH, ROW_SHEET, Contract
 from tidemark.functions.text import canonical_name, missing_to_null
-from tidemark.sources.discovery import list_files, snapshot_files
+from tidemark.sources.discovery import scan_files, snapshot_files
 
 RECORD_SCHEMA = (
     "record STRING, path STRING, sheet STRING, sheet_key STRING, row_number INT, "
@@ -321,11 +321,21 @@ def scan_workbooks(spark: SparkSession, folder: str, contract: Contract) -> Data
     Whether a file counts follows from its own path, so no join stands between the
     scan and the reader, and file contents are never shuffled.
     """
-    contents = list_files(spark, folder, contract, ("path", "content"))
+    contents = scan_files(spark, folder, contract).select("path", "content")
     dated = snapshot_files(contents, contract).filter(F.col("snapshot_date").isNotNull())
     return parse_workbooks(dated, contract)
 
 
+def empty_file_records(files: DataFrame) -> DataFrame:
+    """Records of dated files without a byte, which no scan delivers."""
+    empty = files.filter((F.col("length") == 0) & F.col("snapshot_date").isNotNull())
+    none = empty.sparkSession.createDataFrame([], RECORD_SCHEMA)
+    found = empty.select(
+        F.lit("workbook").alias("record"), "path", F.lit("The file is empty.").alias("error")
+    )
+    return none.unionByName(found, allowMissingColumns=True)
+
+
 def workbook_list(records: DataFrame) -> DataFrame:
     """Readable workbooks with their sheet names."""
     found = records.filter((F.col("record") == "workbook") & F.col("error").isNull())
