@@ -144,11 +144,11 @@ NOTES = [
 
 def test_follow_up_date(spark):
     rows = [(note, day, number) for number, (note, day, _) in enumerate(NOTES)]
-    found = applied(
-        spark, rows, "note STRING, day STRING, n INT",
-        values.follow_up_date(F.col("note"), F.col("day").cast("date")), "n",
-    )
-    assert [day for day, _ in found] == [expected for _, _, expected in NOTES]
+    frame = spark.createDataFrame(rows, "note STRING, day STRING, n INT")
+    dated = values.with_follow_up_date(frame, F.col("note"), F.col("day").cast("date"), "found")
+    assert dated.columns == ["note", "day", "n", "found"]
+    found = {row["n"]: row["found"] for row in dated.collect()}
+    assert [found[n] for n in range(len(NOTES))] == [expected for _, _, expected in NOTES]
 
 
 def test_buckets_and_status(spark):

@@ -133,8 +133,10 @@ def daily_state(spark, sf_dir):
 
 @registered
 def follow_up_date(spark, sf_dir):
-    found = values.follow_up_date(F.col("follow_up_notes"), F.col("snapshot_date"))
-    return samples.mapped(spark, sf_dir).select(*ROW_KEY, found.alias("follow_up_date"))
+    dated = values.with_follow_up_date(
+        samples.mapped(spark, sf_dir), F.col("follow_up_notes"), F.col("snapshot_date"), "follow_up_date"
+    )
+    return dated.select(*ROW_KEY, "follow_up_date")
 
 
 @registered

@@ -130,22 +130,21 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 def site_path() -> Column:
     """Path of the file a user's events of one day came in, in nine spellings."""
     day, user = _day(), F.col("user_id")
-    iso, dotted = day.cast("string"), F.date_format(day, "dd.MM.yyyy")
+    style = (user + F.dayofmonth(day)) % 9
+    start = F.when(style == 0, "Operations_").when(style == 2, "snapshot_").when(style == 5, "~$operations_")
+    written = (
+        F.when(style == 1, F.date_format(day, "dd.MM.yyyy"))
+        .when(style == 2, F.date_format(day, "dd_MM_yyyy"))
+        .when(style == 3, "31-02-2024")
+        .when(style == 4, "latest")
+        .when(style == 7, F.concat(F.lit("1"), day.cast("string")))
+        .when(style == 8, F.concat(F.lit("2024-13-05 "), F.date_format(day, "dd.MM.yyyy")))
+        .otherwise(day.cast("string"))
+    )
+    end = F.when(style == 1, ".xlsm").when(style == 6, ".csv").otherwise(".xlsx")
+    folder = F.concat(F.lit(f"{DROP_FOLDER}/area"), user % 7, F.lit("/"))
     site = F.concat(F.lit("site"), user, F.lit("s_"))
-    names = [
-        F.concat(F.lit("Operations_"), site, iso, F.lit(".xlsx")),
-        F.concat(F.lit("operations_"), site, dotted, F.lit(".xlsm")),
-        F.concat(F.lit("snapshot_"), site, F.date_format(day, "dd_MM_yyyy"), F.lit(".xlsx")),
-        F.concat(F.lit("operations_"), site, F.lit("31-02-2024.xlsx")),
-        F.concat(F.lit("operations_"), site, F.lit("latest.xlsx")),
-        F.concat(F.lit("~$operations_"), site, iso, F.lit(".xlsx")),
-        F.concat(F.lit("operations_"), site, iso, F.lit(".csv")),
-        F.concat(F.lit("operations_"), site, F.lit("1"), iso, F.lit(".xlsx")),
-        F.concat(F.lit("operations_"), site, F.lit("2024-13-05 "), dotted, F.lit(".xlsx")),
-    ]
-    style = (user + F.dayofmonth(day)) % len(names)
-    spelled = F.element_at(F.array(*names), (style + 1).cast("int"))
-    return F.concat(F.lit(f"{DROP_FOLDER}/area"), user % 7, F.lit("/"), spelled)
+    return F.concat(folder, start.otherwise("operations_"), site, written, end)
 
 
 def site_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,8 +189,9 @@ def site_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(every(3), F.array(F.lit("LINE-ID"))).otherwise(contracts.texts([])),
         F.when(every(7), F.array(F.lit("situacao "), F.lit("Status"))).otherwise(contracts.texts([])),
     )
-    return sheets.select(
-        "source_file", "source_sheet", F.transform(headers, canonical_label).alias("header_keys")
+    cells = sheets.select("source_file", "source_sheet", F.explode(headers).alias("header"))
+    return cells.groupBy("source_file", "source_sheet").agg(
+        F.collect_list(canonical_label(F.col("header"))).alias("header_keys")
     )
 
 

@@ -35,6 +35,9 @@ def canonical_name(label: object) -> str:
     return "_".join(re.findall("[A-Z0-9]+", plain.upper()))
 
 
+_ASCII = r"\A\p{ASCII}*\z"
+
+
 @lru_cache(maxsize=1)
 def _accent_tables() -> tuple[str, str, str, dict[str, str]]:
     """Compatibility foldings into ASCII, derived from the Unicode database.
@@ -69,13 +72,16 @@ def canonical_label(label: Column) -> Column:
     sources, targets, marks, unfolded = _accent_tables()
     text = F.coalesce(label, F.lit(""))
     table = F.create_map(*[F.lit(part) for pair in unfolded.items() for part in pair])
+    folded = F.translate(text, sources + marks, targets)
     spread = F.array_join(
-        F.transform(F.split(text, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""
+        F.transform(F.split(folded, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""
     )
-    spread = F.when(text.rlike(f"[{''.join(unfolded)}]"), spread).otherwise(text)
-    folded = F.translate(spread, sources + marks, targets)
-    folded = F.when(text.rlike(r"[^\x00-\x7f]"), folded).otherwise(text)
-    return F.trim(F.regexp_replace(F.upper(folded), "[^A-Z0-9]+", "_"), F.lit("_"))
+    plain = (
+        F.when(text.rlike(_ASCII), text)
+        .when(folded.rlike(_ASCII), folded)
+        .otherwise(spread)
+    )
+    return F.trim(F.regexp_replace(F.upper(plain), "[^A-Z0-9]+", "_"), F.lit("_"))
 
 
 def trim_text(text: Column) -> Column:

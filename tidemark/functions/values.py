@@ -8,7 +8,7 @@ import unicodedata
 from collections.abc import Iterable, Sequence
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Number text that counts as numeric, and the day-first date of a note.
@@ -45,9 +45,8 @@ def _foreign_digits() -> tuple[str, str]:
 
 
 def _digits(text: Column) -> Column:
-    """Any script's decimal digits written as 0-9; ASCII text is passed through."""
-    ascii_only = F.octet_length(text) == F.length(text)
-    return F.when(ascii_only, text).otherwise(F.translate(text, *_foreign_digits()))
+    """Any script's decimal digits written as 0-9."""
+    return F.translate(text, *_foreign_digits())
 
 
 def _day_of(year: Column, month: Column, day: Column) -> Column:
@@ -120,32 +119,57 @@ def snapshot_date_from_name(name: Column) -> Column:
     return _digits(ordered).try_cast("date")
 
 
-def note_date_text(note: Column) -> Column:
-    """The first day/month[/year] of a note as written, empty when there is none."""
-    return _digits(F.regexp_extract(note, NOTE_DATE_PATTERN, 0))
+def note_parts(note: Column) -> Column:
+    """Day, month and, if written, year of the first date of a note, as texts."""
+    return F.split(F.regexp_extract(note, NOTE_DATE_PATTERN, 0), "[/-]")
 
 
-def note_date(written: Column, snapshot_date: Column) -> Column:
-    """Date of a :func:`note_date_text`, seen from its snapshot."""
-    parts = F.split(written, "[/-]")
-    day, month, given_year = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
-    own_year = F.year(snapshot_date)
-    century = F.when(given_year < 100, given_year + 2000).otherwise(given_year)
-    named = _day_of(F.coalesce(century, own_year), month, day)
-    too_late = given_year.isNull() & (named > F.date_add(snapshot_date, NOTE_LOOKAHEAD_DAYS))
-    chosen = F.when(too_late, _day_of(own_year - 1, month, day)).otherwise(named)
+def note_number(parts: Column, index: int) -> Column:
+    """One of the :func:`note_parts` as a number, null when it is absent."""
+    part = F.get(parts, F.lit(index))
+    return F.coalesce(part.try_cast("int"), _digits(part).try_cast("int"))
+
+
+def named_day(day: Column, month: Column, year: Column, snapshot_date: Column) -> Column:
+    """The day a note names; a short year is in this century, no year is the snapshot's."""
+    century = F.when(year < 100, year + 2000).otherwise(year)
+    return _day_of(F.coalesce(century, F.year(snapshot_date)), month, day)
+
+
+def settled_day(
+    named: Column, day: Column, month: Column, year: Column, snapshot_date: Column
+) -> Column:
+    """The named day, or the year before where no year is written and it is far ahead."""
+    too_late = year.isNull() & (named > F.date_add(snapshot_date, NOTE_LOOKAHEAD_DAYS))
+    return F.when(too_late, _day_of(F.year(snapshot_date) - 1, month, day)).otherwise(named)
+
+
+def day_in_range(day: Column) -> Column:
+    """Null for days that no nanosecond timestamp can hold."""
     limits = (F.lit(limit).cast("date") for limit in (EARLIEST_NOTE_DATE, LATEST_NOTE_DATE))
-    return F.when(chosen.between(*limits) & snapshot_date.isNotNull(), chosen)
+    return F.when(day.between(*limits), day)
 
 
-def follow_up_date(note: Column, snapshot_date: Column) -> Column:
-    """First day/month[/year] of a note, in the snapshot's year when none is written.
+def with_follow_up_date(frame: DataFrame, note: Column, snapshot_date: Column, name: str) -> DataFrame:
+    """Add the first day/month[/year] of a note, seen from its snapshot, as ``name``.
 
     A two-digit year is in this century. A date without a year that lies more than
     31 days after the snapshot is taken from the previous year. Impossible dates
     and dates no nanosecond timestamp can hold are null.
+
+    Each step names what the next one uses several times, so that Spark keeps the
+    projections apart and searches every note once.
     """
-    return note_date(note_date_text(note), snapshot_date)
+    day, month, year = (F.col(f"_note_{part}") for part in ("day", "month", "year"))
+    numbers = {f"_note_{p}": note_number(F.col("_note_parts"), i) for i, p in enumerate(("day", "month", "year"))}
+    return (
+        frame.withColumn("_note_parts", note_parts(note))
+        .withColumns(numbers)
+        .withColumn("_named", named_day(day, month, year, snapshot_date))
+        .withColumn("_settled", settled_day(F.col("_named"), day, month, year, snapshot_date))
+        .withColumn(name, day_in_range(F.col("_settled")))
+        .drop("_note_parts", *numbers, "_named", "_settled")
+    )
 
 
 def age_in_days(snapshot_date: Column, event_date: Column) -> Column:

@@ -36,12 +36,13 @@ def sheets_of_workbooks(present: DataFrame, workbook: str = "source_file") -> Da
 
     Distinct first: a workbook has few sheets however many rows it holds.
     """
-    return (
-        present.select(workbook, "source_sheet")
-        .distinct()
-        .groupBy(workbook)
-        .agg(F.array_sort(F.collect_list("source_sheet")).alias("sheets"))
-        .withColumn("sheet_keys", F.transform("sheets", canonical_label))
+    named = present.select(workbook, F.col("source_sheet").alias("name")).distinct()
+    keyed = named.withColumn("key", canonical_label(F.col("name")))
+    listed = keyed.groupBy(workbook).agg(
+        F.array_sort(F.collect_list(F.struct("key", "name"))).alias("listed")
+    )
+    return listed.select(
+        workbook, F.col("listed.name").alias("sheets"), F.col("listed.key").alias("sheet_keys")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.contract import NOTE_CELL_DATE, STATE_ORDER, Contract
-from tidemark.functions.values import age_in_days, note_date, note_date_text, record_hash
+from tidemark.functions.values import age_in_days, record_hash, with_follow_up_date
 
 
 def newest_first(order: Sequence[str]) -> list[Column]:
@@ -48,18 +48,13 @@ def add_follow_up(history: DataFrame, contract: Contract) -> DataFrame:
 
     A note cell that holds a date rather than text is that date.
     """
-    snapshot = F.col("snapshot_date")
-    written = note_date_text(F.col(contract.follow_up_notes_column).cast("string"))
-    found = note_date(F.col("_note_written"), snapshot)
+    snapshot, found = F.col("snapshot_date"), F.col("follow_up_date")
+    note = F.col(contract.follow_up_notes_column).cast("string")
+    dated = with_follow_up_date(history, note, snapshot, "follow_up_date")
     if NOTE_CELL_DATE in history.columns:
-        cell_date = F.col(NOTE_CELL_DATE)
-        found = F.when(cell_date.isNotNull() & snapshot.isNotNull(), cell_date).otherwise(found)
-    return (
-        history.withColumn("_note_written", written)
-        .withColumn("follow_up_date", found)
-        .withColumn("follow_up_age_days", age_in_days(snapshot, F.col("follow_up_date")))
-        .drop("_note_written", NOTE_CELL_DATE)
-    )
+        cell_date = F.when(snapshot.isNotNull(), F.col(NOTE_CELL_DATE))
+        dated = dated.withColumn("follow_up_date", F.coalesce(cell_date, found))
+    return dated.withColumn("follow_up_age_days", age_in_days(snapshot, found)).drop(NOTE_CELL_DATE)
 
 
 def add_record_hash(

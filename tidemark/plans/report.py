@@ -45,12 +45,13 @@ def quality_report(
         _severity_sum(WARNING).alias("warnings"),
         F.array_sort(F.collect_list(entry)).alias("issue_totals"),
     )
-    counted = totals.withColumns({n: metrics.select(n).scalar() for n in metrics.columns})
+    counted = totals.withColumn("counters", metrics.select(F.struct(*metrics.columns)).scalar())
+    counters = [F.col(f"counters.{name}") for name in metrics.columns]
     return counted.select(
         F.when(F.col("errors") == 0, "passed").otherwise("failed").alias("status"),
         F.lit(started).alias("started_at"),
         F.lit(finished).alias("finished_at"),
         F.lit(round((finished - started).total_seconds(), 3)).alias("duration_seconds"),
-        F.struct(*metrics.columns, "errors", "warnings").alias("metrics"),
+        F.struct(*counters, "errors", "warnings").alias("metrics"),
         "issue_totals",
     )
