@@ -17,7 +17,8 @@ import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
-from itertools import islice
+from itertools import accumulate, islice
+from typing import NamedTuple
 from xml.etree import ElementTree
 from xml.parsers import expat
 
@@ -31,24 +32,38 @@ from tidemark.sources.discovery import scan_files, snapshot_files
 
 RECORD_SCHEMA = (
     "record STRING, path STRING, sheet STRING, sheet_key STRING, row_number INT, "
-    "names ARRAY<STRING>, name_keys ARRAY<STRING>, raw_rows INT, "
-    "cells MAP<STRING, STRUCT<kind: STRING, text: STRING>>, error STRING"
+    "names ARRAY<STRING>, name_keys ARRAY<STRING>, raw_rows INT, error STRING, "
+    "cells MAP<STRING, STRUCT<kind: STRING, text: STRING>>"
 )
-_CELL = pa.struct([("kind", pa.string()), ("text", pa.string())])
-_ARROW_SCHEMA = pa.schema(
-    [
-        ("record", pa.string()),
-        ("path", pa.string()),
-        ("sheet", pa.string()),
-        ("sheet_key", pa.string()),
-        ("row_number", pa.int32()),
-        ("names", pa.list_(pa.string())),
-        ("name_keys", pa.list_(pa.string())),
-        ("raw_rows", pa.int32()),
-        ("cells", pa.map_(pa.string(), _CELL)),
-        ("error", pa.string()),
-    ]
+_PLAIN_FIELDS = (
+    pa.field("record", pa.string()),
+    pa.field("path", pa.string()),
+    pa.field("sheet", pa.string()),
+    pa.field("sheet_key", pa.string()),
+    pa.field("row_number", pa.int32()),
+    pa.field("names", pa.list_(pa.string())),
+    pa.field("name_keys", pa.list_(pa.string())),
+    pa.field("raw_rows", pa.int32()),
+    pa.field("error", pa.string()),
 )
+_CELL = pa.struct([("kind", pa.string()), ("text", pa.string())])
+_ARROW_SCHEMA = pa.schema([*_PLAIN_FIELDS, pa.field("cells", pa.map_(pa.string(), _CELL))])
+
+
+class _Record(NamedTuple):
+    """The plain fields of a record; its cells travel beside it."""
+
+    record: str
+    path: str
+    sheet: str | None = None
+    sheet_key: str | None = None
+    row_number: int | None = None
+    names: list[str] | None = None
+    name_keys: list[str] | None = None
+    raw_rows: int | None = None
+    error: str | None = None
+
+
 _RECORDS_PER_BATCH = 4096
 _CHUNK_BYTES = 1 << 18
 
@@ -249,10 +264,9 @@ def _headers(cells: Cells) -> dict[int, str]:
     return headers
 
 
-def _sheet_records(book: _Book, path: str, sheet: str, key: str) -> Iterator[dict]:
-    common = {"path": path, "sheet": sheet, "sheet_key": key}
-    keys: dict[int, str] = {}
-    names: list[str] = []
+def _sheet_records(book: _Book, path: str, sheet: str, key: str) -> Iterator[tuple]:
+    headers: dict[int, str] = {}
+    columns: dict[int, str] = {}  # of colliding headers only the first holds cells
     last = 1
     with book.open_sheet(sheet) as stream:
         for number, cells in _sheet_rows(book, stream):
@@ -260,26 +274,20 @@ def _sheet_records(book: _Book, path: str, sheet: str, key: str) -> Iterator[dic
                 last = number
             if number == 1:
                 headers = _headers(cells)
-                names = list(headers.values())
-                keys = {index: canonical_name(name).lower() for index, name in headers.items()}
+                for index, name in headers.items():
+                    column = canonical_name(name).lower()
+                    if column not in columns.values():
+                        columns[index] = column
                 continue
-            named = {
-                keys[i]: {"kind": kind, "text": text}
-                for i, (kind, text) in cells.items()
-                if i in keys and text is not None
-            }
+            named = {columns[i]: v for i, v in cells.items() if i in columns and v[1] is not None}
             if named:
-                yield {"record": "row", "row_number": number, "cells": list(named.items()), **common}
-    yield {
-        "record": "sheet",
-        "names": names,
-        "name_keys": list(keys.values()),
-        "raw_rows": last - 1,
-        **common,
-    }
+                yield _Record("row", path, sheet, key, row_number=number), named
+    names = list(headers.values())
+    name_keys = [canonical_name(name).lower() for name in names]
+    yield _Record("sheet", path, sheet, key, None, names, name_keys, last - 1), {}
 
 
-def _workbook_records(path: str, content: bytes, wanted: Sequence[str]) -> Iterator[dict]:
+def _workbook_records(path: str, content: bytes, wanted: Sequence[str]) -> Iterator[tuple]:
     names: list[str] = []
     try:
         book = _Book(content)
@@ -290,13 +298,23 @@ def _workbook_records(path: str, content: bytes, wanted: Sequence[str]) -> Itera
         error = None
     except Exception as failure:  # an unreadable file is a finding, not a crash
         error = f"{type(failure).__name__}: {failure}"
-    yield {
-        "record": "workbook",
-        "path": path,
-        "names": names,
-        "name_keys": [canonical_name(name) for name in names],
-        "error": error,
-    }
+    name_keys = [canonical_name(name) for name in names]
+    yield _Record("workbook", path, names=names, name_keys=name_keys, error=error), {}
+
+
+def _to_arrow(block: list[tuple[_Record, dict[str, tuple[str, str]]]]) -> pa.RecordBatch:
+    """Records and their cells as one batch, built column by column."""
+    plain = zip(*[record for record, _ in block], strict=True)
+    cells = [named for _, named in block]
+    offsets = list(accumulate((len(named) for named in cells), initial=0))
+    values = [value for named in cells for value in named.values()]
+    kinds, texts = pa.array([v[0] for v in values], pa.string()), pa.array([v[1] for v in values], pa.string())
+    keys = pa.array([key for named in cells for key in named], pa.string())
+    cell_map = pa.MapArray.from_arrays(
+        pa.array(offsets, pa.int32()), keys, pa.StructArray.from_arrays([kinds, texts], ["kind", "text"])
+    )
+    columns = [pa.array(v, f.type) for v, f in zip(plain, _PLAIN_FIELDS, strict=True)]
+    return pa.RecordBatch.from_arrays([*columns, cell_map], schema=_ARROW_SCHEMA)
 
 
 def parse_workbooks(files: DataFrame, contract: Contract) -> DataFrame:
@@ -310,7 +328,7 @@ def parse_workbooks(files: DataFrame, contract: Contract) -> DataFrame:
                     batch["path"][index].as_py(), batch["content"][index].as_py(), wanted
                 )
                 while block := list(islice(records, _RECORDS_PER_BATCH)):
-                    yield pa.RecordBatch.from_pylist(block, schema=_ARROW_SCHEMA)
+                    yield _to_arrow(block)
 
     return files.select("path", "content").mapInArrow(read, RECORD_SCHEMA)
 
