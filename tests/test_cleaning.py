@@ -35,6 +35,20 @@ def test_clean_removes_blank_rows_missing_ids_and_copies(spark, contract):
     }
 
 
+def test_counting_by_digest_equals_counting_by_content(spark, contract):
+    rows = rows_of(
+        spark,
+        (2, "1", "ab", "c", None), (3, "1", "ab", "c", None), (4, "1", "a", "bc", None),
+        (5, None, "x", None, None), (6, None, "x", None, None), (7, None, None, None, None),
+        (8, "2", None, "1", None), (9, "2", "-", None, None), (10, "2", None, "1.0", None),
+    )
+    exact = cleaning.clean_metrics(cleaning.collapse_sheets(rows, contract), contract)
+    marked = cleaning.marked_values(rows, contract)
+    narrow = cleaning.collapse_digests(marked, contract, cleaning.SHEET_SCOPE)
+    assert cleaning.clean_metrics(narrow, contract).collect() == exact.collect()
+    assert exact.first()["exact_duplicates"] == 2
+
+
 def test_copies_are_found_within_one_worksheet_only(spark, contract):
     first = rows_of(spark, (2, "1", "a", None, None), (9, "1", "a", None, None))
     second = first.withColumn("source_sheet", F.lit("t"))

@@ -28,7 +28,7 @@ def write(folder: Path, name: str, sheets: dict) -> None:
 def issues_of(spark, folder, contract):
     """Issues of a run, whether or not they block it."""
     ingested = job.ingest(spark, str(folder), contract, Stage(spark))
-    resolved = job.resolve_history(ingested.collapsed, contract)
+    resolved = job.resolve_history(ingested.rows, contract)
     counters = job.run_counters(ingested, resolved, contract)
     issues = job.run_issues(spark, ingested, resolved, counters, contract).collect()
     found = [(r["code"], r["severity"], r["count"], r["source_file"], r["source_sheet"]) for r in issues]

@@ -251,10 +251,11 @@ def severity_totals(spark, sf_dir):
 
 @registered
 def run_metrics(spark, sf_dir):
-    """The counters of a run over the dirty rows; the cleaned rows are computed once."""
-    stage = Stage(spark)
-    collapsed = stage.write(_collapsed(spark, sf_dir), "collapsed")
-    per_sheet = cleaning.clean_metrics(collapsed, DIRTY_CONTRACT)
+    """The counters of a run over the dirty rows; the typed rows are computed once."""
+    typed = cleaning.marked_values(samples.dirty(spark, sf_dir), DIRTY_CONTRACT)
+    rows = Stage(spark).write(typed, "rows")
+    copies = cleaning.collapse_digests(rows, DIRTY_CONTRACT, cleaning.SHEET_SCOPE)
+    per_sheet = cleaning.clean_metrics(copies, DIRTY_CONTRACT)
     cleaned = per_sheet.agg(
         F.count_distinct("source_file").alias("files_discovered"),
         F.count_distinct("source_file").alias("files_processed"),
@@ -264,7 +265,7 @@ def run_metrics(spark, sf_dir):
         F.sum("rows_without_id").alias("rows_without_id_removed"),
         F.sum("exact_duplicates").alias("exact_duplicates_removed"),
     )
-    daily = history.daily_state(cleaning.clean_rows(collapsed, DIRTY_CONTRACT), DIRTY_CONTRACT)
+    daily = history.daily_state(cleaning.clean_rows(rows, DIRTY_CONTRACT), DIRTY_CONTRACT)
     kept = daily.agg(F.count(F.lit(1)).alias("records_in_history"))
     removed = F.col("records_after_cleaning") - F.col("records_in_history")
     counted = cleaned.withColumn("records_in_history", kept.scalar())
@@ -404,7 +405,7 @@ def history_from_workbooks(spark, sf_dir):
         workbooks.parse_workbooks(contents, WORKBOOK_CONTRACT), "records", ("record",)
     )
     ingested = job.ingest_records(files, numbered, records, WORKBOOK_CONTRACT, stage)
-    return job.resolve_history(ingested.collapsed, WORKBOOK_CONTRACT)
+    return job.resolve_history(ingested.rows, WORKBOOK_CONTRACT)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,19 +82,45 @@ def clean(rows: DataFrame, contract: Contract) -> DataFrame:
     return drop_exact_duplicates(kept)
 
 
+def marked_values(rows: DataFrame, contract: Contract) -> DataFrame:
+    """Typed rows, those without any raw value marked instead of dropped."""
+    blank = is_blank_row(contract.business_columns(rows.columns))
+    return clean_values(rows.withColumn(BLANK_ROW, blank), contract)
+
+
 def collapse_sheets(rows: DataFrame, contract: Contract) -> DataFrame:
     """Cleaned rows collapsed to distinct content, blank and id-less rows still marked.
 
     The clean rows and the cleaning counters both follow from this one frame
-    (:func:`clean_rows`, :func:`clean_metrics`), so a job shuffles the rows once.
+    (:func:`clean_rows`, :func:`clean_metrics`).
     """
-    blank = is_blank_row(contract.business_columns(rows.columns))
-    marked = rows.withColumn(BLANK_ROW, blank)
-    return collapse_copies(clean_values(marked, contract))
+    return collapse_copies(marked_values(rows, contract))
+
+
+def content_digest(columns: Sequence[str]) -> Column:
+    """128-bit digest of the named columns; lengths keep neighbouring texts apart."""
+    parts = []
+    for name in columns:
+        text = F.col(name).cast("string")
+        parts += [F.coalesce(F.length(text).cast("string"), F.lit("-")), F.coalesce(text, F.lit(""))]
+    return F.md5(F.concat_ws(":", *parts))
+
+
+def collapse_digests(marked: DataFrame, contract: Contract, scope: Sequence[str]) -> DataFrame:
+    """:func:`collapse_sheets` for counting only: content is grouped by its digest.
+
+    Only the worksheet, the id and the digest are shuffled, not the rows.
+    """
+    business = contract.business_columns(marked.columns)
+    narrow = marked.select(
+        *scope, contract.id_column, BLANK_ROW, content_digest(business).alias("_digest")
+    )
+    return narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
 
-def clean_rows(collapsed: DataFrame, contract: Contract) -> DataFrame:
-    kept = collapsed.filter(~F.col(BLANK_ROW))
+def clean_rows(marked: DataFrame, contract: Contract) -> DataFrame:
+    """The rows that hold a value and an id, without their marks."""
+    kept = marked.filter(~F.col(BLANK_ROW))
     return drop_null_ids(kept, contract).drop(BLANK_ROW, COPIES)
 
 

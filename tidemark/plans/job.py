@@ -6,8 +6,11 @@ every counter comes from settled data:
 1. ``files``      listing, dates, order
 2. ``records``    one distributed scan of the workbook contents
 3. ``sheets``     contract status of every worksheet
-4. ``collapsed``  cleaned rows with exact copies combined (first shuffle of the rows)
-5. ``history``    daily state, derived columns (second shuffle), laid out by date
+4. ``rows``       typed rows with their lineage; a narrow step, no shuffle
+5. ``history``    daily state (the one shuffle that resolves rows), laid out by date
+
+Exact copies need no step of their own in the job: the daily state keeps the last of
+them anyway. They are counted by content digest, which shuffles a few bytes per row.
 """
 
 from __future__ import annotations
@@ -57,7 +60,7 @@ class Ingested:
     files: DataFrame
     records: DataFrame
     sheets: DataFrame
-    collapsed: DataFrame
+    rows: DataFrame
 
 
 def ingest(spark: SparkSession, folder: str, contract: Contract, stage: Stage) -> Ingested:
@@ -90,8 +93,8 @@ def ingest_records(
         ROW_NUMBER,
         NOTE_CELL_DATE,
     )
-    collapsed = stage.write(cleaning.collapse_sheets(ordered, contract), "collapsed")
-    return Ingested(files, records, sheets, collapsed)
+    typed = stage.write(cleaning.marked_values(ordered, contract), "rows")
+    return Ingested(files, records, sheets, typed)
 
 
 def undelivered(columns: list[str], contract: Contract) -> list[str]:
@@ -226,7 +229,8 @@ def source_issues(ingested: Ingested, contract: Contract) -> list[DataFrame]:
 
 def run_counters(ingested: Ingested, resolved: DataFrame, contract: Contract) -> dict[str, int]:
     """The counters of a run; each is an aggregate over a written table."""
-    cleaned = cleaning.clean_metrics(ingested.collapsed, contract, scope=()).first()
+    copies = cleaning.collapse_digests(ingested.rows, contract, ("snapshot_order", "sheet_order"))
+    cleaned = cleaning.clean_metrics(copies, contract, scope=()).first()
     sheets = ingested.sheets.agg(F.count_if("passes").alias("passing")).first()
     read = workbooks.sheet_list(ingested.records).agg(F.sum("raw_rows").alias("rows")).first()
     after_cleaning, in_history = cleaned["clean_rows"] or 0, resolved.count()
@@ -261,9 +265,9 @@ def run_issues(
     return quality.union_issues(parts)
 
 
-def resolve_history(collapsed: DataFrame, contract: Contract) -> DataFrame:
+def resolve_history(rows: DataFrame, contract: Contract) -> DataFrame:
     """Clean rows, one per process and date, with derived columns."""
-    daily = history.daily_state(cleaning.clean_rows(collapsed, contract), contract)
+    daily = history.daily_state(cleaning.clean_rows(rows, contract), contract)
     return history.add_derived(daily, contract)
 
 
@@ -286,7 +290,7 @@ def run_job(
     ingested = ingest(spark, folder, contract, stage)
 
     target = tables.run_folder(output, stage.run_id) if output else stage.root
-    resolved = resolve_history(ingested.collapsed, contract)
+    resolved = resolve_history(ingested.rows, contract)
     settled = tables.write_history(resolved, target, contract)
     counters = run_counters(ingested, settled, contract)
     issues = tables.write_table(
