@@ -46,6 +46,19 @@ def counted(names, rows) -> tuple[list[str], Counter]:
     )
 
 
+# Spark type -> DuckDB type; both sides must agree, not only in value.
+_TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE", "double": "DOUBLE",
+}
+
+
+def type_difference(frame, connection, sql: str) -> dict[str, tuple[str, str]]:
+    """Columns whose types differ."""
+    theirs = {r[0].lower(): r[1] for r in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    ours = {name.lower(): _TYPES.get(kind, kind) for name, kind in frame.dtypes}
+    return {c: (ours[c], theirs.get(c)) for c in ours if ours[c] != theirs.get(c)}
+
+
 def difference(frame, connection, sql: str) -> str | None:
     """What differs, or ``None``."""
     names, ours = counted(frame.columns, frame.collect())

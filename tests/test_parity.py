@@ -22,7 +22,9 @@ def test_every_query_has_its_sql():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_and_sql_agree(spark, connection, name):
-    assert parity.difference(entry.queries()[name](spark, SF), connection, entry.oracle_sql()[name]) is None
+    frame, sql = entry.queries()[name](spark, SF), entry.oracle_sql()[name]
+    assert parity.difference(frame, connection, sql) is None
+    assert parity.type_difference(frame, connection, sql) == {}
 
 
 def test_flagship(spark):

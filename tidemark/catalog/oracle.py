@@ -57,7 +57,7 @@ followed AS (
   SELECT * EXCLUDE (dd, mm, yy, yr, this_year, last_year, chosen),
          CASE WHEN chosen BETWEEN DATE '1677-09-22' AND DATE '2262-04-11' THEN chosen END
            AS follow_up_date,
-         date_diff('day', follow_up_date, snapshot_date) AS follow_up_age_days
+         CAST(date_diff('day', follow_up_date, snapshot_date) AS INTEGER) AS follow_up_age_days
   FROM (SELECT *, CASE WHEN yy = '' AND this_year > snapshot_date + 31 THEN last_year
                        ELSE this_year END AS chosen FROM named))"""
 
@@ -71,7 +71,8 @@ DERIVED = follow_up("daily") + f""",
 derived AS (SELECT *, {HASH} AS record_hash FROM followed)"""
 
 CURRENT = f"""ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY {_NEWEST}) AS position_rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY line_id ORDER BY {_NEWEST}) AS INTEGER)
+    AS position_rank
   FROM derived),
 placed AS (SELECT * FROM ranked WHERE position_rank = 1)"""
 
@@ -160,8 +161,8 @@ run_metrics AS (
          (SELECT count(*) FROM dirty) AS records_read,
          (SELECT count(*) FROM clean) AS records_after_cleaning,
          (SELECT count(*) FROM kept) AS records_in_history,
-         (SELECT sum(rows_without_id) FROM clean_metrics) AS rows_without_id_removed,
-         (SELECT sum(exact_duplicates) FROM clean_metrics) AS exact_duplicates_removed,
+         (SELECT CAST(sum(rows_without_id) AS BIGINT) FROM clean_metrics) AS rows_without_id_removed,
+         (SELECT CAST(sum(exact_duplicates) AS BIGINT) FROM clean_metrics) AS exact_duplicates_removed,
          (SELECT count(*) FROM clean) - (SELECT count(*) FROM kept) AS daily_duplicates_removed)"""
 
 
@@ -184,7 +185,7 @@ def issues(source: str) -> str:
         f"{source} GROUP BY snapshot_date, line_id HAVING count(*) > 1)"
     )
     union = "\n  UNION ALL ".join(parts)
-    return f"found AS (\n  {union}),\nissues AS (SELECT code, severity, message, n AS count FROM found WHERE n > 0)"
+    return f"found AS (\n  {union}),\nissues AS (SELECT code, severity, message, CAST(n AS BIGINT) AS count FROM found WHERE n > 0)"
 
 
 def canonical(label: str) -> str:
@@ -269,11 +270,11 @@ fills AS (
 WORKBOOKS = """book_rows AS (
   SELECT '/drop/operations_' || CAST(ts AS DATE) || '_part' || (event_id // 20000) || '.xlsx' AS path,
          CAST(ts AS DATE) AS day, event_id, event_type,
-         row_number() OVER (PARTITION BY CAST(ts AS DATE), event_id // 20000, event_type
-                            ORDER BY event_id) + 1 AS source_row_number,
+         CAST(row_number() OVER (PARTITION BY CAST(ts AS DATE), event_id // 20000, event_type
+                                 ORDER BY event_id) + 1 AS INTEGER) AS source_row_number,
          'LINE-' || user_id AS line_id, CAST(event_id % 97 AS VARCHAR) AS request_id,
          CASE WHEN event_id % 13 <> 0 THEN event_type END AS stage,
-         CAST(floor(value / 10) - 10 AS INTEGER) AS sla,
+         CAST(floor(value / 10) - 10 AS BIGINT) AS sla,
          CASE WHEN event_id % 31 = 0 THEN CAST(ts AS DATE) - 3 END AS note_cell_date,
          strftime(ts, '%d/%m') || ' - reviewed' AS note
   FROM events)"""
@@ -433,12 +434,12 @@ QUALIFY record_hash <> lag(record_hash) OVER (
     "rule_issues": _with(MAPPED, DAILY, DERIVED, issues("derived"), select="SELECT * FROM issues"),
     "rule_duplicate_daily": _with(
         MAPPED,
-        select="""SELECT coalesce(sum(n), 0) AS duplicate_rows FROM (
+        select="""SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows FROM (
   SELECT count(*) AS n FROM mapped GROUP BY snapshot_date, line_id) WHERE n > 1""",
     ),
     "severity_totals": _with(
         *_RAW_ISSUES,
-        select="SELECT severity, sum(count) AS issue_count FROM issues GROUP BY severity",
+        select="SELECT severity, CAST(sum(count) AS BIGINT) AS issue_count FROM issues GROUP BY severity",
     ),
     "run_metrics": _with(*_CLEANED, RUN_METRICS, select="SELECT * FROM run_metrics"),
     "quality_report": _with(
@@ -447,8 +448,8 @@ QUALIFY record_hash <> lag(record_hash) OVER (
         *_RAW_ISSUES,
         select="""SELECT CASE WHEN (SELECT count(*) FROM issues WHERE severity = 'error') = 0
          THEN 'passed' ELSE 'failed' END AS status, run_metrics.*,
-       (SELECT coalesce(sum(count), 0) FROM issues WHERE severity = 'error') AS errors,
-       (SELECT coalesce(sum(count), 0) FROM issues WHERE severity = 'warning') AS warnings,
+       (SELECT CAST(coalesce(sum(count), 0) AS BIGINT) FROM issues WHERE severity = 'error') AS errors,
+       (SELECT CAST(coalesce(sum(count), 0) AS BIGINT) FROM issues WHERE severity = 'warning') AS warnings,
        (SELECT string_agg(code || ':' || severity || ':' || count, ' ' ORDER BY code) FROM issues)
          AS issue_totals
 FROM run_metrics""",
@@ -489,7 +490,7 @@ WHERE NOT EXISTS (SELECT 1 FROM keyed k
     ),
     "unexpected_sheets": _with(
         BOOKS,
-        select="""SELECT source_file, count(*) AS sheet_count,
+        select="""SELECT source_file, CAST(count(*) AS INTEGER) AS sheet_count,
        string_agg(sheet, '|' ORDER BY sheet_key, sheet) AS worksheets
 FROM keyed WHERE sheet_key NOT IN (SELECT upper(source_sheet) FROM expected) GROUP BY source_file""",
     ),
@@ -535,7 +536,8 @@ FROM fills WHERE missing_columns <> ''""",
         follow_up("book_daily"),
         select="""SELECT * EXCLUDE (note_cell_date)
   REPLACE (coalesce(note_cell_date, follow_up_date) AS follow_up_date,
-           date_diff('day', coalesce(note_cell_date, follow_up_date), snapshot_date) AS follow_up_age_days),
+           CAST(date_diff('day', coalesce(note_cell_date, follow_up_date), snapshot_date) AS INTEGER)
+             AS follow_up_age_days),
   substr(md5(concat_ws(chr(31), coalesce(current_stage, '<NA>'), coalesce(follow_up_notes, '<NA>'),
     line_id, request_id, CAST(sla_days_remaining AS VARCHAR), sla_status,
     CAST(start_date AS VARCHAR))), 1, 16) AS record_hash

@@ -13,20 +13,18 @@ from tidemark.errors import TidemarkError
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and staged tables.
 
-    Taken from ``spark.checkpoint.dir``. Only a local session without that setting
-    gets a temporary folder of its own; a cluster without it is an error, because a
-    folder on one machine is lost with that machine.
+    Taken from ``spark.checkpoint.dir``, else from the context. Only a local session
+    without either gets a temporary folder of its own; a cluster without them is an
+    error, because a folder on one machine is lost with that machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise TidemarkError("Set spark.checkpoint.dir to a folder that all executors share.")
-    folder = context.getCheckpointDir()
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        context.setCheckpointDir(folder)
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    context.setCheckpointDir(folder)
     return folder
 
 
