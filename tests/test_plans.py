@@ -67,3 +67,25 @@ def test_a_hot_process_reaches_its_task_as_few_rows(spark):
     daily = history.daily_state(rows, CONTRACT)
     assert daily.count() == 20_001
     assert daily.filter("line_id = 'hot'").first()["source_row_number"] == 29_997
+
+
+def test_the_job_shuffles_its_rows_only_to_resolve_them(spark, sample_dir, monkeypatch):
+    from tidemark.plans import job
+    from tidemark.staging import Stage
+
+    plans, write = {}, Stage.write
+
+    def recorded(stage, frame, name, partition_by=()):
+        plans[name] = plan_of(frame)
+        return write(stage, frame, name, partition_by)
+
+    monkeypatch.setattr(Stage, "write", recorded)
+    ingested = job.ingest(spark, str(sample_dir), CONTRACT.__class__(), Stage(spark))
+    for name in ("records", "rows"):
+        assert "Exchange hashpartitioning" not in plans[name]
+        assert "SortMergeJoin" not in plans[name]
+    resolved = plan_of(job.resolve_history(ingested.rows, CONTRACT.__class__()))
+    assert resolved.count("Exchange hashpartitioning") == 1
+    assert "PushedFilters: [EqualTo(_blank_row,false), IsNotNull(line_id)]" in resolved
+    for name in ("sheets", "rows"):
+        assert "Python" not in plans[name] and "MapInArrow" not in plans[name]

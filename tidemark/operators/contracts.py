@@ -149,9 +149,8 @@ def stamp_lineage(rows: DataFrame, files: DataFrame, contract: Contract) -> Data
     """Snapshot date and order, file, contract sheet label and position on every row.
 
     Rows name their workbook and worksheet in ``ROW_PATH`` and ``ROW_SHEET``; rows of
-    unexpected sheets drop out. The files table is joined without a hint: Spark
-    broadcasts it while it is small and otherwise sorts and merges, splitting a file
-    that holds too many rows.
+    unexpected sheets drop out. How the files table is joined is left to Spark, or to
+    a caller who knows its size.
     """
     label, position = sheet_lineage(contract, F.col(ROW_SHEET))
     stamped = rows.withColumn("source_sheet", label).withColumn("sheet_order", position)

@@ -37,6 +37,7 @@ from tidemark.sources import discovery, workbooks
 from tidemark.staging import Stage
 
 ROW_SCOPE = (ROW_PATH, ROW_SHEET)
+BROADCAST_FILES = 500_000  # about 100 MB of paths, names, dates and numbers
 
 
 @dataclass
@@ -78,14 +79,15 @@ def ingest_records(
     files: DataFrame, numbered: DataFrame, records: DataFrame, contract: Contract, stage: Stage
 ) -> Ingested:
     """Check and clean scanned records."""
-    readable = records.join(workbooks.read_failures(records), "path", "left_anti")
+    failures = stage.write(workbooks.read_failures(records), "failures")
+    readable = without(records, failures.select("path"))
     columns = header_columns(readable, numbered, contract)
     rows = workbooks.sheet_rows(readable, columns, contract)
     sheets = stage.write(sheet_status(readable, rows, columns, contract), "sheets")
 
     kept = filled_columns(sheets, columns)
-    passing = rows.join(row_scope(sheets.filter(~F.col("passes"))), list(ROW_SCOPE), "left_anti")
-    stamped = contracts.stamp_lineage(passing, numbered, contract)
+    failing = stage.write(row_scope(sheets.filter(~F.col("passes"))), "failing")
+    stamped = contracts.stamp_lineage(without(rows, failing), within_reach(numbered), contract)
     ordered = stamped.select(
         *LINEAGE_COLUMNS,
         *kept,
@@ -97,6 +99,23 @@ def ingest_records(
     return Ingested(files, records, sheets, typed)
 
 
+def without(rows: DataFrame, excluded: DataFrame) -> DataFrame:
+    """Rows whose keys are not in ``excluded``, a written table and usually empty.
+
+    Without entries there is no join. Otherwise the size of the written table decides
+    whether Spark broadcasts it, so the rows are not shuffled for a few exceptions.
+    """
+    return rows if excluded.isEmpty() else rows.join(excluded, excluded.columns, "left_anti")
+
+
+def within_reach(files: DataFrame) -> DataFrame:
+    """The files table, marked for broadcast while it has at most ``BROADCAST_FILES`` rows.
+
+    Beyond that, Spark joins by sorting and splits a file that holds too many rows.
+    """
+    return F.broadcast(files) if files.count() <= BROADCAST_FILES else files
+
+
 def undelivered(columns: list[str], contract: Contract) -> list[str]:
     """Columns the history cannot do without, where no worksheet delivered them."""
     needed = (contract.id_column, contract.follow_up_notes_column)
