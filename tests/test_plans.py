@@ -86,6 +86,7 @@ def test_the_job_shuffles_its_rows_only_to_resolve_them(spark, sample_dir, monke
         assert "SortMergeJoin" not in plans[name]
     resolved = plan_of(job.resolve_history(ingested.rows, CONTRACT.__class__()))
     assert resolved.count("Exchange hashpartitioning") == 1
-    assert "PushedFilters: [EqualTo(_blank_row,false), IsNotNull(line_id)]" in resolved
+    pushed = resolved.split("PushedFilters: ")[1].split("]")[0]
+    assert "_blank_row" in pushed and "IsNotNull(line_id)" in pushed
     for name in ("sheets", "rows"):
         assert "Python" not in plans[name] and "MapInArrow" not in plans[name]

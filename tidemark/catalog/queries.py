@@ -92,8 +92,8 @@ def date_coerce(spark, sf_dir):
 
 @registered
 def drop_null_ids(spark, sf_dir):
-    cleaned = cleaning.clean_values(samples.dirty(spark, sf_dir), DIRTY_CONTRACT)
-    return cleaning.drop_null_ids(cleaned, DIRTY_CONTRACT)
+    kept = cleaning.drop_null_ids(samples.dirty(spark, sf_dir), DIRTY_CONTRACT)
+    return cleaning.clean_values(kept, DIRTY_CONTRACT)
 
 
 @registered

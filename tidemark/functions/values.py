@@ -167,7 +167,7 @@ def with_follow_up_date(frame: DataFrame, note: Column, snapshot_date: Column, n
         .withColumns(numbers)
         .withColumn("_named", named_day(day, month, year, snapshot_date))
         .withColumn("_settled", settled_day(F.col("_named"), day, month, year, snapshot_date))
-        .withColumn(name, day_in_range(F.col("_settled")))
+        .withColumn(name, F.when(snapshot_date.isNotNull(), day_in_range(F.col("_settled"))))
         .drop("_note_parts", *numbers, "_named", "_settled")
     )
 

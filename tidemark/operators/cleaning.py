@@ -55,7 +55,11 @@ def clean_values(rows: DataFrame, contract: Contract) -> DataFrame:
 
 
 def drop_null_ids(rows: DataFrame, contract: Contract) -> DataFrame:
-    return rows.filter(F.col(contract.id_column).isNotNull())
+    """Rows whose id holds more than white space.
+
+    Decided on the id as it is, so the filter may come before the values are typed.
+    """
+    return rows.filter(trim_text(F.col(contract.id_column)) != "")
 
 
 def collapse_copies(rows: DataFrame) -> DataFrame:
@@ -78,8 +82,8 @@ def drop_exact_duplicates(rows: DataFrame) -> DataFrame:
 
 def clean(rows: DataFrame, contract: Contract) -> DataFrame:
     """All cleaning steps, for every worksheet in one plan."""
-    kept = drop_null_ids(clean_values(drop_blank_rows(rows, contract), contract), contract)
-    return drop_exact_duplicates(kept)
+    kept = drop_null_ids(drop_blank_rows(rows, contract), contract)
+    return drop_exact_duplicates(clean_values(kept, contract))
 
 
 def marked_values(rows: DataFrame, contract: Contract) -> DataFrame:
@@ -120,8 +124,8 @@ def collapse_digests(marked: DataFrame, contract: Contract, scope: Sequence[str]
 
 def clean_rows(marked: DataFrame, contract: Contract) -> DataFrame:
     """The rows that hold a value and an id, without their marks."""
-    kept = marked.filter(~F.col(BLANK_ROW))
-    return drop_null_ids(kept, contract).drop(BLANK_ROW, COPIES)
+    kept = marked.filter(~F.col(BLANK_ROW) & F.col(contract.id_column).isNotNull())
+    return kept.drop(BLANK_ROW, COPIES)
 
 
 def clean_metrics(
