@@ -34,7 +34,7 @@ from tidemark.operators import cleaning, contracts, history, quality
 from tidemark.plans.report import METRICS, quality_report
 from tidemark.sinks import database, tables
 from tidemark.sources import discovery, workbooks
-from tidemark.staging import Stage
+from tidemark.staging import Stage, job_settings
 
 ROW_SCOPE = (ROW_PATH, ROW_SHEET)
 BROADCAST_FILES = 500_000  # about 100 MB of paths, names, dates and numbers
@@ -301,39 +301,52 @@ def run_job(
     """Build, check and publish the tables of all workbooks below ``folder``.
 
     Raises :class:`~tidemark.errors.QualityGateError` when a blocking issue was found;
-    nothing is published then. The source files are only read.
+    nothing is published then. The source files are only read. Without ``output`` the
+    tables stay in the stage folder of the run.
     """
     contract = contract or Contract()
+    with job_settings(spark):
+        result, target = build_tables(spark, folder, contract, output)
+        if output:
+            publish_tables(result, target, output, csv)
+        if database_url:
+            database.write_database(result.history, database_url, contract)
+    return result
+
+
+def build_tables(
+    spark: SparkSession, folder: str, contract: Contract, output: str | None
+) -> tuple[JobResult, str]:
+    """All tables of a run, written to its own folder and past the quality gate."""
     started = datetime.now(UTC)
     stage = Stage(spark)
     ingested = ingest(spark, folder, contract, stage)
-
     target = tables.run_folder(output, stage.run_id) if output else stage.root
-    resolved = resolve_history(ingested.rows, contract)
-    settled = tables.write_history(resolved, target, contract)
-    counters = run_counters(ingested, settled, contract)
-    issues = tables.write_table(
-        run_issues(spark, ingested, settled, counters, contract), target, tables.ISSUES
-    )
+    resolved = tables.write_history(resolve_history(ingested.rows, contract), target, contract)
+    counters = run_counters(ingested, resolved, contract)
+    found = run_issues(spark, ingested, resolved, counters, contract)
+    issues = tables.write_table(found, target, tables.ISSUES)
     quality.raise_for_errors(issues)
 
-    latest = history.latest_position(settled, contract)
+    latest = history.latest_position(resolved, contract)
     latest = tables.write_table(latest, target, tables.LATEST)
-    totals = tables.write_table(history.summary(settled, contract), target, tables.SUMMARY)
-    finished = datetime.now(UTC)
-    report = quality_report(issues, run_metrics_frame(spark, counters), started, finished)
-    result = JobResult(settled, latest, totals, issues, report, counters, stage.run_id)
-    if output:
-        result.output_paths = {name: f"{target}/{name}" for name in tables.TABLES}
-        result.output_paths[tables.REPORT] = tables.write_report(report, target)
-        if csv:
-            named = zip(tables.TABLES, (settled, latest, totals, issues), strict=True)
-            for name, table in named:
-                result.output_paths[f"{name}_csv"] = tables.write_csv(table, target, name)
-        tables.publish(spark, output, stage.run_id, finished)
-    if database_url:
-        database.write_database(settled, database_url, contract)
-    return result
+    totals = tables.write_table(history.summary(resolved, contract), target, tables.SUMMARY)
+    metrics = run_metrics_frame(spark, counters)
+    report = quality_report(issues, metrics, started, datetime.now(UTC))
+    return JobResult(resolved, latest, totals, issues, report, counters, stage.run_id), target
+
+
+def publish_tables(result: JobResult, target: str, output: str, csv: bool) -> None:
+    """Write the report and the optional copies, then make the run the current one."""
+    named = dict(
+        zip(tables.TABLES, (result.history, result.latest_position, result.summary, result.issues), strict=True)
+    )
+    result.output_paths = {name: f"{target}/{name}" for name in named}
+    result.output_paths[tables.REPORT] = tables.write_report(result.report, target)
+    if csv:
+        for name, table in named.items():
+            result.output_paths[f"{name}_csv"] = tables.write_csv(table, target, name)
+    tables.publish(result.history.sparkSession, output, result.run_id, datetime.now(UTC))
 
 
 def run_metrics_frame(spark: SparkSession, counters: dict[str, int]) -> DataFrame:

@@ -4,12 +4,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.errors import TidemarkError
 
 
+# The JVM never compiles a method above 8000 bytes of bytecode. Cleaning many columns at
+# once can exceed that; with this limit Spark splits the work into smaller methods.
+JOB_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+@contextmanager
+def job_settings(spark: SparkSession) -> Iterator[None]:
+    """The settings of a job for the time of a block."""
+    before = {key: spark.conf.get(key) for key in JOB_SETTINGS}
+    try:
+        for key, value in JOB_SETTINGS.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and staged tables.
 
