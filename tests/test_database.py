@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from tidemark import Contract, ContractError
+from tidemark import Contract, ContractError, TidemarkError
 from tidemark.sinks import database
 
 
@@ -14,6 +14,8 @@ class Recorder:
     def __init__(self):
         self.statements, self.settings, self.written = [], {}, {}
         self.sparkSession = self.conf = self.write = self
+        self.read, self.loaded = Loaded(), 3
+        self.read.history = self
         self.columns = ["SNAPSHOT_DATE", "Line_Id"]
 
     def set(self, key, value):
@@ -41,6 +43,26 @@ class Recorder:
     def save(self):
         self.statements.append("save")
 
+    def count(self):
+        return 3
+
+
+class Loaded:
+    """Stands for the reader of the staging table."""
+
+    def format(self, name):
+        return self
+
+    def options(self, **options):
+        assert options["dbtable"].endswith("_staging")
+        return self
+
+    def load(self):
+        return self
+
+    def count(self):
+        return self.history.loaded
+
 
 URL = "jdbc:postgresql://host/db"
 
@@ -62,6 +84,14 @@ def test_replace_loads_a_staging_table_and_swaps():
     assert history.settings["spark.sql.catalog.tidemark_database.url"] == URL
 
 
+def test_a_staging_table_with_repeated_rows_is_not_swapped():
+    history = Recorder()
+    history.loaded = 4
+    with pytest.raises(TidemarkError, match="4 rows instead of 3"):
+        database.write_database(history, URL, Contract())
+    assert history.statements[1:] == ["save"]
+
+
 @pytest.mark.parametrize(("mode", "saved"), [("append", "append"), ("fail", "errorifexists")])
 def test_append_and_fail_write_the_table_itself(mode, saved):
     history = Recorder()

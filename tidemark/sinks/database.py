@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.contract import Contract, safe_identifier
+from tidemark.errors import TidemarkError
 from tidemark.functions.text import lower_columns
 
 _CATALOG = "tidemark_database"
@@ -30,8 +31,9 @@ def write_database(
     """Write the history to ``schema.table`` and return that name.
 
     Each task writes its rows in one transaction, in batches of the contract's size.
-    Replacing loads a staging table first and swaps the names afterwards, so readers
-    of the old table never see half of the new one.
+    Replacing loads a staging table first, counts it, and swaps the names afterwards:
+    readers never see half of the new table, and a task that was lost after its commit
+    and ran again is noticed. When appending, the key of the table has to do that.
     """
     spark = history.sparkSession
     schema = safe_identifier(contract.database_schema)
@@ -51,6 +53,10 @@ def write_database(
     writer = lower_columns(history).write.format("jdbc").options(**options)
     writer.mode(_SAVE_MODES[mode]).save()
     if mode == "replace":
+        loaded = spark.read.format("jdbc").options(**options).load().count()
+        expected = history.count()
+        if loaded != expected:
+            raise TidemarkError(f"{schema}.{target} holds {loaded} rows instead of {expected}.")
         spark.sql(f"DROP TABLE IF EXISTS {_CATALOG}.{schema}.{table}")
         spark.sql(f"ALTER TABLE {_CATALOG}.{schema}.{target} RENAME TO {schema}.{table}")
     return f"{schema}.{table}"

@@ -185,67 +185,72 @@ def _column_index(letters: str) -> int:
 Cells = dict[int, tuple[str, str | None]]
 
 
-class _RowHandler:
-    """Collects the rows of a worksheet part while it is fed to the XML parser."""
-
-    def __init__(self, book: _Book):
-        self.book = book
-        self.rows: list[tuple[int, Cells]] = []
-        self.columns: dict[str, int] = {}
-        self.number = 0
-        self.cells: Cells = {}
-        self.index = -1
-        self.attributes: dict[str, str] = {}
-        self.pieces: list[str] = []
-        self.phonetic = False
-        self.parser = expat.ParserCreate()
-        self.parser.buffer_text = True
-        self.parser.StartElementHandler = self.start
-        self.parser.EndElementHandler = self.end
-
-    def start(self, name: str, attributes: dict[str, str]) -> None:
-        if ":" in name:
-            name = name.rpartition(":")[2]
-        if name == "c":
-            self.attributes, self.pieces = attributes, []
-        elif name in ("v", "t"):
-            if not self.phonetic:
-                self.parser.CharacterDataHandler = self.pieces.append
-        elif name == "row":
-            self.number = int(attributes.get("r", self.number + 1))
-            self.cells, self.index = {}, -1
-        elif name == "rPh":
-            self.phonetic = True
-
-    def end(self, name: str) -> None:
-        if ":" in name:
-            name = name.rpartition(":")[2]
-        if name in ("v", "t"):
-            self.parser.CharacterDataHandler = None
-        elif name == "c":
-            reference = self.attributes.get("r")
-            letters = reference.rstrip("0123456789") if reference else ""
-            if letters not in self.columns:
-                self.columns[letters] = _column_index(letters)
-            self.index = self.columns[letters] if letters else self.index + 1
-            value = self.book.value(self.attributes, "".join(self.pieces))
-            if value is not None:
-                self.cells[self.index] = value
-        elif name == "row":
-            self.rows.append((self.number, self.cells))
-        elif name == "rPh":
-            self.phonetic = False
-
-
 def _sheet_rows(book: _Book, stream) -> Iterator[tuple[int, Cells]]:
-    """Row number and cells by column index, in the order of the part."""
-    handler = _RowHandler(book)
+    """Row number and cells by column index, in the order of the worksheet part.
+
+    The handlers run for every cell, so they keep their state in local variables.
+    """
+    rows: list[tuple[int, Cells]] = []
+    columns: dict[str, int] = {}
+    cells: Cells = {}
+    attributes: dict[str, str] = {}
+    pieces: list[str] = []
+    number, index, phonetic = 0, -1, False
+    cell_tag, value_tag, text_tag, row_tag, phonetic_tag = "c", "v", "t", "row", "rPh"
+    cell_value = book.value
+    parser = expat.ParserCreate()
+    parser.buffer_text = True
+
+    def root(name: str, _: dict[str, str]) -> None:
+        nonlocal cell_tag, value_tag, text_tag, row_tag, phonetic_tag
+        prefix = name[: name.find(":") + 1]
+        if prefix:
+            cell_tag, value_tag, text_tag = prefix + "c", prefix + "v", prefix + "t"
+            row_tag, phonetic_tag = prefix + "row", prefix + "rPh"
+        parser.StartElementHandler = start
+
+    def start(name: str, given: dict[str, str]) -> None:
+        nonlocal attributes, pieces, number, cells, index, phonetic
+        if name == cell_tag:
+            attributes, pieces = given, []
+        elif name == value_tag or name == text_tag:
+            if not phonetic:
+                parser.CharacterDataHandler = pieces.append
+        elif name == row_tag:
+            number = int(given.get("r", number + 1))
+            cells, index = {}, -1
+        elif name == phonetic_tag:
+            phonetic = True
+
+    def end(name: str) -> None:
+        nonlocal index, phonetic
+        if name == value_tag or name == text_tag:
+            parser.CharacterDataHandler = None
+        elif name == cell_tag:
+            letters = attributes.get("r", "").rstrip("0123456789")
+            if letters:
+                if letters not in columns:
+                    columns[letters] = _column_index(letters)
+                index = columns[letters]
+            else:
+                index += 1
+            if pieces:
+                value = cell_value(attributes, pieces[0] if len(pieces) == 1 else "".join(pieces))
+                if value is not None:
+                    cells[index] = value
+        elif name == row_tag:
+            rows.append((number, cells))
+        elif name == phonetic_tag:
+            phonetic = False
+
+    parser.StartElementHandler = root
+    parser.EndElementHandler = end
     while chunk := stream.read(_CHUNK_BYTES):
-        handler.parser.Parse(chunk, False)
-        yield from handler.rows
-        handler.rows = []
-    handler.parser.Parse(b"", True)
-    yield from handler.rows
+        parser.Parse(chunk, False)
+        yield from rows
+        rows.clear()
+    parser.Parse(b"", True)
+    yield from rows
 
 
 def _headers(cells: Cells) -> dict[int, str]:
