@@ -197,8 +197,12 @@ def test_a_blocked_run_leaves_the_published_tables_alone(spark, sample_dir, tmp_
     run_job(spark, str(sample_dir), contract, output)
     first = current_run(spark, output)
     write(sample_dir, "bad_2026-08-09.xlsx", {"Overdue": [HEADER]})
-    with pytest.raises(QualityGateError, match="blocked by"):
+    with pytest.raises(QualityGateError, match="blocked by") as blocked:
         run_job(spark, str(sample_dir), contract, output)
+    issues = spark.read.parquet(str(blocked.value).split("See ")[1].rstrip("."))
+    assert {r["source_file"] for r in issues.filter("severity = 'error'").collect()} == {
+        "bad_2026-08-09.xlsx"
+    }
     assert current_run(spark, output) == first
     (sample_dir / "bad_2026-08-09.xlsx").write_bytes(
         workbook_bytes(snapshot_sheets(3, 18, date(2026, 8, 9)))

@@ -122,10 +122,11 @@ def column_fill(
 def missing_required(contract: Contract) -> Column:
     """Sorted required columns without a value, in a row of :func:`filled_cells`."""
     filled = F.col("filled_cells")
-    return F.filter(
-        texts(sorted(contract.required_columns)),
-        lambda name: F.coalesce(F.try_element_at(filled, name), F.lit(0)) == 0,
-    )
+    absent = [
+        F.when(F.coalesce(filled[name], F.lit(0)) == 0, name)
+        for name in sorted(contract.required_columns)
+    ]
+    return F.array_compact(F.array(*absent))
 
 
 def contract_failures(

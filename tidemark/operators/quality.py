@@ -194,9 +194,10 @@ def severity_totals(issues: DataFrame) -> DataFrame:
     return issues.groupBy("severity").agg(F.sum("count").alias("issue_count"))
 
 
-def raise_for_errors(issues: DataFrame) -> None:
-    """Stop the run when any blocking issue was found."""
+def raise_for_errors(issues: DataFrame, kept_in: str | None = None) -> None:
+    """Stop the run when any blocking issue was found; the error says where they are kept."""
     totals = issues.filter(F.col("severity") == ERROR).agg(F.sum("count").alias("errors"))
     errors = totals.first()["errors"] or 0
     if errors:
-        raise QualityGateError(f"Publication blocked by {errors} data-quality error(s).")
+        place = f" See {kept_in}." if kept_in else ""
+        raise QualityGateError(f"Publication blocked by {errors} data-quality error(s).{place}")

@@ -326,7 +326,7 @@ def build_tables(
     counters = run_counters(ingested, resolved, contract)
     found = run_issues(spark, ingested, resolved, counters, contract)
     issues = tables.write_table(found, target, tables.ISSUES)
-    quality.raise_for_errors(issues)
+    quality.raise_for_errors(issues, kept_in=f"{target}/{tables.ISSUES}")
 
     latest = history.latest_position(resolved, contract)
     latest = tables.write_table(latest, target, tables.LATEST)
