@@ -14,7 +14,7 @@ from tidemark.catalog.workbook_bytes import workbook_bytes
 from tidemark.contract import Contract
 from tidemark.operators import analytics, quality
 from tidemark.plans import job
-from tidemark.sinks.tables import current_run, open_published, register_views
+from tidemark.sinks.tables import current_run, open_published, register_catalog, register_views
 from tidemark.staging import Stage
 
 DAY = date(2026, 8, 1)
@@ -99,6 +99,37 @@ def test_job_builds_and_publishes_all_tables(spark, sample_dir, tmp_path, contra
     assert counted.first()["n"] == 8
 
 
+_NEWEST = "snapshot_date DESC, snapshot_order DESC, sheet_order DESC, source_row_number DESC"
+SQL = {
+    "processes_by_date": "SELECT snapshot_date, count(DISTINCT line_id) AS unique_processes FROM {t} GROUP BY 1",
+    "overdue_by_stage": "SELECT nvl(current_stage, 'NO STAGE') AS current_stage, count(*) AS overdue_processes FROM {l} "
+    "WHERE sla_days_remaining < 0 GROUP BY 1",
+    "stale_follow_ups": "SELECT line_id, request_id, current_stage, follow_up_date, follow_up_age_days FROM {l} "
+    "WHERE follow_up_age_days > 3",
+    "state_changes": "SELECT snapshot_date, line_id, current_stage FROM (SELECT *, lag(record_hash) OVER "
+    "(PARTITION BY line_id ORDER BY snapshot_date, snapshot_order) AS before FROM {t}) WHERE before <> record_hash",
+    "current_position": "SELECT * FROM {l}",
+}
+
+
+def test_sql_on_the_published_tables(spark, sample_dir, tmp_path, contract):
+    output = str(tmp_path / "out")
+    run_job(spark, str(sample_dir), contract, output)
+    register_catalog(spark, output, contract)
+    history = open_published(spark, output)["history"]
+    table = "analytics.historical_operations"
+    latest = (
+        f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY {_NEWEST}) "
+        f"AS position_rank FROM {table}) WHERE position_rank = 1)"
+    )
+    for name, statement in SQL.items():
+        found = spark.sql(statement.format(t=table, l=latest))
+        expected = getattr(analytics, name)(history, contract)
+        assert sorted(map(str, found.select(*expected.columns).collect())) == sorted(map(str, expected.collect())), name
+    assert spark.table("analytics.latest_position").count() == 18
+    assert dict(spark.table(table).dtypes)["snapshot_date"] == "date"
+
+
 def test_job_without_output_keeps_its_tables_in_the_stage(spark, sample_dir):
     result = run_job(spark, str(sample_dir))
     assert (result.history.count(), result.output_paths) == (54, {})

@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.contract import Contract
+from tidemark.contract import Contract, safe_identifier
 from tidemark.errors import TidemarkError
 
 HISTORY, LATEST, SUMMARY = "history", "latest_position", "summary"
@@ -103,6 +103,19 @@ def open_published(spark: SparkSession, output: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, _join(folder, name)) for name in TABLES}
 
 
+def register_catalog(spark: SparkSession, output: str, contract: Contract) -> None:
+    """Catalog views on the current run, in the contract's schema.
+
+    SQL written against the database table, ``schema.table``, runs on them unchanged.
+    """
+    folder, schema = current_run(spark, output), safe_identifier(contract.database_schema)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    for name in TABLES:
+        view = safe_identifier(contract.database_table if name == HISTORY else name)
+        path = _join(folder, name).replace("`", "``")
+        spark.sql(f"CREATE OR REPLACE VIEW {schema}.{view} AS SELECT * FROM parquet.`{path}`")
+
+
 def register_views(tables: dict[str, DataFrame], contract: Contract) -> None:
     """Temporary views for SQL; the history goes by the contract's table name."""
     for name, table in tables.items():

@@ -115,9 +115,16 @@ class _Book:
         return ElementTree.fromstring(self.archive.read(name))
 
     def _shared_strings(self) -> list[str]:
+        """Texts the cells refer to; each item is freed once its text is taken."""
         if "xl/sharedStrings.xml" not in self.archive.namelist():
             return []
-        return [_text(item) for item in _children(self._part("xl/sharedStrings.xml"), "si")]
+        strings = []
+        with self.archive.open("xl/sharedStrings.xml") as part:
+            for _, element in ElementTree.iterparse(part):
+                if _local(element) == "si":
+                    strings.append(_text(element))
+                    element.clear()
+        return strings
 
     def _date_styles(self) -> list[bool]:
         """For every cell style, whether it shows a date or a time."""
