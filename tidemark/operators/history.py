@@ -26,7 +26,8 @@ def last_per_key(
     reaches its reduce task as at most one row per map task.
     """
     position = rank or "_position"
-    window = Window.partitionBy(*keys).orderBy(*newest_first(order))
+    deciding = [name for name in order if name not in keys]  # a key is equal within its group
+    window = Window.partitionBy(*keys).orderBy(*newest_first(deciding))
     last = rows.withColumn(position, F.row_number().over(window)).filter(F.col(position) == 1)
     return last if rank else last.drop(position)
 
