@@ -91,6 +91,8 @@ def test_job_builds_and_publishes_all_tables(spark, sample_dir, tmp_path, contra
     (report,) = [json.loads(p.read_text()) for p in Path(result.output_paths["quality_report"]).glob("*.json")]
     assert report["status"] == "passed"
     assert report["metrics"]["records_in_history"] == 54
+    (issue,) = spark.read.json(result.output_paths["quality_report_issues"]).collect()
+    assert (issue["code"], issue["severity"], issue["count"]) == ("MISSING_FOLLOW_UP", "info", 1)
     csv = spark.read.option("header", True).csv(result.output_paths["latest_position_csv"])
     assert csv.count() == 18
 

@@ -342,7 +342,7 @@ def publish_tables(result: JobResult, target: str, output: str, csv: bool) -> No
         zip(tables.TABLES, (result.history, result.latest_position, result.summary, result.issues), strict=True)
     )
     result.output_paths = {name: f"{target}/{name}" for name in named}
-    result.output_paths[tables.REPORT] = tables.write_report(result.report, target)
+    result.output_paths |= tables.write_report(result.report, result.issues, target)
     if csv:
         for name, table in named.items():
             result.output_paths[f"{name}_csv"] = tables.write_csv(table, target, name)

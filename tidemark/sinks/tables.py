@@ -17,7 +17,7 @@ from tidemark.contract import Contract, safe_identifier
 from tidemark.errors import TidemarkError
 
 HISTORY, LATEST, SUMMARY = "history", "latest_position", "summary"
-ISSUES, REPORT = "quality_issues", "quality_report"
+ISSUES, REPORT, REPORT_ISSUES = "quality_issues", "quality_report", "quality_report_issues"
 TABLES = (HISTORY, LATEST, SUMMARY, ISSUES)
 _MANIFEST_SCHEMA = "run_id STRING, published_at TIMESTAMP"
 
@@ -72,11 +72,12 @@ def write_csv(table: DataFrame, folder: str, name: str) -> str:
     return path
 
 
-def write_report(report: DataFrame, folder: str) -> str:
-    """The one-row quality report as JSON."""
-    path = _join(folder, REPORT)
-    report.coalesce(1).write.mode("overwrite").json(path)
-    return path
+def write_report(report: DataFrame, issues: DataFrame, folder: str) -> dict[str, str]:
+    """The quality report as JSON: one row of totals, and one line per issue beside it."""
+    paths = {name: _join(folder, name) for name in (REPORT, REPORT_ISSUES)}
+    report.coalesce(1).write.mode("overwrite").json(paths[REPORT])
+    issues.write.mode("overwrite").json(paths[REPORT_ISSUES])
+    return paths
 
 
 def publish(spark: SparkSession, output: str, run_id: str, published_at: datetime) -> None:
