@@ -108,6 +108,7 @@ class _Book:
         self.sheets = {name: targets[ref] for name, ref in entries if ref in targets}
         settings = [e for e in root.iter() if _local(e) == "workbookPr"]
         self.from_1904 = any(e.get("date1904") in ("1", "true") for e in settings)
+        self.days: dict[str, tuple[str, str]] = {}
         self.strings = self._shared_strings()
         self.date_styles = self._date_styles()
 
@@ -154,7 +155,7 @@ class _Book:
         if kind == "n":
             style = int(attributes.get("s", 0))
             dated = style < len(self.date_styles) and self.date_styles[style]
-            return self._moment(float(raw)) if dated else (NUMBER, _number(raw))
+            return self._date(raw) if dated else (NUMBER, _number(raw))
         if kind == "s":
             text = self.strings[int(raw)]
             return (TEXT, text) if text else None
@@ -164,6 +165,13 @@ class _Book:
             return DATE, raw.replace("T", " ").removesuffix(" 00:00:00")
         return TEXT, None if kind == "e" else raw
 
+    def _date(self, raw: str) -> tuple[str, str]:
+        if not raw.isdigit():
+            return self._moment(float(raw))
+        if raw not in self.days:  # whole days are few and come again and again
+            self.days[raw] = self._moment(int(raw))
+        return self.days[raw]
+
     def _moment(self, serial: float) -> tuple[str, str]:
         seconds = round(serial % 1 * 86400)
         if 0 <= serial < 1:
