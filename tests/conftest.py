@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import io
+import zipfile
 from datetime import date, timedelta
 from pathlib import Path
 
@@ -81,3 +83,14 @@ def sample_dir(tmp_path):
     folder = tmp_path / "snapshots"
     folder.mkdir()
     return write_snapshots(folder)
+
+
+def with_part(content: bytes, name: str, body: str) -> bytes:
+    """The workbook with one part replaced or added."""
+    target = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(content)) as old, zipfile.ZipFile(target, "w") as new:
+        for entry in old.namelist():
+            if entry != name:
+                new.writestr(entry, old.read(entry))
+        new.writestr(name, body)
+    return target.getvalue()

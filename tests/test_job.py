@@ -7,7 +7,7 @@ from datetime import date
 from pathlib import Path
 
 import pytest
-from conftest import HEADER, process_row, snapshot_sheets
+from conftest import HEADER, process_row, snapshot_sheets, with_part
 
 from tidemark import QualityGateError, TidemarkError, run_job
 from tidemark.catalog.workbook_bytes import workbook_bytes
@@ -258,3 +258,17 @@ def test_no_input(spark, tmp_path, contract):
     write(folder, "undated.xlsx", snapshot_sheets(0, 18, DAY))
     with pytest.raises(QualityGateError, match="blocked by 2"):
         run_job(spark, str(folder), contract)
+
+
+def test_a_workbook_that_breaks_halfway_delivers_no_rows(spark, sample_dir, contract):
+    content = workbook_bytes(snapshot_sheets(3, 18, date(2026, 8, 4)))
+    broken = with_part(content, "xl/worksheets/sheet3.xml", "<worksheet><sheetData><row r='1'>")
+    (sample_dir / "x_2026-08-04.xlsx").write_bytes(broken)
+    ingested = job.ingest(spark, str(sample_dir), contract, Stage(spark))
+    assert ingested.records.filter("record = 'row' AND path LIKE '%x_2026-08-04.xlsx'").count() > 0
+    resolved = job.resolve_history(ingested.rows, contract)
+    assert resolved.count() == 54
+    counters = job.run_counters(ingested, resolved, contract)
+    assert (counters["files_discovered"], counters["files_processed"]) == (4, 3)
+    # sheets read before the failure stay counted
+    assert counters["records_read"] > 54

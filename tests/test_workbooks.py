@@ -7,7 +7,7 @@ import zipfile
 from datetime import date
 
 import pytest
-from conftest import write_snapshots
+from conftest import with_part, write_snapshots
 from pyspark.sql import functions as F
 
 from tidemark.catalog.workbook_bytes import column_letters, workbook_bytes
@@ -26,17 +26,6 @@ def scanned(spark, *books, contract=CONTRACT):
     return workbooks.parse_workbooks(files, contract).cache()
 
 
-def with_part(content: bytes, name: str, body: str) -> bytes:
-    """The workbook with one part replaced or added."""
-    target = io.BytesIO()
-    with zipfile.ZipFile(io.BytesIO(content)) as old, zipfile.ZipFile(target, "w") as new:
-        for entry in old.namelist():
-            if entry != name:
-                new.writestr(entry, old.read(entry))
-        new.writestr(name, body)
-    return target.getvalue()
-
-
 def cells_of(records):
     rows = records.filter("record = 'row'").orderBy("row_number").collect()
     return [(r["row_number"], {k: (c["kind"], c["text"]) for k, c in r["cells"].items()}) for r in rows]
