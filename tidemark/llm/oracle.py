@@ -19,8 +19,8 @@ WITH texts AS (
 ), counted AS (
   SELECT doc_id, text, len(words) AS n_words, len(list_aggregate(words, 'string_agg', '')) AS word_chars,
     len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-    len(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]'))) AS full_lines,
-    len(list_distinct(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))) AS own_lines,
+    len([x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')]) AS full_lines,
+    len(list_distinct([x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')])) AS own_lines,
     coalesce(n_repeat_words, 0) AS n_repeat_words, len(string_split(text, chr(10))) AS n_lines,
     len(regexp_replace(text, '[^\p{{L}}]+', '', 'g')) AS letters,
     len(regexp_extract_all(text, '(^|\n)[\x20\x09]*[-•*][\x20\x09]')) AS bullets,

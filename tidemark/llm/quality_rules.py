@@ -27,48 +27,60 @@ class Rule:
     rejects: Column  # true: the text goes
 
 
-def repeated_words(found: Column) -> Column:
-    """Words that stand in windows of three words found twice or more in the text.
-
-    Windows are hashed and sorted with their places in the low bits, so equal
-    windows are neighbours: n log n steps for n words, without a shuffle. (Two different windows of
-    one text count as equal only if the upper bits of their hashes agree: for n words,
-    64 - log2 n bits, a chance below 1e-11 for texts of 500 words.)
-    """
-    bits = F.length(F.bin(F.size(found)))
+def _packed(found: Column, bits: Column) -> Column:
+    """Sorted hashes of all windows, each with its place in the low bits."""
 
     def hashed(w: Column) -> Column:
         return F.transform(
             F.sequence(F.lit(0), F.size(w) - WINDOW),
             lambda i: F.call_function(
-                "shiftleft", F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), F.length(F.bin(F.size(w)))
+                "shiftleft", F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)), bits
             ).bitwiseOR(i.cast("long")),
         )
 
-    packed = F.sort_array(F.when(F.size(found) >= WINDOW, let(found, hashed)).otherwise(F.array().cast("array<bigint>")))
+    none = F.array().cast("array<bigint>")
+    return F.sort_array(F.when(F.size(found) >= WINDOW, let(found, hashed)).otherwise(none))
+
+
+def _covered(packed: Column, bits: Column) -> Column:
+    """Words in windows that have a twin; twins are neighbours in the sorted array."""
 
-    def covered(s: Column) -> Column:
-        def hash_of(value: Column) -> Column:
-            return F.call_function("shiftright", value, bits)
+    def hash_of(value: Column) -> Column:
+        return F.call_function("shiftright", value, bits)
 
-        def twin(value: Column, i: Column) -> Column:
-            before = (i > 0) & (hash_of(F.get(s, i - 1)) == hash_of(value))
-            after = (i < F.size(s) - 1) & (hash_of(F.get(s, i + 1)) == hash_of(value))
-            return before | after
+    def twin(s: Column, value: Column, i: Column) -> Column:
+        before = (i > 0) & (hash_of(F.get(s, i - 1)) == hash_of(value))
+        after = (i < F.size(s) - 1) & (hash_of(F.get(s, i + 1)) == hash_of(value))
+        return before | after
 
+    def count(s: Column) -> Column:
         mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-        places = F.sort_array(F.transform(F.filter(s, twin), lambda value: value.bitwiseAND(mask)))
-        start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW).cast("long").alias("last"))
+        twins = F.filter(s, lambda value, i: twin(s, value, i))
+        places = F.sort_array(F.transform(twins, lambda value: value.bitwiseAND(mask)))
         return F.aggregate(
             places,
-            start,
+            F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW).cast("long").alias("last")),
             lambda seen, at: F.struct(
                 (seen["n"] + F.least(F.lit(WINDOW).cast("long"), at - seen["last"])).alias("n"), at.alias("last")
             ),
             lambda seen: seen["n"],
         )
 
-    return let(packed, covered)
+    return let(packed, count)
+
+
+def with_repeated_words(frame: DataFrame, found: str, result: str) -> DataFrame:
+    """``frame`` with the number of words in windows of three words found twice or more in the array ``found``.
+
+    Windows are hashed and sorted with their places in the low bits, so equal
+    windows are neighbours: n log n steps for n words, without a shuffle. (Two different windows of
+    one text count as equal only if the upper bits of their hashes agree: for n words,
+    64 - log2 n bits, a chance below 1e-11 for texts of 500 words.) Each step is a projection
+    of its own, because a lambda would compute an expression again for every element.
+    """
+    sized = frame.withColumn("_bits", F.length(F.bin(F.size(found))))
+    packed = sized.withColumn("_packed", _packed(F.col(found), F.col("_bits")))
+    return with_results(packed, {result: _covered(F.col("_packed"), F.col("_bits"))}).drop("_bits", "_packed")
 
 
 def base_counts(text: Column, found: Column) -> dict[str, Column]:
@@ -80,14 +92,14 @@ def base_counts(text: Column, found: Column) -> dict[str, Column]:
         "word_chars": F.length(F.regexp_replace(whole, r"[\x20\x09-\x0D]+", "")).cast("long"),
         "n_symbols": (F.length(whole) - F.length(F.regexp_replace(whole, SYMBOLS, ""))).cast("long"),
         "n_dup_lines": let(lines, lambda kept: F.size(kept) - F.size(F.array_distinct(kept))).cast("long"),
-        "n_repeat_words": repeated_words(found),
     }
 
 
 def with_counts(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with the base counts; the words stand in a projection of their own, split once."""
     split = docs.withColumn("_words", words(F.col(text)))
-    return with_results(split, base_counts(F.col(text), F.col("_words"))).drop("_words")
+    counted = with_results(split, base_counts(F.col(text), F.col("_words")))
+    return with_repeated_words(counted, "_words", "n_repeat_words").drop("_words")
 
 
 def standard_rules(text: str) -> list[Rule]:
