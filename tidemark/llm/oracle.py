@@ -5,6 +5,32 @@ from __future__ import annotations
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP2 = rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 3 THEN list_aggregate(words, 'string_agg', ' ')
+    ELSE words[pos] || ' ' || words[pos + 1] || ' ' || words[pos + 2] END AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS pos FROM texts WHERE len(words) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM shingles a JOIN shingles b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT u, v FROM common c JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v
+  WHERE 100 * c.n >= 85 * (a.n + b.n - c.n)
+), reached AS (
+  SELECT doc_id AS u, doc_id AS v FROM documents
+  UNION
+  SELECT reached.u, links.v FROM reached JOIN links ON links.u = reached.v
+), least AS (
+  SELECT u AS doc_id, min(v) AS component_id FROM reached GROUP BY u
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) JOIN least USING (doc_id)
+"""
+
 OP3 = rf"""
 WITH texts AS (
   SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents
@@ -57,6 +83,7 @@ FROM judged GROUP BY doc_id
 """
 
 LLM_ORACLE: dict[str, str] = {
+    "op2_minmax_dedup": OP2,
     "op3_quality_cascade": OP3,
     "op9_line_dedup": OP9,
 }

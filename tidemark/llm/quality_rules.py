@@ -89,7 +89,7 @@ def base_counts(text: Column, found: Column) -> dict[str, Column]:
     lines = F.filter(F.split(whole, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     return {
         "n_words": F.size(found).cast("long"),
-        "word_chars": F.length(F.regexp_replace(whole, r"[\x20\x09-\x0D]+", "")).cast("long"),
+        "word_chars": F.length(F.array_join(found, "")).cast("long"),
         "n_symbols": (F.length(whole) - F.length(F.regexp_replace(whole, SYMBOLS, ""))).cast("long"),
         "n_dup_lines": let(lines, lambda kept: F.size(kept) - F.size(F.array_distinct(kept))).cast("long"),
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, quality_rules, url_model
+from tidemark.llm import line_dedup, minmax_dedup, quality_rules, url_model
 from tidemark.llm.common import table
 
 
@@ -16,6 +16,12 @@ def op1_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_model.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op2_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = minmax_dedup.near_duplicates(docs, width=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -30,6 +36,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_model": op1_url_model,
+    "op2_minmax_dedup": op2_minmax_dedup,
     "op3_quality_cascade": op3_quality_cascade,
     "op9_line_dedup": op9_line_dedup,
 }
