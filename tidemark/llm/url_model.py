@@ -138,10 +138,13 @@ def smoothed(spark: SparkSession, counts: DataFrame, order: int) -> DataFrame:
 
 
 def model_value(spark: SparkSession, urls: DataFrame, order: int) -> Column:
-    """The model as one array in the order of the codes; its size does not depend on the input."""
-    ratios = staged(smoothed(spark, staged(grams(urls, order), "url-grams"), order), "url-model")
-    listed = F.sort_array(F.collect_list(F.struct("code", "ratio")))
-    return ratios.agg(F.transform(listed, lambda entry: entry["ratio"]).alias("model")).scalar()
+    """The model as one constant array in the order of the codes.
+
+    Its ``32^(order + 1)`` numbers pass through the driver; that number does not depend on the input.
+    """
+    ratios = smoothed(spark, staged(grams(urls, order), "url-grams"), order)
+    listed = [str(row["ratio"]) for row in ratios.orderBy("code").collect()]
+    return F.split(F.lit(",".join(listed)), ",").cast("array<bigint>")
 
 
 def score(model: Column, text: Column, order: int) -> Column:
@@ -175,8 +178,8 @@ def threshold(scored: DataFrame) -> Column:
         F.sum("rejected").over(everything).alias("n_rejected"),
     ).filter((F.col("n_accepted") > 0) & (F.col("n_rejected") > 0))
     gain = F.col("caught") / F.col("n_rejected") - F.col("lost") / F.col("n_accepted")
-    best = rates.agg(F.max_by(F.col("bin") * BIN, F.struct(gain, -F.col("bin"))).alias("least")).scalar()
-    return F.coalesce(best, F.lit(0))
+    best = rates.agg(F.max_by(F.col("bin") * BIN, F.struct(gain, -F.col("bin")))).first()[0]
+    return F.lit(best or 0)
 
 
 def judge_urls(
