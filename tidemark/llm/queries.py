@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, minmax_dedup, quality_rules, url_model
+from tidemark.llm import feistel_shards, hypervectors, line_dedup, minmax_dedup, quality_rules, url_model
 from tidemark.llm.common import table
 
 
@@ -28,6 +28,23 @@ def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs).select("doc_id", *counts, "base_failed", "kept")
 
 
+def op5_hypervector_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return hypervectors.held_out_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    placed = feistel_shards.shard(docs, shards=40, keys=["doc_id", "text_crc32", "size"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = F.sha2(F.coalesce("text", F.lit("")), 256)
@@ -38,5 +55,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_model": op1_url_model,
     "op2_minmax_dedup": op2_minmax_dedup,
     "op3_quality_cascade": op3_quality_cascade,
+    "op5_hypervector_language": op5_hypervector_language,
+    "op7_feistel_shards": op7_feistel_shards,
     "op9_line_dedup": op9_line_dedup,
 }
