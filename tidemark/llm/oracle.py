@@ -65,6 +65,52 @@ SELECT doc_id, n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n
 FROM filled
 """
 
+OP6 = rf"""
+WITH sized AS (
+  SELECT doc_id, source, len({_WORDS}) AS size, md5('17:' || coalesce(doc_id::VARCHAR, '')) AS seeded FROM documents
+), sources AS (
+  SELECT source, count(*) AS n_docs, sum(size)::BIGINT AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) AS r FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [5.0::DOUBLE, 2.0, 1.0][(r - 1) % 3 + 1] AS w, 2.0::DOUBLE * source_size AS cap FROM sources
+), levels AS (
+  SELECT a.r, a.cap / a.w AS ratio,
+    ((SELECT sum(source_size) * 1.5::DOUBLE FROM weighed)
+      - coalesce(sum(b.cap) FILTER (WHERE (b.cap / b.w, b.r) < (a.cap / a.w, a.r)), 0))
+      / sum(b.w) FILTER (WHERE (b.cap / b.w, b.r) >= (a.cap / a.w, a.r)) AS level
+  FROM weighed a, weighed b GROUP BY ALL
+), targets AS (
+  SELECT *, coalesce(least(cap, w * (SELECT arg_min(level, (ratio, r)) FROM levels WHERE level <= ratio)), cap) AS target
+  FROM weighed
+), source_seats AS (
+  SELECT r, k, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, r, k) AS rank
+  FROM (SELECT r, target, unnest(range(0, (target / 16)::BIGINT + 50)) AS k FROM targets WHERE target > 0)
+), source_quotas AS (
+  SELECT t.*, ceil(n_docs / 5000.0)::BIGINT AS n_shards,
+    (SELECT count(*) FROM source_seats s WHERE s.r = t.r AND rank <= (SELECT round(sum(target) / 16) FROM targets)) AS quota
+  FROM targets t
+), placed AS (
+  SELECT s.*, q.r, q.source_size, q.target, q.quota, ('0x' || seeded[1:8])::BIGINT % n_shards AS shard
+  FROM sized s JOIN source_quotas q ON s.source IS NOT DISTINCT FROM q.source
+), shards AS (
+  SELECT r, shard, sum(size)::BIGINT AS shard_size, any_value(quota) AS quota FROM placed GROUP BY r, shard
+), shard_seats AS (
+  SELECT r, shard, quota, row_number() OVER (PARTITION BY r ORDER BY shard_size / (2 * k + 1) DESC, shard, k) AS rank
+  FROM (SELECT *, unnest(range(0, quota + 1)) AS k FROM shards WHERE shard_size > 0)
+), shard_quotas AS (
+  SELECT h.r, h.shard, h.shard_size, ceil(h.shard_size / 16)::BIGINT AS blocks,
+    least(2 * ceil(h.shard_size / 16)::BIGINT, (SELECT count(*) FROM shard_seats s WHERE s.r = h.r AND s.shard = h.shard AND rank <= h.quota)) AS quota
+  FROM shards h
+), streamed AS (
+  SELECT p.*, q.blocks, q.quota AS shard_quota, CASE WHEN q.blocks > 0 THEN q.quota // q.blocks ELSE 0 END AS passes,
+    coalesce(sum(size) OVER (PARTITION BY p.r, p.shard ORDER BY seeded, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin_at
+  FROM placed p JOIN shard_quotas q ON p.r = q.r AND p.shard = q.shard
+)
+SELECT doc_id, size, source_size, target,
+  (passes * size + least(greatest((shard_quota - passes * blocks) * 16 - begin_at, 0), size))::BIGINT AS taken
+FROM streamed
+"""
+
 OP9 = rf"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS line
@@ -85,5 +131,6 @@ FROM judged GROUP BY doc_id
 LLM_ORACLE: dict[str, str] = {
     "op2_minmax_dedup": OP2,
     "op3_quality_cascade": OP3,
+    "op6_apportioned_mix": OP6,
     "op9_line_dedup": OP9,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import feistel_shards, hypervectors, line_dedup, minmax_dedup, quality_rules, url_model
-from tidemark.llm.common import table
+from tidemark.llm import apportioned_mix, feistel_shards, hypervectors, line_dedup, minmax_dedup, quality_rules, url_model
+from tidemark.llm.common import staged, table, words
 
 
 def op1_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,13 @@ def op5_hypervector_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hypervectors.held_out_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_apportioned_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"))
+    mixed = apportioned_mix.mix(staged(sized, "sized"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
@@ -56,6 +63,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minmax_dedup": op2_minmax_dedup,
     "op3_quality_cascade": op3_quality_cascade,
     "op5_hypervector_language": op5_hypervector_language,
+    "op6_apportioned_mix": op6_apportioned_mix,
     "op7_feistel_shards": op7_feistel_shards,
     "op9_line_dedup": op9_line_dedup,
 }
