@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import apportioned_mix, feistel_shards, hypervectors, line_dedup, minmax_dedup, quality_rules, url_model
+from tidemark.llm import (
+    apportioned_mix,
+    cgk_leaks,
+    feistel_shards,
+    hypervectors,
+    line_dedup,
+    minmax_dedup,
+    quality_rules,
+    url_model,
+)
 from tidemark.llm.common import staged, table, words
 
 
@@ -28,6 +37,11 @@ def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs).select("doc_id", *counts, "base_failed", "kept")
 
 
+def op4_cgk_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return cgk_leaks.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op5_hypervector_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return hypervectors.held_out_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
@@ -62,6 +76,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_model": op1_url_model,
     "op2_minmax_dedup": op2_minmax_dedup,
     "op3_quality_cascade": op3_quality_cascade,
+    "op4_cgk_leaks": op4_cgk_leaks,
     "op5_hypervector_language": op5_hypervector_language,
     "op6_apportioned_mix": op6_apportioned_mix,
     "op7_feistel_shards": op7_feistel_shards,

@@ -22,7 +22,9 @@ _LOWER[65:91] += 32
 
 _random = np.random.default_rng(20_240_229)
 _BYTE_VALUE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_BYTE_VALUE[_IS_SPACE] = 0
+# ASCII punctuation, which also parts words where a caller asks for it.
+_IS_MARK = np.zeros(256, bool)
+_IS_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _powers = np.ones(1, np.uint64)
@@ -95,14 +97,14 @@ def pieces(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.Re
             start = stop
 
 
-def words_of(texts: Texts, lower: bool = True) -> Words:
-    """Words are runs without white space; with ``lower``, A-Z hash like a-z."""
+def words_of(texts: Texts, lower: bool = True, marks: bool = False) -> Words:
+    """Words are runs without white space; with ``lower``, A-Z hash like a-z; with ``marks``, punctuation parts words too."""
     data, bounds = texts.data, texts.bounds
     n = len(data)
     none = np.zeros(0, np.int64)
     if not n:
         return Words(none.astype(np.uint64), none, none, none, np.zeros(len(texts), np.int64))
-    inside = ~_IS_SPACE[data]
+    inside = ~((_IS_SPACE | _IS_MARK) if marks else _IS_SPACE)[data]
     edge = np.zeros(n + 1, bool)
     edge[bounds] = True
     begins, ends = inside.copy(), inside.copy()
@@ -114,7 +116,7 @@ def words_of(texts: Texts, lower: bool = True) -> Words:
     spans = np.diff(begin, append=n)
     place = np.arange(begin[0], n) - np.repeat(begin, spans)
     folded = _LOWER[data[begin[0] :]] if lower else data[begin[0] :]
-    weighed = _BYTE_VALUE[folded] * _powers_up_to(int(spans.max()) + 1)[place]
+    weighed = _BYTE_VALUE[folded] * _powers_up_to(int(spans.max()) + 1)[place] * inside[begin[0] :]
     hashes = mixed(np.add.reduceat(weighed, begin - begin[0]))
     text = np.searchsorted(bounds, begin, "right") - 1
     return Words(hashes, begin, end, text, np.bincount(text, minlength=len(texts)))
