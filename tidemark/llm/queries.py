@@ -15,6 +15,7 @@ from tidemark.llm import (
     line_dedup,
     minmax_dedup,
     quality_rules,
+    subword_quality,
     url_model,
 )
 from tidemark.llm.common import staged, table, words
@@ -66,6 +67,11 @@ def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return subword_quality.held_out_quality(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = F.sha2(F.coalesce("text", F.lit("")), 256)
@@ -80,5 +86,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_hypervector_language": op5_hypervector_language,
     "op6_apportioned_mix": op6_apportioned_mix,
     "op7_feistel_shards": op7_feistel_shards,
+    "op8_subword_quality": op8_subword_quality,
     "op9_line_dedup": op9_line_dedup,
 }
