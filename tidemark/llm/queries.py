@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     apportioned_mix,
     cgk_leaks,
+    disclosure_pii,
     feistel_shards,
     hypervectors,
     line_dedup,
@@ -78,6 +79,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_shared_lines(docs).select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def op10_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = F.sha2("base_spans", 256).alias("base_sha256")
+    counts = [f"n_{kind}" for kind in disclosure_pii.KINDS]
+    return disclosure_pii.sanitise(docs).select("doc_id", *counts, digest, "spans")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_model": op1_url_model,
     "op2_minmax_dedup": op2_minmax_dedup,
@@ -88,4 +96,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_feistel_shards": op7_feistel_shards,
     "op8_subword_quality": op8_subword_quality,
     "op9_line_dedup": op9_line_dedup,
+    "op10_disclosure_pii": op10_disclosure_pii,
 }
