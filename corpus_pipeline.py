@@ -11,6 +11,7 @@ import re
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import apportioned_mix, cgk_leaks, feistel_shards, hypervectors, minmax_dedup
 from tidemark.llm.common import staged, table, words
@@ -46,7 +47,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cgk_leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def copies(text: pd.Series, size: pd.Series, taken: pd.Series) -> pd.Series:
     """The text as often as it is taken whole, then its first words if some are left."""
 
