@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tidemark.llm.feistel_shards import ROUNDS, permuted, round_keys, shard, sides
+from tidemark.llm.queries import op7_feistel_shards
+
+MASK = (1 << 64) - 1
+
+
+def scrambled(value):
+    value = (value ^ (value >> 30)) * 0xBF58476D1CE4E5B9 & MASK
+    value = (value ^ (value >> 27)) * 0x94D049BB133111EB & MASK
+    return value ^ (value >> 31)
+
+
+def plain(number, n, seed):
+    """The permutation, one number at a time."""
+    (left, right), keys = sides(n), [int(k) for k in round_keys(seed)]
+    while True:
+        high, low = divmod(number, right)
+        for i in range(ROUNDS):
+            if i % 2:
+                low = (low + scrambled(high + keys[i] & MASK) % right) % right
+            else:
+                high = (high + scrambled(low + keys[i] & MASK) % left) % left
+        number = high * right + low
+        if number < n:
+            return number
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 10, 97, 1000, 4097])
+def test_every_number_once_and_as_computed_alone(n):
+    found = permuted(np.arange(n), n, 11)
+    assert sorted(found.tolist()) == list(range(n))
+    assert found[:50].tolist() == [plain(i, n, 11) for i in range(min(n, 50))]
+    assert permuted(np.arange(0), 0).tolist() == []
+
+
+def test_seeds_and_neighbours_part():
+    one, other = permuted(np.arange(5000), 5000, 1), permuted(np.arange(5000), 5000, 2)
+    assert (one == other).mean() < 0.01
+    assert abs(np.corrcoef(np.arange(5000), one)[0, 1]) < 0.05
+
+
+def test_documents(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    rows = op7_feistel_shards(spark, "/root/testdata/sf0.01").collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    for r in rows:
+        body = (docs[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(body) + 16, zlib.crc32(body), "rows", None)
+    counts = Counter(r.shard for r in rows)
+    assert set(counts) == set(range(40)) and max(counts.values()) - min(counts.values()) <= 1
+    assert all(sorted(r.slot for r in rows if r.shard == s) == list(range(counts[s])) for s in counts)
+    number = {i: n for n, i in enumerate(sorted(docs))}
+    for r in rows[:100]:
+        assert r.slot * 40 + r.shard == plain(number[r.doc_id], len(rows), 11)
+
+
+def test_reruns_agree_whatever_the_partitions(spark):
+    rows = [(i % 7 if i % 5 else None, f"t{i}", "x", "y") for i in range(200)] + [(1, "same", "x", "y")] * 3
+    docs = spark.createDataFrame(rows, "doc_id INT, text STRING, shard STRING, number STRING")
+    one = shard(docs, 8, ["doc_id", "text"])
+    assert one.columns == ["doc_id", "text", "number", "shard", "slot"]
+    other = shard(docs.repartition(7), 8, ["doc_id", "text"])
+    assert sorted(one.collect(), key=str) == sorted(other.collect(), key=str)
+
+
+def test_empty_table(spark):
+    assert shard(spark.createDataFrame([], "doc_id INT"), 4, ["doc_id"]).collect() == []

@@ -1,0 +1,50 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+
+from tidemark.llm.hypervectors import DIMENSIONS, held_out_languages, letter_vectors, predict_language, trigram_vectors, trigrams
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    known = {r.doc_id: r.lang for r in docs.collect()}
+    found = held_out_languages(docs).collect()
+    assert sorted(r.doc_id for r in found) == sorted(known)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found)
+    held = [r for r in found if r.held_out]
+    assert len(held) > 150 and np.mean([r.lang_pred == known[r.doc_id] for r in held]) > 0.98
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_labels_of_held_out_rows_teach_nothing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    wrong = docs.selectExpr("doc_id", "text", "IF(crc32(CAST(doc_id AS STRING)) % 5 = 0, 'xx', lang) AS lang")
+    assert sorted(held_out_languages(docs).collect()) == sorted(held_out_languages(wrong).collect())
+
+
+def test_trigrams_and_vectors():
+    assert len(trigrams("ab")) == 2  # gap a b, a b gap
+    assert trigrams("A-b!").tolist() == trigrams("a  b").tolist() == trigrams(" a b ").tolist()
+    assert len(trigrams("")) == len(trigrams("12 .")) == 0
+    letters = letter_vectors(np.array([97, 98, 99]))
+    assert set(np.unique(letters)) == {-1, 1} and np.abs(letters.astype(int) @ letters.T - DIMENSIONS * np.eye(3)).max() < 200
+    code = np.array([97 << 42 | 98 << 21 | 99])
+    bound = np.roll(letters[0], 2) * np.roll(letters[1], 1) * letters[2]
+    assert (trigram_vectors(code)[0] == bound).all()
+
+
+def test_edges(spark):
+    rows = [(1, "hello hello there", "en"), (2, "guten guten tag", "de"), (3, None, "en"), (4, "", None), (5, "12 ..", "de"), (6, "hello", None),
+            (6, "hello", None), (None, "tag tag", None), (7, "guten tag " * 50_000, None), (8, "😀 tag İ", None)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id BIGINT, text STRING, lang STRING, score STRING")
+    found = {(r.doc_id, r.lang_pred, r.score > 0) for r in predict_language(docs, docs).select("doc_id", "lang_pred", "score").collect()}
+    assert found == {(1, "en", True), (2, "de", True), (3, "und", False), (4, "und", False), (5, "und", False), (6, "en", True),
+                     (None, "de", True), (7, "de", True), (8, "de", True)}
+    judged = predict_language(docs, docs)
+    assert judged.columns == ["doc_id", "text", "lang", "lang_pred", "score"] and judged.count() == len(rows)
+    assert predict_language(docs.limit(0), docs).collect() == []
+    assert {r.lang_pred for r in predict_language(docs, docs.limit(0)).collect()} == {"und"}
