@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from tidemark.llm.disclosure_pii import sanitise
+from tidemark.llm.queries import op10_disclosure_pii
+
+# As the contract words them.
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def passes(digits):
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+def base(text):
+    found = [(m.start(), 0, m.end(), "email") for m in EMAIL.finditer(text)]
+    found += [(m.start(), 1, m.end(), "ip") for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    for rank, kind, pattern, least, most in ((2, "card", CARD, 12, 19), (3, "phone", PHONE, 9, 15)):
+        for m in pattern.finditer(text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if least <= len(digits) <= most and (kind == "phone" or passes(digits)):
+                found.append((m.start(), rank, m.end(), kind))
+    return ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(found))
+
+
+def tricky(chance):
+    parts = ["a@b.c", "a.b%x@d.e", "@", ".", "-", " ", "+", "1", "12", "255", "256", "0001", "4111111111111111", "4111-1111 1111 1111",
+             "+1 (555) 123-4567", "10.0.0.1", "1.2.3.4.5", "é", "😀", "x@y", "(", ")", "\n", "a@b.c.d-", "4111 1111 1111 1112"]
+    return "".join(chance.choice(parts) for _ in range(chance.randrange(1, 25)))
+
+
+def test_base_spans_of_random_texts(spark):
+    chance = random.Random(1)
+    texts = [tricky(chance) for _ in range(1500)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING")
+    for r in sanitise(docs).collect():
+        assert r.base_spans == base(texts[r.doc_id]), texts[r.doc_id]
+
+
+def test_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = op10_disclosure_pii(spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    for r in rows:
+        expected = base(docs[r.doc_id] or "")
+        assert r.base_sha256 == hashlib.sha256(expected.encode()).hexdigest()
+        assert set(filter(None, expected.split(","))) <= set(r.spans.split(","))
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [expected.count(k) for k in ("email", "ip", "card", "phone")]
+
+
+def test_terms_that_reveal_an_entity_go_everywhere(spark):
+    """"zorblat" stands near one address only, in several contexts; "write" near many."""
+    texts = [f"note {i} write to zorblat at jo@x.org about case {i}" for i in range(6)]
+    texts += [f"note {i} write to someone at p{i}@x.org about case {i}" for i in range(20)]
+    texts += ["here Zorblat again, far from any address", "zorblats is another word", "clean text to write"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING")
+    rows = {r.doc_id: r for r in sanitise(docs).collect()}
+    assert rows[0].spans == "term:16:23,email:27:35"
+    assert rows[0].sanitised == "note 0 write to [term] at [email] about case 0"
+    assert rows[26].spans == "term:5:12" and rows[26].sanitised == "here [term] again, far from any address"
+    assert rows[27].spans == rows[28].spans == ""
+    assert all("term" not in rows[i].spans for i in range(6, 26))
+
+
+def test_few_contexts_or_many_other_places_reveal_nothing(spark):
+    texts = ["write to zorblat at jo@x.org"] * 9  # one context, repeated
+    texts += [f"note {i} on plumbus at al@x.org" for i in range(5)] + ["plumbus is sold here", "note what is said"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING")
+    assert not any("term" in r.spans for r in sanitise(docs).collect())
+
+
+def test_edges(spark):
+    digits = "1 " * 30_000
+    rows = [(1, None), (2, ""), (None, "a@b.c"), (3, "a@b.c"), (3, "x a@b.c"), (3, "a@b.c"), (4, "a" * 60_000), (5, digits), (6, "9" * 40_000), (7, "+1 23456789a@b.cd")]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id INT, text STRING, spans STRING, term STRING")
+    found = sanitise(docs)
+    assert found.columns == ["doc_id", "text", "term", "n_email", "n_ip", "n_card", "n_phone", "base_spans", "spans", "sanitised"]
+    got = sorted(((r.doc_id, r.text, r.spans, r.sanitised) for r in found.collect()), key=str)
+    expected = [(i, t, base(t or "")) for i, t in rows]
+    assert [g[:3] for g in got] == sorted(expected, key=str)
+    assert [g[3] for g in got if g[0] in (1, 7)] == ["", "[phone]"]
+    assert sanitise(docs.limit(0)).collect() == []
