@@ -5,8 +5,9 @@ of 2k values costs k hash evaluations. Values are banded; documents that share a
 candidates are confirmed on their whole shingle sets. Copies with equal sets are one node.
 
 Within a bucket not all pairs are compared: members are compared with one hub, then, where a bucket still
-holds several components, with another hub, and at last across the components that are left. A pair that
-was never compared lies in one component already, so no link between different components is lost.
+holds several components, with another hub. What is left then is joined across components by an exact
+prefix filter. A pair that was never compared lies in one component already, or cannot
+reach the threshold, so no link between different components is lost.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged
@@ -148,11 +149,50 @@ def _with_hub(members: DataFrame, by: Column, percent: int) -> DataFrame:
     return _ordered_pairs(joined.withColumnsRenamed({"node": "u", "n": "n_u"}), percent)
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    left = members.join(_divided(members, F.col("node")).select("bucket"), "bucket", "left_semi")
-    right = left.withColumnsRenamed({"node": "v", "n": "n_v", "label": "label_v"})
-    joined = left.withColumnsRenamed({"node": "u", "n": "n_u"}).join(right, "bucket")
-    return _ordered_pairs(joined.filter(F.col("label") < F.col("label_v")), percent)
+def token_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per shingle of (place, label, n, set) batches, the set last."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 64):
+            part = batch.slice(start, 64)
+            sets = [np.frombuffer(s.as_buffer(), np.int64) for s in part.column(3)]
+            rows = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+            columns = [part.column(i).take(rows) for i in range(3)] + [pa.array(np.concatenate(sets))]
+            yield pa.RecordBatch.from_arrays(columns, names=["place", "label", "n", "token"])
+
+
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components, among the members of divided buckets, that can still be linked.
+
+    Shingles that only one component holds can be in no such pair and stand first in every set; the others follow
+    from rare to frequent. Two sets that reach the threshold share a shingle so early in both that enough
+    shingles follow it. So only shingles near the beginning are joined, and frequent ones are
+    hardly ever there: a large group of documents that are not alike enough makes few pairs.
+    """
+    divided = members.join(_divided(members, F.col("node")).select("bucket"), "bucket", "left_semi")
+    nodes = divided.select("node", "n", F.xxhash64("label").alias("label")).distinct()
+    nodes = staged(nodes.join(sets, "node").withColumn("place", F.monotonically_increasing_id()), "divided")
+    kinds = "place BIGINT, label BIGINT, n BIGINT, token BIGINT"
+    tokens = nodes.select("place", "label", "n", "members").mapInArrow(token_reader, kinds)
+    held = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("holders"), F.min("label").alias("low"), F.max("label").alias("high"))
+    spread = tokens.join(held.filter(F.col("low") < F.col("high")).select("token", "holders"), "token")
+    own = Window.partitionBy("place")
+    rank = F.row_number().over(own.orderBy("holders", "token"))
+    placed = spread.withColumn("at", F.col("n") - F.count(F.lit(1)).over(own) + rank)
+    begin = placed.filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    begin = staged(begin.select("token", "place", "label", "n", "at"), "beginnings")
+    left = begin.withColumnsRenamed({"place": "place_u", "label": "label_u", "n": "n_u", "at": "at_u"})
+    right = begin.withColumnsRenamed({"place": "place_v", "label": "label_v", "n": "n_v", "at": "at_v"})
+    common = 1 + F.least(F.col("n_u") - F.col("at_u"), F.col("n_v") - F.col("at_v"))
+    enough = (100 + percent) * common >= percent * (F.col("n_u") + F.col("n_v"))
+    apart = F.col("label_u") < F.col("label_v")
+    found = left.join(right, (left["token"] == right["token"]) & apart & _alike_in_size(percent) & enough)
+    named = nodes.select("place", "node")
+    pairs = (
+        found.select("place_u", "place_v").distinct()
+        .join(named.select(F.col("place").alias("place_u"), F.col("node").alias("one")), "place_u")
+        .join(named.select(F.col("place").alias("place_v"), F.col("node").alias("other")), "place_v")
+    )
+    return pairs.select(F.greatest("one", "other").alias("u"), F.least("one", "other").alias("v"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -174,7 +214,7 @@ def roots_of(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | N
     steps = (
         lambda m: _with_hub(m, F.col("node"), percent),
         lambda m: _with_hub(m, F.xxhash64("bucket", "node"), percent),
-        lambda m: _across(m, percent),
+        lambda m: _across(m, sets, percent),
     )
     known, roots = None, None
     for step in steps:
