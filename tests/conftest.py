@@ -12,11 +12,11 @@ from tidemark.catalog.workbook_bytes import workbook_bytes
 from tidemark.contract import DEFAULT_SHEETS, Contract
 
 HEADER = (
-    "Line Id", "Request Id", "Item", "Business Area", "Company", "Process Type", "Start Date",
-    "Due Date", "SLA Days Remaining", "SLA Status", "Current Stage", "Follow Up Notes",
+    "Line Id", "Request Id", "Current Stage", "SLA Days Remaining", "SLA Status", "Follow Up Notes",
+    "Owner", "Site", "Start Date", "Due Date",
 )
-SLA_DAYS = (-4, 1, 5, 9, 14, 19, 24, 29, 34)
-STAGES = ("Intake", "Specification", "Market Analysis", "Negotiation", "Approval", "Contracting")
+DAYS_LEFT = 3  # place of the days in a row
+STEPS = ("Draft", "Costing", "Signature", "Archive")
 
 
 @pytest.fixture(scope="session")
@@ -43,31 +43,25 @@ def contract():
     return Contract()
 
 
-def sheet_of(days: int) -> str:
-    limits = (-1, 7, 15, 25)
-    return DEFAULT_SHEETS[sum(days > limit for limit in limits)]
-
-
 def process_row(process: int, snapshot: int, day: date) -> tuple:
-    days = SLA_DAYS[(process - 1) % 9] - snapshot
-    stage = STAGES[(process + snapshot) % 6]
-    noted = day - timedelta(days=(process + snapshot) % 6)
-    note = None if process % 11 == 0 and snapshot == 0 else f"{noted:%d/%m/%Y} - {stage} seen"
+    """One process on one day: it visits the five worksheets in turn and moves on every other day."""
+    left = (-3, 2, 9, 18, 28)[(process + 2 * snapshot) % 5] + process % 3
+    step = STEPS[(process + (snapshot + process % 2) // 2) % 4]
+    called = day - timedelta(days=process * process % 9)
+    note = None if (process, snapshot) == (4, 1) else f"called {called:%d/%m/%Y}, {step.lower()} goes on"
     return (
-        f"LINE-{process:04d}", f"REQ-{10000 + process}", f"Item {process % 5}",
-        f"Area {process % 4}", f"Company {process % 4}",
-        "BACKLOG" if process % 7 == 0 else "STANDARD",
-        day - timedelta(days=20 + process), day + timedelta(days=days), days,
-        "OVERDUE" if days < 0 else "ON TIME", stage, note,
+        f"P/{process * 37 % 101:03d}", f"{900 - process}.0", step, left, "OVERDUE" if left < 0 else "ON TIME", note,
+        ("Ada", "Bo", "Cy")[process % 3], f"Hall {process // 4}", day - timedelta(days=30 - process), day + timedelta(days=left),
     )
 
 
 def snapshot_sheets(snapshot: int, processes: int, day: date) -> dict[str, list[tuple]]:
-    sheets = {name: [HEADER] for name in DEFAULT_SHEETS}
-    for process in range(1, processes + 1):
-        row = process_row(process, snapshot, day)
-        sheets[sheet_of(row[8])].append(row)
-    return sheets
+    rows = [process_row(process, snapshot, day) for process in range(1, processes + 1)]
+    limits = [(-99, -1), (0, 7), (8, 15), (16, 25), (26, 35)]
+    return {
+        name: [HEADER, *[row for row in rows if low <= row[DAYS_LEFT] <= high]]
+        for name, (low, high) in zip(DEFAULT_SHEETS, limits, strict=True)
+    }
 
 
 def write_snapshots(folder: Path, snapshots: int = 3, processes: int = 18) -> Path:
