@@ -43,7 +43,7 @@ def test_counting_by_digest_equals_counting_by_content(spark, contract):
         (8, "2", None, "1", None), (9, "2", "-", None, None), (10, "2", None, "1.0", None),
     )
     exact = cleaning.clean_metrics(cleaning.collapse_sheets(rows, contract), contract)
-    marked = cleaning.marked_values(rows, contract)
+    marked = cleaning.digested_values(rows, contract)
     narrow = cleaning.collapse_digests(marked, contract, cleaning.SHEET_SCOPE)
     assert cleaning.clean_metrics(narrow, contract).collect() == exact.collect()
     assert exact.first()["exact_duplicates"] == 2

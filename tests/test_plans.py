@@ -6,7 +6,7 @@ import pytest
 
 from tidemark.catalog.queries import QUERIES
 from tidemark.catalog.samples import CONTRACT
-from tidemark.operators import history
+from tidemark.operators import cleaning, history
 
 SF = "/root/testdata/sf0.001"
 READERS = {"read_workbooks", "read_failures", "history_from_workbooks"}
@@ -90,3 +90,8 @@ def test_the_job_shuffles_its_rows_only_to_resolve_them(spark, sample_dir, monke
     assert "_blank_row" in pushed and "IsNotNull(line_id)" in pushed
     for name in ("sheets", "rows"):
         assert "Python" not in plans[name] and "MapInArrow" not in plans[name]
+    # the cells are read once: by the typed rows
+    assert [name for name in plans if "cells:array" in plans[name]] == ["rows"]
+    counted = plan_of(cleaning.collapse_digests(ingested.rows, CONTRACT.__class__(), ("snapshot_order",)))
+    read = counted.split("ReadSchema: ")[1].split(">")[0]
+    assert read == "struct<snapshot_order:int,line_id:string,_blank_row:boolean,_digest:string"

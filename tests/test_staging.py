@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from tidemark import TidemarkError
-from tidemark.staging import JOB_SETTINGS, Stage, job_settings, shared_folder
+from tidemark.staging import JOB_SETTINGS, Stage, job_session, shared_folder
 
 
 class Session:
@@ -43,9 +44,23 @@ def test_a_local_session_gets_one_folder_of_its_own():
     assert shared_folder(session) == shared_folder(session) == session.context_folder
 
 
-def test_job_settings_are_put_back(spark):
+def test_a_job_has_settings_of_its_own(spark):
     before = {key: spark.conf.get(key) for key in JOB_SETTINGS}
-    with pytest.raises(ZeroDivisionError), job_settings(spark):
-        assert {key: spark.conf.get(key) for key in JOB_SETTINGS} == JOB_SETTINGS
-        raise ZeroDivisionError
+    session = job_session(spark)
+    assert {key: session.conf.get(key) for key in JOB_SETTINGS} == JOB_SETTINGS
     assert {key: spark.conf.get(key) for key in JOB_SETTINGS} == before
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.checkpoint.dir"):
+        assert session.conf.get(key) == spark.conf.get(key)
+
+
+def test_a_stage_can_be_removed(spark):
+    stage = Stage(spark)
+    assert stage.write(spark.range(3), "rows").count() == 3
+    stage.remove()
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(stage.path("rows"))
+
+
+def test_a_folder_that_may_be_local_is_pointed_out():
+    with pytest.warns(UserWarning, match="all executors share"):
+        assert shared_folder(Session("spark://host:7077", "file:/mnt/cp")) == "file:/mnt/cp"

@@ -27,8 +27,12 @@ def scanned(spark, *books, contract=CONTRACT):
 
 
 def cells_of(records):
+    """Row numbers and filled cells by header, of one worksheet."""
+    keys = workbooks.sheet_list(records).first()["header_keys"]
     rows = records.filter("record = 'row'").orderBy("row_number").collect()
-    return [(r["row_number"], {k: (c["kind"], c["text"]) for k, c in r["cells"].items()}) for r in rows]
+    assert all(len(r["cells"]) == len(keys) for r in rows)
+    named = [(r["row_number"], zip(keys, r["cells"], strict=True)) for r in rows]
+    return [(n, {k: (c["kind"], c["text"]) for k, c in cells if c["kind"]}) for n, cells in named]
 
 
 def test_cell_kinds_and_row_numbers(spark):
@@ -111,6 +115,9 @@ def test_missing_tokens_flags_and_note_dates(spark, contract):
     records = scanned(spark, workbook_bytes({"Overdue": sheet}), contract=contract)
     columns = ["line_id", "sla_days_remaining", "follow_up_notes", "item"]
     rows = workbooks.sheet_rows(records, columns, contract).orderBy("source_row_number")
+    assert workbooks.sheet_list(records).first()["filled_cells"] == {
+        "line_id": 2, "sla_days_remaining": 1, "follow_up_notes": 2, "item": 1,
+    }
     assert [tuple(r)[2:] for r in rows.collect()] == [
         (2, "1", "1", "2026-08-05", None, date(2026, 8, 5)),
         (3, "2", None, "5/8 text", " NA ", None),
@@ -147,7 +154,7 @@ def test_discovery(spark, tmp_path, contract):
     nested.mkdir()
     for name in ("notes.xlsx", "~$operations_2026-08-01.xlsx", "x_2026-08-01.csv", "OLD 31.07.2026.xlsm"):
         (nested / name).touch()
-    files = discovery.snapshot_files(discovery.list_files(spark, str(tmp_path), contract), contract)
+    files = discovery.snapshot_files(discovery.list_files(str(tmp_path), spark), contract)
     assert files.count() == 4
     assert [r["source_file"] for r in discovery.undated_files(files).collect()] == ["notes.xlsx"]
     numbered = discovery.snapshot_order(files).orderBy("snapshot_order").collect()
@@ -157,7 +164,32 @@ def test_discovery(spark, tmp_path, contract):
         (3, "operations_snapshot_2026-08-02.xlsx"),
     ]
     with pytest.raises(FileNotFoundError):
-        discovery.list_files(spark, str(tmp_path / "none"), contract)
+        discovery.list_files(str(tmp_path / "none"), spark)
+
+
+HIDDEN = ("_archive/c_2026-08-03.xlsx", ".d_2026-08-04.xlsx", "_b_2026-08-02.xlsx", "2024/e_2026-08-05.xlsx",
+          "2024/deep/._f/a{b,c}_2026-08-06.xlsx", "a_2026-08-01.xlsx", "~$a_2026-08-01.xlsx")
+
+
+@pytest.mark.parametrize(
+    "patterns",
+    [("*.xlsx",), ("2024/*.xlsx",), ("2024/**/*.xlsx",), ("a{b,c}*.xlsx", "_*.xlsx"), ("[!a]_*.xlsx",), ("?_2026*",), ("[_.]*",)],
+)
+def test_patterns_name_files_as_a_recursive_glob_does(spark, tmp_path, patterns):
+    for name in HIDDEN:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).touch()
+    files = discovery.snapshot_files(discovery.list_files(str(tmp_path), spark), Contract(file_patterns=patterns))
+    expected = {p for pattern in patterns for p in tmp_path.rglob(pattern) if p.is_file() and not p.name.startswith("~$")}
+    assert {r["path"] for r in files.collect()} == {f"file:{p}" for p in expected}
+    assert expected
+
+
+def test_an_inventory_stands_for_a_folder(spark, contract):
+    rows = [("s3://b/in/a_2026-08-01.xlsx", 5), ("s3://b/in/_b_2026-08-02.xlsm", 0), ("s3://b/in/c.csv", 1)]
+    inventory = spark.createDataFrame(rows, "path STRING, length INT")
+    files = discovery.snapshot_files(discovery.list_files(inventory, spark), contract).orderBy("path").collect()
+    assert [(r["source_file"], r["length"]) for r in files] == [("_b_2026-08-02.xlsm", 0), ("a_2026-08-01.xlsx", 5)]
 
 
 def test_order_within_a_date_ignores_case_then_takes_the_path(spark):

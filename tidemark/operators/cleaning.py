@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.contract import BLANK_ROW, COPIES, ROW_NUMBER, Contract
+from tidemark.contract import BLANK_ROW, COPIES, DIGEST, ROW_NUMBER, Contract
 from tidemark.functions.text import trim_text, whole_identifier
 from tidemark.functions.values import calendar_date, whole_number
 
@@ -110,22 +110,25 @@ def content_digest(columns: Sequence[str]) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
-def collapse_digests(marked: DataFrame, contract: Contract, scope: Sequence[str]) -> DataFrame:
+def digested_values(rows: DataFrame, contract: Contract) -> DataFrame:
+    """:func:`marked_values` with the digest of every row's content, for counting copies later."""
+    business = contract.business_columns(rows.columns)
+    return marked_values(rows, contract).withColumn(DIGEST, content_digest(business))
+
+
+def collapse_digests(digested: DataFrame, contract: Contract, scope: Sequence[str]) -> DataFrame:
     """:func:`collapse_sheets` for counting only: content is grouped by its digest.
 
-    Only the worksheet, the id and the digest are shuffled, not the rows.
+    Only the worksheet, the id, the mark and the digest are read and shuffled, not the rows.
     """
-    business = contract.business_columns(marked.columns)
-    narrow = marked.select(
-        *scope, contract.id_column, BLANK_ROW, content_digest(business).alias("_digest")
-    )
+    narrow = digested.select(*scope, contract.id_column, BLANK_ROW, DIGEST)
     return narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
 
 def clean_rows(marked: DataFrame, contract: Contract) -> DataFrame:
     """The rows that hold a value and an id, without their marks."""
     kept = marked.filter(~F.col(BLANK_ROW) & F.col(contract.id_column).isNotNull())
-    return kept.drop(BLANK_ROW, COPIES)
+    return kept.drop(BLANK_ROW, COPIES, DIGEST)
 
 
 def clean_metrics(

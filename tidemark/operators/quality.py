@@ -184,10 +184,15 @@ def severity_totals(issues: DataFrame) -> DataFrame:
     return issues.groupBy("severity").agg(F.sum("count").alias("issue_count"))
 
 
+def gate_status(issues: DataFrame) -> DataFrame:
+    """Whether a run may publish, in one row: ``errors`` (summed counts of blocking issues) and ``publishes``."""
+    totals = issues.agg(F.coalesce(F.sum(F.when(F.col("severity") == ERROR, F.col("count"))), F.lit(0)).alias("errors"))
+    return totals.withColumn("publishes", F.col("errors") == 0)
+
+
 def raise_for_errors(issues: DataFrame, kept_in: str | None = None) -> None:
     """Stop the run when any blocking issue was found; the error says where they are kept."""
-    totals = issues.filter(F.col("severity") == ERROR).agg(F.sum("count").alias("errors"))
-    errors = totals.first()["errors"] or 0
-    if errors:
+    gate = gate_status(issues).first()
+    if not gate["publishes"]:
         place = f" See {kept_in}." if kept_in else ""
-        raise QualityGateError(f"Publication blocked by {errors} data-quality error(s).{place}")
+        raise QualityGateError(f"Nothing is published while blocking issues count {gate['errors']}.{place}")

@@ -15,7 +15,7 @@ them anyway. They are counted by content digest, which shuffles a few bytes per
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,10 +34,9 @@ from tidemark.operators import cleaning, contracts, history, quality
 from tidemark.plans.report import METRICS, quality_report
 from tidemark.sinks import database, tables
 from tidemark.sources import discovery, workbooks
-from tidemark.staging import Stage, job_settings
+from tidemark.staging import Stage, job_session
 
 ROW_SCOPE = (ROW_PATH, ROW_SHEET)
-BROADCAST_FILES = 500_000  # about 100 MB of paths, names, dates and numbers
 
 
 @dataclass
@@ -64,14 +63,12 @@ class Ingested:
     rows: DataFrame
 
 
-def ingest(spark: SparkSession, folder: str, contract: Contract, stage: Stage) -> Ingested:
-    """Scan, check and clean all workbooks below ``folder``."""
-    listed = discovery.snapshot_files(discovery.list_files(spark, folder, contract), contract)
+def ingest(spark: SparkSession, source: str | DataFrame, contract: Contract, stage: Stage) -> Ingested:
+    """Scan, check and clean all workbooks of a folder or an inventory."""
+    listed = discovery.snapshot_files(discovery.list_files(source, spark, stage), contract)
     files = stage.write(listed, "files")
     numbered = stage.write(discovery.snapshot_order(files), "numbered_files")
-    scanned = workbooks.scan_workbooks(spark, folder, contract)
-    found = scanned.unionByName(workbooks.empty_file_records(files))
-    records = stage.write(found, "records", partition_by=("record",))
+    records = stage.write(workbooks.scan_workbooks(files, contract), "records", partition_by=("record",))
     return ingest_records(files, numbered, records, contract, stage)
 
 
@@ -82,12 +79,13 @@ def ingest_records(
     failures = stage.write(workbooks.read_failures(records), "failures")
     readable = without(records, failures.select("path"))
     columns = header_columns(readable, numbered, contract)
-    rows = workbooks.sheet_rows(readable, columns, contract)
-    sheets = stage.write(sheet_status(readable, rows, columns, contract), "sheets")
+    places = stage.write(workbooks.layouts(readable, columns, contract), "layouts")
+    rows = workbooks.sheet_rows(readable, columns, contract, places)
+    sheets = stage.write(sheet_status(readable, contract), "sheets")
 
     kept = filled_columns(sheets, columns)
     failing = stage.write(row_scope(sheets.filter(~F.col("passes"))), "failing")
-    stamped = contracts.stamp_lineage(without(rows, failing), within_reach(numbered), contract)
+    stamped = contracts.stamp_lineage(without(rows, failing), numbered, contract)
     ordered = stamped.select(
         *LINEAGE_COLUMNS,
         *kept,
@@ -95,7 +93,7 @@ def ingest_records(
         ROW_NUMBER,
         NOTE_CELL_DATE,
     )
-    typed = stage.write(cleaning.marked_values(ordered, contract), "rows")
+    typed = stage.write(cleaning.digested_values(ordered, contract), "rows")
     return Ingested(files, records, sheets, typed)
 
 
@@ -108,14 +106,6 @@ def without(rows: DataFrame, excluded: DataFrame) -> DataFrame:
     return rows if excluded.isEmpty() else rows.join(excluded, excluded.columns, "left_anti")
 
 
-def within_reach(files: DataFrame) -> DataFrame:
-    """The files table, marked for broadcast while it has at most ``BROADCAST_FILES`` rows.
-
-    Beyond that, Spark joins by sorting and splits a file that holds too many rows.
-    """
-    return F.broadcast(files) if files.count() <= BROADCAST_FILES else files
-
-
 def undelivered(columns: list[str], contract: Contract) -> list[str]:
     """Columns the history cannot do without, where no worksheet delivered them."""
     needed = (contract.id_column, contract.follow_up_notes_column)
@@ -149,12 +139,11 @@ def row_scope(sheets: DataFrame) -> DataFrame:
     return sheets.select(F.col("path").alias(ROW_PATH), F.col("sheet_key").alias(ROW_SHEET))
 
 
-def sheet_status(
-    records: DataFrame, rows: DataFrame, columns: list[str], contract: Contract
-) -> DataFrame:
-    """Every expected worksheet with its filled cells per column and what it violates."""
-    filled = contracts.filled_cells(rows, columns, ROW_SCOPE)
-    filled = filled.withColumnsRenamed({ROW_PATH: "path", ROW_SHEET: "sheet_key"})
+def sheet_status(records: DataFrame, contract: Contract) -> DataFrame:
+    """Every expected worksheet with its filled cells per header and what it violates.
+
+    The reader has counted the cells, so the rows are not read for this.
+    """
     missing = contracts.missing_required(contract)
     if contract.allow_empty_sheets:
         missing = F.when(F.col("raw_rows") > 0, missing).otherwise(contracts.texts([]))
@@ -163,9 +152,8 @@ def sheet_status(
         "reserved_columns": F.array_intersect("header_keys", contracts.texts(LINEAGE_COLUMNS)),
         "missing_columns": missing,
     }
-    joined = workbooks.sheet_list(records).join(filled, ["path", "sheet_key"], "left")
     found = sum((F.size(name) for name in violations), F.lit(0))
-    return joined.withColumns(violations).withColumn("passes", found == 0)
+    return workbooks.sheet_list(records).withColumns(violations).withColumn("passes", found == 0)
 
 
 def filled_columns(sheets: DataFrame, columns: list[str]) -> list[str]:
@@ -292,35 +280,52 @@ def resolve_history(rows: DataFrame, contract: Contract) -> DataFrame:
 
 def run_job(
     spark: SparkSession,
-    folder: str,
+    source: str | DataFrame,
     contract: Contract | None = None,
     output: str | None = None,
     database_url: str | None = None,
     csv: bool = False,
+    database_properties: dict[str, str] | None = None,
+    database_connections: int | None = None,
 ) -> JobResult:
-    """Build, check and publish the tables of all workbooks below ``folder``.
+    """Build, check and publish the tables of all workbooks below a folder, or of an inventory.
 
     Raises :class:`~tidemark.errors.QualityGateError` when a blocking issue was found;
     nothing is published then. The source files are only read. Without ``output`` the
-    tables stay in the stage folder of the run.
+    tables stay in the stage folder of the run; with it, the stage is removed after success
+    and kept after a failure. Settings of the run hold in a session of its own.
     """
     contract = contract or Contract()
-    with job_settings(spark):
-        result, target = build_tables(spark, folder, contract, output)
-        if output:
-            publish_tables(result, target, output, csv)
-        if database_url:
-            database.write_database(result.history, database_url, contract)
-    return result
+    session = job_session(spark)
+    result, target, stage = build_tables(session, source, contract, output)
+    if output:
+        publish_tables(result, target, output, csv)
+    if database_url:
+        database.write_database(
+            result.history, database_url, contract, database_properties, database_connections
+        )
+    if output:
+        stage.remove()
+    return in_session(result, target, spark)
+
+
+def in_session(result: JobResult, target: str, spark: SparkSession) -> JobResult:
+    """The result with its tables opened in the caller's session."""
+    names = {"history": tables.HISTORY, "latest_position": tables.LATEST, "summary": tables.SUMMARY}
+    names |= {"issues": tables.ISSUES, "report": tables.REPORT_TABLE}
+    opened = {
+        field: tables.read_table(spark, f"{target}/{name}", getattr(result, field).schema) for field, name in names.items()
+    }
+    return replace(result, **opened)
 
 
 def build_tables(
-    spark: SparkSession, folder: str, contract: Contract, output: str | None
-) -> tuple[JobResult, str]:
+    spark: SparkSession, source: str | DataFrame, contract: Contract, output: str | None
+) -> tuple[JobResult, str, Stage]:
     """All tables of a run, written to its own folder and past the quality gate."""
     started = datetime.now(UTC)
     stage = Stage(spark)
-    ingested = ingest(spark, folder, contract, stage)
+    ingested = ingest(spark, source, contract, stage)
     target = tables.run_folder(output, stage.run_id) if output else stage.root
     resolved = tables.write_history(resolve_history(ingested.rows, contract), target, contract)
     counters = run_counters(ingested, resolved, contract)
@@ -332,8 +337,8 @@ def build_tables(
     latest = tables.write_table(latest, target, tables.LATEST)
     totals = tables.write_table(history.summary(resolved, contract), target, tables.SUMMARY)
     metrics = run_metrics_frame(spark, counters)
-    report = quality_report(issues, metrics, started, datetime.now(UTC))
-    return JobResult(resolved, latest, totals, issues, report, counters, stage.run_id), target
+    report = tables.write_table(quality_report(issues, metrics, started, datetime.now(UTC)), target, tables.REPORT_TABLE)
+    return JobResult(resolved, latest, totals, issues, report, counters, stage.run_id), target, stage
 
 
 def publish_tables(result: JobResult, target: str, output: str, csv: bool) -> None:
@@ -346,7 +351,7 @@ def publish_tables(result: JobResult, target: str, output: str, csv: bool) -> No
     if csv:
         for name, table in named.items():
             result.output_paths[f"{name}_csv"] = tables.write_csv(table, target, name)
-    tables.publish(result.history.sparkSession, output, result.run_id, datetime.now(UTC))
+    tables.publish(result.history.sparkSession, output, result.run_id, datetime.now(UTC), named)
 
 
 def run_metrics_frame(spark: SparkSession, counters: dict[str, int]) -> DataFrame:

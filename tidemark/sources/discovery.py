@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import fnmatch
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.contract import Contract
 from tidemark.functions.values import file_name, snapshot_date_from_name
-from tidemark.staging import cut_lineage
+from tidemark.sources.listing import list_folder, matching
+from tidemark.staging import Stage, cut_lineage
 
 # Fixed value: names of the lock files an office program leaves beside an open workbook.
 LOCK_FILE_PREFIX = "~$"
@@ -19,47 +17,30 @@ FILE_ORDER = ("snapshot_date", "file_sort_name", "path")
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above this many bits
 
 
-def scan_files(spark: SparkSession, folder: str, contract: Contract) -> DataFrame:
-    """Scan of every file below ``folder`` that a pattern names (``binaryFile`` columns).
+def list_files(source: str | DataFrame, spark: SparkSession, stage: Stage | None = None) -> DataFrame:
+    """``path``, ``relative`` and ``length`` of the files of a folder, or of an inventory that names them.
 
-    Contents are read only where the column is used.
+    An inventory is a table with ``path`` and ``length``, for stores whose listing is kept anyway; its patterns match
+    the end of the path.
     """
-    patterns = "{" + ",".join(contract.file_patterns) + "}"
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    try:
-        return reader.option("pathGlobFilter", patterns).load(folder)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"Input folder not found: {folder}") from error
-        raise
+    if isinstance(source, str):
+        return list_folder(spark, source, stage)
+    return source.select("path", F.col("path").alias("relative"), F.col("length").cast("bigint").alias("length"))
 
 
-def list_files(spark: SparkSession, folder: str, contract: Contract) -> DataFrame:
-    """Path and size of every file below ``folder`` that a pattern names.
+def snapshot_files(paths: DataFrame, contract: Contract) -> DataFrame:
+    """The snapshot files among ``paths``, each with its name and date (null if undated).
 
-    A scan passes over files without a single byte, but a snapshot whose upload failed
-    must be reported. The names Spark has listed anyway tell whether there are any.
+    Patterns match the path below the folder (``relative``), or ``path`` where nothing else is known.
     """
-    scanned = scan_files(spark, folder, contract).select("path", "length")
-    uris = scanned.inputFiles()
-    if len(uris) == scanned.count():
-        return scanned
-    uri = F.replace(F.col("uri"), F.lit("+"), F.lit("%2B"))
-    path = F.regexp_replace(F.url_decode(uri), "^file:/+", "file:/")
-    named = spark.createDataFrame([(name,) for name in uris], "uri STRING").select(path.alias("path"))
-    empty = named.join(scanned, "path", "left_anti").withColumn("length", F.lit(0).cast("bigint"))
-    return scanned.unionByName(empty)
-
-
-def snapshot_files(paths: DataFrame, contract: Contract) -> DataFrame:
-    """The snapshot files among ``paths``, each with its name and date (null if undated)."""
+    below = F.col("relative" if "relative" in paths.columns else "path")
     named = paths.withColumn("source_file", file_name(F.col("path")))
-    pattern = "|".join(fnmatch.translate(glob) for glob in contract.file_patterns)
     wanted = named.filter(
-        F.col("source_file").rlike(f"^(?:{pattern})")
-        & ~F.col("source_file").startswith(LOCK_FILE_PREFIX)
+        matching(below, contract.file_patterns) & ~F.col("source_file").startswith(LOCK_FILE_PREFIX)
+    )
+    return wanted.drop("relative").withColumn(
+        "snapshot_date", snapshot_date_from_name(F.col("source_file"))
     )
-    return wanted.withColumn("snapshot_date", snapshot_date_from_name(F.col("source_file")))
 
 
 def undated_files(files: DataFrame) -> DataFrame:

@@ -4,14 +4,17 @@ Every workbook is read inside the task that holds it; nothing passes the driver.
 scan yields three kinds of records, told apart by ``record``:
 
 * ``workbook``: sheet names, or the error that made the file unreadable,
-* ``sheet``: headers and the number of data rows of an expected worksheet,
-* ``row``: the cells of one worksheet row, keyed by canonical header.
+* ``sheet``: headers, filled cells per header and the number of data rows of an expected worksheet,
+* ``row``: the cells of one worksheet row, in the order of the headers.
+
+``layout`` stands for the list of headers: rows carry it, and the few different lists tell where a column is.
 
 A worksheet holds at most 2**20 rows by its format, which bounds the work of a task.
 """
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import zipfile
@@ -23,17 +26,17 @@ from xml.etree import ElementTree
 from xml.parsers import expat
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contract import NOTE_CELL_DATE, ROW_NUMBER, ROW_PATH, ROW_SHEET, Contract
-from tidemark.functions.text import canonical_name, missing_to_null
-from tidemark.sources.discovery import scan_files, snapshot_files
+from tidemark.functions.text import MISSING_TOKENS, canonical_name, missing_to_null
+from tidemark.sources.listing import read_bytes, spread
 
 RECORD_SCHEMA = (
     "record STRING, path STRING, sheet STRING, sheet_key STRING, row_number INT, "
     "names ARRAY<STRING>, name_keys ARRAY<STRING>, raw_rows INT, error STRING, "
-    "cells MAP<STRING, STRUCT<kind: STRING, text: STRING>>"
+    "layout STRING, filled ARRAY<INT>, cells ARRAY<STRUCT<kind: STRING, text: STRING>>"
 )
 _PLAIN_FIELDS = (
     pa.field("record", pa.string()),
@@ -45,9 +48,11 @@ _PLAIN_FIELDS = (
     pa.field("name_keys", pa.list_(pa.string())),
     pa.field("raw_rows", pa.int32()),
     pa.field("error", pa.string()),
+    pa.field("layout", pa.string()),
+    pa.field("filled", pa.list_(pa.int32())),
 )
 _CELL = pa.struct([("kind", pa.string()), ("text", pa.string())])
-_ARROW_SCHEMA = pa.schema([*_PLAIN_FIELDS, pa.field("cells", pa.map_(pa.string(), _CELL))])
+_ARROW_SCHEMA = pa.schema([*_PLAIN_FIELDS, pa.field("cells", pa.list_(_CELL))])
 
 
 class _Record(NamedTuple):
@@ -62,13 +67,17 @@ class _Record(NamedTuple):
     name_keys: list[str] | None = None
     raw_rows: int | None = None
     error: str | None = None
+    layout: str | None = None
+    filled: list[int] | None = None
 
 
+_NO_CELL = (None, None)
 _RECORDS_PER_BATCH = 4096
 _CHUNK_BYTES = 1 << 18
 
 # Cell kinds.
 TEXT, NUMBER, FLAG, DATE, TIME = "text", "number", "flag", "date", "time"
+_MISSING = frozenset(MISSING_TOKENS)
 
 # Number formats that mean a date or a time in every workbook.
 _DATE_FORMAT_IDS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
@@ -286,30 +295,39 @@ def _headers(cells: Cells) -> dict[int, str]:
 
 def _sheet_records(book: _Book, path: str, sheet: str, key: str) -> Iterator[tuple]:
     headers: dict[int, str] = {}
-    columns: dict[int, str] = {}  # of colliding headers only the first holds cells
-    last = 1
+    name_keys: list[str] = []
+    places: dict[int, int] = {}  # of colliding headers only the first holds cells
+    filled: list[int] = []
+    layout, last = "", 1
     with book.open_sheet(sheet) as stream:
         for number, cells in _sheet_rows(book, stream):
             if cells:
                 last = number
             if number == 1:
                 headers = _headers(cells)
-                for index, name in headers.items():
-                    column = canonical_name(name).lower()
-                    if column not in columns.values():
-                        columns[index] = column
+                name_keys = [canonical_name(name).lower() for name in headers.values()]
+                places = {i: n for n, i in enumerate(headers) if name_keys.index(name_keys[n]) == n}
+                filled = [0] * len(headers)
+                layout = hashlib.md5("\x1f".join(name_keys).encode()).hexdigest()
                 continue
-            named = {columns[i]: v for i, v in cells.items() if i in columns and v[1] is not None}
-            if named:
-                yield _Record("row", path, sheet, key, row_number=number), named
+            row, any_cell = [_NO_CELL] * len(filled), False
+            for index, value in cells.items():
+                place = places.get(index)
+                if place is not None and value[1] is not None:
+                    row[place], any_cell = value, True
+                    if value[0] != TEXT or value[1] not in _MISSING:
+                        filled[place] += 1
+            if any_cell:
+                yield _Record("row", path, sheet, key, row_number=number, layout=layout), row
     names = list(headers.values())
-    name_keys = [canonical_name(name).lower() for name in names]
-    yield _Record("sheet", path, sheet, key, None, names, name_keys, last - 1), {}
+    yield _Record("sheet", path, sheet, key, None, names, name_keys, last - 1, layout=layout, filled=filled), []
 
 
 def _workbook_records(path: str, content: bytes, wanted: Sequence[str]) -> Iterator[tuple]:
     names: list[str] = []
     try:
+        if not content:
+            raise ValueError("The file is empty.")
         book = _Book(content)
         names = list(book.sheets)
         for name in names:
@@ -319,22 +337,26 @@ def _workbook_records(path: str, content: bytes, wanted: Sequence[str]) -> Itera
     except Exception as failure:  # an unreadable file is a finding, not a crash
         error = f"{type(failure).__name__}: {failure}"
     name_keys = [canonical_name(name) for name in names]
-    yield _Record("workbook", path, names=names, name_keys=name_keys, error=error), {}
+    yield _Record("workbook", path, names=names, name_keys=name_keys, error=error), []
 
 
-def _to_arrow(block: list[tuple[_Record, dict[str, tuple[str, str]]]]) -> pa.RecordBatch:
+def _to_arrow(block: list[tuple[_Record, list[tuple[str | None, str | None]]]]) -> pa.RecordBatch:
     """Records and their cells as one batch, built column by column."""
     plain = zip(*[record for record, _ in block], strict=True)
-    cells = [named for _, named in block]
-    offsets = list(accumulate((len(named) for named in cells), initial=0))
-    values = [value for named in cells for value in named.values()]
+    offsets = list(accumulate((len(cells) for _, cells in block), initial=0))
+    values = [value for _, cells in block for value in cells]
     kinds, texts = pa.array([v[0] for v in values], pa.string()), pa.array([v[1] for v in values], pa.string())
-    keys = pa.array([key for named in cells for key in named], pa.string())
-    cell_map = pa.MapArray.from_arrays(
-        pa.array(offsets, pa.int32()), keys, pa.StructArray.from_arrays([kinds, texts], ["kind", "text"])
+    cell_list = pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([kinds, texts], ["kind", "text"])
     )
     columns = [pa.array(v, f.type) for v, f in zip(plain, _PLAIN_FIELDS, strict=True)]
-    return pa.RecordBatch.from_arrays([*columns, cell_map], schema=_ARROW_SCHEMA)
+    return pa.RecordBatch.from_arrays([*columns, cell_list], schema=_ARROW_SCHEMA)
+
+
+def _blocks(path: str, content: bytes, wanted: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    records = _workbook_records(path, content, wanted)
+    while block := list(islice(records, _RECORDS_PER_BATCH)):
+        yield _to_arrow(block)
 
 
 def parse_workbooks(files: DataFrame, contract: Contract) -> DataFrame:
@@ -344,34 +366,32 @@ def parse_workbooks(files: DataFrame, contract: Contract) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for index in range(batch.num_rows):
-                records = _workbook_records(
-                    batch["path"][index].as_py(), batch["content"][index].as_py(), wanted
-                )
-                while block := list(islice(records, _RECORDS_PER_BATCH)):
-                    yield _to_arrow(block)
+                yield from _blocks(batch["path"][index].as_py(), batch["content"][index].as_py(), wanted)
 
     return files.select("path", "content").mapInArrow(read, RECORD_SCHEMA)
 
 
-def scan_workbooks(spark: SparkSession, folder: str, contract: Contract) -> DataFrame:
-    """Records of the dated workbooks below ``folder``.
+def scan_workbooks(files: DataFrame, contract: Contract) -> DataFrame:
+    """Records of the dated workbooks among ``files`` (``path``, ``length``, ``snapshot_date``).
 
-    Whether a file counts follows from its own path, so no join stands between the
-    scan and the reader, and file contents are never shuffled.
+    A task opens its files one after the other, so it holds one of them at a time. A file
+    that cannot be opened is a finding like one that cannot be read.
     """
-    contents = scan_files(spark, folder, contract).select("path", "content")
-    dated = snapshot_files(contents, contract).filter(F.col("snapshot_date").isNotNull())
-    return parse_workbooks(dated, contract)
+    wanted = contract.sheet_keys
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                try:
+                    content = read_bytes(path)
+                except OSError as failure:
+                    record = _Record("workbook", path, names=[], name_keys=[], error=f"{type(failure).__name__}: {failure}")
+                    yield _to_arrow([(record, [])])
+                else:
+                    yield from _blocks(path, content, wanted)
 
-def empty_file_records(files: DataFrame) -> DataFrame:
-    """Records of dated files without a byte, which no scan delivers."""
-    empty = files.filter((F.col("length") == 0) & F.col("snapshot_date").isNotNull())
-    none = empty.sparkSession.createDataFrame([], RECORD_SCHEMA)
-    found = empty.select(
-        F.lit("workbook").alias("record"), "path", F.lit("The file is empty.").alias("error")
-    )
-    return none.unionByName(found, allowMissingColumns=True)
+    dated = spread(files.filter(F.col("snapshot_date").isNotNull()).select("path", "length"))
+    return dated.select("path").mapInArrow(read, RECORD_SCHEMA)
 
 
 def workbook_list(records: DataFrame) -> DataFrame:
@@ -395,7 +415,17 @@ def sheet_list(records: DataFrame) -> DataFrame:
         F.col("names").alias("headers"),
         F.col("name_keys").alias("header_keys"),
         "raw_rows",
+        filled_by_header().alias("filled_cells"),
+    )
+
+
+def filled_by_header() -> Column:
+    """Cells with a value by canonical header, as a map; of colliding headers the first counts."""
+    keys = F.array_distinct("name_keys")
+    count = F.transform(
+        keys, lambda key: F.get("filled", F.array_position("name_keys", key).cast("int") - 1).cast("bigint")
     )
+    return F.map_from_arrays(keys, count)
 
 
 def source_columns(headers: Sequence[str]) -> list[str]:
@@ -408,13 +438,34 @@ def cell_text(cell: Column) -> Column:
     return F.when(cell["kind"] == TEXT, missing_to_null(cell["text"])).otherwise(cell["text"])
 
 
-def sheet_rows(records: DataFrame, columns: Sequence[str], contract: Contract) -> DataFrame:
-    """Worksheet rows with one text column per source column.
+def _read_columns(columns: Sequence[str], contract: Contract) -> list[str]:
+    note = contract.follow_up_notes_column
+    return [*columns, *([note] if note not in columns else [])]
+
+
+def layouts(records: DataFrame, columns: Sequence[str], contract: Contract) -> DataFrame:
+    """For every list of headers, where each column to read stands in it (0: nowhere); one row per list."""
+    wanted = F.array(*[F.lit(name) for name in _read_columns(columns, contract)]).cast("array<string>")
+    known = records.filter(F.col("record") == "sheet").select("layout", "name_keys").distinct()
+    return known.select(
+        "layout", F.transform(wanted, lambda name: F.array_position("name_keys", name).cast("int")).alias("places")
+    )
+
+
+def sheet_rows(
+    records: DataFrame, columns: Sequence[str], contract: Contract, places: DataFrame | None = None
+) -> DataFrame:
+    """Worksheet rows with one text column per source column, taken by its place in the row.
+
+    ``places`` are the :func:`layouts` of the records, if a caller has written them.
 
     Two kinds of cells mean more than their text: a flag in a number column counts as
     one or zero, and a date in the notes column is kept beside the text.
     """
-    cells = F.col("cells")
+    note, named = contract.follow_up_notes_column, _read_columns(columns, contract)
+    places = layouts(records, columns, contract) if places is None else places
+    rows = records.filter(F.col("record") == "row").join(places, "layout")
+    cells = {name: F.get("cells", F.get("places", F.lit(i)) - 1) for i, name in enumerate(named)}
     values = []
     for name in columns:
         value = cell_text(cells[name])
@@ -422,11 +473,10 @@ def sheet_rows(records: DataFrame, columns: Sequence[str], contract: Contract) -
             flag = F.when(cells[name]["text"] == "True", "1").otherwise("0")
             value = F.when(cells[name]["kind"] == FLAG, flag).otherwise(value)
         values.append(value.alias(name))
-    note = cells[contract.follow_up_notes_column]
-    return records.filter(F.col("record") == "row").select(
+    return rows.select(
         F.col("path").alias(ROW_PATH),
         F.col("sheet_key").alias(ROW_SHEET),
         F.col("row_number").alias(ROW_NUMBER),
         *values,
-        F.when(note["kind"] == DATE, note["text"].try_cast("date")).alias(NOTE_CELL_DATE),
+        F.when(cells[note]["kind"] == DATE, cells[note]["text"].try_cast("date")).alias(NOTE_CELL_DATE),
     )

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,17 +16,13 @@ from tidemark.errors import TidemarkError
 JOB_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
-@contextmanager
-def job_settings(spark: SparkSession) -> Iterator[None]:
-    """The settings of a job for the time of a block."""
-    before = {key: spark.conf.get(key) for key in JOB_SETTINGS}
-    try:
-        for key, value in JOB_SETTINGS.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+def job_session(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings and those of a job; the caller's own stay as they are."""
+    session = spark.newSession()
+    for key, value in {**spark.conf.getAll, **JOB_SETTINGS}.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    return session
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,6 +35,9 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
+        if named.startswith("file:") and not context.master.startswith("local"):
+            # It may be a network mount, which looks the same; a folder of one machine would fail at the next read.
+            warnings.warn(f"{named} must be a mount that all executors share.", stacklevel=2)
         return named
     if not context.master.startswith("local"):
         raise TidemarkError("Set spark.checkpoint.dir to a folder that all executors share.")
@@ -72,3 +70,8 @@ class Stage:
         schema = frame.schema
         frame.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
         return self.spark.read.schema(schema).parquet(self.path(name))
+
+    def remove(self) -> None:
+        """Delete the stage folder; results that a caller still reads must lie elsewhere."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
