@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from tidemark import Contract, ContractError, TidemarkError
@@ -12,17 +14,34 @@ class Recorder:
     """Stands for the history, its session and its writer."""
 
     def __init__(self):
-        self.statements, self.settings, self.written = [], {}, {}
-        self.sparkSession = self.conf = self.write = self
+        self.statements, self.settings, self.seen, self.written = [], {}, {}, {}
+        self.sparkSession = self.conf = self.write = self.catalog = self
+        self.tables, self.failing = {"historical_operations"}, None
         self.read, self.loaded = Loaded(), 3
         self.read.history = self
         self.columns = ["SNAPSHOT_DATE", "Line_Id"]
 
     def set(self, key, value):
-        self.settings[key] = value
+        self.settings[key] = self.seen[key] = value
+
+    def unset(self, key):
+        del self.settings[key]
+
+    def tableExists(self, name):
+        return name.split(".")[-1] in self.tables
 
     def sql(self, statement):
-        self.statements.append(statement)
+        """Keeps the statement without the catalog's name, and what it does to the names of tables."""
+        self.statements.append(re.sub(r"tidemark_\w{16}\.", "", statement))
+        words = statement.split()
+        if self.failing and self.failing in statement:
+            self.failing = None
+            raise RuntimeError("lost connection")
+        if words[:2] == ["ALTER", "TABLE"]:
+            self.tables.remove(words[2].split(".")[-1])
+            self.tables.add(words[-1].split(".")[-1])
+        elif words[:2] == ["DROP", "TABLE"]:
+            self.tables.discard(words[-1].split(".")[-1])
 
     def toDF(self, *names):
         self.written["columns"] = names
@@ -42,6 +61,7 @@ class Recorder:
 
     def save(self):
         self.statements.append("save")
+        self.tables.add(self.written["dbtable"].split(".")[-1])
 
     def count(self):
         return 3
@@ -67,21 +87,61 @@ class Loaded:
 URL = "jdbc:postgresql://host/db"
 
 
+SWAP = [
+    "DROP TABLE IF EXISTS analytics.historical_operations_old",
+    "ALTER TABLE analytics.historical_operations RENAME TO analytics.historical_operations_old",
+    "ALTER TABLE analytics.historical_operations_staging RENAME TO analytics.historical_operations",
+    "DROP TABLE IF EXISTS analytics.historical_operations_old",
+]
+
+
 def test_replace_loads_a_staging_table_and_swaps():
     history = Recorder()
     name = database.write_database(history, URL, Contract(), {"driver": "org.postgresql.Driver"})
     assert name == "analytics.historical_operations"
-    assert history.statements == [
-        "CREATE NAMESPACE IF NOT EXISTS tidemark_database.analytics",
-        "save",
-        "DROP TABLE IF EXISTS tidemark_database.analytics.historical_operations",
-        "ALTER TABLE tidemark_database.analytics.historical_operations_staging "
-        "RENAME TO analytics.historical_operations",
-    ]
+    assert history.statements == ["CREATE NAMESPACE IF NOT EXISTS " + history.statements[0].split()[-1], "save", *SWAP]
+    assert history.tables == {"historical_operations"}
     assert history.written["dbtable"] == "analytics.historical_operations_staging"
     assert history.written["columns"] == ("snapshot_date", "line_id")
     assert (history.written["mode"], history.written["batchsize"]) == ("overwrite", "5000")
-    assert history.settings["spark.sql.catalog.tidemark_database.url"] == URL
+    assert "numPartitions" not in history.written and history.written["driver"] == "org.postgresql.Driver"
+
+
+def test_a_first_load_has_nothing_to_set_aside():
+    history = Recorder()
+    history.tables = set()
+    database.write_database(history, URL, Contract(), connections=4)
+    assert history.statements[2:] == SWAP[2:]
+    assert history.tables == {"historical_operations"} and history.written["numPartitions"] == "4"
+
+
+def test_a_failing_swap_gives_the_old_table_its_name_back():
+    history = Recorder()
+    history.failing = "_staging RENAME"
+    with pytest.raises(RuntimeError, match="lost connection"):
+        database.write_database(history, URL, Contract())
+    assert "historical_operations" in history.tables and "historical_operations_old" not in history.tables
+    assert history.settings == {}
+
+
+def test_settings_are_there_while_the_target_is_open_and_gone_afterwards():
+    history = Recorder()
+    database.write_database(history, URL, Contract(), {"user": "u", "password": "secret"})
+    assert sorted(value for value in history.seen.values()) == sorted([database._CATALOG_CLASS, URL, "u", "secret"])
+    assert history.settings == {}
+
+
+def test_two_targets_have_two_catalogs():
+    names = [
+        database.catalog_name(URL, {}), database.catalog_name(URL + "2", {}), database.catalog_name(URL, {"user": "u"}),
+        database.catalog_name(URL, {"user": "v"}),
+    ]
+    assert len(set(names)) == 4
+    assert database.catalog_name(URL, {"a": "1", "b": "2"}) == database.catalog_name(URL, {"b": "2", "a": "1"})
+    first, second = Recorder(), Recorder()
+    database.write_database(first, URL, Contract())
+    database.write_database(second, URL + "2", Contract())
+    assert not set(first.seen) & set(second.seen)
 
 
 def test_a_staging_table_with_repeated_rows_is_not_swapped():

@@ -7,19 +7,23 @@ a run that fails leaves the published ones untouched.
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.contract import Contract, safe_identifier
 from tidemark.errors import TidemarkError
 
 HISTORY, LATEST, SUMMARY = "history", "latest_position", "summary"
 ISSUES, REPORT, REPORT_ISSUES = "quality_issues", "quality_report", "quality_report_issues"
+REPORT_TABLE = "report"
 TABLES = (HISTORY, LATEST, SUMMARY, ISSUES)
-_MANIFEST_SCHEMA = "run_id STRING, published_at TIMESTAMP"
+_MANIFEST_SCHEMA = "run_id STRING, published_at TIMESTAMP, schemas MAP<STRING, STRING>"
+_CATALOG_SCHEMA = "schema STRING, history STRING"
 
 
 def _join(*parts: str) -> str:
@@ -80,41 +84,78 @@ def write_report(report: DataFrame, issues: DataFrame, folder: str) -> dict[str,
     return paths
 
 
-def publish(spark: SparkSession, output: str, run_id: str, published_at: datetime) -> None:
-    """Make a finished run the current one."""
-    row = spark.createDataFrame([(run_id, published_at)], _MANIFEST_SCHEMA)
+def publish(
+    spark: SparkSession, output: str, run_id: str, published_at: datetime, tables: dict[str, DataFrame] | None = None
+) -> None:
+    """Make a finished run the current one; views that were registered on the output follow it.
+
+    The manifest row keeps the columns of the tables, because files that are partitioned by
+    date would give the date as the last one.
+    """
+    schemas = {name: table.schema.json() for name, table in (tables or {}).items()}
+    row = spark.createDataFrame([(run_id, published_at, schemas)], _MANIFEST_SCHEMA)
     row.coalesce(1).write.mode("append").json(_join(output, "manifest"))
+    for schema, history in _registered(spark, output):
+        _create_views(spark, output, schema, history)
 
 
-def current_run(spark: SparkSession, output: str) -> str:
-    """Folder of the newest published run."""
+def _newest(spark: SparkSession, output: str):
+    """Manifest row of the newest published run."""
     try:
         manifest = spark.read.schema(_MANIFEST_SCHEMA).json(_join(output, "manifest"))
-        newest = manifest.agg(F.max_by("run_id", F.struct("published_at", "run_id"))).first()[0]
+        row = F.struct("run_id", "schemas")
+        return manifest.agg(F.max_by(row, F.struct("published_at", "run_id")).alias("row")).first()["row"]
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise TidemarkError(f"Nothing has been published in {output}.") from error
         raise
-    return run_folder(output, newest)
+
+
+def current_run(spark: SparkSession, output: str) -> str:
+    """Folder of the newest published run."""
+    return run_folder(output, _newest(spark, output)["run_id"])
 
 
 def open_published(spark: SparkSession, output: str) -> dict[str, DataFrame]:
-    """The current tables by name, from one and the same run."""
-    folder = current_run(spark, output)
-    return {name: read_table(spark, _join(folder, name)) for name in TABLES}
+    """The current tables by name, from one and the same run, columns in the order of the run."""
+    newest = _newest(spark, output)
+    folder, schemas = run_folder(output, newest["run_id"]), newest["schemas"] or {}
+    known = {name: StructType.fromJson(json.loads(text)) for name, text in schemas.items()}
+    return {name: read_table(spark, _join(folder, name), known.get(name)) for name in TABLES}
 
 
 def register_catalog(spark: SparkSession, output: str, contract: Contract) -> None:
-    """Catalog views on the current run, in the contract's schema.
+    """Catalog views on the current run, in the contract's schema; :func:`publish` moves them on.
 
-    SQL written against the database table, ``schema.table``, runs on them unchanged.
+    SQL written against the database table, ``schema.table``, runs on them unchanged. Sessions that share the
+    catalog of the publishing session see the new run at once; another catalog registers again.
     """
-    folder, schema = current_run(spark, output), safe_identifier(contract.database_schema)
+    schema, history = safe_identifier(contract.database_schema), safe_identifier(contract.database_table)
+    _create_views(spark, output, schema, history)
+    if (schema, history) not in _registered(spark, output):
+        row = spark.createDataFrame([(schema, history)], _CATALOG_SCHEMA)
+        row.coalesce(1).write.mode("append").json(_join(output, "catalog"))
+
+
+def _registered(spark: SparkSession, output: str) -> list[tuple[str, str]]:
+    """Schema and name of the history of every registration, a handful of names."""
+    try:
+        known = spark.read.schema(_CATALOG_SCHEMA).json(_join(output, "catalog")).distinct().collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return [tuple(row) for row in known]
+
+
+def _create_views(spark: SparkSession, output: str, schema: str, history: str) -> None:
+    folder = current_run(spark, output)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    for name in TABLES:
-        view = safe_identifier(contract.database_table if name == HISTORY else name)
+    for name, table in open_published(spark, output).items():
+        view = history if name == HISTORY else name
         path = _join(folder, name).replace("`", "``")
-        spark.sql(f"CREATE OR REPLACE VIEW {schema}.{view} AS SELECT * FROM parquet.`{path}`")
+        columns = ", ".join("`" + column.replace("`", "``") + "`" for column in table.columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {schema}.{view} AS SELECT {columns} FROM parquet.`{path}`")
 
 
 def register_views(tables: dict[str, DataFrame], contract: Contract) -> None:
