@@ -196,7 +196,11 @@ SITE_PATHS = """site_events AS (
   SELECT *, CAST(ts AS DATE) AS day, CAST(CAST(ts AS DATE) AS VARCHAR) AS iso,
          strftime(ts, '%d.%m.%Y') AS dotted, 'site' || user_id || 's_' AS site FROM events),
 site_rows AS (
-  SELECT *, '/drop/area' || (user_id % 7) || '/' || CASE (user_id + day(day)) % 9
+  SELECT * EXCLUDE (plain),
+         '/drop/' || CASE user_id % 7 WHEN 3 THEN '_' WHEN 5 THEN '.' ELSE '' END || 'area' || (user_id % 7) || '/'
+         || CASE user_id % 10 WHEN 4 THEN '_' || plain
+                 WHEN 8 THEN '.operations_' || substr(plain, position('site' IN plain)) ELSE plain END AS path
+  FROM (SELECT *, CASE (user_id + day(day)) % 9
            WHEN 0 THEN 'Operations_' || site || iso || '.xlsx'
            WHEN 1 THEN 'operations_' || site || dotted || '.xlsm'
            WHEN 2 THEN 'snapshot_' || site || strftime(ts, '%d_%m_%Y') || '.xlsx'
@@ -205,8 +209,8 @@ site_rows AS (
            WHEN 5 THEN '~$operations_' || site || iso || '.xlsx'
            WHEN 6 THEN 'operations_' || site || iso || '.csv'
            WHEN 7 THEN 'operations_' || site || '1' || iso || '.xlsx'
-           ELSE 'operations_' || site || '2024-13-05 ' || dotted || '.xlsx' END AS path
-  FROM site_events)"""
+           ELSE 'operations_' || site || '2024-13-05 ' || dotted || '.xlsx' END AS plain
+        FROM site_events))"""
 
 _YEAR_FIRST = "'(?:^|[^0-9])([0-9]{4})[-_.]([0-9]{1,2})[-_.]([0-9]{1,2})(?:$|[^0-9])'"
 _DAY_FIRST = "'(?:^|[^0-9])([0-9]{1,2})[-_.]([0-9]{1,2})[-_.]([0-9]{4})(?:$|[^0-9])'"
@@ -299,6 +303,31 @@ book_daily AS (
   QUALIFY row_number() OVER (PARTITION BY snapshot_date, line_id ORDER BY {_NEWEST}) = 1)"""
 
 
+BROKEN = """broken AS (
+  SELECT * REPLACE (CASE WHEN source_row_number % 37 <> 0 THEN line_id END AS line_id,
+                    CASE WHEN source_row_number % 59 <> 0 THEN snapshot_date END AS snapshot_date)
+  FROM followed)"""
+
+FLAWED = """flawed AS (
+  SELECT CAST(ts AS DATE) AS day, day(ts) % 6 AS flaw, event_type, event_id,
+         CASE WHEN day(ts) % 6 = 5 THEN 'late' || dayofyear(ts) || '_part' || (event_id // 20000) || '.xlsx'
+              ELSE 'operations_' || CAST(ts AS DATE) || '_part' || (event_id // 20000) || '.xlsx' END AS source_file
+  FROM events),
+flaw_files AS (SELECT source_file, flaw, list(DISTINCT event_type) AS kinds FROM flawed GROUP BY ALL),
+flaw_issues AS (
+  SELECT 'SNAPSHOT_DATE_NOT_FOUND' AS code, 'warning' AS severity, CAST(1 AS BIGINT) AS count, source_file,
+         CAST(NULL AS VARCHAR) AS source_sheet FROM flaw_files WHERE flaw = 5
+  UNION ALL SELECT 'WORKBOOK_READ_FAILED', 'error', 1, source_file, NULL FROM flaw_files WHERE flaw = 0
+  UNION ALL SELECT 'UNEXPECTED_SHEETS', 'info', 2, source_file, NULL FROM flaw_files WHERE flaw = 2
+  UNION ALL SELECT 'MISSING_WORKSHEET', 'error', 1, source_file, kind
+  FROM flaw_files, (SELECT unnest(['error', 'signup', 'purchase', 'view', 'click']) AS kind)
+  WHERE flaw NOT IN (0, 5) AND (NOT list_contains(kinds, kind) OR (flaw = 1 AND kind = 'view'))
+  UNION ALL SELECT 'WORKSHEET_CONTRACT_FAILED', 'error', 1, source_file,
+                   upper(event_type[1]) || substr(event_type, 2)
+  FROM flawed WHERE flaw NOT IN (0, 5) AND NOT (flaw = 1 AND event_type = 'view')
+  GROUP BY source_file, event_type, flaw HAVING flaw = 3 OR count(*) FILTER (WHERE event_id % 13 <> 0) = 0)"""
+
+
 def _with(*tables: str, select: str) -> str:
     return "WITH " + ",\n".join(tables) + "\n" + select
 
@@ -452,6 +481,36 @@ QUALIFY record_hash <> lag(record_hash) OVER (
        (SELECT CAST(coalesce(sum(count), 0) AS BIGINT) FROM issues WHERE severity = 'warning') AS warnings,
        (SELECT string_agg(code || ':' || severity || ':' || count, ' ' ORDER BY code) FROM issues)
          AS issue_totals
+FROM run_metrics""",
+    ),
+    "blocking_issues": _with(MAPPED, follow_up("mapped"), BROKEN, issues("broken"), select="SELECT * FROM issues"),
+    "gate_status": _with(
+        MAPPED, DAILY, DERIVED.replace("followed", "derived_followed").replace("noted", "n2").replace("dated", "d2").replace("named", "m2"),
+        follow_up("mapped"), BROKEN, issues("broken"),
+        select="""SELECT 'broken' AS rows, CAST(coalesce(sum(count), 0) AS BIGINT) AS errors,
+  CASE WHEN coalesce(sum(count), 0) = 0 THEN 'yes' ELSE 'no' END AS publishes FROM issues WHERE severity = 'error'
+UNION ALL
+SELECT 'resolved', CAST(0 AS BIGINT), 'yes' WHERE EXISTS (SELECT 1 FROM derived)
+  AND NOT EXISTS (SELECT 1 FROM derived WHERE line_id IS NULL OR snapshot_date IS NULL)
+  AND (SELECT count(*) FROM derived) = (SELECT count(*) FROM (SELECT DISTINCT snapshot_date, line_id FROM derived))""",
+    ),
+    "source_issues": _with(FLAWED, select="SELECT * FROM flaw_issues"),
+    "empty_history_issues": _with(
+        MAPPED,
+        select="""SELECT code, 'error' AS severity, CAST(1 AS BIGINT) AS count
+FROM (VALUES ('EMPTY_HISTORY'), ('NO_INPUT_FILES'), ('OUTPUT_CONTRACT_FAILED')) AS codes(code)
+WHERE code = 'OUTPUT_CONTRACT_FAILED' OR NOT EXISTS (SELECT 1 FROM mapped WHERE snapshot_date < DATE '2024-01-01')""",
+    ),
+    "published_history": _with(MAPPED, DAILY, DERIVED, select="SELECT * FROM derived"),
+    "published_report": _with(
+        *_CLEANED,
+        RUN_METRICS,
+        *_RAW_ISSUES,
+        select="""SELECT CASE WHEN (SELECT count(*) FROM issues WHERE severity = 'error') = 0
+         THEN 'passed' ELSE 'failed' END AS status, run_metrics.*,
+       (SELECT CAST(coalesce(sum(count), 0) AS BIGINT) FROM issues WHERE severity = 'error') AS errors,
+       (SELECT CAST(coalesce(sum(count), 0) AS BIGINT) FROM issues WHERE severity = 'warning') AS warnings,
+       (SELECT CAST(sum(count) AS BIGINT) FROM issues) AS issue_count
 FROM run_metrics""",
     ),
     # sources and contract

@@ -13,6 +13,7 @@ from tidemark.catalog.samples import CONTRACT, DIRTY_COLUMNS, DIRTY_CONTRACT, HA
 from tidemark.functions import text, values
 from tidemark.operators import analytics, cleaning, contracts, history, quality
 from tidemark.plans import job, report
+from tidemark.sinks import tables
 from tidemark.sources import discovery, workbooks
 from tidemark.staging import Stage
 
@@ -252,7 +253,7 @@ def severity_totals(spark, sf_dir):
 @registered
 def run_metrics(spark, sf_dir):
     """The counters of a run over the dirty rows; the typed rows are computed once."""
-    typed = cleaning.marked_values(samples.dirty(spark, sf_dir), DIRTY_CONTRACT)
+    typed = cleaning.digested_values(samples.dirty(spark, sf_dir), DIRTY_CONTRACT)
     rows = Stage(spark).write(typed, "rows")
     copies = cleaning.collapse_digests(rows, DIRTY_CONTRACT, cleaning.SHEET_SCOPE)
     per_sheet = cleaning.clean_metrics(copies, DIRTY_CONTRACT)
@@ -284,6 +285,92 @@ def quality_report(spark, sf_dir):
     return row.select("status", "metrics.*", F.array_join(entry, " ").alias("issue_totals"))
 
 
+def _broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows before the daily state, some without an id or a date."""
+    rows = history.add_follow_up(samples.mapped(spark, sf_dir), CONTRACT)
+    number = F.col("source_row_number")
+    return rows.withColumns(
+        {
+            "line_id": F.when(number % 37 != 0, F.col("line_id")),
+            "snapshot_date": F.when(number % 59 != 0, F.col("snapshot_date")),
+        }
+    )
+
+
+@registered
+def blocking_issues(spark, sf_dir):
+    return quality.history_issues(_broken(spark, sf_dir), CONTRACT).select(*_ISSUE)
+
+
+@registered
+def gate_status(spark, sf_dir):
+    """The gate over resolved rows, which pass, and over broken ones."""
+    checked = {"resolved": _derived(spark, sf_dir), "broken": _broken(spark, sf_dir)}
+    parts = [
+        quality.gate_status(quality.history_issues(rows, CONTRACT)).select(
+            F.lit(name).alias("rows"), "errors", F.when(F.col("publishes"), "yes").otherwise("no").alias("publishes")
+        )
+        for name, rows in checked.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _flawed(spark: SparkSession, sf_dir: str, wanted: Column) -> job.Ingested:
+    """Files, records and worksheets of the flawed workbooks whose files are wanted."""
+    stage = Stage(spark)
+    paths = samples.flawed_rows(spark, sf_dir).filter(wanted).select("path").distinct()
+    files = stage.write(discovery.snapshot_files(paths, WORKBOOK_CONTRACT), "files")
+    dated = files.filter(F.col("snapshot_date").isNotNull()).select("path")
+    contents = samples.flawed_contents(spark, sf_dir).join(dated, "path", "left_semi")
+    records = stage.write(workbooks.parse_workbooks(contents, WORKBOOK_CONTRACT), "records", ("record",))
+    readable = job.without(records, workbooks.read_failures(records).select("path"))
+    sheets = stage.write(job.sheet_status(readable, WORKBOOK_CONTRACT), "sheets")
+    return job.Ingested(files, records, sheets, workbooks.sheet_rows(readable, [], WORKBOOK_CONTRACT))
+
+
+@registered
+def source_issues(spark, sf_dir):
+    """Issues of flawed files, workbooks and worksheets."""
+    found = job.source_issues(_flawed(spark, sf_dir, F.lit(True)), WORKBOOK_CONTRACT)
+    return quality.union_issues(found).select("code", "severity", "count", "source_file", "source_sheet")
+
+
+@registered
+def empty_history_issues(spark, sf_dir):
+    """Issues of a run whose files are all older than the first day, and whose history lacks its hash."""
+    early = F.col("start_date") < samples.FIRST_DAY
+    ingested = _flawed(spark, sf_dir, early)
+    resolved = _derived(spark, sf_dir).filter(F.col("snapshot_date") < samples.FIRST_DAY).drop("record_hash")
+    found = job.run_issues(spark, ingested, resolved, {"daily_duplicates_removed": 0}, WORKBOOK_CONTRACT)
+    return found.select("code", "severity", "count")
+
+
+@registered
+def published_history(spark, sf_dir):
+    """The history after a run has written and published it, opened as readers do."""
+    stage = Stage(spark)
+    output, folder = stage.path("out"), tables.run_folder(stage.path("out"), stage.run_id)
+    written = {"history": tables.write_history(_derived(spark, sf_dir), folder, CONTRACT)}
+    written["latest_position"] = tables.write_table(history.latest_position(written["history"], CONTRACT), folder, "latest_position")
+    written["summary"] = tables.write_table(history.summary(written["history"], CONTRACT), folder, "summary")
+    issues = quality.history_issues(written["history"], CONTRACT)
+    written["quality_issues"] = tables.write_table(issues, folder, "quality_issues")
+    tables.publish(spark, output, stage.run_id, datetime.now(UTC), written)
+    return tables.open_published(spark, output)["history"]
+
+
+@registered
+def published_report(spark, sf_dir):
+    """The report and its issues read back from the JSON files."""
+    now, folder = datetime.now(UTC), Stage(spark).root
+    issues = _unresolved_issues(spark, sf_dir)
+    row = report.quality_report(issues, run_metrics(spark, sf_dir), now, now)
+    paths = tables.write_report(row, issues, folder)
+    found = spark.read.json(paths[tables.REPORT])
+    kept = spark.read.json(paths[tables.REPORT_ISSUES]).agg(F.sum("count").alias("issue_count"))
+    return found.select("status", "metrics.*").withColumn("issue_count", kept.scalar())
+
+
 # --- sources and contract ---------------------------------------------------------------
 
 
@@ -382,7 +469,7 @@ _WORKBOOK_COLUMNS = [
 @registered
 def read_workbooks(spark, sf_dir):
     contents = samples.workbook_contents(spark, sf_dir)
-    records = workbooks.parse_workbooks(contents, WORKBOOK_CONTRACT)
+    records = Stage(spark).write(workbooks.parse_workbooks(contents, WORKBOOK_CONTRACT), "records", ("record",))
     return _shown(workbooks.sheet_rows(records, _WORKBOOK_COLUMNS, WORKBOOK_CONTRACT))
 
 

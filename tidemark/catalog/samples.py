@@ -128,7 +128,7 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def site_path() -> Column:
-    """Path of the file a user's events of one day came in, in nine spellings."""
+    """Path of the file a user's events of one day came in, in nine spellings; some names and folders look hidden."""
     day, user = _day(), F.col("user_id")
     style = (user + F.dayofmonth(day)) % 9
     start = F.when(style == 0, "Operations_").when(style == 2, "snapshot_").when(style == 5, "~$operations_")
@@ -142,9 +142,11 @@ def site_path() -> Column:
         .otherwise(day.cast("string"))
     )
     end = F.when(style == 1, ".xlsm").when(style == 6, ".csv").otherwise(".xlsx")
-    folder = F.concat(F.lit(f"{DROP_FOLDER}/area"), user % 7, F.lit("/"))
+    hidden = F.when(user % 7 == 3, "_").when(user % 7 == 5, ".").otherwise("")
+    folder = F.concat(F.lit(f"{DROP_FOLDER}/"), hidden, F.lit("area"), user % 7, F.lit("/"))
+    start = F.when(user % 10 == 4, F.concat(F.lit("_"), F.coalesce(start, F.lit("operations_")))).when(user % 10 == 8, ".operations_").otherwise(start)
     site = F.concat(F.lit("site"), user, F.lit("s_"))
-    return F.concat(folder, start.otherwise("operations_"), site, written, end)
+    return F.concat(folder, F.coalesce(start, F.lit("operations_")), site, written, end)
 
 
 def site_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +253,43 @@ def _sheet_values(rows: pd.DataFrame) -> Iterator[tuple]:
     return zip(*columns, rows["sla_status"], note, rows["start_date"], strict=True)
 
 
+FLAWS = ("cut short", "sheet missing", "sheet too many", "stage missing", "none", "undated")
+
+
+def _flaw(day: Column) -> Column:
+    return F.dayofmonth(day) % len(FLAWS)
+
+
+def flawed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbook rows with the flaw of their file; files of every sixth day have no date in their name."""
+    rows = workbook_rows(spark, sf_dir).withColumn("flaw", _flaw(F.col("start_date")))
+    undated = F.concat(F.lit(f"{DROP_FOLDER}/late"), F.dayofyear("start_date"), F.regexp_extract("path", "_part.*", 0))
+    return rows.withColumn("path", F.when(F.col("flaw") == FLAWS.index("undated"), undated).otherwise(F.col("path")))
+
+
+def flawed_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbook files with the flaw of their day: every issue that files and worksheets can have."""
+    rows = flawed_rows(spark, sf_dir).withColumn("sla_status", sla_status(F.col("sla_days_remaining")))
+    stage = _HEADER.index("Current Stage")
+
+    def build(batch: pd.DataFrame) -> pd.DataFrame:
+        flaw = FLAWS[batch["flaw"].iloc[0]]
+        groups = dict(list(batch.sort_values("event_id").groupby("event_type")))
+        if flaw == "sheet missing":
+            groups.pop("view", None)
+        sheets = {name.title(): [_HEADER, *_sheet_values(group)] for name, group in groups.items()}
+        if flaw == "stage missing":
+            sheets = {n: [row[:stage] + row[stage + 1 :] for row in rows] for n, rows in sheets.items()}
+        if flaw == "sheet too many":
+            sheets |= {"Notes": [("x",)], "More notes": [("x",)]}
+        content = workbook_bytes(sheets)
+        if flaw == "cut short":
+            content = content[: len(content) // 2]
+        return pd.DataFrame({"path": [batch["path"].iloc[0]], "content": [content]})
+
+    return rows.groupBy("path").applyInPandas(build, "path STRING, content BINARY")
+
+
 def damaged_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The workbook files, those of every fifth day cut short."""
     day = F.dayofmonth(F.regexp_extract("path", r"(\d{4}-\d{2}-\d{2})", 1).cast("date"))
