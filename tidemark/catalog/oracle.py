@@ -22,6 +22,12 @@ MAPPED = """mapped AS (
               WHEN event_id % 19 = 0 THEN '31/12 - carried'
               WHEN event_id % 23 = 0 THEN '31/02/2024 - bad'
               WHEN event_id % 29 = 0 THEN '10/02 - planned'
+              WHEN event_id % 31 = 0
+                THEN day(ts) || '-' || month(ts) || '-' || lpad(CAST(year(ts) % 100 AS VARCHAR), 2, '0') || ' short year'
+              WHEN event_id % 37 = 0 THEN '29/02 - leap day'
+              WHEN event_id % 41 = 0 THEN '29/02/2023 - no such day'
+              WHEN event_id % 43 = 0 THEN '1/1/999 - three digits'
+              WHEN event_id % 47 = 0 THEN '01-01-2300 - out of range'
               ELSE strftime(CAST(ts AS DATE) - CAST(event_id % 6 AS INTEGER), '%d/%m/%Y') || ' - reviewed'
          END AS follow_up_notes
   FROM events)"""
@@ -86,13 +92,18 @@ raw AS (
          event_id + 2 + shift AS source_row_number,
          event_id % 101 = 0 AS blank_row,
          CASE WHEN event_id % 37 = 0 THEN NULL WHEN event_id % 41 = 0 THEN '   '
+              WHEN event_id % 83 = 0 THEN chr(160) || chr(8195)
               ELSE 'LINE-' || user_id END AS line_id,
-         (event_id % 97) || '.0' AS request_id,
+         CASE WHEN event_id % 19 = 0 THEN '-' WHEN event_id % 23 = 0 THEN 'R-' ELSE '' END || (event_id % 97)
+           || CASE WHEN event_id % 29 = 0 THEN '.05' WHEN event_id % 3 = 0 THEN '.000' ELSE '.0' END AS request_id,
          CASE WHEN event_id % 13 = 0 THEN NULL
               WHEN event_id % 3 = 0 THEN chr(9) || ' ' || event_type || ' ' || chr(9)
+              WHEN event_id % 7 = 0 THEN chr(160) || event_type || chr(12288) || chr(133)
               ELSE event_type END AS current_stage,
          CASE WHEN event_id % 17 = 0 THEN 'n/a' WHEN event_id % 31 = 0 THEN '1,000'
               WHEN event_id % 43 = 0 THEN '5d' WHEN event_id % 47 = 0 THEN '2.5'
+              WHEN event_id % 59 = 0 THEN '+5' WHEN event_id % 61 = 0 THEN '1e1' WHEN event_id % 67 = 0 THEN '.5'
+              WHEN event_id % 71 = 0 THEN '7.' WHEN event_id % 73 = 0 THEN '-12.00'
               ELSE CAST(CAST(floor(value / 10) - 10 AS INTEGER) AS VARCHAR) END AS sla_days_remaining,
          CASE WHEN event_id % 53 = 0 THEN 'x'
               WHEN event_id % 5 = 0 THEN strftime(CAST(ts AS DATE), '%d/%m/%Y')
@@ -109,8 +120,11 @@ dirty AS (
   FROM raw)"""
 
 
+_SPACE = r"[\s\x{85}\x{a0}\x{2003}\x{3000}]"  # of the white space that strips, what the rows hold
+
+
 def _trimmed(column: str) -> str:
-    return rf"nullif(regexp_replace({column}, '^\s+|\s+$', '', 'g'), '')"
+    return rf"nullif(regexp_replace({column}, '^{_SPACE}+|{_SPACE}+$', '', 'g'), '')"
 
 
 _NUMBER = """CASE WHEN regexp_full_match({0}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')
@@ -274,14 +288,15 @@ fills AS (
 WORKBOOKS = """book_rows AS (
   SELECT '/drop/operations_' || CAST(ts AS DATE) || '_part' || (event_id // 20000) || '.xlsx' AS path,
          CAST(ts AS DATE) AS day, event_id, event_type,
-         CAST(row_number() OVER (PARTITION BY CAST(ts AS DATE), event_id // 20000, event_type
-                                 ORDER BY event_id) + 1 AS INTEGER) AS source_row_number,
+         CAST(row_number() OVER sheet + 1 + count(*) FILTER (event_id % 50 = 0) OVER sheet
+              - CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END AS INTEGER) AS source_row_number,
          'LINE-' || user_id AS line_id, CAST(event_id % 97 AS VARCHAR) AS request_id,
          CASE WHEN event_id % 13 <> 0 THEN event_type END AS stage,
          CAST(floor(value / 10) - 10 AS BIGINT) AS sla,
          CASE WHEN event_id % 31 = 0 THEN CAST(ts AS DATE) - 3 END AS note_cell_date,
          strftime(ts, '%d/%m') || ' - reviewed' AS note
-  FROM events)"""
+  FROM events
+  WINDOW sheet AS (PARTITION BY CAST(ts AS DATE), event_id // 20000, event_type ORDER BY event_id))"""
 
 WORKBOOK_HISTORY = f"""book_files AS (
   SELECT path, day, row_number() OVER (ORDER BY day, lower(parse_filename(path)), path) AS snapshot_order
@@ -346,13 +361,13 @@ ORACLE: dict[str, str] = {
     "drop_blank_rows": _with(DIRTY, select=f"SELECT * FROM dirty WHERE {_NOT_BLANK}"),
     "trim_text": _with(
         DIRTY,
-        select=r"""SELECT snapshot_date, source_row_number,
-  regexp_replace(current_stage, '^\s+|\s+$', '', 'g') AS current_stage FROM dirty""",
+        select=rf"""SELECT snapshot_date, source_row_number,
+  regexp_replace(current_stage, '^{_SPACE}+|{_SPACE}+$', '', 'g') AS current_stage FROM dirty""",
     ),
     "blank_to_null": _with(
         DIRTY,
-        select=r"""SELECT snapshot_date, source_row_number,
-  CASE WHEN NOT regexp_full_match(line_id, '\s*') THEN line_id END AS line_id FROM dirty""",
+        select=rf"""SELECT snapshot_date, source_row_number,
+  CASE WHEN NOT regexp_full_match(line_id, '{_SPACE}*') THEN line_id END AS line_id FROM dirty""",
     ),
     "identifier": _with(
         DIRTY,

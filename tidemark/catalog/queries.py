@@ -443,7 +443,7 @@ def header_collisions(spark, sf_dir):
 def _site_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty rows in one workbook per process and day, so that some columns are empty."""
     rows = samples.dirty(spark, sf_dir)
-    process = F.coalesce(F.trim("line_id"), F.lit("none"))
+    process = F.coalesce(text.trim_text(F.col("line_id")), F.lit("none"))
     return rows.withColumn("source_file", F.concat_ws("_", process, F.col("source_file")))
 
 

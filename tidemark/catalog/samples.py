@@ -64,6 +64,11 @@ def mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(every(19), "31/12 - carried")
         .when(every(23), "31/02/2024 - bad")
         .when(every(29), "10/02 - planned")
+        .when(every(31), F.concat(F.date_format(day, "d-M-yy"), F.lit(" short year")))
+        .when(every(37), "29/02 - leap day")
+        .when(every(41), "29/02/2023 - no such day")
+        .when(every(43), "1/1/999 - three digits")
+        .when(every(47), "01-01-2300 - out of range")
         .otherwise(F.concat(noted, F.lit(" - reviewed")))
     )
     sla = (F.floor(F.col("value") / 10) - 10).cast("int")
@@ -94,17 +99,27 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = {
         "line_id": F.when(every(37), None)
         .when(every(41), "   ")
+        .when(every(83), "\u00a0\u2003")
         .otherwise(F.concat(F.lit("LINE-"), F.col("user_id"))),
-        "request_id": F.concat((key % 97).cast("string"), F.lit(".0")),
+        "request_id": F.concat(
+            F.when(every(19), "-").when(every(23), "R-").otherwise(""),
+            (key % 97).cast("string"),
+            F.when(every(29), ".05").when(every(3), ".000").otherwise(".0"),
+        ),
         "current_stage": F.when(every(13), None).otherwise(
-            F.when(every(3), F.concat(F.lit("\t "), F.col("event_type"), F.lit(" \t"))).otherwise(
-                F.col("event_type")
-            )
+            F.when(every(3), F.concat(F.lit("\t "), F.col("event_type"), F.lit(" \t")))
+            .when(every(7), F.concat(F.lit("\u00a0"), F.col("event_type"), F.lit("\u3000\x85")))
+            .otherwise(F.col("event_type"))
         ),
         "sla_days_remaining": F.when(every(17), "n/a")
         .when(every(31), "1,000")
         .when(every(43), "5d")
         .when(every(47), "2.5")
+        .when(every(59), "+5")
+        .when(every(61), "1e1")
+        .when(every(67), ".5")
+        .when(every(71), "7.")
+        .when(every(73), "-12.00")
         .otherwise(sla),
         "start_date": F.when(every(53), "x")
         .when(every(5), F.date_format(day, "dd/MM/yyyy"))
@@ -224,7 +239,7 @@ def workbook_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _HEADER = (
     "Line Id", "Request-Id", "Current Stage", "SLA Days Remaining", "SLA Status",
-    "Follow Up Notes", "Start Date",
+    "Follow Up Notes", "Start Date", "Unnamed: 7",
 )
 
 
@@ -247,10 +262,14 @@ def workbook_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sheet_values(rows: pd.DataFrame) -> Iterator[tuple]:
+    """Worksheet rows, with an empty one after every row whose event id divides by fifty."""
     dated = rows["note_date"].notna()
     note = rows["note_text"].where(~dated, rows["note_date"])
     columns = [rows[c] for c in ("line_id", "request_id", "current_stage", "sla_days_remaining")]
-    return zip(*columns, rows["sla_status"], note, rows["start_date"], strict=True)
+    for event, *row in zip(rows["event_id"], *columns, rows["sla_status"], note, rows["start_date"], strict=True):
+        yield (*row, "x")
+        if event % 50 == 0:
+            yield ()
 
 
 FLAWS = ("cut short", "sheet missing", "sheet too many", "stage missing", "none", "undated")
