@@ -4,7 +4,11 @@ import hashlib
 import random
 import re
 
+import duckdb
+
+import parity
 from tidemark.llm.disclosure_pii import sanitise
+from tidemark.llm.oracle import OP10
 from tidemark.llm.queries import op10_disclosure_pii
 
 # As the contract words them.
@@ -70,6 +74,18 @@ def test_terms_that_reveal_an_entity_go_everywhere(spark):
     assert all("term" not in rows[i].spans for i in range(6, 26))
 
 
+def test_sql_and_query_agree_on_revealing_terms(spark, tmp_path):
+    texts = [f"note {i} write to zorblat at jo@x.org about case {i}" for i in range(8)]
+    texts += [f"note {i} write to p{i}@x.org" for i in range(9)] + ["Zorblat once", "zorblat twice", "4111 1111 1111 1111"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    query = op10_disclosure_pii(spark, str(tmp_path))
+    assert parity.difference(query, connection, OP10) is None
+    assert query.filter("spans LIKE '%term%'").count() == 10  # eight of ten are enough
+
+
 def test_few_contexts_or_many_other_places_reveal_nothing(spark):
     texts = ["write to zorblat at jo@x.org"] * 9  # one context, repeated
     texts += [f"note {i} on plumbus at al@x.org" for i in range(5)] + ["plumbus is sold here", "note what is said"] * 3

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter, defaultdict
@@ -56,10 +57,10 @@ def score(accepted, rejected, text):
 
 def test_against_a_plain_model(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
-    held = {r.page_id: r.held for r in pages.selectExpr("page_id", f"xxhash64(url) % {m.CALIBRATION} = 0 AS held").collect()}
     rows = {r.page_id: r for r in m.judge_urls(pages).collect()}
     urls = {r.page_id: r.url for r in pages.collect()}
     ruled = {i: rule_of(u) for i, u in urls.items()}
+    held = {i: int(hashlib.md5(u.encode()).hexdigest()[:4], 16) % m.CALIBRATION == 0 for i, u in urls.items()}
     train = [(i, ruled[i].verdict) for i in urls if ruled[i] and not held[i]]
     accepted = Markov([letters(urls[i]) for i, v in train if v == "allow"], m.ORDER)
     rejected = Markov([letters(urls[i]) for i, v in train if v == "block"], m.ORDER)

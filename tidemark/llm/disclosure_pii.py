@@ -3,12 +3,12 @@
 Addresses, numbers and cards are found by pattern; each distinct value is a protected entity. The corpus then tells
 which terms reveal an entity: if e stands near a term t in n(e, t) of the n(t) occurrences of t, the
 pointwise mutual information PMI(e; t) falls short of the information content IC(e) by log2(n(t) / n(e, t)) bits.
-A term that leaves fewer than ``LEFT_BITS`` bits of an entity, in enough different contexts, is generalised too.
+A term whose shortfall is log2(100 / ``SHARE``) bits at most, in enough different contexts, is generalised too. In whole
+numbers: of 100 occurrences of the term, ``SHARE`` or more stand near the entity.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +18,7 @@ from tidemark.llm.common import let, staged, with_results
 
 CONTEXT = 80  # characters before and after an entity whose whole words are its context
 CONTEXTS = 3  # different contexts of one entity in which a term must stand
-LEFT_BITS = math.log2(1 / 0.8)  # bits of an entity that a revealing term leaves open, at most
+SHARE = 80  # of 100 occurrences of a term, so many near one entity reveal it
 TERM = r"[\p{L}\p{N}]+"
 TERM_CHARS = 3  # shorter terms are never generalised
 _MAP_WORDS = 1 << 12  # 64-bit words of the bit map that thins out terms before they are shuffled
@@ -154,8 +154,8 @@ def revealing_terms(based: DataFrame) -> DataFrame:
     bits = bit_map(known)
     words = based.select(F.explode(_terms(F.col("_whole"))).alias("term")).filter(_in_map(bits, F.col("term")))
     counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    left = F.log2(F.col("n") / F.col("n_near"))
-    return staged(known.join(counted, "term").filter(left <= LEFT_BITS).select("term"), "revealing-terms")
+    reveals = 100 * F.col("n_near") >= SHARE * F.col("n")
+    return staged(known.join(counted, "term").filter(reveals).select("term"), "revealing-terms")
 
 
 def with_term_spans(based: DataFrame, terms: DataFrame, doc_id: str, text: str) -> DataFrame:

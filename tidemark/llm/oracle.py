@@ -5,6 +5,74 @@ from __future__ import annotations
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _url_level(width: int, before: str) -> str:
+    """Chances after contexts of ``width`` symbols, smoothed by those of the level before."""
+    size = 32 ** (width + 1)
+    chance = {c: f"{before}.{c}" if before else "(1.0::DOUBLE / 32)" for c in ("pa", "pr")}
+    joined = f"JOIN {before} ON {before}.code = c.code" if before else ""
+    return f"""own{width} AS (
+  SELECT code % {size} AS short, sum(a) AS a, sum(r) AS r FROM url_counts GROUP BY 1
+), context{width} AS (
+  SELECT short // 32 AS context, sum(a) AS all_a, sum(r) AS all_r,
+    count(*) FILTER (a > 0) AS kinds_a, count(*) FILTER (r > 0) AS kinds_r FROM own{width} GROUP BY 1
+), level{width} AS (
+  SELECT c.code,
+    CASE WHEN all_a > 0 THEN (coalesce(o.a, 0) + kinds_a * {chance["pa"]}) / (all_a + kinds_a) ELSE {chance["pa"]} END AS pa,
+    CASE WHEN all_r > 0 THEN (coalesce(o.r, 0) + kinds_r * {chance["pr"]}) / (all_r + kinds_r) ELSE {chance["pr"]} END AS pr
+  FROM (SELECT unnest(range(0, 32768)) AS code) c {joined}
+  LEFT JOIN own{width} o ON o.short = c.code % {size} LEFT JOIN context{width} x ON x.context = (c.code % {size}) // 32
+)"""
+
+
+OP1 = rf"""
+WITH parted AS (
+  SELECT row_number() OVER () AS row_id, page_id, coalesce(url, '') AS url,
+    {_LOWER.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")} AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    {_LOWER.format("regexp_replace(coalesce(url, ''), '(?s)^.*?://', '')")} AS rest
+  FROM pages
+), ruled AS (
+  SELECT *, ('0x' || md5(url)[1:4])::INT % 5 = 0 AS held,
+    translate(regexp_replace(rest, '[^a-z0-9./-]', '_', 'g'), 'abcdefghijklmnopqrstuvwxyz0123456789./-',
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ[[[[[[[[[[\]^') AS s,
+    CASE WHEN ('.' || host) LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+         WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+         WHEN ('.' || host) LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+         WHEN ('.' || host) LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+         WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule
+  FROM parted
+), judged AS (
+  SELECT *, rule IN ('com/', 'www.example.com/en/') AS accepted FROM ruled
+), runs AS (
+  SELECT row_id, substr('@@' || s, pos, 3) AS run
+  FROM (SELECT row_id, s, unnest(range(1, len(s) + 1)) AS pos FROM judged)
+), coded AS (
+  SELECT row_id, (ascii(run[1]) - 64) * 1024 + (ascii(run[2]) - 64) * 32 + ascii(run[3]) - 64 AS code FROM runs
+), url_counts AS (
+  SELECT code, count(*) FILTER (accepted) AS a, count(*) FILTER (NOT accepted) AS r
+  FROM coded JOIN judged USING (row_id) WHERE rule IS NOT NULL AND NOT held GROUP BY code
+), {_url_level(0, "")}, {_url_level(1, "level0")}, {_url_level(2, "level1")}, ratios AS (
+  SELECT code, round((ln(pa) - ln(pr)) * 1000000)::BIGINT AS ratio FROM level2
+), totals AS (
+  SELECT row_id, sum(ratio) AS total FROM coded JOIN ratios USING (code) GROUP BY row_id
+), scored AS (
+  SELECT j.*, coalesce(floor(total / len(s)), 0)::BIGINT AS score FROM judged j LEFT JOIN totals USING (row_id)
+), bins AS (
+  SELECT floor(score / 10000) AS bin, count(*) FILTER (accepted) AS a, count(*) FILTER (NOT accepted) AS r
+  FROM scored WHERE rule IS NOT NULL AND held GROUP BY 1
+), gains AS (
+  SELECT bin, coalesce(sum(r) OVER before, 0) / sum(r) OVER () - coalesce(sum(a) OVER before, 0) / sum(a) OVER () AS gain,
+    sum(a) OVER () AS n_a, sum(r) OVER () AS n_r
+  FROM bins WINDOW before AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), least AS (
+  SELECT coalesce((SELECT bin * 10000 FROM gains WHERE n_a > 0 AND n_r > 0 ORDER BY gain DESC, bin LIMIT 1), 0) AS least
+)
+SELECT page_id, host, path, rule, score,
+  CASE WHEN rule IS NOT NULL THEN CASE WHEN accepted THEN 'allow' ELSE 'block' END
+       WHEN score >= (SELECT least FROM least) THEN 'allow' ELSE 'block' END AS verdict
+FROM scored
+"""
+
 OP2 = rf"""
 WITH RECURSIVE texts AS (
   SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS words FROM documents
@@ -128,7 +196,77 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM judged GROUP BY doc_id
 """
 
+_PII = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "TRUE"),
+    ("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "len([p FOR p IN string_split(m, '.') IF p::HUGEINT > 255]) = 0"),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+", "len(d) BETWEEN 12 AND 19 AND luhn % 10 = 0"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "len(d) BETWEEN 9 AND 15"),
+)
+
+
+def _matches(pattern: str, source: str) -> str:
+    """Matches of a pattern with their places; gaps and matches alternate."""
+    return rf"""SELECT row_id, m, (ends - len(m))::BIGINT AS s, ends::BIGINT AS e FROM (
+    SELECT row_id, m, sum(len(g) + len(m)) OVER (PARTITION BY row_id ORDER BY i) AS ends FROM (
+      SELECT row_id, unnest(ms) AS m, unnest(gs[:len(ms)]) AS g, unnest(range(1, len(ms) + 1)) AS i FROM (
+        SELECT row_id, regexp_extract_all(text, '{pattern}') AS ms, string_split_regex(text, '{pattern}') AS gs
+        FROM {source} WHERE regexp_matches(text, '{pattern}'))))"""
+
+
+def _kind(rank: int, kind: str, pattern: str, check: str) -> str:
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    doubled = "CASE WHEN (len(d) - i) % 2 = 0 THEN d[i]::INT WHEN d[i]::INT > 4 THEN 2 * d[i]::INT - 9 ELSE 2 * d[i]::INT END"
+    luhn = f"list_sum([{doubled} FOR i IN range(1, len(d) + 1)])" if kind == "card" else "0"
+    return f"""SELECT row_id, s, {rank} AS rank, e, '{kind}' AS kind, m FROM (
+    SELECT *, {luhn} AS luhn FROM (SELECT *, {digits} AS d FROM ({_matches(pattern, "texts")}))) WHERE {check}"""
+
+
+_WORD = r"[\p{L}\p{N}]+"
+
+OP10 = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
+), base AS (
+  {" UNION ALL ".join(_kind(rank, *entry) for rank, entry in enumerate(_PII))}
+), mentions AS (
+  SELECT kind, CASE WHEN kind IN ('card', 'phone') THEN regexp_replace(m, '[^0-9]', '', 'g') ELSE lower(m) END AS value,
+    text[greatest(s - 80, 0) + 1 : s] AS before_, text[e + 1 : e + 80] AS after_, s > 80 AS cut_before, e + 80 < len(text) AS cut_after
+  FROM base JOIN texts USING (row_id)
+), contexts AS (
+  SELECT kind, value, CASE WHEN cut_before THEN regexp_replace(before_, '^{_WORD}', '') ELSE before_ END || chr(10)
+    || CASE WHEN cut_after THEN regexp_replace(after_, '{_WORD}$', '') ELSE after_ END AS near FROM mentions
+), near_terms AS (
+  SELECT kind, value, near, unnest(regexp_extract_all(lower(near), '{_WORD}')) AS term FROM contexts
+), known AS (
+  SELECT term, max(n) AS n_near FROM (
+    SELECT kind, value, term, count(*) AS n FROM near_terms WHERE len(term) >= 3
+    GROUP BY ALL HAVING count(DISTINCT near) >= 3) GROUP BY term
+), words AS (
+  SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '{_WORD}')) AS term FROM texts)
+  GROUP BY term
+), revealing AS (
+  SELECT term FROM known JOIN words USING (term) WHERE 100 * n_near >= 80 * n
+), term_spans AS (
+  SELECT row_id, s, 4 AS rank, e, 'term' AS kind FROM ({_matches(_WORD, "texts")}) w
+  WHERE lower(m) IN (SELECT term FROM revealing)
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.row_id = w.row_id AND b.s < w.e AND w.s < b.e)
+), spans AS (
+  SELECT row_id, s, rank, kind || ':' || s || ':' || e AS span FROM base
+  UNION ALL SELECT row_id, s, rank, kind || ':' || s || ':' || e FROM term_spans
+), listed AS (
+  SELECT row_id, string_agg(span, ',' ORDER BY s, rank) AS spans,
+    string_agg(span, ',' ORDER BY s, rank) FILTER (rank < 4) AS base_spans,
+    {", ".join(f"count(*) FILTER (rank = {rank}) AS n_{kind}" for rank, (kind, _, _) in enumerate(_PII))}
+  FROM spans GROUP BY row_id
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind, _, _ in _PII)},
+  sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN listed USING (row_id)
+"""
+
 LLM_ORACLE: dict[str, str] = {
+    "op10_disclosure_pii": OP10,
+    "op1_url_model": OP1,
     "op2_minmax_dedup": OP2,
     "op3_quality_cascade": OP3,
     "op6_apportioned_mix": OP6,

@@ -69,6 +69,11 @@ def matching_rule(host: Column, path: Column, rules: tuple[UrlRule, ...]) -> Col
     return found if rules else F.lit(None).cast("string")
 
 
+def held(url: Column) -> Column:
+    """Whether a URL calibrates instead of training; decided by its digest."""
+    return F.conv(F.substring(F.md5(F.coalesce(url, F.lit(""))), 1, 4), 16, 10).cast("int") % CALIBRATION == 0
+
+
 def symbols(url: Column) -> Column:
     """The URL after ``://`` (or all of it) as a string over the 32 symbols."""
     rest = F.regexp_replace(F.coalesce(url, F.lit("")), r"(?s)^.*?://", "")
@@ -201,7 +206,7 @@ def judge_urls(
     decided = ruled.filter(F.col("rule").isNotNull()).select(
         F.col("rule").isin(allowed).alias("accepted"),
         symbols(F.col(url)).alias("symbols"),
-        (F.xxhash64(F.col(url)) % CALIBRATION == 0).alias("held"),
+        held(F.col(url)).alias("held"),
     )
     model = model_value(spark, decided.filter(~F.col("held")), order)
     calibration = decided.filter(F.col("held")).select("accepted", score(model, F.col("symbols"), order).alias("score"))
