@@ -8,7 +8,6 @@ whose tasks list them, written before the next one. No list of paths passes the
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +29,6 @@ def qualified(spark: SparkSession, folder: str) -> str:
     return system.makeQualified(path).toString().rstrip("/")
 
 
-@lru_cache(maxsize=16)
 def _system(scheme: str, authority: str):
     from pyarrow import fs
 
