@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tidemark.staging import Stage
 
-FILE_SCHEMA = "path STRING, relative STRING, length BIGINT"
 _ENTRY_SCHEMA = "path STRING, relative STRING, length BIGINT, is_folder BOOLEAN"
 _NAMES = ["path", "relative", "length", "is_folder"]
 _ENTRIES_PER_BATCH = 4096
