@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +22,16 @@ DIMENSIONS = 1024
 UNKNOWN = "und"
 _BITS = 21  # of a code point
 _GAP = np.int64(32)  # any run of other characters between letters, and the ends of a text
+_letters: list[np.ndarray] = []
 _BLOCK_TEXTS = 128
 _BLOCK_CHARS = 400_000
 
 
-@cache
 def _is_letter() -> np.ndarray:
-    return np.array([chr(i).isalpha() for i in range(sys.maxunicode + 1)])
+    """Whether each code point is a letter; made once per Python worker."""
+    if not _letters:
+        _letters.append(np.array([chr(i).isalpha() for i in range(sys.maxunicode + 1)]))
+    return _letters[0]
 
 
 def letter_vectors(points: np.ndarray) -> np.ndarray:
