@@ -167,7 +167,8 @@ def with_term_spans(based: DataFrame, terms: DataFrame, doc_id: str, text: str)
     words = based.select(
         F.col(doc_id).alias("_doc"), version.alias("_version"), F.explode(F.array_distinct(_terms(F.col("_whole")))).alias("term")
     ).filter(F.col("_doc").isNotNull() & _in_map(bits, F.col("term")))
-    held = words.join(terms, "term").groupBy("_doc", "_version").agg(F.collect_set("term").alias("_terms"))
+    # Written first: its real size then decides whether the texts must be shuffled to meet it.
+    held = staged(words.join(terms, "term").groupBy("_doc", "_version").agg(F.collect_set("term").alias("_terms")), "held-terms")
     joined = based.join(held, (F.col(doc_id) == F.col("_doc")) & (version == F.col("_version")), "left")
     found = F.regexp_extract_all(F.col("_whole"), F.lit(TERM), F.lit(0))
     walked = _walk(found.alias("found"), F.split("_whole", TERM), len(KINDS), "term", lambda t: F.array_contains("_terms", F.lower(t)))
