@@ -2,10 +2,12 @@ from __future__ import annotations
 
 from datetime import date
 
+import parity
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.catalog import samples
+from tidemark.catalog.oracle import ORACLE
 from tidemark.contract import Contract
 from tidemark.operators import analytics, cleaning, history, quality
 
@@ -85,7 +87,13 @@ def resolved(spark):
     return history.add_derived(daily, samples.CONTRACT, samples.HASHED)
 
 
-def test_golden_values_of_the_mapped_fixture(spark, resolved):
+def answer(question: str, name: str) -> tuple:
+    """One row that DuckDB gives over the SQL of a registered query."""
+    with parity.connect(SF) as connection:
+        return connection.execute(question.format(ORACLE[name])).fetchone()
+
+
+def test_totals_of_the_mapped_fixture(spark, resolved):
     contract = samples.CONTRACT
     assert resolved.count() == 397
     assert history.latest_position(resolved, contract).count() == 15
@@ -96,28 +104,35 @@ def test_golden_values_of_the_mapped_fixture(spark, resolved):
     overdue = {tuple(r) for r in analytics.overdue_by_stage(resolved, contract).collect()}
     assert overdue == {("click", 6), ("view", 3), ("NO STAGE", 2), ("error", 2)}
     stale = analytics.stale_follow_ups(resolved, contract)
-    assert tuple(stale.agg(F.count("*"), F.max("follow_up_age_days")).first()) == (5, 30)
-    assert analytics.state_changes(resolved, contract).count() == 382
+    expected = answer("SELECT count(*), max(follow_up_age_days) FROM ({})", "q4_stale_follow_ups")
+    assert tuple(stale.agg(F.count("*"), F.max("follow_up_age_days")).first()) == expected and expected[0] > 0
+    assert analytics.state_changes(resolved, contract).count() == answer("SELECT count(*) FROM ({})", "q5_state_changes")[0]
     counts = quality.history_counts(resolved, contract).first()
-    assert (counts["FUTURE_FOLLOW_UP_DATE"], counts["INVALID_SLA_VALUE"], counts["MISSING_FOLLOW_UP"]) == (4, 24, 36)
+    codes = ("FUTURE_FOLLOW_UP_DATE", "INVALID_SLA_VALUE", "MISSING_FOLLOW_UP")
+    for code in codes:
+        assert counts[code] == answer(f"SELECT count FROM ({{}}) WHERE code = '{code}'", "rule_issues")[0] > 0
     hashes = resolved.agg(F.min("record_hash"), F.max("record_hash")).first()
-    assert tuple(hashes) == ("002ca1a3ee880728", "ff9aae45d9a2c4a8")
+    assert tuple(hashes) == answer("SELECT min(record_hash), max(record_hash) FROM ({})", "derived")
 
 
-def test_golden_values_of_the_dirty_fixture(spark):
+def test_totals_of_the_dirty_fixture(spark):
     contract = samples.DIRTY_CONTRACT
     dirty = samples.dirty(spark, SF)
     assert dirty.count() == 1100
     assert cleaning.drop_blank_rows(dirty, contract).count() == 1089
     collapsed = cleaning.collapse_sheets(dirty, contract)
     totals = cleaning.clean_metrics(collapsed, contract, scope=()).first()
-    assert tuple(totals) == (1100, 55, 95, 939)
+    sums = "SELECT sum(raw_rows), sum(rows_without_id), sum(exact_duplicates), sum(clean_rows) FROM ({})"
+    assert tuple(totals) == answer(sums, "clean_metrics")
     clean = cleaning.clean(dirty, contract)
     checks = clean.agg(
         F.count_if(F.col("sla_days_remaining").isNull()), F.count_if(F.col("start_date").isNull()),
         F.sum("sla_days_remaining"), F.sum("source_row_number"),
     )
-    assert tuple(checks.first()) == (129, 18, -4352, 95470547)
+    assert tuple(checks.first()) == answer(
+        "SELECT count(*) FILTER (sla_days_remaining IS NULL), count(*) FILTER (start_date IS NULL), "
+        "sum(sla_days_remaining), sum(source_row_number) FROM ({})", "clean",
+    )
 
 
 def test_state_changes_bridge_gaps_in_dates(spark, contract):
