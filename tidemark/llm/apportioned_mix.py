@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import with_results
+from tidemark.llm.common import staged, with_results
 
 BLOCK = 16  # tokens
 DOCS_PER_SHARD = 5_000
@@ -112,12 +112,15 @@ def mix(
         F.col("quota").alias("_quota"),
         F.ceil(F.col("n_docs") / docs_per_shard).cast("long").alias("_shards"),
     )
+    # Sources and quotas are written first: their real size then decides whether the documents move to meet them.
+    sources = staged(sources, "sources")
     number = F.conv(F.substring("_order", 1, 8), 16, 10).cast("long")
     placed = frame.join(sources, F.col("_source").eqNullSafe(F.col("_s"))).withColumn("_shard", number % F.col("_shards"))
     shards = placed.groupBy("_s", "_shard").agg(F.sum("_size").alias("_shard_size"), F.any_value("_quota").alias("_quota"))
     quotas = apportioned(shards, "_shard_size", F.col("_quota"), ["_s"], ["_shard"]).select(
         F.col("_s").alias("_qs"), F.col("_shard").alias("_qshard"), "_shard_size", F.col("quota").alias("_shard_quota")
     )
+    quotas = staged(quotas, "quotas")
     streamed = placed.join(quotas, F.col("_s").eqNullSafe(F.col("_qs")) & (F.col("_shard") == F.col("_qshard")))
     stream = Window.partitionBy("_s", "_shard").orderBy("_order", F.col(doc_id), "_size")
     begin = F.sum("_size").over(stream.rowsBetween(Window.unboundedPreceding, -1))
