@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import staged
 from tidemark.llm.tokens import Texts, Words, joined, pieces, texts_of, words_of
 
 ANCHOR = 3  # words of a shared run
@@ -168,8 +169,8 @@ def finder(items: Items) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []
-        lowered = (batch.set_column(1, "text", pc.utf8_lower(batch.column(1))) for batch in batches)
-        for batch, texts in pieces(lowered, 1):
+        for batch, _ in pieces(batches, 1):
+            texts = texts_of(pc.utf8_lower(batch.column(1)))
             for text, item, window, area in windows_of(texts, items):
                 waiting.append((batch.column(0).take(pa.array(text)), item, window, area))
             if sum(len(w[1]) for w in waiting) >= _FLUSH:
@@ -242,4 +243,5 @@ def find_leaks(
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; rows with a null id stay (they cannot be named)."""
     leaked = find_leaks(docs, benchmark, text, doc_id).select(F.col("doc_id").alias(doc_id)).distinct()
+    leaked = staged(leaked, "leaked")  # its real size decides whether the documents move to meet it
     return docs.join(leaked, doc_id, "left_anti").select(*docs.columns)
