@@ -16,15 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import with_results
-from tidemark.llm.tokens import mixed
+from tidemark.llm.tokens import mixed, pieces
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
 _BITS = 21  # of a code point
 _GAP = np.int64(32)  # any run of other characters between letters, and the ends of a text
 _letters: list[np.ndarray] = []
-_BLOCK_TEXTS = 128
-_BLOCK_CHARS = 400_000
+_BLOCK_BYTES = 1 << 18
 
 
 def _is_letter() -> np.ndarray:
@@ -65,16 +64,10 @@ def trigrams(text: str) -> np.ndarray:
     return points[:-2] << 2 * _BITS | points[1:-1] << _BITS | points[2:]
 
 
-def blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of bounded size; a longer text is a block of its own."""
-    start, chars = 0, 0
-    for i, text in enumerate(texts):
-        chars += len(text or "")
-        if i + 1 - start >= _BLOCK_TEXTS or chars >= _BLOCK_CHARS:
-            yield start, i + 1
-            start, chars = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Slices of the batches of about ``_BLOCK_BYTES`` of text each, and their texts; a longer text is alone."""
+    for part, _ in pieces(batches, text, _BLOCK_BYTES):
+        yield part, part.column(text).to_pylist()
 
 
 def counted(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -89,16 +82,15 @@ def counted(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 def bundle_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of trigram vectors per language, of (text, lang) batches; one row per language and partition."""
     bundles: dict[str, np.ndarray] = {}
-    for batch in batches:
-        texts, langs = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), object)
-        for start, stop in blocks(texts):
-            distinct, counts = counted(texts[start:stop])
-            if not len(distinct):
-                continue
-            vectors = trigram_vectors(distinct).astype(np.float64)
-            for lang in set(langs[start:stop]):
-                total = counts[langs[start:stop] == lang].sum(axis=0)
-                bundles[lang] = bundles.get(lang, 0) + (total @ vectors).astype(np.int64)
+    for batch, texts in blocks(batches, 0):
+        langs = np.array(batch.column(1).to_pylist(), object)
+        distinct, counts = counted(texts)
+        if not len(distinct):
+            continue
+        vectors = trigram_vectors(distinct).astype(np.float64)
+        for lang in set(langs):
+            total = counts[langs == lang].sum(axis=0)
+            bundles[lang] = bundles.get(lang, 0) + (total @ vectors).astype(np.int64)
     columns = [pa.array(list(bundles), pa.string()), pa.array([b.tolist() for b in bundles.values()], pa.list_(pa.int64()))]
     yield pa.RecordBatch.from_arrays(columns, names=["lang", "bundle"])
 
@@ -123,25 +115,25 @@ def predictor(names: list[str], units: np.ndarray) -> Callable[[Iterator[pa.Reco
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            langs, scores = [], []
-            for start, stop in blocks(texts):
-                distinct, counts = counted(texts[start:stop])
-                if not len(distinct) or not names:
-                    langs += [UNKNOWN] * (stop - start)
-                    scores += [0.0] * (stop - start)
-                    continue
-                bundles = counts.astype(np.float32) @ trigram_vectors(distinct).astype(np.float32)
-                sizes = np.linalg.norm(bundles, axis=1)
-                cosines = (bundles @ turned) / np.where(sizes > 0, sizes, 1)[:, None]
-                best = cosines.argmax(axis=1)
-                empty = ~counts.any(axis=1)
-                langs += [UNKNOWN if none else names[i] for i, none in zip(best, empty, strict=True)]
-                top = np.clip(cosines[np.arange(len(best)), best], 0, 1)
-                scores += np.where(empty, 0, top).astype(float).tolist()
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            columns += [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score"])
+            last = batch.num_columns - 1
+            for part, texts in blocks(iter([batch]), last):
+                langs, scores = judged(texts)
+                columns = [part.column(i) for i in range(last)]
+                columns += [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score"])
+
+    def judged(texts: list[str | None]) -> tuple[list[str], list[float]]:
+        distinct, counts = counted(texts)
+        if not len(distinct) or not names:
+            return [UNKNOWN] * len(texts), [0.0] * len(texts)
+        bundles = counts.astype(np.float32) @ trigram_vectors(distinct).astype(np.float32)
+        sizes = np.linalg.norm(bundles, axis=1)
+        cosines = (bundles @ turned) / np.where(sizes > 0, sizes, 1)[:, None]
+        best = cosines.argmax(axis=1)
+        empty = ~counts.any(axis=1)
+        top = np.clip(cosines[np.arange(len(best)), best], 0, 1)
+        langs = [UNKNOWN if none else names[i] for i, none in zip(best, empty, strict=True)]
+        return langs, np.where(empty, 0, top).astype(float).tolist()
 
     return predict
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import with_results
 from tidemark.llm.hypervectors import held_out
-from tidemark.llm.tokens import _IS_SPACE, _LOWER, Texts, mixed, pieces, words_of
+from tidemark.llm.tokens import IS_SPACE, LOWER, Texts, mixed, pieces, words_of
 
 BUCKET_BITS = 15
 SIZES = (3, 4)  # bytes of an n-gram; only its ends may be white space
@@ -40,8 +40,8 @@ def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     again = np.flatnonzero((words.hashes[1:] == words.hashes[:-1]) & (words.text[1:] == words.text[:-1])) + 1
     owners = [words.text, words.text[again]]
     buckets = [_bucket(words.hashes), np.full(len(again), _AGAIN, np.int32)]
-    space = _IS_SPACE[texts.data]
-    folded = np.where(space, np.uint8(32), _LOWER[texts.data]).astype(np.uint64)
+    space = IS_SPACE[texts.data]
+    folded = np.where(space, np.uint8(32), LOWER[texts.data]).astype(np.uint64)
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(texts.bounds))
     for size in SIZES:
         n = len(folded) - size + 1

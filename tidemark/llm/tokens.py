@@ -15,10 +15,10 @@ import pyarrow as pa
 PIECE_BYTES = 1 << 19
 
 # The six bytes that part words.
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 _random = np.random.default_rng(20_240_229)
 _BYTE_VALUE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -81,15 +81,17 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(data[bounds[0] : bounds[-1]], bounds - bounds[0])
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    """Slices of the batches with the texts of column ``text``, of about ``PIECE_BYTES`` each."""
+def pieces(
+    batches: Iterator[pa.RecordBatch], text: int, size: int = PIECE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+    """Slices of the batches with the texts of column ``text``, of about ``size`` bytes each."""
     for batch in batches:
         if not batch.num_rows:
             continue
         whole = texts_of(batch.column(text))
         start = 0
         while start < batch.num_rows:
-            stop = int(np.searchsorted(whole.bounds, whole.bounds[start] + PIECE_BYTES, "right")) - 1
+            stop = int(np.searchsorted(whole.bounds, whole.bounds[start] + size, "right")) - 1
             stop = min(max(stop, start + 1), batch.num_rows)
             low, high = whole.bounds[start], whole.bounds[stop]
             part = Texts(whole.data[low:high], whole.bounds[start : stop + 1] - low)
@@ -104,7 +106,7 @@ def words_of(texts: Texts, lower: bool = True, marks: bool = False) -> Words:
     none = np.zeros(0, np.int64)
     if not n:
         return Words(none.astype(np.uint64), none, none, none, np.zeros(len(texts), np.int64))
-    inside = ~((_IS_SPACE | _IS_MARK) if marks else _IS_SPACE)[data]
+    inside = ~((IS_SPACE | _IS_MARK) if marks else IS_SPACE)[data]
     edge = np.zeros(n + 1, bool)
     edge[bounds] = True
     begins, ends = inside.copy(), inside.copy()
@@ -115,7 +117,7 @@ def words_of(texts: Texts, lower: bool = True, marks: bool = False) -> Words:
         return Words(none.astype(np.uint64), none, none, none, np.zeros(len(texts), np.int64))
     spans = np.diff(begin, append=n)
     place = np.arange(begin[0], n) - np.repeat(begin, spans)
-    folded = _LOWER[data[begin[0] :]] if lower else data[begin[0] :]
+    folded = LOWER[data[begin[0] :]] if lower else data[begin[0] :]
     weighed = _BYTE_VALUE[folded] * _powers_up_to(int(spans.max()) + 1)[place] * inside[begin[0] :]
     hashes = mixed(np.add.reduceat(weighed, begin - begin[0]))
     text = np.searchsorted(bounds, begin, "right") - 1
