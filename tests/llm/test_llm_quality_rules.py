@@ -57,4 +57,4 @@ def test_order_by_rejections_per_second_and_ties_keep_their_order():
 def test_the_first_rule_that_rejects_names_the_row(spark):
     rows = spark.createDataFrame([(1,), (5,), (9,), (None,)], "x INT")
     rules = [Rule("over8", F.col("x") > 8), Rule("over4", F.col("x") > 4)]
-    assert [r[0] for r in rows.select(cascade(rows, rules)).collect()] == [None, "over4", "over8", None]
+    assert [r[0] for r in rows.select(cascade(rules)).collect()] == [None, "over4", "over8", None]

@@ -136,7 +136,7 @@ def in_order(rules: list[Rule], costs: dict[str, tuple[float, float]]) -> list[R
     return sorted(rules, key=lambda rule: -costs[rule.name][1] / max(costs[rule.name][0], 1e-9))
 
 
-def cascade(counted: DataFrame, rules: list[Rule]) -> Column:
+def cascade(rules: list[Rule]) -> Column:
     """Name of the first rule, in the order given, that rejects a row; null if none does."""
     rejected_by = F
     for rule in rules:
@@ -165,5 +165,5 @@ def judge(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None)
     counted = with_counts(docs, text)
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = with_results(counted, {"base_failed": base_failed})
-    verdict = cascade(judged, [Rule("base", F.col("base_failed")), *rules])
+    verdict = cascade([Rule("base", F.col("base_failed")), *rules])
     return with_results(judged, {"kept": verdict.isNull()})
