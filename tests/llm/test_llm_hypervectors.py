@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
-from tidemark.llm.hypervectors import DIMENSIONS, held_out_languages, letter_vectors, predict_language, trigram_vectors, trigrams
+from tidemark.llm.hypervectors import (
+    DIMENSIONS, bundle_partition, bundled, held_out_languages, letter_vectors, predict_language, predictor, trigram_vectors, trigrams
+)
 
 SF = "/root/testdata/sf0.01"
 
@@ -48,3 +53,38 @@ def test_edges(spark):
     assert judged.columns == ["doc_id", "text", "lang", "lang_pred", "score"] and judged.count() == len(rows)
     assert predict_language(docs.limit(0), docs).collect() == []
     assert {r.lang_pred for r in predict_language(docs, docs.limit(0)).collect()} == {"und"}
+
+
+def peak_of(work):
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_long_text_of_many_letters_in_bounded_memory():
+    """Some 60,000 distinct trigrams: their vectors all at once would take hundreds of megabytes."""
+    chance = random.Random(6)
+    text = "".join(chr(0x4E00 + chance.randrange(6_000)) for _ in range(60_000))
+    batch = pa.RecordBatch.from_pydict({"text": [text, "hello", text[:3_000]], "lang": ["zh", "en", "zh"]})
+    list(bundle_partition(iter([batch.slice(1, 1)])))  # the table of letters
+    found, peak = peak_of(lambda: list(bundle_partition(iter([batch])))[0].to_pydict())
+    assert peak < 150 << 20
+    parts = [trigram_vectors(codes).sum(axis=0, dtype=np.int64) for t in (text, text[:3_000]) for codes in np.array_split(trigrams(t), 60)]
+    sums = dict(zip(found["lang"], found["bundle"], strict=True))
+    assert sums["zh"][:DIMENSIONS] == np.sum(parts, axis=0).tolist()
+    units = np.array([v / np.linalg.norm(v) for v in (np.array(sums[lang][:DIMENSIONS]) for lang in ("en", "zh"))])
+    judge = predictor(["en", "zh"], units)
+    found, peak = peak_of(lambda: list(judge(iter([batch.select(["lang", "text"])]))))
+    assert peak < 150 << 20
+    assert [r["lang_pred"] for part in found for r in part.to_pylist()] == ["zh", "en", "zh"]
+
+
+def test_many_short_texts_in_bounded_memory():
+    """A slice of ten thousand short texts: no table of texts times distinct trigrams."""
+    chance = random.Random(7)
+    texts = ["".join(chance.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20)) for _ in range(10_000)]
+    (sums, sizes), peak = peak_of(lambda: bundled(texts, np.arange(len(texts)), len(texts)))
+    assert peak < 400 << 20 and (sizes == 20).all()
+    assert all((sums[i] == trigram_vectors(trigrams(texts[i])).sum(axis=0, dtype=np.int64)).all() for i in range(0, 10_000, 997))

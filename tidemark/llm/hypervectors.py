@@ -24,6 +24,8 @@ _BITS = 21  # of a code point
 _GAP = np.int64(32)  # any run of other characters between letters, and the ends of a text
 _letters: list[np.ndarray] = []
 _BLOCK_BYTES = 1 << 18
+_BLOCK_TRIGRAMS = 2_048  # distinct trigrams whose vectors are made at once
+_CELLS = 1 << 21  # counts of trigrams held at once
 
 
 def _is_letter() -> np.ndarray:
@@ -70,27 +72,38 @@ def blocks(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.Re
         yield part, part.column(text).to_pylist()
 
 
-def counted(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct trigrams of the texts, and how often each text has each."""
-    codes = [trigrams(text or "") for text in texts]
-    distinct, place = np.unique(np.concatenate(codes), return_inverse=True)
-    row = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-    counts = np.bincount(row * len(distinct) + place, minlength=len(codes) * len(distinct))
-    return distinct, counts.reshape(len(codes), len(distinct))
+def bundled(texts: list[str | None], row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the trigram vectors of the texts of each row, and how many trigrams it has.
+
+    Trigrams are taken in blocks, so memory does not grow with their variety. Sums are whole numbers, up to 2^53.
+    """
+    parts = [trigrams(text or "") for text in texts]
+    owner, codes = np.repeat(row, [len(p) for p in parts]), np.concatenate(parts)
+    exact = np.float32 if len(codes) < 1 << 24 else np.float64  # for the sums of a block
+    order = np.argsort(codes)
+    owner, codes = owner[order], codes[order]
+    new = np.append(True, codes[1:] != codes[:-1])[: len(codes)]
+    distinct, place = codes[new], np.cumsum(new) - 1
+    sums = np.zeros((rows, DIMENSIONS))
+    width = min(max(_CELLS // rows, 64), _BLOCK_TRIGRAMS)
+    for low in range(0, len(distinct), width):
+        vectors = trigram_vectors(distinct[low : low + width]).astype(exact)
+        first, end = np.searchsorted(place, [low, low + width])
+        cells = owner[first:end] * len(vectors) + place[first:end] - low
+        counts = np.bincount(cells, minlength=rows * len(vectors)).reshape(rows, len(vectors))
+        sums += counts.astype(exact) @ vectors
+    return sums, np.bincount(owner, minlength=rows)
 
 
 def bundle_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of trigram vectors per language, of (text, lang) batches; one row per language and partition."""
     bundles: dict[str, np.ndarray] = {}
     for batch, texts in blocks(batches, 0):
-        langs = np.array(batch.column(1).to_pylist(), object)
-        distinct, counts = counted(texts)
-        if not len(distinct):
-            continue
-        vectors = trigram_vectors(distinct).astype(np.float64)
-        for lang in set(langs):
-            total = counts[langs == lang].sum(axis=0)
-            bundles[lang] = bundles.get(lang, 0) + (total @ vectors).astype(np.int64)
+        langs, row = np.unique(np.array(batch.column(1).to_pylist(), object), return_inverse=True)
+        sums, sizes = bundled(texts, row, len(langs))
+        for lang, total, size in zip(langs.tolist(), sums, sizes, strict=True):
+            if size:
+                bundles[lang] = bundles.get(lang, 0) + total.astype(np.int64)
     columns = [pa.array(list(bundles), pa.string()), pa.array([b.tolist() for b in bundles.values()], pa.list_(pa.int64()))]
     yield pa.RecordBatch.from_arrays(columns, names=["lang", "bundle"])
 
@@ -123,14 +136,14 @@ def predictor(names: list[str], units: np.ndarray) -> Callable[[Iterator[pa.Reco
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score"])
 
     def judged(texts: list[str | None]) -> tuple[list[str], list[float]]:
-        distinct, counts = counted(texts)
-        if not len(distinct) or not names:
+        if not names:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        bundles = counts.astype(np.float32) @ trigram_vectors(distinct).astype(np.float32)
+        sums, numbers = bundled(texts, np.arange(len(texts)), len(texts))
+        bundles = sums.astype(np.float32)
         sizes = np.linalg.norm(bundles, axis=1)
         cosines = (bundles @ turned) / np.where(sizes > 0, sizes, 1)[:, None]
         best = cosines.argmax(axis=1)
-        empty = ~counts.any(axis=1)
+        empty = numbers == 0
         top = np.clip(cosines[np.arange(len(best)), best], 0, 1)
         langs = [UNKNOWN if none else names[i] for i, none in zip(best, empty, strict=True)]
         return langs, np.where(empty, 0, top).astype(float).tolist()
