@@ -17,8 +17,9 @@ from tidemark.llm import apportioned_mix, cgk_leaks, feistel_shards, hypervector
 from tidemark.llm.common import staged, table, words
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-LEAST_COSINE = 0.15  # a long text below it is in none of the learned languages
-LONG = 500  # characters from which a text should resemble its language
+LEAST_COSINE = 0.15  # a text below it is in none of the learned languages, however long
+PART = 0.5  # of the cosine to expect of its number of trigrams that a text has at least
+NOISES = 3  # standard deviations of a cosine in so many dimensions by which a text may fall short
 SHARDS = 40
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -29,11 +30,15 @@ ORACLE_SQL = None
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages of the corpus.
 
-    Those without letters go, and long ones that resemble no language. Short texts are too short to resemble
-    much, so letters are enough. Languages are learned from all documents that name theirs.
+    Those without letters go, and those that resemble no language. The cosine to expect of a clean text grows with the
+    root of its number of trigrams, the slower the more different trigrams its language has, and chance moves it by
+    ``1 / sqrt(DIMENSIONS)``: a text needs ``PART`` of it less ``NOISES`` times that, and never more than ``LEAST_COSINE``.
+    Fewer than eight trigrams tell nothing, so letters are enough for them. Languages are learned from all documents that
+    name theirs.
     """
-    judged = hypervectors.predict_language(docs, docs)
-    strange = (F.col("score") < LEAST_COSINE) & (F.length("text") >= LONG)
+    judged = hypervectors.predict_language(docs, docs, expected="_expected")
+    needed = PART * F.col("_expected") - NOISES / hypervectors.DIMENSIONS**0.5
+    strange = F.col("score") < F.least(F.lit(LEAST_COSINE), needed)
     return judged.filter((F.col("lang_pred") != hypervectors.UNKNOWN) & ~strange).select(*docs.columns)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -51,6 +52,30 @@ def test_text_without_letters_or_language_goes(spark):
     assert {i for i, _ in odd} & found == {-5} and len(found) == docs.count() + 1
 
 
+def test_short_foreign_and_junk_texts_go_and_clean_ones_stay(spark):
+    """Letters of another language and random consonants, of 60 characters and more, beside cuts of clean documents."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    chance = random.Random(8)
+    russian = "".join(chance.choice("оеаинтсрвлкмдпуяыь      ") for _ in range(448))
+    junk = "".join(chance.choice("bcdfghjklmnpqrstvwxz    ") for _ in range(428))
+    strange = [t[:n] for t in (russian, junk) for n in (60, 100, 200, 428)] + [russian + russian]
+    clean = [r.text[:n] for r in docs.orderBy("doc_id").limit(12).collect() for n in (5, 20, 60, 200)]
+    added = [(-1 - i, t, None, "s", 0) for i, t in enumerate(strange)] + [(-101 - i, t, None, "s", 0) for i, t in enumerate(clean)]
+    both = docs.unionByName(spark.createDataFrame(added, docs.schema))
+    found = {r.doc_id for r in STAGE["identify_language"](spark, both, SF).collect()}
+    assert not found & {-1 - i for i in range(len(strange))}
+    assert {-101 - i for i, t in enumerate(clean) if re.search("[a-z]", t)} <= found and len(clean) > 40
+
+
+def test_short_texts_of_a_language_of_many_letters_stay(spark):
+    """Texts over thousands of letters share few trigrams with their language, however clean they are."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    chance = random.Random(9)
+    chinese = [(-1 - i, "".join(chr(0x4E00 + int(chance.paretovariate(0.4)) % 4_000) for _ in range(150)), "zh", "s", 0) for i in range(60)]
+    both = docs.unionByName(spark.createDataFrame(chinese, docs.schema))
+    assert STAGE["identify_language"](spark, both, SF).count() == both.count()
+
+
 def test_one_document_of_each_group_stays(results):
     before, after = results["drop_near_duplicates"]
     component = brute([(r.doc_id, r.text) for r in before], 5, 80)

@@ -20,6 +20,7 @@ from tidemark.llm.tokens import mixed, pieces
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
+SIGNAL = 0.07  # of a language at most: copies raise it, not the cosines of other texts
 _BITS = 21  # of a code point
 _GAP = np.int64(32)  # any run of other characters between letters, and the ends of a text
 _letters: list[np.ndarray] = []
@@ -96,20 +97,24 @@ def bundled(texts: list[str | None], row: np.ndarray, rows: int) -> tuple[np.nda
 
 
 def bundle_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of trigram vectors per language, of (text, lang) batches; one row per language and partition."""
+    """Sums of trigram vectors per language, then its number of trigrams, of (text, lang) batches; one row per language and partition."""
     bundles: dict[str, np.ndarray] = {}
     for batch, texts in blocks(batches, 0):
         langs, row = np.unique(np.array(batch.column(1).to_pylist(), object), return_inverse=True)
         sums, sizes = bundled(texts, row, len(langs))
         for lang, total, size in zip(langs.tolist(), sums, sizes, strict=True):
             if size:
-                bundles[lang] = bundles.get(lang, 0) + total.astype(np.int64)
+                bundles[lang] = bundles.get(lang, 0) + np.append(total, size).astype(np.int64)
     columns = [pa.array(list(bundles), pa.string()), pa.array([b.tolist() for b in bundles.values()], pa.list_(pa.int64()))]
     yield pa.RecordBatch.from_arrays(columns, names=["lang", "bundle"])
 
 
-def prototypes(labelled: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndarray]:
-    """Languages by name and their unit prototypes: one vector per language is all the driver gets."""
+def prototypes(labelled: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages by name, their unit prototypes and signals: one vector per language is all the driver gets.
+
+    A signal is the root of the chance that two trigrams of the language are equal, ``SIGNAL`` at most: a clean text
+    of n trigrams, few beside the language, has a cosine near the signal times the root of n.
+    """
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text), F.col(lang))
     bundles = rows.mapInArrow(bundle_partition, "lang STRING, bundle ARRAY<BIGINT>")
     summed = bundles.select("lang", F.posexplode("bundle").alias("place", "value")).groupBy("lang", "place").agg(
@@ -117,27 +122,37 @@ def prototypes(labelled: DataFrame, text: str, lang: str) -> tuple[list[str], np
     )
     listed = summed.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("bundle"))
     found = {row["lang"]: np.array([v["value"] for v in row["bundle"]], float) for row in listed.collect()}
-    names = sorted(name for name, bundle in found.items() if bundle.any())
-    units = [found[name] / np.linalg.norm(found[name]) for name in names]
-    return names, np.array(units).reshape(len(names), DIMENSIONS)
+    names = sorted(name for name, bundle in found.items() if bundle[:-1].any())
+    norms = [np.linalg.norm(found[name][:-1]) for name in names]
+    units = [found[name][:-1] / norm for name, norm in zip(names, norms, strict=True)]
+    signals = [min(SIGNAL, norm / DIMENSIONS**0.5 / found[name][-1]) for name, norm in zip(names, norms, strict=True)]
+    return names, np.array(units).reshape(len(names), DIMENSIONS), np.array(signals)
+
 
+def predictor(
+    names: list[str], units: np.ndarray, signals: np.ndarray | None = None
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Language and cosine, after the other columns, of batches whose last column is the text.
 
-def predictor(names: list[str], units: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Language and cosine, after the other columns, of batches whose last column is the text."""
+    With ``signals``, the cosine to expect of a clean text with so many trigrams is one more column.
+    """
     turned = np.ascontiguousarray(units.T, np.float32)
+    added = [] if signals is None else ["expected"]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             last = batch.num_columns - 1
             for part, texts in blocks(iter([batch]), last):
-                langs, scores = judged(texts)
+                langs, scores, expected = judged(texts)
                 columns = [part.column(i) for i in range(last)]
                 columns += [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score"])
+                if signals is not None:
+                    columns.append(pa.array(expected, pa.float64()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score", *added])
 
-    def judged(texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def judged(texts: list[str | None]) -> tuple[list[str], list[float], np.ndarray]:
         if not names:
-            return [UNKNOWN] * len(texts), [0.0] * len(texts)
+            return [UNKNOWN] * len(texts), [0.0] * len(texts), np.zeros(len(texts))
         sums, numbers = bundled(texts, np.arange(len(texts)), len(texts))
         bundles = sums.astype(np.float32)
         sizes = np.linalg.norm(bundles, axis=1)
@@ -146,7 +161,8 @@ def predictor(names: list[str], units: np.ndarray) -> Callable[[Iterator[pa.Reco
         empty = numbers == 0
         top = np.clip(cosines[np.arange(len(best)), best], 0, 1)
         langs = [UNKNOWN if none else names[i] for i, none in zip(best, empty, strict=True)]
-        return langs, np.where(empty, 0, top).astype(float).tolist()
+        expected = np.sqrt(numbers) * (0 if signals is None else signals[best])
+        return langs, np.where(empty, 0, top).astype(float).tolist(), np.minimum(expected, 1)
 
     return predict
 
@@ -157,23 +173,35 @@ def held_out(doc_id: str, folds: int, fold: int) -> Column:
 
 
 def predict_language(
-    docs: DataFrame, learn: DataFrame, text: str = "text", lang: str = "lang", keep: list[str] | None = None
+    docs: DataFrame,
+    learn: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    keep: list[str] | None = None,
+    expected: str | None = None,
 ) -> DataFrame:
     """Columns ``keep`` of ``docs`` (all, if not named) with ``lang_pred`` and ``score`` (cosine, 0 to 1).
 
+    ``expected`` names a further column: the cosine near which a clean text with so many trigrams is.
+
     Prototypes are learned from texts and non-null languages of ``learn``; prediction reads the text alone,
     whole. A null text, or one without letters, is ``und`` with score 0, and so is every text when nothing
     could be learned. Equal cosines go to the first language by name. Repeated rows are judged
     alike and train as often as they stand there; an empty table stays empty. Input columns named like a
     result give way.
     """
-    model = predictor(*prototypes(learn, text, lang))
+    names, units, signals = prototypes(learn, text, lang)
+    model = predictor(names, units, None if expected is None else signals)
+    results = ["lang_pred", "score"] + ([] if expected is None else [expected])
     keep = docs.columns if keep is None else keep
-    kept = [c for c in keep if c.lower() not in ("lang_pred", "score")]
+    kept = [c for c in keep if c.lower() not in [r.lower() for r in results]]
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], F.col(text).alias("text"))
     fields = [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(kept)]
-    judged = rows.mapInArrow(model, ", ".join([*fields, "lang_pred STRING", "score DOUBLE"]))
-    return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "lang_pred", "score")
+    kinds = ["lang_pred STRING", "score DOUBLE", "expected DOUBLE"][: len(results)]
+    judged = rows.mapInArrow(model, ", ".join([*fields, *kinds]))
+    if expected is not None:
+        judged = judged.withColumnRenamed("expected", expected)
+    return judged.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], *results)
 
 
 def held_out_languages(docs: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
