@@ -96,3 +96,15 @@ def test_edges(spark):
     none = find_leaks(docs, benchmark.limit(0))
     assert none.columns == ["doc_id", "item_id", "distance"] and none.collect() == []
     assert without_leaks(docs, benchmark.limit(0)).count() == len(rows)
+
+
+def test_scripts_without_spaces_and_punctuation_beyond_ascii(spark):
+    chinese, thai = "春眠不觉晓，处处闻啼鸟。夜来风雨声，花落知多少。", "สวัสดีชาวโลกวันนี้อากาศดีมาก"
+    japanese, french = "吾輩は猫である。名前はまだ無いコーヒー", "« L’été — dit-il — n’était pas fini… »"
+    items = [chinese, thai, japanese, french]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id INT, text STRING")
+    texts = [f"前文{chinese}后文", chinese.replace("风", "雪"), f"x {thai}{thai}", f"「{japanese}」", "avant L'été dit il n'était pas fini après",
+             "春天来了，花都开了", "แมวนอนหลับ", "l’hiver était long", "Été—dit"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING")
+    found = {(r.doc_id, r.item_id, r.distance) for r in find_leaks(docs, benchmark).collect()}
+    assert found == {(0, 0, 0), (1, 0, 1), (2, 1, 0), (3, 2, 0), (4, 3, 0)}
