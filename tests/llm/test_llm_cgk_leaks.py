@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
-from tidemark.llm.cgk_leaks import allowed_edits, collide, edit_distances, find_leaks, without_leaks
+from tidemark.llm import cgk_leaks
+from tidemark.llm.cgk_leaks import allowed_edits, collide, edit_distances, find_leaks, finder, index_items, without_leaks
 
 VOCABULARY = [f"{a}{b}" for a in "bcdfghklmnprst" for b in ("a", "e", "io", "unt", "ald")]
 
@@ -108,3 +111,38 @@ def test_scripts_without_spaces_and_punctuation_beyond_ascii(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING")
     found = {(r.doc_id, r.item_id, r.distance) for r in find_leaks(docs, benchmark).collect()}
     assert found == {(0, 0, 0), (1, 0, 1), (2, 1, 0), (3, 2, 0), (4, 3, 0)}
+
+
+def test_one_long_item_among_many_short_ones_in_bounded_memory():
+    """A table of all items, as wide as the longest, would take hundreds of megabytes."""
+    chance = random.Random(10)
+    items = [[f"{chance.choice(VOCABULARY)}{chance.randrange(90)}" for _ in range(12)] for _ in range(10_000)]
+    long = [f"{chance.choice(VOCABULARY)}{chance.randrange(90)}" for _ in range(6_000)]
+    texts = [" ".join(items[i] + items[i + 1]) for i in range(0, 2_000, 2)] + [" ".join(["x", *edited(long, 5, chance), "y"]), " ".join(long[:4_000])]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    tracemalloc.start()
+    index = index_items(list(range(10_001)), [" ".join(i) for i in [*items, long]], 0.2)
+    found = [tuple(r.values()) for part in finder(index)(iter([batch])) for r in part.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250 << 20
+    assert {(d, i) for d, i, _ in found} >= {(i // 2, j) for i in range(0, 2_000, 2) for j in (i, i + 1)}
+    assert {(d, i) for d, i, _ in found if i == 10_000} == {(1_000, 10_000)}
+    assert all(least == 0 if i < 10_000 else least <= 5 for _, i, least in found)
+
+
+def test_postings_and_windows_in_blocks(monkeypatch):
+    """Budgets of a few words give what large ones give."""
+    chance = random.Random(11)
+    items = [" ".join(chance.choice("abcd") for _ in range(chance.randrange(3, 30))) for _ in range(30)]
+    texts = [" ".join(chance.choice("abcd") for _ in range(chance.randrange(1, 90))) for _ in range(40)] + items
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+
+    def found():
+        parts = finder(index_items(list(range(30)), items, 0.2))(iter([batch]))
+        return {tuple(r.values()) for part in parts for r in part.to_pylist()}
+
+    expected = found()
+    monkeypatch.setattr(cgk_leaks, "_CELLS", 50)
+    monkeypatch.setattr(cgk_leaks, "_POSTINGS", 20)
+    assert found() == expected and {(40 + i, i, 0) for i in range(30)} <= expected

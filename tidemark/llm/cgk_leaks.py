@@ -29,7 +29,8 @@ ANCHOR = 3  # words of a shared run
 EDITS = 0.2  # edits per word of an item, at most
 WALKS, SAMPLES, PLACES = 8, 3, 3  # walks; samples per walk; output places per sample
 BLOCK_BYTES = 16 << 20  # benchmark text per pass over the documents
-_FLUSH = 8_192  # windows judged at once
+_CELLS = 1 << 20  # words of windows that wait, or are compared, at once
+_POSTINGS = 1 << 20  # shared runs looked at at once
 _FILTER_BITS = 20
 
 # Punctuation and white space beyond ASCII, and scripts without spaces between words.
@@ -103,7 +104,8 @@ class Items:
     """Benchmark items of one pass, and their anchors sorted by hash."""
 
     ids: list
-    words: np.ndarray  # a row per item, 0 after its end
+    words: np.ndarray  # of all items, one after the other
+    begin: np.ndarray  # first word of every item
     lengths: np.ndarray
     edits: np.ndarray
     anchors: np.ndarray  # distinct hashes
@@ -124,9 +126,6 @@ def parted(texts: pa.Array) -> pa.Array:
 def index_items(ids: list, texts: list[str], edits: float) -> Items:
     words = words_of(texts_of(parted(pa.array(texts, pa.string()))), marks=True)
     lengths, firsts = words.counts, words.firsts()
-    table = np.zeros((len(ids), max(1, int(lengths.max(initial=1)))), np.uint64)
-    for i in range(len(ids)):
-        table[i, : lengths[i]] = words.hashes[firsts[i] : firsts[i + 1]]
     runs, at = anchors_of(words)
     order = np.argsort(runs, kind="stable")
     distinct, first = np.unique(runs[order], return_index=True)
@@ -134,7 +133,7 @@ def index_items(ids: list, texts: list[str], edits: float) -> Items:
     known[distinct >> np.uint64(64 - _FILTER_BITS)] = True
     item = words.text[at[order]]
     return Items(
-        ids, table, lengths, allowed_edits(lengths, edits), distinct, np.append(first, len(order)), item,
+        ids, words.hashes, firsts[:-1], lengths, allowed_edits(lengths, edits), distinct, np.append(first, len(order)), item,
         at[order] - firsts[item], known,
     )
 
@@ -147,38 +146,67 @@ def anchors_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def windows_of(texts: Texts, items: Items) -> Iterator[tuple[np.ndarray, ...]]:
-    """Distinct (text, item, item-sized window, area around it) where an anchor is shared."""
+    """Distinct (text, item) where an anchor is shared, and the words of the area around the item-sized window."""
     words = words_of(texts, marks=True)
     runs, at = anchors_of(words)
     maybe = np.flatnonzero(items.filter[runs >> np.uint64(64 - _FILTER_BITS)])
     place = np.searchsorted(items.anchors, runs[maybe])
     real = items.anchors[np.minimum(place, len(items.anchors) - 1)] == runs[maybe]
-    at, place = at[maybe[real]], place[real]
-    if not len(at):
-        return
+    at, place, firsts = at[maybe[real]], place[real], words.firsts()
+    for text, item, start in distinct_windows(words, firsts, items, at, place):
+        edits = items.edits[item]
+        begin, size = firsts[text] + start - edits, items.lengths[item] + 2 * edits
+        for some in chunks(size):
+            low, high = firsts[text[some]], firsts[text[some] + 1]
+            yield text[some], item[some], stretches(words.hashes, begin[some], size[some], low, high)
+
+
+def distinct_windows(words: Words, firsts: np.ndarray, items: Items, at: np.ndarray, place: np.ndarray) -> Iterator[tuple]:
+    """Text, item and first word in the text of the windows that words ``at`` share with items at anchors ``place``.
+
+    Postings are taken in blocks; a window stands in more than one of the results only if those are long.
+    """
     counts = items.first[place + 1] - items.first[place]
-    posting = np.repeat(items.first[place] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-    at, item = np.repeat(at, counts), items.item[posting]
-    text, firsts = words.text[at], words.firsts()
-    room = np.maximum(0, words.counts[text] - items.lengths[item])
-    start = np.clip(at - firsts[text] - items.offset[posting], 0, room)
-    for block in np.array_split(np.unique(np.stack([text, item, start]), axis=1), -(-len(at) // _FLUSH), axis=1):
-        text, item, start = block
-        if not len(text):
-            continue
-        yield text, item, *cut_out(words, firsts, text, start, items.lengths[item], items.edits[item])
+    span, number = int(words.counts.max(initial=0)) + 1, len(items.lengths)
+    seen = np.zeros(0, np.int64)
+
+    def numbered(keys: np.ndarray) -> tuple[np.ndarray, ...]:
+        return keys // span // number, keys // span % number, keys % span
 
+    for some in chunks(counts, _POSTINGS):
+        many = counts[some]
+        posting = np.repeat(items.first[place[some]] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        word, item = np.repeat(at[some], many), items.item[posting]
+        text = words.text[word]
+        room = np.maximum(0, words.counts[text] - items.lengths[item])
+        start = np.clip(word - firsts[text] - items.offset[posting], 0, room)
+        seen = np.unique(np.concatenate([seen, (text * number + item) * span + start]))
+        if len(seen) >= _POSTINGS:
+            yield numbered(seen)
+            seen = seen[:0]
+    if len(seen):
+        yield numbered(seen)
 
-def cut_out(words: Words, firsts: np.ndarray, text, start, lengths, edits) -> tuple[np.ndarray, np.ndarray]:
-    """Window of ``lengths`` words from ``start``, and the same with ``edits`` words more on both sides."""
 
-    def stretch(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-        step = np.arange(int(size.max()))[None, :]
-        inside = (step < size[:, None]) & (begin[:, None] + step < words.counts[text][:, None]) & (begin[:, None] + step >= 0)
-        where = np.clip(firsts[text][:, None] + begin[:, None] + step, 0, len(words.hashes) - 1)
-        return np.where(inside, words.hashes[where], np.uint64(0))
+def chunks(sizes: np.ndarray, total: int | None = None) -> Iterator[slice]:
+    """Consecutive slices whose sizes add up to about ``total`` (``_CELLS``); a larger one is alone or the last of its slice."""
+    ends = np.cumsum(sizes)
+    cuts = np.flatnonzero(np.diff(ends // (total or _CELLS))) + 1
+    edges = [0, *cuts.tolist(), len(sizes)]
+    return (slice(low, high) for low, high in zip(edges[:-1], edges[1:], strict=True) if low < high)
 
-    return stretch(start, lengths), stretch(start - edits, lengths + 2 * edits)
+
+def stretches(words: np.ndarray, begin: np.ndarray, size: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """``size`` words from each ``begin``, one stretch after the other; 0 outside of ``low`` to ``high``."""
+    where = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+    inside = (where >= np.repeat(low, size)) & (where < np.repeat(high, size))
+    return np.where(inside, words[np.clip(where, 0, len(words) - 1)], np.uint64(0))
+
+
+def rows_of(words: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A row for each stretch of ``size`` words from ``begin``, 0 after its end."""
+    step = np.arange(int(size.max()))[None, :]
+    return np.where(step < size[:, None], words[np.minimum(begin[:, None] + step, len(words) - 1)], np.uint64(0))
 
 
 def finder(items: Items) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -188,36 +216,42 @@ def finder(items: Items) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         waiting: list[tuple] = []
         for batch, _ in pieces(batches, 1):
             texts = texts_of(parted(batch.column(1)))
-            for text, item, window, area in windows_of(texts, items):
-                waiting.append((batch.column(0).take(pa.array(text)), item, window, area))
-            if sum(len(w[1]) for w in waiting) >= _FLUSH:
-                yield judged(waiting, items)
-                waiting = []
+            for text, item, area in windows_of(texts, items):
+                waiting.append((batch.column(0).take(pa.array(text)), item, area))
+                if sum(len(w[2]) for w in waiting) >= _CELLS:
+                    yield from judged(waiting, items)
+                    waiting = []
         if waiting:
-            yield judged(waiting, items)
+            yield from judged(waiting, items)
 
     return find
 
 
-def _stacked(tables: list[np.ndarray]) -> np.ndarray:
-    width = max(t.shape[1] for t in tables)
-    return np.concatenate([np.pad(t, ((0, 0), (0, width - t.shape[1]))) for t in tables])
+def judged(waiting: list[tuple], items: Items) -> Iterator[pa.RecordBatch]:
+    """Windows that collide with their item and are within its edits.
 
-
-def judged(waiting: list[tuple], items: Items) -> pa.RecordBatch:
-    """Windows that collide with their item and are within its edits."""
+    Windows are compared in groups of items about as long, so that a long item does not widen the rows of short ones.
+    """
     docs = pa.concat_arrays([w[0] for w in waiting])
-    item = np.concatenate([w[1] for w in waiting])
-    windows, areas = _stacked([w[2] for w in waiting]), _stacked([w[3] for w in waiting])
-    longest = int(items.lengths[item].max())
-    candidates = np.flatnonzero(collide(windows[:, :longest], items.words[item][:, :longest], items.lengths[item]))
-    item = item[candidates]
-    distance = np.zeros(0, np.int64)
-    if len(item):
-        distance = edit_distances(items.words[item], items.lengths[item], areas[candidates])
-    near = np.flatnonzero(distance <= items.edits[item])
-    columns = [docs.take(pa.array(candidates[near])), pa.array(item[near].astype(np.int64)), pa.array(distance[near])]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "item", "distance"])
+    item, areas = np.concatenate([w[1] for w in waiting]), np.concatenate([w[2] for w in waiting])
+    size = items.lengths[item] + 2 * items.edits[item]
+    begin = np.cumsum(size) - size
+    order = np.argsort(size, kind="stable")
+    while len(order):
+        cells = np.arange(1, len(order) + 1) * size[order]
+        group, order = np.split(order, [max(1, int(np.searchsorted(cells, _CELLS, "right")))])
+        which = item[group]
+        lengths, edits = items.lengths[which], items.edits[which]
+        mine = rows_of(areas, begin[group] + edits, lengths)
+        near = np.flatnonzero(collide(mine, rows_of(items.words, items.begin[which], lengths), lengths))
+        if not len(near):
+            continue
+        group, which, lengths, edits = group[near], which[near], lengths[near], edits[near]
+        theirs = rows_of(items.words, items.begin[which], lengths)
+        distance = edit_distances(theirs, lengths, rows_of(areas, begin[group], size[group]))
+        near = np.flatnonzero(distance <= edits)
+        columns = [docs.take(pa.array(group[near])), pa.array(which[near].astype(np.int64)), pa.array(distance[near])]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item", "distance"])
 
 
 def find_leaks(
