@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
+from collections import Counter, defaultdict
 
 import duckdb
 
@@ -93,6 +95,59 @@ def test_few_contexts_or_many_other_places_reveal_nothing(spark):
     assert not any("term" in r.spans for r in sanitise(docs).collect())
 
 
+def revealing(texts):
+    """Terms that reveal an address: places near any of its mentions, counted one by one."""
+    near, support, total = Counter(), defaultdict(set), Counter()
+    for text in texts:
+        words = [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W_]+", text)]
+        total.update(w for _, _, w in words)
+        places = defaultdict(list)
+        for m in EMAIL.finditer(text):
+            places[m[0].lower()].append((m.start(), m.end()))
+        for entity, mentions in places.items():
+            groups = []
+            for start, end in mentions:
+                if groups and start - groups[-1][-1][1] < 160:
+                    groups[-1].append((start, end))
+                else:
+                    groups.append([(start, end)])
+            for group in groups:
+                low, high = max(0, group[0][0] - 80), min(len(text), group[-1][1] + 80)
+                context = text[low : group[0][0]], *[text[a[1] : b[0]] for a, b in itertools.pairwise(group)], text[group[-1][1] : high]
+                for a, b, word in words:
+                    inside = (a > low or low == 0) and (b < high or high == len(text)) and a >= low and b <= high
+                    if len(word) >= 3 and inside and not any(a < end and start < b for start, end in group):
+                        near[entity, word] += 1
+                        support[entity, word].add(context)
+    return {w for (e, w), n in near.items() if len(support[e, w]) >= 3 and 100 * n >= 80 * total[w]}
+
+
+def test_an_address_repeated_in_one_line_is_one_context(spark):
+    """Random texts with addresses that stand several times in a line, against a count of places one by one."""
+    chance = random.Random(12)
+    line = "zorblat: jo@x.org <mailto:jo@x.org> jo@x.org"
+    texts = [line, f"plumbus {line}"] + ["zorblat far from any address"] * 2 + ["a plumbus"]
+    assert not any("term" in r.spans for r in sanitise(spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING")).collect())
+    names, words = [f"n{i}@h.org" for i in range(6)], [f"word{i}" for i in range(150)]
+    texts = []
+    for _ in range(250):
+        name, about = chance.choice(names), chance.choice(words)
+        parts = [chance.choice([name, name, about, chance.choice(words), "and so it goes on"]) for _ in range(chance.randrange(1, 30))]
+        texts += [", ".join(parts)] * chance.choice([1, 1, 3])
+    expected = revealing(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING")
+    found = {w.lower() for r in sanitise(docs).collect() for w in named_terms(r)}
+    assert found == {w for w in expected if any(w in base_free(t) for t in texts)} and len(found) > 3
+
+
+def named_terms(row):
+    return [row.text[int(s.split(":")[1]) : int(s.split(":")[2])] for s in row.spans.split(",") if s.startswith("term")]
+
+
+def base_free(text):
+    return re.findall(r"[^\W_]+", EMAIL.sub(" ", text.lower()))
+
+
 def test_edges(spark):
     digits = "1 " * 30_000
     rows = [(1, None), (2, ""), (None, "a@b.c"), (3, "a@b.c"), (3, "x a@b.c"), (3, "a@b.c"), (4, "a" * 60_000), (5, digits), (6, "9" * 40_000), (7, "+1 23456789a@b.cd")]

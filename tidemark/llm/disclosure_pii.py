@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import let, staged, with_results
@@ -108,21 +108,41 @@ def _terms(text: Column) -> Column:
 
 
 def contexts(based: DataFrame) -> DataFrame:
-    """``entity, context, term``: every term near an entity, as often as it stands there.
+    """``entity, context, term, n``: every occurrence of a term near an entity, once, and how many equal texts have it.
 
-    Words that the window cuts are left out: a run of term characters at its outer ends goes.
+    Windows around mentions of one entity that overlap are one context, without these mentions. Words that its outer
+    ends cut are left out: a run of term characters there goes.
     """
     spans = based.select("_whole", F.explode("_base").alias("span")).select("_whole", "span.*")
     value = F.substring("_whole", F.col("start") + 1, F.col("end") - F.col("start"))
     entity = F.when(F.col("kind").isin("card", "phone"), _digits(value)).otherwise(F.lower(value))
-    begin = F.greatest(F.col("start") - CONTEXT, F.lit(0))
-    before = F.substring("_whole", begin + 1, F.col("start") - begin)
-    after = F.substring("_whole", F.col("end") + 1, F.lit(CONTEXT))
-    before = F.when(begin > 0, F.regexp_replace(before, rf"^{TERM}", "")).otherwise(before)
-    cut = F.col("end") + CONTEXT < F.length("_whole")
-    after = F.when(cut, F.regexp_replace(after, rf"{TERM}$", "")).otherwise(after)
-    near = spans.select(F.xxhash64("kind", entity).alias("entity"), F.concat(before, F.lit("\n"), after).alias("near"))
-    return near.select("entity", F.xxhash64("near").alias("context"), F.explode(_terms(F.col("near"))).alias("term"))
+    begin = F.greatest(F.col("start") - 2 * CONTEXT, F.lit(0))
+    mentions = spans.select(
+        F.xxhash64("_whole").alias("version"), F.length("_whole").alias("length"), F.xxhash64("kind", entity).alias("entity"), "start", "end",
+        F.substring("_whole", begin + 1, F.col("start") - begin).alias("before"),
+        F.substring("_whole", F.col("end") + 1, F.lit(CONTEXT)).alias("after"),
+    )
+    mentions = mentions.groupBy(*mentions.columns).agg(F.count(F.lit(1)).alias("n"))  # equal texts are one
+    alike = Window.partitionBy("version", "length", "entity")
+    gap = F.col("start") - F.lag("end").over(alike.orderBy("start"))
+    gap_after = F.lead("start").over(alike.orderBy("start")) - F.col("end")
+    met = mentions.withColumns({"gap": gap, "gap_after": gap_after})
+    met = met.withColumns({
+        "first": F.coalesce(F.col("gap") >= 2 * CONTEXT, F.lit(True)), "last": F.coalesce(F.col("gap_after") >= 2 * CONTEXT, F.lit(True))
+    })
+    size = F.when(F.col("first"), F.least(F.col("start"), F.lit(CONTEXT))).otherwise(F.col("gap"))
+    before = F.substring("before", (F.length("before") - size + 1).cast("int"), size.cast("int"))
+    before = F.when(F.col("first") & (F.col("start") > CONTEXT), F.regexp_replace(before, rf"^{TERM}", "")).otherwise(before)
+    cut = F.col("end") + CONTEXT < F.col("length")
+    after = F.when(cut, F.regexp_replace("after", rf"{TERM}$", "")).otherwise(F.col("after"))
+    near = met.select(
+        "version", "length", "entity", "start", "n", F.sum(F.col("first").cast("int")).over(alike.orderBy("start")).alias("merged"),
+        F.concat(before, F.lit("\n"), F.when(F.col("last"), after).otherwise("")).alias("near"),
+    )
+    whole = Window.partitionBy("version", "length", "entity", "merged")
+    near = near.withColumn("place", F.col("start") - F.min("start").over(whole))
+    near = near.withColumn("context", F.bit_xor(F.xxhash64("near", "place")).over(whole))
+    return near.select("entity", "context", F.explode(_terms(F.col("near"))).alias("term"), "n")
 
 
 def bit_map(terms: DataFrame) -> Column:
@@ -146,7 +166,7 @@ def revealing_terms(based: DataFrame) -> DataFrame:
     """``term``: the terms of the whole corpus that reveal an entity."""
     near = staged(contexts(based), "contexts")
     known = near.groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("n_near"), F.count_distinct("context").alias("n_contexts")
+        F.sum("n").alias("n_near"), F.count_distinct("context").alias("n_contexts")
     )
     known = staged(known.filter(F.col("n_contexts") >= CONTEXTS).groupBy("term").agg(F.max("n_near").alias("n_near")), "near-terms")
     if known.isEmpty():
@@ -203,7 +223,7 @@ def sanitise(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
 
     A null text counts as empty. Rows with a null id keep the base spans only, but count in the corpus. Rows
     that repeat an id are documents of their own; repeated contexts count once for support and as often as they
-    stand there for the share. Other columns pass through; input columns named like a result give way. An
+    stand there for the share; mentions whose windows overlap have one context, and a term in it counts once for each place. Other columns pass through; input columns named like a result give way. An
     empty table stays empty.
     """
     based = with_base_spans(docs, text)
