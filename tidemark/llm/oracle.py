@@ -264,8 +264,101 @@ SELECT doc_id, {", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind, _, _ in
 FROM texts LEFT JOIN listed USING (row_id)
 """
 
+# The steps of CRC-32 for one byte, and for all bytes of a text.
+_CRC_STEP = "CASE WHEN {0} % 2 = 1 THEN xor({0} // 2, 3988292384) ELSE {0} // 2 END"
+
+
+def _crc_table() -> str:
+    """A list of 256 numbers, by eight steps each."""
+    entry = "range(0, 256)"
+    for _ in range(8):
+        entry = f"[{_CRC_STEP.format('x')} FOR x IN {entry}]"
+    return entry
+
+
+def _runs(source: str) -> str:
+    words = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""SELECT row_id, doc_id, len(words) AS n_words,
+    unnest(words || [words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS run
+  FROM (SELECT row_id, doc_id, {words} AS words FROM {source})"""
+
+
+OP11 = rf"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
+), target AS (
+  SELECT row_number() OVER () AS row_id, NULL AS doc_id, coalesce(text, '') AS text FROM benchmark
+), doc_runs AS MATERIALIZED ({_runs("docs")}
+), target_runs AS MATERIALIZED ({_runs("target")}
+), runs AS MATERIALIZED (
+  SELECT run, hex(encode(run)) AS digits FROM (SELECT run FROM doc_runs UNION SELECT run FROM target_runs)
+), crc_table AS MATERIALIZED (
+  SELECT {_crc_table()} AS t
+), bucketed AS MATERIALIZED (
+  SELECT run, xor(list_reduce(
+    [4294967295::BIGINT] || [('0x' || digits[2 * i - 1 : 2 * i])::BIGINT FOR i IN range(1, len(digits) // 2 + 1)],
+    lambda crc, byte: xor(crc // 256, t[xor(crc % 256, byte) + 1])
+  ), 4294967295) % 10000 AS bucket FROM runs, crc_table
+), corpus AS (
+  SELECT bucket, count(*) AS s FROM doc_runs JOIN bucketed USING (run) GROUP BY bucket
+), aimed AS (
+  SELECT bucket, count(*) AS t FROM target_runs JOIN bucketed USING (run) GROUP BY bucket
+), gains AS MATERIALIZED (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM doc_runs) + 10000))
+    / ((s + 1)::DOUBLE * ((SELECT count(*) FROM target_runs) + 10000))))::BIGINT AS gain
+  FROM corpus LEFT JOIN aimed USING (bucket)
+), weights AS (
+  SELECT row_id, any_value(n_words) AS n_words, count(*) AS n_features, sum(gain)::BIGINT AS total
+  FROM doc_runs JOIN bucketed USING (run) JOIN gains USING (bucket) GROUP BY row_id
+), weighed AS (
+  SELECT docs.row_id, docs.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_features, 0) AS n_features,
+    coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+    ('0x' || sha256('7:' || docs.doc_id)[1:8])::BIGINT AS h
+  FROM docs LEFT JOIN weights USING (row_id)
+), scored AS (
+  SELECT *, (weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score FROM weighed
+), ranked AS (
+  SELECT row_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+  FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranked USING (row_id)
+"""
+
+
+def _round(i: int) -> str:
+    """Assignment to the centroids of round ``i``, and the centroids after it."""
+    return f"""near{i} AS MATERIALIZED (
+  SELECT row_id, any_value(v) AS v, any_value(vec_id) AS vec_id, min(d) AS distance, arg_min(cluster, d * 8 + cluster) AS cluster
+  FROM (SELECT k.row_id, k.vec_id, k.v, c.cluster, list_sum([(k.v[i] - c.v[i]) * (k.v[i] - c.v[i]) FOR i IN range(1, 65)])::BIGINT AS d
+    FROM kept k, c{i} c) GROUP BY row_id
+), sums{i} AS (
+  SELECT cluster, i, sum(x) AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, unnest(range(1, 65)) AS i FROM near{i}) GROUP BY ALL
+), c{i + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM sums{i} GROUP BY cluster) m USING (cluster)
+)"""
+
+
+OP13 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1)::INTEGER AS cluster, v FROM kept WHERE vec_id IS NOT NULL
+  QUALIFY cluster < 8
+), {", ".join(_round(i) for i in range(11))}, totals AS (
+  SELECT cluster, sum(distance)::BIGINT AS cluster_inertia, any_value(sha256(array_to_string(c10.v, ','))) AS centroid_sha256
+  FROM near10 JOIN c10 USING (cluster) GROUP BY cluster
+)
+SELECT vec_id, cluster, distance, cluster_inertia, (SELECT sum(distance)::BIGINT FROM near10) AS inertia, centroid_sha256
+FROM near10 JOIN totals USING (cluster)
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op10_disclosure_pii": OP10,
+    "op11_importance_resampling": OP11,
+    "op13_simplex_clusters": OP13,
     "op1_url_model": OP1,
     "op2_minmax_dedup": OP2,
     "op3_quality_cascade": OP3,

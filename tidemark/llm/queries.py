@@ -13,9 +13,11 @@ from tidemark.llm import (
     disclosure_pii,
     feistel_shards,
     hypervectors,
+    importance_resampling,
     line_dedup,
     minmax_dedup,
     quality_rules,
+    simplex_clusters,
     subword_quality,
     url_model,
 )
@@ -86,6 +88,17 @@ def op10_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return disclosure_pii.sanitise(docs).select("doc_id", *counts, digest, "spans")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = importance_resampling.resample(docs, table(spark, sf_dir, "benchmark").select("text"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return simplex_clusters.cluster(vectors).drop("centroid")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_model": op1_url_model,
     "op2_minmax_dedup": op2_minmax_dedup,
@@ -97,4 +110,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_subword_quality": op8_subword_quality,
     "op9_line_dedup": op9_line_dedup,
     "op10_disclosure_pii": op10_disclosure_pii,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op13_simplex_clusters": op13_simplex_clusters,
 }
