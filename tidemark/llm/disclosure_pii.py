@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, staged, with_results
+from tidemark.llm.common import cut, let, packed, pieces_of, running, staged, unpacked
 
 CONTEXT = 80  # characters before and after an entity whose whole words are its context
 CONTEXTS = 3  # different contexts of one entity in which a term must stand
@@ -59,41 +59,42 @@ CHECKS: dict[str, Callable[[Column], Column]] = {
     "phone": lambda found: F.length(_digits(found)).between(9, 15),
 }
 
+_FAR = (1 << 62) - 1  # beyond every text
 _SPANS = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
 
 
-def _walk(found: Column, gaps: Column, rank: int, kind: str, wanted: Callable[[Column], Column]) -> Column:
+def spans_of(found: Column, gaps: Column, rank: int, kind: str, wanted: Callable[[Column], Column]) -> Column:
     """Spans of the wanted matches; matches and the gaps between them alternate, so their lengths give the places."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPANS).alias("spans"))
+    paired = F.arrays_zip(found.alias("found"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap"))
+    sizes = F.transform(paired, lambda p: (F.length(p["gap"]) + F.length(p["found"])).cast("bigint"))
 
-    def step(seen: Column, pair: Column) -> Column:
-        begin = seen["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["found"])
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"))
-        spans = F.when(F.coalesce(wanted(pair["found"]), F.lit(False)), F.array_append(seen["spans"], span))
-        return F.struct(end.alias("at"), spans.otherwise(seen["spans"]).alias("spans"))
+    def spanned(ends: Column) -> Column:
+        def span(match: Column, i: Column) -> Column:
+            end = F.get(ends, i)
+            own = F.struct((end - F.length(match)).alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"))
+            return F.when(F.coalesce(wanted(match), F.lit(False)), own)
 
-    pairs = F.arrays_zip(found.alias("found"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap"))
-    return F.aggregate(pairs, start, step, lambda seen: seen["spans"])
+        return F.filter(F.transform(found, span), lambda s: s.isNotNull()).cast(_SPANS)
 
+    return let(running(sizes, lambda a, b: a + b, 0), spanned)
 
-def with_base_spans(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with one column of spans per kind (``_email`` and so on) and all of them, sorted, as ``_base``."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    matches = {}
+
+def with_base_spans(docs: DataFrame) -> DataFrame:
+    """``docs`` (with ``whole``) with one column of spans per kind and all of them, sorted, as ``base``."""
+    none = F.array().cast("array<string>")
+    matches, gaps = {}, {}
     for kind in KINDS:
-        found = F.regexp_extract_all(F.col("_whole"), F.lit(PATTERNS[kind]), F.lit(0))
-        if kind in _NEEDED:
-            found = F.when(F.contains(F.col("_whole"), F.lit(_NEEDED[kind])), found).otherwise(F.array().cast("array<string>"))
-        matches[f"_{kind}_found"] = found
-    read = docs.withColumn("_whole", whole).withColumns(matches)
+        found = F.regexp_extract_all(F.col("whole"), F.lit(PATTERNS[kind]), F.lit(0))
+        needed = F.contains(F.col("whole"), F.lit(_NEEDED.get(kind, "")))
+        matches[f"{kind}_found"] = F.when(needed, found).otherwise(none)
+        gaps[f"{kind}_gaps"] = F.when(F.size(f"{kind}_found") > 0, F.split("whole", PATTERNS[kind]))
+    read = docs.withColumns(matches).withColumns(gaps)
     spans = {}
     for rank, kind in enumerate(KINDS):
-        found = F.col(f"_{kind}_found").alias("found")
-        walked = _walk(found, F.split("_whole", PATTERNS[kind]), rank, kind, CHECKS[kind])
-        spans[f"_{kind}"] = F.when(F.size(found) > 0, walked).otherwise(F.array().cast(_SPANS))
-    spanned = read.withColumns(spans).drop(*matches)
-    return spanned.withColumn("_base", F.sort_array(F.concat(*[F.col(f"_{kind}") for kind in KINDS])))
+        own = spans_of(F.col(f"{kind}_found"), F.col(f"{kind}_gaps"), rank, kind, CHECKS[kind])
+        spans[kind] = F.when(F.size(f"{kind}_found") > 0, own).otherwise(F.array().cast(_SPANS))
+    spanned = read.withColumns(spans).drop(*matches, *gaps)
+    return spanned.withColumn("base", F.sort_array(F.concat(*[F.col(kind) for kind in KINDS])))
 
 
 def listed(spans: Column) -> Column:
@@ -113,15 +114,25 @@ def contexts(based: DataFrame) -> DataFrame:
     Windows around mentions of one entity that overlap are one context, without these mentions. Words that its outer
     ends cut are left out: a run of term characters there goes.
     """
-    spans = based.select("_whole", F.explode("_base").alias("span")).select("_whole", "span.*")
-    value = F.substring("_whole", F.col("start") + 1, F.col("end") - F.col("start"))
-    entity = F.when(F.col("kind").isin("card", "phone"), _digits(value)).otherwise(F.lower(value))
-    begin = F.greatest(F.col("start") - 2 * CONTEXT, F.lit(0))
-    mentions = spans.select(
-        F.xxhash64("_whole").alias("version"), F.length("_whole").alias("length"), F.xxhash64("kind", entity).alias("entity"), "start", "end",
-        F.substring("_whole", begin + 1, F.col("start") - begin).alias("before"),
-        F.substring("_whole", F.col("end") + 1, F.lit(CONTEXT)).alias("after"),
-    )
+    def mention(pieces: Column) -> Callable[[Column], Column]:
+        def of(span: Column) -> Column:
+            start, end = span["start"], span["end"]
+            value = cut(pieces, start, end)
+            entity = F.when(span["kind"].isin("card", "phone"), _digits(value)).otherwise(F.lower(value))
+            return F.struct(
+                F.xxhash64(span["kind"], entity).alias("entity"), start.alias("start"), end.alias("end"),
+                cut(pieces, F.greatest(start - 2 * CONTEXT, F.lit(0)), start).alias("before"),
+                cut(pieces, end, end + CONTEXT).alias("after"),
+            )
+
+        return of
+
+    # Mentions take their surroundings with them, and the text stays behind.
+    met = let(pieces_of(F.col("whole")), lambda pieces: F.transform("base", mention(pieces)))
+    known = based.filter(F.size("base") > 0).select(
+        F.xxhash64("whole").alias("version"), F.length("whole").alias("length"), met.alias("mentions")
+    )
+    mentions = known.select("version", "length", F.explode("mentions").alias("mention")).select("version", "length", "mention.*")
     mentions = mentions.groupBy(*mentions.columns).agg(F.count(F.lit(1)).alias("n"))  # equal texts are one
     alike = Window.partitionBy("version", "length", "entity")
     gap = F.col("start") - F.lag("end").over(alike.orderBy("start"))
@@ -133,8 +144,8 @@ def contexts(based: DataFrame) -> DataFrame:
     size = F.when(F.col("first"), F.least(F.col("start"), F.lit(CONTEXT))).otherwise(F.col("gap"))
     before = F.substring("before", (F.length("before") - size + 1).cast("int"), size.cast("int"))
     before = F.when(F.col("first") & (F.col("start") > CONTEXT), F.regexp_replace(before, rf"^{TERM}", "")).otherwise(before)
-    cut = F.col("end") + CONTEXT < F.col("length")
-    after = F.when(cut, F.regexp_replace("after", rf"{TERM}$", "")).otherwise(F.col("after"))
+    shortened = F.col("end") + CONTEXT < F.col("length")
+    after = F.when(shortened, F.regexp_replace("after", rf"{TERM}$", "")).otherwise(F.col("after"))
     near = met.select(
         "version", "length", "entity", "start", "n", F.sum(F.col("first").cast("int")).over(alike.orderBy("start")).alias("merged"),
         F.concat(before, F.lit("\n"), F.when(F.col("last"), after).otherwise("")).alias("near"),
@@ -172,47 +183,64 @@ def revealing_terms(based: DataFrame) -> DataFrame:
     if known.isEmpty():
         return known.select("term")
     bits = bit_map(known)
-    words = based.select(F.explode(_terms(F.col("_whole"))).alias("term")).filter(_in_map(bits, F.col("term")))
+    words = based.select(F.explode(_terms(F.col("whole"))).alias("term")).filter(_in_map(bits, F.col("term")))
     counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     reveals = 100 * F.col("n_near") >= SHARE * F.col("n")
     return staged(known.join(counted, "term").filter(reveals).select("term"), "revealing-terms")
 
 
-def with_term_spans(based: DataFrame, terms: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``based`` with ``_spans``: base spans and those of revealing terms outside of them, sorted."""
+def outside(base: Column, terms: Column) -> Column:
+    """The spans of both, sorted, without the terms that meet a base span."""
+
+    def judged(spans: Column) -> Column:
+        ends = F.transform(spans, lambda s: F.when(s["rank"] < len(KINDS), s["end"]).otherwise(0))
+        starts = F.transform(spans, lambda s: F.when(s["rank"] < len(KINDS), s["start"]).otherwise(_FAR))
+        reached = running(ends, F.greatest, 0)  # by base spans up to here
+        next_ = F.reverse(running(F.reverse(starts), F.least, _FAR))  # base span from here on
+        zipped = F.arrays_zip(spans.alias("span"), reached.alias("reached"), next_.alias("next"))
+        free = F.filter(
+            zipped,
+            lambda z: (z["span"]["rank"] < len(KINDS)) | ((z["reached"] <= z["span"]["start"]) & (z["next"] >= z["span"]["end"])),
+        )
+        return F.transform(free, lambda z: z["span"])
+
+    return let(F.sort_array(F.concat(base, terms)), judged)
+
+
+def with_term_spans(based: DataFrame, terms: DataFrame) -> DataFrame:
+    """``based`` with ``marked``: base spans and those of revealing terms outside of them, sorted."""
     if terms.isEmpty():
-        return based.withColumn("_spans", F.col("_base"))
+        return based.withColumn("marked", F.col("base"))
     bits = bit_map(terms)
-    version = F.xxhash64(F.col(text))
-    words = based.select(
-        F.col(doc_id).alias("_doc"), version.alias("_version"), F.explode(F.array_distinct(_terms(F.col("_whole")))).alias("term")
-    ).filter(F.col("_doc").isNotNull() & _in_map(bits, F.col("term")))
+    runs = F.regexp_extract_all(F.col("whole"), F.lit(TERM), F.lit(0))
+    words = based.filter(F.col("doc").isNotNull()).select(
+        "doc", "version", F.posexplode(F.transform(runs, F.lower)).alias("place", "term")
+    ).filter((F.length("term") >= TERM_CHARS) & _in_map(bits, F.col("term")))
     # Written first: its real size then decides whether the texts must be shuffled to meet it.
-    held = staged(words.join(terms, "term").groupBy("_doc", "_version").agg(F.collect_set("term").alias("_terms")), "held-terms")
-    joined = based.join(held, (F.col(doc_id) == F.col("_doc")) & (version == F.col("_version")), "left")
-    found = F.regexp_extract_all(F.col("_whole"), F.lit(TERM), F.lit(0))
-    walked = _walk(found.alias("found"), F.split("_whole", TERM), len(KINDS), "term", lambda t: F.array_contains("_terms", F.lower(t)))
-    outside = F.filter(
-        walked, lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    )
-    spans = F.when(F.col("_terms").isNull(), F.col("_base")).otherwise(F.sort_array(F.concat("_base", outside)))
-    return joined.withColumn("_spans", spans).drop("_doc", "_version", "_terms")
+    met = words.join(terms, "term").groupBy("doc", "version").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    held = staged(met, "held-terms").withColumnsRenamed({"doc": "held_doc", "version": "held_version"})
+    joined = based.join(held, (F.col("doc") == F.col("held_doc")) & (F.col("version") == F.col("held_version")), "left")
+    # All runs have spans first; those at the places of terms are picked.
+    split = joined.withColumns({"runs": F.when(F.col("places").isNotNull(), runs), "gaps": F.when(F.col("places").isNotNull(), F.split("whole", TERM))})
+    everywhere = spans_of(F.col("runs"), F.col("gaps"), len(KINDS), "term", lambda run: F.lit(True))
+    picked = let(everywhere, lambda spans: F.transform("places", lambda place: F.get(spans, place)))
+    spans = F.when(F.col("places").isNull(), F.col("base")).otherwise(outside(F.col("base"), picked))
+    return split.withColumn("marked", spans).drop("held_doc", "held_version", "places", "runs", "gaps")
 
 
 def generalised(whole: Column, spans: Column) -> Column:
     """The text with the kind in brackets in place of every span; spans that overlap are one gap."""
 
-    def step(seen: Column, span: Column) -> Column:
-        between = F.substring(whole, (seen["at"] + 1).cast("int"), (span["start"] - seen["at"]).cast("int"))
-        named = F.concat(seen["text"], between, F.lit("["), span["kind"], F.lit("]"))
-        text = F.when(span["start"] >= seen["at"], named).otherwise(seen["text"])
-        return F.struct(F.greatest(seen["at"], span["end"]).alias("at"), text.alias("text"))
+    def replaced(reached: Column, pieces: Column) -> Column:
+        zipped = F.transform(spans, lambda s, i: F.struct(s.alias("span"), F.when(i > 0, F.get(reached, i - 1)).otherwise(0).alias("at")))
+        first = F.filter(zipped, lambda z: z["span"]["start"] >= z["at"])
+        parts = F.transform(first, lambda z: F.concat(cut(pieces, z["at"], z["span"]["start"]), F.lit("["), z["span"]["kind"], F.lit("]")))
+        rest = cut(pieces, F.element_at(reached, -1), F.length(whole).cast("bigint"))
+        return F.concat(F.array_join(parts, ""), rest)
 
-    def finish(seen: Column) -> Column:
-        return F.concat(seen["text"], F.substring(whole, (seen["at"] + 1).cast("int"), F.length(whole)))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("text"))
-    return F.aggregate(spans, start, step, finish)
+    ends = F.transform(spans, lambda s: s["end"])
+    changed = let(running(ends, F.greatest, 0), lambda reached: let(pieces_of(whole), lambda pieces: replaced(reached, pieces)))
+    return F.when(F.size(spans) > 0, changed).otherwise(whole)
 
 
 def sanitise(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -223,13 +251,17 @@ def sanitise(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
 
     A null text counts as empty. Rows with a null id keep the base spans only, but count in the corpus. Rows
     that repeat an id are documents of their own; repeated contexts count once for support and as often as they
-    stand there for the share; mentions whose windows overlap have one context, and a term in it counts once for each place. Other columns pass through; input columns named like a result give way. An
-    empty table stays empty.
+    stand there for the share; mentions whose windows overlap have one context, and a term in it counts once for each
+    place. The work grows in proportion to a text, whatever it holds. Other columns pass through, whatever their names; input
+    columns named like a result give way. An empty table stays empty.
     """
-    based = with_base_spans(docs, text)
-    spanned = with_term_spans(based, revealing_terms(based), doc_id, text)
-    results = {f"n_{kind}": F.size(f"_{kind}").cast("bigint") for kind in KINDS}
-    results["base_spans"] = listed(F.col("_base"))
-    results["spans"] = listed(F.col("_spans"))
-    results["sanitised"] = generalised(F.col("_whole"), F.col("_spans"))
-    return with_results(spanned, results).drop("_whole", "_base", "_spans", *[f"_{kind}" for kind in KINDS])
+    given = F.col(f"`{text}`")
+    based = with_base_spans(
+        packed(docs, doc=F.col(f"`{doc_id}`"), version=F.xxhash64(given), whole=F.coalesce(given, F.lit("")))
+    )
+    spanned = with_term_spans(based, revealing_terms(based))
+    results = {f"n_{kind}": F.size(kind).cast("bigint") for kind in KINDS}
+    results["base_spans"] = listed(F.col("base"))
+    results["spans"] = listed(F.col("marked"))
+    results["sanitised"] = generalised(F.col("whole"), F.col("marked"))
+    return unpacked(spanned, docs.columns, results)

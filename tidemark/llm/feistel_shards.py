@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged, with_results
+from tidemark.llm.common import packed, staged, unpacked
 from tidemark.llm.tokens import mixed
 
 ROUNDS = 6
@@ -68,7 +68,7 @@ def numbered(frame: DataFrame, keys: list[str], name: str) -> DataFrame:
 
     Rows are range partitioned and sorted; each partition numbers its own rows and adds the sizes of
     the partitions before it. Only one row per partition is broadcast. Rows that agree in all keys may lie
-    in any order; keys that tell rows apart make the numbers reproducible.
+    in any order; keys that tell rows apart make the numbers reproducible. Columns ``_part``, ``_place`` and ``_offset`` are its own.
     """
     ordered = frame.repartitionByRange(*keys).sortWithinPartitions(*keys)
     ordered = staged(ordered.withColumn("_place", F.monotonically_increasing_id()), "ordered")
@@ -86,14 +86,15 @@ def shard(docs: DataFrame, shards: int, keys: list[str], seed: int = SEED) -> Da
 
     Shards differ by one row at most. ``keys`` number the rows: give enough of them to tell rows apart, then
     reruns agree whatever the partitioning; rows that agree in every key are interchangeable. Nulls in
-    keys come first. Other columns pass through; input columns named like a result give way. An
+    keys come first. Other columns pass through, whatever their names; input columns named like a result give way. An
     empty table stays empty.
     """
-    rows = numbered(docs, keys, "_number")
+    keyed = packed(docs, **{f"key_{i}": F.col(f"`{key}`") for i, key in enumerate(keys)})
+    rows = numbered(keyed, [f"key_{i}" for i in range(len(keys))], "number")
     n = rows.count()
-    placed = rows.withColumn("_placed", _permutation(n, seed)("_number"))
+    placed = rows.withColumn("placed", _permutation(n, seed)("number"))
     results = {
-        "shard": (F.col("_placed") % shards).cast("int"),
-        "slot": F.floor(F.col("_placed") / shards).cast("long"),
+        "shard": (F.col("placed") % shards).cast("int"),
+        "slot": F.floor(F.col("placed") / shards).cast("long"),
     }
-    return with_results(placed, results).drop("_number", "_placed")
+    return unpacked(placed, docs.columns, results)

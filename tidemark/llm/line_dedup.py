@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, let, staged, strip, with_results
+from tidemark.llm.common import ascii_lower, let, packed, staged, strip, unpacked
 
 
 def _lines(text: Column) -> Column:
@@ -66,24 +66,23 @@ def drop_shared_lines(
 
     A null or empty text is one empty line; a null text stays null. Rows with a null id have
     no identity: they are not counted and keep all lines. Rows that repeat an id count
-    as one document; each row loses its own lines. Other columns pass through;
+    as one document; each row loses its own lines. Other columns pass through, whatever their names;
     ``n_lines`` and ``n_dropped`` of the input give way. Empty tables give empty tables.
     """
     places = dropped_places(staged(line_hashes(docs, text, doc_id, min_chars), "lines"), min_docs)
-    places = places.select(F.col("doc").alias("_doc"), F.col("version").alias("_version"), F.col("places").alias("_places"))
-    whole = docs.join(
-        places,
-        (F.col(doc_id) == F.col("_doc")) & (F.xxhash64(F.col(text)) == F.col("_version")),
-        "left",
-    )
+    places = places.withColumnsRenamed({"doc": "of_doc", "version": "of_version"})
+    given = F.col(f"`{text}`")
+    read = packed(docs, doc=F.col(f"`{doc_id}`"), version=F.xxhash64(given), text=given)
+    whole = read.join(places, (F.col("doc") == F.col("of_doc")) & (F.col("version") == F.col("of_version")), "left")
 
     def without(lines: Column) -> Column:
-        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_places"))
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("places"))
         return F.array_join(F.transform(F.sort_array(left), lambda i: F.get(lines, i)), "\n")
 
+    lines = _lines(F.col("text"))
     results = {
-        "n_lines": F.size(_lines(F.col(text))).cast("long"),
-        "n_dropped": F.coalesce(F.size("_places"), F.lit(0)).cast("long"),
-        text: F.when(F.col("_places").isNull(), F.col(text)).otherwise(let(_lines(F.col(text)), without)),
+        "n_lines": F.size(lines).cast("long"),
+        "n_dropped": F.coalesce(F.size("places"), F.lit(0)).cast("long"),
+        text: F.when(F.col("places").isNull(), F.col("text")).otherwise(let(lines, without)),
     }
-    return with_results(whole, results).drop("_doc", "_version", "_places")
+    return unpacked(whole, docs.columns, results)

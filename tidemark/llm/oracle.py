@@ -229,18 +229,26 @@ WITH texts AS (
 ), base AS (
   {" UNION ALL ".join(_kind(rank, *entry) for rank, entry in enumerate(_PII))}
 ), mentions AS (
-  SELECT kind, CASE WHEN kind IN ('card', 'phone') THEN regexp_replace(m, '[^0-9]', '', 'g') ELSE lower(m) END AS value,
-    text[greatest(s - 80, 0) + 1 : s] AS before_, text[e + 1 : e + 80] AS after_, s > 80 AS cut_before, e + 80 < len(text) AS cut_after
+  SELECT row_id, kind, CASE WHEN kind IN ('card', 'phone') THEN regexp_replace(m, '[^0-9]', '', 'g') ELSE lower(m) END AS value, s, e, text
   FROM base JOIN texts USING (row_id)
+), neighbours AS (
+  SELECT *, lag(e) OVER own AS e_before, coalesce(s - lag(e) OVER own >= 160, TRUE) AS first, coalesce(lead(s) OVER own - e >= 160, TRUE) AS last
+  FROM mentions WINDOW own AS (PARTITION BY row_id, kind, value ORDER BY s)
+), surroundings AS (
+  SELECT row_id, kind, value, s, sum(first::INT) OVER (PARTITION BY row_id, kind, value ORDER BY s) AS merged,
+    CASE WHEN NOT first THEN text[e_before + 1 : s] WHEN s > 80 THEN regexp_replace(text[s - 79 : s], '^{_WORD}', '') ELSE text[1 : s] END
+    || chr(10) || CASE WHEN NOT last THEN '' WHEN e + 80 < len(text) THEN regexp_replace(text[e + 1 : e + 80], '{_WORD}$', '') ELSE text[e + 1 : e + 80] END AS near
+  FROM neighbours
 ), contexts AS (
-  SELECT kind, value, CASE WHEN cut_before THEN regexp_replace(before_, '^{_WORD}', '') ELSE before_ END || chr(10)
-    || CASE WHEN cut_after THEN regexp_replace(after_, '{_WORD}$', '') ELSE after_ END AS near FROM mentions
+  SELECT row_id, kind, value, merged, string_agg(near, chr(0) ORDER BY s) AS near,
+    string_agg(s - least_s || ':' || near, chr(0) ORDER BY s) AS context
+  FROM (SELECT *, min(s) OVER (PARTITION BY row_id, kind, value, merged) AS least_s FROM surroundings) GROUP BY ALL
 ), near_terms AS (
-  SELECT kind, value, near, unnest(regexp_extract_all(lower(near), '{_WORD}')) AS term FROM contexts
+  SELECT kind, value, context, unnest(regexp_extract_all(lower(near), '{_WORD}')) AS term FROM contexts
 ), known AS (
   SELECT term, max(n) AS n_near FROM (
     SELECT kind, value, term, count(*) AS n FROM near_terms WHERE len(term) >= 3
-    GROUP BY ALL HAVING count(DISTINCT near) >= 3) GROUP BY term
+    GROUP BY ALL HAVING count(DISTINCT context) >= 3) GROUP BY term
 ), words AS (
   SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '{_WORD}')) AS term FROM texts)
   GROUP BY term

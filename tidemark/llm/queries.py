@@ -12,6 +12,7 @@ from tidemark.llm import (
     cgk_leaks,
     disclosure_pii,
     feistel_shards,
+    hidden_markov,
     hypervectors,
     importance_resampling,
     line_dedup,
@@ -53,7 +54,8 @@ def op5_hypervector_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_apportioned_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sized = docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"))
+    version = F.xxhash64("text").alias("version")  # tells rows with one id apart
+    sized = docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size"), version)
     mixed = apportioned_mix.mix(staged(sized, "sized"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
@@ -94,6 +96,13 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = hypervectors.held_out("doc_id", 5, 1)
+    found = hidden_markov.score_texts(docs, ~held_out)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op13_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return simplex_clusters.cluster(vectors).drop("centroid")
@@ -111,5 +120,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_disclosure_pii": op10_disclosure_pii,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_hidden_markov": op12_hidden_markov,
     "op13_simplex_clusters": op13_simplex_clusters,
 }
