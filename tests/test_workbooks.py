@@ -232,3 +232,50 @@ def test_required_columns_without_a_value_are_missing(spark):
         "s": ["note", "stage"],
         "t": ["note"],
     }
+
+
+def large_book(rows: int) -> bytes:
+    sheet = [("Key", "Text"), *[(f"k{i}", f"value {i * 7919 % 100_003} of a long row {i}") for i in range(rows)]]
+    return workbook_bytes({"Open": sheet, "Closed": [("Key",), ("z",)], "Other": [("Key",), ("o",)]})
+
+
+def test_large_workbooks_are_read_by_worksheet(spark, tmp_path):
+    both = Contract(expected_sheets=("Open", "Closed"), required_columns=("KEY",), id_column="KEY")
+    good, broken = large_book(50), large_book(50)
+    (tmp_path / "good.xlsx").write_bytes(good)
+    (tmp_path / "broken.xlsx").write_bytes(with_part(broken, "xl/worksheets/sheet2.xml", "<worksheet><sheetData><row>"))
+    (tmp_path / "no.xlsx").write_bytes(b"no archive at all")
+    (tmp_path / "empty.xlsx").touch()
+    listed = [(str(f), f.stat().st_size, date(2026, 8, 1)) for f in tmp_path.iterdir()] + [(f"{tmp_path}/gone.xlsx", 5, date(2026, 8, 1))]
+    files = spark.createDataFrame(listed, "path STRING, length BIGINT, snapshot_date DATE")
+
+    def found(large):
+        records = workbooks.scan_workbooks(files, both, large).cache()
+        name = F.substring_index("path", "/", -1).alias("name")
+        rows = records.filter("record <> 'workbook'").filter("path LIKE '%good.xlsx'").drop("path").collect()
+        books = workbooks.workbook_list(records).select(name, "sheets").collect()
+        return sorted(map(str, rows)), books, sorted(r[0] for r in workbooks.read_failures(records).select(name).collect())
+
+    assert found(0) == found(1 << 30)
+    rows, books, failures = found(0)
+    assert len(rows) == 53 and [r.name for r in books] == ["good.xlsx"]
+    assert failures == ["broken.xlsx", "empty.xlsx", "gone.xlsx", "no.xlsx"]
+
+
+def test_a_large_worksheet_is_read_in_bounded_memory(tmp_path):
+    import tracemalloc
+
+    from tidemark.sources.listing import open_ranges
+    from tidemark.sources.stores import Stores
+
+    content = large_book(60_000)
+    part = zipfile.ZipFile(io.BytesIO(content)).getinfo("xl/worksheets/sheet1.xml")
+    (tmp_path / "large.xlsx").write_bytes(content)
+    opened = lambda: open_ranges(Stores(), f"file:{tmp_path}/large.xlsx", 1 << 16)
+    rows = 0
+    tracemalloc.start()
+    for batch in workbooks._blocks("large.xlsx", opened, CONTRACT.sheet_keys, "Open"):
+        rows += batch.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 60_001 and peak < part.file_size

@@ -7,57 +7,60 @@ whose tasks list them, written before the next one. No list of paths passes the
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import io
+import os
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.stores import Stores, qualified, stores_of
 from tidemark.staging import Stage
 
 _ENTRY_SCHEMA = "path STRING, relative STRING, length BIGINT, is_folder BOOLEAN"
 _NAMES = ["path", "relative", "length", "is_folder"]
 _ENTRIES_PER_BATCH = 4096
 _BYTES_PER_TASK = 64 << 20
+_BUFFER = 1 << 20
 
 
-def qualified(spark: SparkSession, folder: str) -> str:
-    """The folder with the scheme that the cluster's default file system gives it."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system.makeQualified(path).toString().rstrip("/")
-
-
-def _system(scheme: str, authority: str):
-    from pyarrow import fs
+def read_bytes(stores: Stores, uri: str) -> bytes:
+    system, path = stores.located(uri)
+    with system.open_input_file(path) as stream:
+        return stream.read()
 
-    if scheme == "file":
-        return fs.LocalFileSystem(), ""
-    system, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-    return system, base.rstrip("/")
 
+def open_ranges(stores: Stores, uri: str, buffer: int = _BUFFER) -> io.BufferedReader:
+    """The file as a stream that reads the ranges it is asked for."""
+    system, path = stores.located(uri)
+    return io.BufferedReader(system.open_input_file(path), buffer)
 
-def located(uri: str):
-    """File system and the path in it of a URI, as a task sees them."""
-    scheme, _, rest = uri.partition(":")
-    authority, _, path = rest[2:].partition("/") if rest.startswith("//") else ("", "", rest.lstrip("/"))
-    system, base = _system(scheme, authority)
-    return system, f"{base}/{path}"
 
+def _entries(stores: Stores, path: str, relative: str) -> Iterator[tuple[str, str, int, bool]]:
+    """Path, path below the input folder, length and whether it is a folder, of what a folder holds.
 
-def read_bytes(uri: str) -> bytes:
-    system, path = located(uri)
-    with system.open_input_file(path) as stream:
-        return stream.read()
-
-
-def _entries(path: str, relative: str) -> Iterator[tuple[str, str, int, bool]]:
+    Folders of the operating system are read entry by entry. Arrow's stores give the entries of one folder at once.
+    """
+    before = f"{relative}/" if relative else ""
+    if stores.is_local(path):
+        with os.scandir(stores.located(path)[1]) as entries:
+            for entry in entries:
+                folder = entry.is_dir()
+                yield f"{path}/{entry.name}", before + entry.name, 0 if folder else _length(entry), folder
+        return
     from pyarrow import fs
 
-    system, inside = located(path)
+    system, inside = stores.located(path)
     for info in system.get_file_info(fs.FileSelector(inside)):
-        below = f"{relative}/{info.base_name}" if relative else info.base_name
-        yield f"{path}/{info.base_name}", below, info.size or 0, info.type == fs.FileType.Directory
+        yield f"{path}/{info.base_name}", before + info.base_name, info.size or 0, info.type == fs.FileType.Directory
+
+
+def _length(entry: os.DirEntry) -> int:
+    try:
+        return entry.stat().st_size
+    except FileNotFoundError:  # a link to nothing; opening it will say so
+        return 0
 
 
 def _batches(entries: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
@@ -76,24 +79,29 @@ def _batch(block: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=_NAMES)
 
 
-def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path, relative in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            yield from _batches(_entries(path, relative))
+def folder_lister(stores: Stores) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Entries of the folders in (path, relative) batches, some thousand at a time."""
+
+    def list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, relative in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                yield from _batches(_entries(stores, path, relative))
+
+    return list_folders
 
 
 def list_folder(spark: SparkSession, folder: str, stage: Stage | None = None) -> DataFrame:
     """``path``, ``relative`` (path below the folder) and ``length`` of every file below ``folder``."""
     from pyarrow import fs
 
-    stage, root = stage or Stage(spark), qualified(spark, folder)
-    system, inside = located(root)
+    stage, root, stores = stage or Stage(spark), qualified(spark, folder), stores_of(spark)
+    system, inside = stores.located(root)
     if system.get_file_info(inside).type != fs.FileType.Directory:
         raise FileNotFoundError(f"Input folder not found: {folder}")
     found, depth = None, 0
     folders = spark.createDataFrame([(root, "")], "path STRING, relative STRING")
     while True:
-        level = stage.write(folders.mapInArrow(_list_folders, _ENTRY_SCHEMA), f"listed-{depth}")
+        level = stage.write(folders.mapInArrow(folder_lister(stores), _ENTRY_SCHEMA), f"listed-{depth}")
         files = level.filter(~F.col("is_folder")).drop("is_folder")
         found, depth = files if found is None else found.unionByName(files), depth + 1
         folders = level.filter("is_folder").select("path", "relative")

@@ -3,13 +3,15 @@
 Every workbook is read inside the task that holds it; nothing passes the driver. The
 scan yields three kinds of records, told apart by ``record``:
 
-* ``workbook``: sheet names, or the error that made the file unreadable,
+* ``workbook``: sheet names, or the error that made the file (or a worksheet of it) unreadable,
 * ``sheet``: headers, filled cells per header and the number of data rows of an expected worksheet,
 * ``row``: the cells of one worksheet row, in the order of the headers.
 
 ``layout`` stands for the list of headers: rows carry it, and the few different lists tell where a column is.
 
-A worksheet holds at most 2**20 rows by its format, which bounds the work of a task.
+A small workbook is read at once, by one task. Of a large one only the directory at its end is read first; each of its worksheets
+is then a unit of its own, which reads the ranges of its parts and holds a block of rows at a time. A worksheet holds at most
+2**20 rows by its format, which bounds the work of a task.
 """
 
 from __future__ import annotations
@@ -18,10 +20,11 @@ import hashlib
 import io
 import re
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timedelta
+from functools import cached_property
 from itertools import accumulate, islice
-from typing import NamedTuple
+from typing import BinaryIO, NamedTuple
 from xml.etree import ElementTree
 from xml.parsers import expat
 
@@ -31,7 +34,8 @@ from pyspark.sql import functions as F
 
 from tidemark.contract import NOTE_CELL_DATE, ROW_NUMBER, ROW_PATH, ROW_SHEET, Contract
 from tidemark.functions.text import MISSING_TOKENS, canonical_name, missing_to_null
-from tidemark.sources.listing import read_bytes, spread
+from tidemark.sources.listing import open_ranges, read_bytes, spread
+from tidemark.sources.stores import Stores, stores_of
 
 RECORD_SCHEMA = (
     "record STRING, path STRING, sheet STRING, sheet_key STRING, row_number INT, "
@@ -73,6 +77,8 @@ class _Record(NamedTuple):
 
 _NO_CELL = (None, None)
 _RECORDS_PER_BATCH = 4096
+LARGE_BYTES = 32 << 20  # a larger workbook is read worksheet by worksheet
+DIRECTORY = ""  # the unit of a large workbook that stands for its list of worksheets
 _CHUNK_BYTES = 1 << 18
 
 # Cell kinds.
@@ -105,8 +111,8 @@ def _text(element) -> str:
 class _Book:
     """The parts of one workbook file that its worksheets refer to."""
 
-    def __init__(self, content: bytes):
-        self.archive = zipfile.ZipFile(io.BytesIO(content))
+    def __init__(self, stream: BinaryIO):
+        self.archive = zipfile.ZipFile(stream)
         root = self._part("xl/workbook.xml")
         targets = {
             relation.get("Id"): relation.get("Target")
@@ -118,8 +124,14 @@ class _Book:
         settings = [e for e in root.iter() if _local(e) == "workbookPr"]
         self.from_1904 = any(e.get("date1904") in ("1", "true") for e in settings)
         self.days: dict[str, tuple[str, str]] = {}
-        self.strings = self._shared_strings()
-        self.date_styles = self._date_styles()
+
+    @cached_property
+    def strings(self) -> list[str]:
+        return self._shared_strings()
+
+    @cached_property
+    def date_styles(self) -> list[bool]:
+        return self._date_styles()
 
     def _part(self, name: str):
         return ElementTree.fromstring(self.archive.read(name))
@@ -152,9 +164,15 @@ class _Book:
         styles = [s for group in _children(root, "cellXfs") for s in _children(group, "xf")]
         return [shows_date(style) for style in styles]
 
-    def open_sheet(self, name: str):
+    def _entry(self, name: str) -> str:
         target = self.sheets[name]
-        return self.archive.open(target.lstrip("/") if target.startswith("/") else f"xl/{target}")
+        return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+
+    def open_sheet(self, name: str):
+        return self.archive.open(self._entry(name))
+
+    def packed_size(self, name: str) -> int:
+        return self.archive.getinfo(self._entry(name)).compress_size
 
     def value(self, attributes: dict[str, str], raw: str) -> tuple[str, str | None] | None:
         """Kind and text of a cell, ``None`` for an empty one; an error has no text."""
@@ -323,21 +341,27 @@ def _sheet_records(book: _Book, path: str, sheet: str, key: str) -> Iterator[tup
     yield _Record("sheet", path, sheet, key, None, names, name_keys, last - 1, layout=layout, filled=filled), []
 
 
-def _workbook_records(path: str, content: bytes, wanted: Sequence[str]) -> Iterator[tuple]:
+def _workbook_records(path: str, opened: Callable[[], BinaryIO], wanted: Sequence[str], part: str | None = None) -> Iterator[tuple]:
+    """Records of a workbook, or of one part of it: a worksheet, or the directory.
+
+    A worksheet that is read alone adds a ``workbook`` record only if it fails.
+    """
     names: list[str] = []
+    error = None
     try:
-        if not content:
-            raise ValueError("The file is empty.")
-        book = _Book(content)
-        names = list(book.sheets)
-        for name in names:
-            if canonical_name(name) in wanted:
-                yield from _sheet_records(book, path, name, canonical_name(name))
-        error = None
+        with opened() as stream:
+            if not stream.seek(0, io.SEEK_END):
+                raise ValueError("The file is empty.")
+            book = _Book(stream)
+            names = list(book.sheets)
+            for name in names:
+                if canonical_name(name) in wanted and part in (None, name):
+                    yield from _sheet_records(book, path, name, canonical_name(name))
     except Exception as failure:  # an unreadable file is a finding, not a crash
         error = f"{type(failure).__name__}: {failure}"
-    name_keys = [canonical_name(name) for name in names]
-    yield _Record("workbook", path, names=names, name_keys=name_keys, error=error), []
+    if error or part in (None, DIRECTORY):
+        name_keys = [canonical_name(name) for name in names]
+        yield _Record("workbook", path, names=names, name_keys=name_keys, error=error), []
 
 
 def _to_arrow(block: list[tuple[_Record, list[tuple[str | None, str | None]]]]) -> pa.RecordBatch:
@@ -353,8 +377,8 @@ def _to_arrow(block: list[tuple[_Record, list[tuple[str | None, str | None]]]])
     return pa.RecordBatch.from_arrays([*columns, cell_list], schema=_ARROW_SCHEMA)
 
 
-def _blocks(path: str, content: bytes, wanted: Sequence[str]) -> Iterator[pa.RecordBatch]:
-    records = _workbook_records(path, content, wanted)
+def _blocks(path: str, opened: Callable[[], BinaryIO], wanted: Sequence[str], part: str | None = None) -> Iterator[pa.RecordBatch]:
+    records = _workbook_records(path, opened, wanted, part)
     while block := list(islice(records, _RECORDS_PER_BATCH)):
         yield _to_arrow(block)
 
@@ -366,44 +390,72 @@ def parse_workbooks(files: DataFrame, contract: Contract) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for index in range(batch.num_rows):
-                yield from _blocks(batch["path"][index].as_py(), batch["content"][index].as_py(), wanted)
+                content = batch["content"][index].as_py()
+                yield from _blocks(batch["path"][index].as_py(), lambda content=content: io.BytesIO(content), wanted)
 
     return files.select("path", "content").mapInArrow(read, RECORD_SCHEMA)
 
 
-def scan_workbooks(files: DataFrame, contract: Contract) -> DataFrame:
-    """Records of the dated workbooks among ``files`` (``path``, ``length``, ``snapshot_date``).
+def unit_lister(stores: Stores, wanted: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``path, part, length`` of large workbooks: the directory, and each expected worksheet with its packed size.
 
-    A task opens its files one after the other, so it holds one of them at a time. A file
-    that cannot be opened is a finding like one that cannot be read.
+    Only the directory at the end of a file is read. Where it cannot be read, the unit of the directory reports that.
     """
-    wanted = contract.sheet_keys
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def list_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
+                parts = [(DIRECTORY, 0)]
                 try:
-                    content = read_bytes(path)
-                except OSError as failure:
-                    record = _Record("workbook", path, names=[], name_keys=[], error=f"{type(failure).__name__}: {failure}")
-                    yield _to_arrow([(record, [])])
+                    with open_ranges(stores, path) as stream:
+                        book = _Book(stream)
+                        parts += [(name, book.packed_size(name)) for name in book.sheets if canonical_name(name) in wanted]
+                except Exception:  # reported when the unit is read
+                    parts = parts[:1]
+                columns = [[path] * len(parts), *map(list, zip(*parts, strict=True))]
+                kinds = (pa.string(), pa.string(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["path", "part", "length"])
+
+    return list_units
+
+
+def scan_workbooks(files: DataFrame, contract: Contract, large: int = LARGE_BYTES) -> DataFrame:
+    """Records of the dated workbooks among ``files`` (``path``, ``length``, ``snapshot_date``).
+
+    A task opens its units one after the other, so it holds one workbook of less than ``large`` bytes, or a block of rows and the
+    shared texts of a large one, at a time. A file that cannot be opened is a finding like one that cannot be read.
+    """
+    wanted, stores = contract.sheet_keys, stores_of(files.sparkSession)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if part is None:
+                    yield from _blocks(path, lambda path=path: io.BytesIO(read_bytes(stores, path)), wanted)
                 else:
-                    yield from _blocks(path, content, wanted)
+                    yield from _blocks(path, lambda path=path: open_ranges(stores, path), wanted, part)
+
+    dated = files.filter(F.col("snapshot_date").isNotNull()).select("path", "length")
+    whole = dated.filter(F.col("length") < large).select("path", F.lit(None).cast("string").alias("part"), "length")
+    parts = dated.filter(F.col("length") >= large).select("path").mapInArrow(unit_lister(stores, wanted), "path STRING, part STRING, length BIGINT")
+    return spread(whole.unionByName(parts)).select("path", "part").mapInArrow(read, RECORD_SCHEMA)
+
 
-    dated = spread(files.filter(F.col("snapshot_date").isNotNull()).select("path", "length"))
-    return dated.select("path").mapInArrow(read, RECORD_SCHEMA)
+def _books(records: DataFrame) -> DataFrame:
+    """One row per workbook; a worksheet that was read alone may have added an error."""
+    found = records.filter(F.col("record") == "workbook")
+    return found.groupBy("path").agg(F.max_by("names", F.size("names")).alias("names"), F.max_by("name_keys", F.size("names")).alias("name_keys"), F.min("error").alias("error"))
 
 
 def workbook_list(records: DataFrame) -> DataFrame:
     """Readable workbooks with their sheet names."""
-    found = records.filter((F.col("record") == "workbook") & F.col("error").isNull())
+    found = _books(records).filter(F.col("error").isNull())
     return found.select("path", F.col("names").alias("sheets"), F.col("name_keys").alias("sheet_keys"))
 
 
 def read_failures(records: DataFrame) -> DataFrame:
     """Workbooks that could not be read, with the reason."""
-    failed = records.filter((F.col("record") == "workbook") & F.col("error").isNotNull())
-    return failed.select("path", "error")
+    return _books(records).filter(F.col("error").isNotNull()).select("path", "error")
 
 
 def sheet_list(records: DataFrame) -> DataFrame:
