@@ -1,12 +1,12 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.apportioned_mix import BLOCK, apportioned, mix
+from tidemark.llm.apportioned_mix import BLOCK, apportioned, mix, with_shards
 
 
 def filled(sizes):
@@ -75,6 +75,37 @@ def test_highest_quotients(spark):
         assert found == expected
 
 
+def test_a_large_party_beside_many_small_ones(spark):
+    parties = spark.createDataFrame([(0, 400.0), *[(i, 0.6) for i in range(1, 1001)]], "name INT, weight DOUBLE")
+    found = {r.name: r.quota for r in apportioned(parties, "weight", F.lit(1000), [], ["name"]).collect()}
+    quotients = sorted([(-400 / (2 * k + 1), 0) for k in range(1000)] + [(-0.6, i) for i in range(1, 1001)])
+    assert found == {i: 0 for i in range(1001)} | Counter(i for _, i in quotients[:1000])
+    assert found[0] == 333
+
+
+def test_many_rows_without_an_id_are_spread_over_shards(spark):
+    rows = [(None, "a", 10 + i % 7, f"text {i}") for i in range(3000)] + [(i, "a", 10, "x") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id INT, source STRING, size INT, text STRING")
+    placed = docs.select(
+        F.col("doc_id").alias("id"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("order"),
+        F.xxhash64("text").alias("tie"), "size", F.lit(1).alias("source_rank"), F.lit(11).alias("shards"), F.lit(5).alias("quota"),
+    )
+    dealt, shards = with_shards(placed, 30)
+    assert dealt.count() == 3300
+    assert max(r.n_docs for r in shards.collect()) < 300
+    found = mix(docs, docs_per_shard=30).collect()
+    assert abs(sum(r.taken for r in found) - found[0].target) < 30 * BLOCK + 150 * BLOCK
+
+
+def test_names_of_the_input_never_meet_its_own(spark):
+    helpers = ("_quota", "_source", "_row", "quota", "shard", "order", "tie", "source_rank", "weight", "id", "part", "_order")
+    frame = spark.createDataFrame([(1, "a", 40), (2, "b", 8)], "doc_id INT, source STRING, size INT")
+    frame = frame.withColumns({name: F.lit("mine") for name in helpers})
+    found = mix(frame)
+    assert found.columns == [*frame.columns, "source_size", "target", "taken"]
+    assert all(r[name] == "mine" for r in found.collect() for name in helpers)
+
+
 def test_groups_are_apportioned_alone(spark):
     rows = [(g, i, 10 + i) for g in ("a", None) for i in range(5)]
     parties = spark.createDataFrame(rows, "g STRING, name INT, weight BIGINT")

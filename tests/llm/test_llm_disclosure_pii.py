@@ -9,6 +9,9 @@ from collections import Counter, defaultdict
 import duckdb
 
 import parity
+from pyspark.sql import functions as F
+
+from tidemark.llm.common import cut, pieces_of, running
 from tidemark.llm.disclosure_pii import sanitise
 from tidemark.llm.oracle import OP10
 from tidemark.llm.queries import op10_disclosure_pii
@@ -159,3 +162,38 @@ def test_edges(spark):
     assert [g[:3] for g in got] == sorted(expected, key=str)
     assert [g[3] for g in got if g[0] in (1, 7)] == ["", "[phone]"]
     assert sanitise(docs.limit(0)).collect() == []
+
+
+def test_time_grows_with_the_text(spark):
+    """One text with many addresses and a revealing term beside each; four times as long takes five times as long at most."""
+    import time
+
+    def seconds(n):
+        text = "\n".join(f"zorblat jo@x.org, {'öl ' * 60}line {i} q{i}@h{i}.org +1 23456789{i:05d}" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id INT, text STRING").coalesce(1)
+        started = time.perf_counter()
+        row = sanitise(docs).select("n_email", F.length("sanitised"), "spans").first()
+        assert row.n_email == 2 * n and row.spans.count("term") == n
+        return time.perf_counter() - started
+
+    seconds(200)
+    assert seconds(12_000) < 5 * seconds(3_000) + 2
+
+
+def test_running_results_and_cuts(spark):
+    values = [[], [5], list(range(-100, 400)), [7] * 64, [1] * 65]
+    frame = spark.createDataFrame([(v,) for v in values], "v ARRAY<BIGINT>")
+    for combine, start, plain in ((lambda a, b: a + b, 0, lambda a, b: a + b), (F.greatest, -1000, max), (F.least, 1000, min)):
+        found = [r[0] for r in frame.select(running(F.col("v"), combine, start)).collect()]
+        assert found == [list(itertools.accumulate(v, plain)) for v in values]
+    text = "".join(chr(chance) for chance in random.Random(1).choices([97, 10, 233, 0x1F600, 0x4E00], k=2000))
+    ends = [(0, 0), (0, 1), (255, 257), (256, 256), (256, 512), (1, 1999), (1990, 2400), (700, 1500)]
+    rows = spark.createDataFrame([(text, a, b) for a, b in ends], "t STRING, a BIGINT, b BIGINT")
+    assert [r[0] for r in rows.select(cut(pieces_of(F.col("t")), F.col("a"), F.col("b"))).collect()] == [text[a:b] for a, b in ends]
+
+
+def test_names_of_the_input_never_meet_its_own(spark):
+    helpers = ("_base", "_whole", "base", "whole", "doc", "version", "email", "marked", "places", "_row", "held_doc")
+    frame = spark.createDataFrame([(1, "a@b.c")], "doc_id INT, text STRING").withColumns({name: F.lit("mine") for name in helpers})
+    found = sanitise(frame).collect()
+    assert all(r[name] == "mine" for r in found for name in helpers) and found[0].sanitised == "[email]"

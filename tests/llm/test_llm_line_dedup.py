@@ -45,3 +45,12 @@ def test_only_ascii_letters_fold(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_names_of_the_input_never_meet_its_own(spark):
+    helpers = ("_doc", "_version", "_places", "doc", "version", "places", "of_doc", "_row")
+    rows = [(i, "x" * 50 + f"\nown {i}") for i in range(6)]
+    frame = spark.createDataFrame(rows, "doc_id INT, text STRING").withColumns({name: F.lit("mine") for name in helpers})
+    found = drop_shared_lines(frame).collect()
+    assert all(r[name] == "mine" for r in found for name in helpers)
+    assert sorted(r.text for r in found) == [f"own {i}" for i in range(5)] + ["x" * 50 + "\nown 5"]

@@ -20,7 +20,7 @@ def connection():
 
 def test_every_operator_is_registered():
     names = {name.split("_")[0] for name in LLM_QUERIES}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert set(LLM_QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(LLM_ORACLE) <= set(entry.oracle_sql())
 

@@ -132,10 +132,12 @@ def test_empty_documents_and_extra_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF).collect() == []
-    extra = docs.limit(40).selectExpr("*", "'a' AS size", "'b' AS score", "'c' AS taken", "'d' AS kept")
-    for name, stage in pipeline.STAGES[:3]:
+    names = ["size", "score", "taken", "kept", "target", "source_size", "passes", "number", "_row", "_doc", "_version", "_text", "_length", "id", "place"]
+    extra = docs.limit(40).selectExpr("*", *[f"'mine' AS `{name}`" for name in names])
+    for name, stage in pipeline.STAGES:
         found = stage(spark, extra, SF)
-        assert found.columns == extra.columns, name
+        assert found.columns == [*extra.columns, *(["shard", "slot"] if name == "shard" else [])], name
+        assert all(row[column] == "mine" for row in found.collect() for column in names), name
 
 
 def test_null_columns(spark):

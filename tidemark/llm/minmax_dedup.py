@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import packed, staged, unpacked
 from tidemark.llm.components import stars
 from tidemark.llm.tokens import mixed, pieces, shingles, words_of
 
@@ -292,7 +292,7 @@ def drop_near_duplicates(
     Rows with a null id stay; rows that repeat id and text become one row.
     """
     judged = near_duplicates(docs, text, doc_id, width, percent).filter(F.col("kept") & F.col(doc_id).isNotNull())
-    chosen = judged.select(F.col(doc_id).alias("_doc"), F.col("version").alias("_version"))
-    versioned = docs.withColumns({"_doc": F.col(doc_id).cast("long"), "_version": F.xxhash64(F.col(text))})
-    stayed = versioned.join(chosen.distinct(), ["_doc", "_version"], "left_semi").dropDuplicates(["_doc", "_version"])
-    return stayed.drop("_doc", "_version").unionByName(docs.filter(F.col(doc_id).isNull()))
+    chosen = judged.select(F.col(doc_id).alias("doc"), "version")
+    keyed = packed(docs, doc=F.col(f"`{doc_id}`").cast("long"), version=F.xxhash64(F.col(f"`{text}`")))
+    stayed = keyed.join(chosen.distinct(), ["doc", "version"], "left_semi").dropDuplicates(["doc", "version"])
+    return unpacked(stayed, docs.columns, {}).unionByName(docs.filter(F.col(doc_id).isNull()))
