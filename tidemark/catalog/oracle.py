@@ -347,6 +347,8 @@ def _with(*tables: str, select: str) -> str:
     return "WITH " + ",\n".join(tables) + "\n" + select
 
 
+_SUMMARY = """SELECT snapshot_date, source_file, source_sheet, count(*) AS record_count,
+  count(DISTINCT line_id) AS unique_processes FROM daily GROUP BY ALL"""
 _RAW_ISSUES = (MAPPED, follow_up("mapped"), issues("followed"))
 _CLEANED = (DIRTY, TYPED, CLEAN, SHEET_METRICS)
 
@@ -381,6 +383,22 @@ ORACLE: dict[str, str] = {
         DIRTY,
         select=f"SELECT snapshot_date, source_row_number, {_DATE} AS start_date FROM dirty",
     ),
+    "date_by_worksheet": """WITH rows AS (
+  SELECT CAST(ts AS DATE) AS day, event_id, event_type, CAST(CAST(ts AS DATE) - CAST(event_id % 40 AS INTEGER) AS DATE) AS start,
+    (dayofyear(CAST(ts AS DATE)) + list_position(['error', 'signup', 'purchase', 'view', 'click'], event_type)
+      + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END) % 3 AS style FROM events
+), written AS (
+  SELECT *, CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'soon' WHEN style = 0 THEN strftime(start, '%d/%m/%Y')
+    WHEN style = 1 THEN strftime(start, '%m/%d/%Y') ELSE strftime(start, '%Y-%m-%d') END AS text FROM rows
+), fitted AS (
+  SELECT *, CAST(try_strptime(text, '%d/%m/%Y') AS DATE) AS a, CAST(try_strptime(text, '%m/%d/%Y') AS DATE) AS b,
+    CAST(try_strptime(text, '%Y-%m-%d') AS DATE) AS c FROM written
+), votes AS (
+  SELECT day, event_type, count(a) AS na, count(b) AS nb, count(c) AS nc FROM fitted GROUP BY ALL
+)
+SELECT day AS snapshot_date, event_id + 2 AS source_row_number,
+  CASE WHEN na >= nb AND na >= nc THEN a WHEN nb >= nc THEN b ELSE c END AS start_date
+FROM fitted JOIN votes USING (day, event_type)""",
     "drop_null_ids": _with(
         DIRTY, TYPED, select="SELECT * EXCLUDE (filled) FROM typed WHERE line_id IS NOT NULL"
     ),
@@ -423,12 +441,7 @@ ORACLE: dict[str, str] = {
     "latest_position": _with(
         MAPPED, DAILY, DERIVED, CURRENT, select="SELECT * EXCLUDE (position_rank) FROM placed"
     ),
-    "summary": _with(
-        MAPPED,
-        DAILY,
-        select="""SELECT snapshot_date, source_file, source_sheet, count(*) AS record_count,
-  count(DISTINCT line_id) AS unique_processes FROM daily GROUP BY ALL""",
-    ),
+    "summary": _with(MAPPED, DAILY, select=_SUMMARY),
     "union_snapshots": _with(
         MAPPED,
         select=""" SELECT * EXCLUDE (current_stage) FROM mapped WHERE source_sheet = 'error'
@@ -517,6 +530,29 @@ FROM (VALUES ('EMPTY_HISTORY'), ('NO_INPUT_FILES'), ('OUTPUT_CONTRACT_FAILED'))
 WHERE code = 'OUTPUT_CONTRACT_FAILED' OR NOT EXISTS (SELECT 1 FROM mapped WHERE snapshot_date < DATE '2024-01-01')""",
     ),
     "published_history": _with(MAPPED, DAILY, DERIVED, select="SELECT * FROM derived"),
+    "published_latest_position": _with(
+        MAPPED, DAILY, DERIVED, CURRENT, select="SELECT * EXCLUDE (position_rank) FROM placed"
+    ),
+    "published_summary": _with(MAPPED, DAILY, select=_SUMMARY),
+    "published_csv": _with(MAPPED, DAILY, select=_SUMMARY),
+    "published_issues": _with(MAPPED, DAILY, DERIVED, issues("derived"), select="SELECT code, severity, count FROM issues"),
+    "added_days_history": _with(MAPPED, DAILY, DERIVED, select="SELECT * FROM derived"),
+    "added_days_latest_position": _with(
+        MAPPED, DAILY, DERIVED, CURRENT, select="SELECT * EXCLUDE (position_rank) FROM placed"
+    ),
+    "added_days_summary": _with(MAPPED, DAILY, select=_SUMMARY),
+    "lower_case_names": "SELECT * FROM customer",
+    "job_result": _with(
+        *_CLEANED,
+        RUN_METRICS,
+        MAPPED,
+        DAILY,
+        DERIVED,
+        issues("derived"),
+        select=f"""SELECT (SELECT count(*) FROM daily) AS history_rows, (SELECT count(DISTINCT line_id) FROM daily) AS latest_position_rows,
+  (SELECT count(*) FROM ({_SUMMARY})) AS summary_rows, (SELECT count(*) FROM issues) AS issues_rows,
+  CAST(1 AS BIGINT) AS report_rows, run_metrics.* FROM run_metrics""",
+    ),
     "published_report": _with(
         *_CLEANED,
         RUN_METRICS,

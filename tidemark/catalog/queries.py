@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -91,6 +92,13 @@ def date_coerce(spark, sf_dir):
     return _dirty_value(spark, sf_dir, "start_date", values.calendar_date(F.col("start_date")))
 
 
+@registered
+def date_by_worksheet(spark, sf_dir):
+    """Dates by the format that most values of their worksheet fit."""
+    rows = samples.mixed_dates(spark, sf_dir)
+    return cleaning.clean_values(rows, samples.VOTED_CONTRACT).select(*ROW_KEY, "start_date")
+
+
 @registered
 def drop_null_ids(spark, sf_dir):
     kept = cleaning.drop_null_ids(samples.dirty(spark, sf_dir), DIRTY_CONTRACT)
@@ -345,18 +353,108 @@ def empty_history_issues(spark, sf_dir):
     return found.select("code", "severity", "count")
 
 
-@registered
-def published_history(spark, sf_dir):
-    """The history after a run has written and published it, opened as readers do."""
+def _published(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
+    """The tables after a run has written and published them, opened as readers do; and the folder of the run."""
     stage = Stage(spark)
     output, folder = stage.path("out"), tables.run_folder(stage.path("out"), stage.run_id)
-    written = {"history": tables.write_history(_derived(spark, sf_dir), folder, CONTRACT)}
+    written = {"history": tables.write_history(_derived(spark, sf_dir), output, CONTRACT, stage.run_id)}
     written["latest_position"] = tables.write_table(history.latest_position(written["history"], CONTRACT), folder, "latest_position")
     written["summary"] = tables.write_table(history.summary(written["history"], CONTRACT), folder, "summary")
     issues = quality.history_issues(written["history"], CONTRACT)
     written["quality_issues"] = tables.write_table(issues, folder, "quality_issues")
     tables.publish(spark, output, stage.run_id, datetime.now(UTC), written)
-    return tables.open_published(spark, output)["history"]
+    return folder, tables.open_published(spark, output)
+
+
+@registered
+def published_history(spark, sf_dir):
+    return _published(spark, sf_dir)[1]["history"]
+
+
+@registered
+def published_latest_position(spark, sf_dir):
+    return _published(spark, sf_dir)[1]["latest_position"]
+
+
+@registered
+def published_summary(spark, sf_dir):
+    return _published(spark, sf_dir)[1]["summary"]
+
+
+@registered
+def published_issues(spark, sf_dir):
+    return _published(spark, sf_dir)[1]["quality_issues"].select("code", "severity", "count")
+
+
+@registered
+def published_csv(spark, sf_dir):
+    """The text copy of the summary, read back with its types."""
+    folder, published = _published(spark, sf_dir)
+    path = tables.write_csv(published["summary"], folder, "summary")
+    return spark.read.option("header", True).schema(published["summary"].schema).csv(path)
+
+
+@registered
+def lower_case_names(spark, sf_dir):
+    return text.lower_columns(samples.table(spark, sf_dir, "customer").withColumnsRenamed({"c_name": "C_NAME", "c_acctbal": "C_AcctBal"}))
+
+
+@registered
+def job_result(spark, sf_dir):
+    """Rows of the tables of a result, and its counters."""
+    stage = Stage(spark)
+    written = tables.write_history(_derived(spark, sf_dir), stage.root, CONTRACT, stage.run_id)
+    named = (written, history.latest_position(written, CONTRACT), history.summary(written, CONTRACT), quality.history_issues(written, CONTRACT))
+    counters = run_metrics(spark, sf_dir).first().asDict()
+    parts = [tables.Part(stage.run_id)]
+    result = job.finished(spark, named, counters, datetime.now(UTC), stage, stage.root, stage.root, parts)
+    opened = job.in_session(replace(result, **_stored(result, stage.root)), stage.root, spark)
+    rows = {f"{name}_rows": getattr(opened, name).count() for name in ("history", "latest_position", "summary", "issues", "report")}
+    return spark.createDataFrame([tuple({**rows, **opened.metrics}.values())], ", ".join(f"{c} BIGINT" for c in [*rows, *opened.metrics]))
+
+
+def _stored(result: job.JobResult, folder: str) -> dict[str, DataFrame]:
+    named = {"latest_position": tables.LATEST, "summary": tables.SUMMARY, "issues": tables.ISSUES}
+    return {field: tables.write_table(getattr(result, field), folder, name) for field, name in named.items()}
+
+
+def _added_days(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Published tables after the last three days, first published with other and fewer rows, were written anew."""
+    stage, later = Stage(spark), Stage(spark)
+    output, derived = stage.path("out"), _derived(spark, sf_dir)
+    first = derived.agg(F.date_sub(F.max("snapshot_date"), 2)).first()[0]
+    late = F.col("snapshot_date") >= F.lit(first)
+    other = derived.withColumn("current_stage", F.when(late, "replaced").otherwise(F.col("current_stage")))
+    old = tables.write_history(other.filter(~late | (F.crc32("line_id") % 2 == 0)), output, CONTRACT, stage.run_id)
+    latest, totals = history.latest_position(old, CONTRACT), history.summary(old, CONTRACT)
+    written = tables.write_history(derived.filter(late), output, CONTRACT, later.run_id)
+    parts = tables.parts_after([tables.Part(stage.run_id)], tables.Part(later.run_id, first))
+    whole = tables.read_history(spark, output, parts, derived.schema)
+    folder = tables.run_folder(output, later.run_id)
+    merged = history.merged_latest(latest, whole.filter(~late), written, first, CONTRACT)
+    named = {
+        "history": whole,
+        "latest_position": tables.write_table(merged.select(*whole.columns), folder, "latest_position"),
+        "summary": tables.write_table(history.merged_summary(totals, written, first, CONTRACT), folder, "summary"),
+        "quality_issues": tables.write_table(quality.history_issues(whole, CONTRACT), folder, "quality_issues"),
+    }
+    tables.publish(spark, output, later.run_id, datetime.now(UTC), named, parts)
+    return tables.open_published(spark, output)
+
+
+@registered
+def added_days_history(spark, sf_dir):
+    return _added_days(spark, sf_dir)["history"]
+
+
+@registered
+def added_days_latest_position(spark, sf_dir):
+    return _added_days(spark, sf_dir)["latest_position"]
+
+
+@registered
+def added_days_summary(spark, sf_dir):
+    return _added_days(spark, sf_dir)["summary"]
 
 
 @registered

@@ -42,6 +42,12 @@ WORKBOOK_CONTRACT = Contract(
 )
 
 
+VOTED_CONTRACT = Contract(
+    expected_sheets=SHEETS, required_columns=("line_id",), date_columns=("start_date",),
+    date_formats=("dd/MM/yyyy", "MM/dd/yyyy", "yyyy-MM-dd"), date_format_by_worksheet=True,
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -142,6 +148,24 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates as text; most values of a worksheet have one format, and a fifth another that often fits too."""
+    day, key = _day(), F.col("event_id")
+    sheet = F.array_position(contracts.texts(SHEETS), F.col("event_type")).cast("int")
+    style = (F.dayofyear(day) + sheet + F.when(every(5), 1).otherwise(0)) % 3
+    start = F.date_sub(day, (key % 40).cast("int"))
+    written = F.when(style == 0, F.date_format(start, "dd/MM/yyyy")).when(style == 1, F.date_format(start, "MM/dd/yyyy"))
+    text = F.when(every(11), None).when(every(13), "soon").otherwise(F.coalesce(written, start.cast("string")))
+    return table(spark, sf_dir, "events").select(
+        day.alias("snapshot_date"),
+        F.concat(F.lit("operations_snapshot_"), day.cast("string"), F.lit(".xlsx")).alias("source_file"),
+        F.col("event_type").alias("source_sheet"),
+        (key + 2).alias("source_row_number"),
+        F.concat(F.lit("LINE-"), F.col("user_id")).alias("line_id"),
+        F.when(every(7), F.concat(F.lit(" "), text, F.lit(" "))).otherwise(text).alias("start_date"),
+    )
+
+
 def site_path() -> Column:
     """Path of the file a user's events of one day came in, in nine spellings; some names and folders look hidden."""
     day, user = _day(), F.col("user_id")

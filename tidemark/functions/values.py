@@ -88,15 +88,33 @@ def _date_in(text: Column, pattern: str) -> Column:
     return F.try_to_date(text, pattern)
 
 
-def calendar_date(value: Column, formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
-    """Date of text under the first format that fits, else null.
-
-    An ISO date followed by a time of day, as a workbook's date cells read, is that date.
-    """
-    iso_moment = F.when(
+def _day_of_moment(value: Column) -> Column:
+    """The date of an ISO date followed by a time of day, as a workbook's date cells read."""
+    return F.when(
         value.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), F.substring(value, 1, 10).try_cast("date")
     )
-    return F.coalesce(*[_date_in(value, pattern) for pattern in formats], iso_moment)
+
+
+def calendar_date(value: Column, formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
+    """Date of text under the first format that fits, else null; date cells are dates."""
+    return F.coalesce(*[_date_in(value, pattern) for pattern in formats], _day_of_moment(value))
+
+
+def fitting_values(value: Column, formats: Sequence[str]) -> Column:
+    """For every format, how many values of a group are a date in it."""
+    return F.array(*[F.count(_date_in(value, pattern)) for pattern in formats])
+
+
+def best_format(counts: Column) -> Column:
+    """Place of the format that most values fit, from 0, the first of equals; null if none fits any."""
+    most = F.array_max(counts)
+    return F.when(most > 0, (F.array_position(counts, most) - 1).cast("int"))
+
+
+def date_in_format(value: Column, formats: Sequence[str], place: Column) -> Column:
+    """Date of text in the format at ``place``, else null; date cells are dates."""
+    chosen = [F.when(place == i, _date_in(value, pattern)) for i, pattern in enumerate(formats)]
+    return F.coalesce(*chosen, _day_of_moment(value))
 
 
 def file_name(path: Column) -> Column:

@@ -8,9 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.contract import BLANK_ROW, COPIES, DIGEST, ROW_NUMBER, Contract
+from tidemark.contract import BLANK_ROW, COPIES, DIGEST, FORMATS, LINEAGE_COLUMNS, ROW_NUMBER, Contract
 from tidemark.functions.text import trim_text, whole_identifier
-from tidemark.functions.values import calendar_date, whole_number
+from tidemark.functions.values import best_format, calendar_date, date_in_format, fitting_values, whole_number
 
 SHEET_SCOPE = ("source_file", "source_sheet")
 
@@ -32,6 +32,8 @@ def typed_value(name: str, contract: Contract) -> Column:
     if name in contract.number_columns:
         return whole_number(text)
     if name in contract.date_columns:
+        if contract.date_format_by_worksheet:
+            return date_in_format(text, contract.date_formats, F.col(FORMATS).getField(name))
         return calendar_date(text, contract.date_formats)
     return text
 
@@ -40,7 +42,8 @@ def clean_values(rows: DataFrame, contract: Contract) -> DataFrame:
     """Trim, blank to null, and type every source column; other columns unchanged.
 
     Three projections rather than one: each names a value that the next one uses
-    several times, so that it is computed once.
+    several times, so that it is computed once. Where the contract asks for one date format per worksheet, the
+    values are read once more before, for the vote.
     """
     business = set(contract.business_columns(rows.columns))
 
@@ -51,9 +54,33 @@ def clean_values(rows: DataFrame, contract: Contract) -> DataFrame:
 
     trimmed = projected(rows, lambda name: trim_text(F.col(name)))
     filled = projected(trimmed, lambda name: F.when(F.col(name) != "", F.col(name)))
+    if contract.date_format_by_worksheet:
+        return projected(with_date_formats(filled, contract), lambda name: typed_value(name, contract)).drop(FORMATS)
     return projected(filled, lambda name: typed_value(name, contract))
 
 
+def date_formats(rows: DataFrame, contract: Contract) -> DataFrame:
+    """Per worksheet (the lineage columns there are) the place of the format of every date column.
+
+    The format that most values fit wins. Values are counted where they lie, so a worksheet of any size reaches its
+    reduce task as one row per map task.
+    """
+    scope = [name for name in LINEAGE_COLUMNS if name in rows.columns]
+    columns = [name for name in contract.date_columns if name in rows.columns]
+    counts = rows.groupBy(*scope).agg(*[fitting_values(F.col(name), contract.date_formats).alias(name) for name in columns])
+    places = F.struct(F.lit(0).alias("_"), *[best_format(F.col(name)).alias(name) for name in columns])
+    return counts.select(*scope, places.alias(FORMATS))
+
+
+def with_date_formats(rows: DataFrame, contract: Contract) -> DataFrame:
+    """``rows`` with the formats of their worksheet; there is one row per worksheet, whose real size decides how Spark joins it."""
+    formats = date_formats(rows, contract)
+    scope = [name for name in formats.columns if name != FORMATS]
+    renamed = formats.withColumnsRenamed({name: f"_of_{name}" for name in scope})
+    same = reduce(lambda left, right: left & right, [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in scope], F.lit(True))
+    return rows.join(renamed, same, "left").select(*rows.columns, FORMATS)
+
+
 def drop_null_ids(rows: DataFrame, contract: Contract) -> DataFrame:
     """Rows whose id holds more than white space.
 

@@ -73,6 +73,29 @@ def add_derived(
     return add_record_hash(add_follow_up(history, contract), contract, columns)
 
 
+def merged_latest(
+    latest: DataFrame, before: DataFrame, added: DataFrame, first: object, contract: Contract, order: Sequence[str] = STATE_ORDER
+) -> DataFrame:
+    """The latest position after all dates from ``first`` on were written anew as ``added``.
+
+    ``latest`` is the position before that, and ``before`` the history of the earlier dates. A process keeps its position unless
+    ``added`` has a later row. One whose position lay in the dates written anew falls back on ``added`` or, if it is no longer
+    there, on ``before``, which is read for such processes only.
+    """
+    early = F.col("snapshot_date") < F.lit(first)
+    kept = latest.filter(early)
+    candidates = kept.unionByName(added, allowMissingColumns=True)
+    lost = latest.filter(~early | F.col("snapshot_date").isNull()).select(contract.id_column)
+    if not lost.isEmpty():
+        candidates = candidates.unionByName(before.join(lost, contract.id_column, "left_semi"), allowMissingColumns=True)
+    return latest_position(candidates, contract, order)
+
+
+def merged_summary(totals: DataFrame, added: DataFrame, first: object, contract: Contract) -> DataFrame:
+    """The summary after all dates from ``first`` on were written anew as ``added``."""
+    return totals.filter(F.col("snapshot_date") < F.lit(first)).unionByName(summary(added, contract))
+
+
 def summary(history: DataFrame, contract: Contract) -> DataFrame:
     """Rows and distinct processes per snapshot date, file and worksheet."""
     return history.groupBy("snapshot_date", "source_file", "source_sheet").agg(

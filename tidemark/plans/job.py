@@ -20,6 +20,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.contract import (
     LINEAGE_COLUMNS,
@@ -37,6 +38,7 @@ from tidemark.sources import discovery, workbooks
 from tidemark.staging import Stage, job_session
 
 ROW_SCOPE = (ROW_PATH, ROW_SHEET)
+STATE_FILES, STATE_RECORDS, STATE_COUNTERS = "state_files", "state_records", "state_counters"
 
 
 @dataclass
@@ -51,6 +53,8 @@ class JobResult:
     metrics: dict[str, int]
     run_id: str
     output_paths: dict[str, str] = field(default_factory=dict)
+    root: str = ""  # folder of the history
+    parts: list[tables.Part] = field(default_factory=list)
 
 
 @dataclass
@@ -61,6 +65,7 @@ class Ingested:
     records: DataFrame
     sheets: DataFrame
     rows: DataFrame
+    numbered: DataFrame | None = None
 
 
 def ingest(spark: SparkSession, source: str | DataFrame, contract: Contract, stage: Stage) -> Ingested:
@@ -94,7 +99,7 @@ def ingest_records(
         NOTE_CELL_DATE,
     )
     typed = stage.write(cleaning.digested_values(ordered, contract), "rows")
-    return Ingested(files, records, sheets, typed)
+    return Ingested(files, records, sheets, typed, numbered)
 
 
 def without(rows: DataFrame, excluded: DataFrame) -> DataFrame:
@@ -234,10 +239,20 @@ def source_issues(ingested: Ingested, contract: Contract) -> list[DataFrame]:
     ]
 
 
+def day_counters(ingested: Ingested, contract: Contract) -> DataFrame:
+    """Cleaning counters by snapshot date; each is an aggregate over a written table."""
+    scope = ("snapshot_date", "snapshot_order", "sheet_order")
+    copies = cleaning.collapse_digests(ingested.rows, contract, scope)
+    return cleaning.clean_metrics(copies, contract, scope=("snapshot_date",))
+
+
 def run_counters(ingested: Ingested, resolved: DataFrame, contract: Contract) -> dict[str, int]:
-    """The counters of a run; each is an aggregate over a written table."""
-    copies = cleaning.collapse_digests(ingested.rows, contract, ("snapshot_order", "sheet_order"))
-    cleaned = cleaning.clean_metrics(copies, contract, scope=()).first()
+    return total_counters(ingested, day_counters(ingested, contract), resolved)
+
+
+def total_counters(ingested: Ingested, by_day: DataFrame, resolved: DataFrame) -> dict[str, int]:
+    """The counters of a run."""
+    cleaned = by_day.agg(*[F.sum(name).alias(name) for name in ("clean_rows", "rows_without_id", "exact_duplicates")]).first()
     sheets = ingested.sheets.agg(F.count_if("passes").alias("passing")).first()
     read = workbooks.sheet_list(ingested.records).agg(F.sum("raw_rows").alias("rows")).first()
     after_cleaning, in_history = cleaned["clean_rows"] or 0, resolved.count()
@@ -297,9 +312,9 @@ def run_job(
     """
     contract = contract or Contract()
     session = job_session(spark)
-    result, target, stage = build_tables(session, source, contract, output)
+    result, target, stage, state = build_tables(session, source, contract, output)
     if output:
-        publish_tables(result, target, output, csv)
+        publish_tables(result, target, output, csv, contract, state)
     if database_url:
         database.write_database(
             result.history, database_url, contract, database_properties, database_connections
@@ -311,47 +326,88 @@ def run_job(
 
 def in_session(result: JobResult, target: str, spark: SparkSession) -> JobResult:
     """The result with its tables opened in the caller's session."""
-    names = {"history": tables.HISTORY, "latest_position": tables.LATEST, "summary": tables.SUMMARY}
-    names |= {"issues": tables.ISSUES, "report": tables.REPORT_TABLE}
+    names = {"latest_position": tables.LATEST, "summary": tables.SUMMARY, "issues": tables.ISSUES, "report": tables.REPORT_TABLE}
     opened = {
         field: tables.read_table(spark, f"{target}/{name}", getattr(result, field).schema) for field, name in names.items()
     }
+    opened["history"] = tables.read_history(spark, result.root, result.parts, result.history.schema)
     return replace(result, **opened)
 
 
 def build_tables(
     spark: SparkSession, source: str | DataFrame, contract: Contract, output: str | None
-) -> tuple[JobResult, str, Stage]:
-    """All tables of a run, written to its own folder and past the quality gate."""
+) -> tuple[JobResult, str, Stage, dict[str, DataFrame]]:
+    """All tables of a run, written to its own folder and past the quality gate, and what a later run must know."""
     started = datetime.now(UTC)
     stage = Stage(spark)
     ingested = ingest(spark, source, contract, stage)
-    target = tables.run_folder(output, stage.run_id) if output else stage.root
-    resolved = tables.write_history(resolve_history(ingested.rows, contract), target, contract)
-    counters = run_counters(ingested, resolved, contract)
+    target, root = (tables.run_folder(output, stage.run_id), output) if output else (stage.root, stage.root)
+    tables.write_history(resolve_history(ingested.rows, contract), root, contract, stage.run_id)
+    parts = [tables.Part(stage.run_id)]
+    schema = history_schema(ingested, contract)
+    resolved = tables.read_history(spark, root, parts, schema)
+    by_day = tables.write_table(day_counters(ingested, contract), target, STATE_COUNTERS)
+    counters, issues = checked(spark, ingested, resolved, by_day, target, contract)
+    latest = tables.write_table(history.latest_position(resolved, contract), target, tables.LATEST)
+    totals = tables.write_table(history.summary(resolved, contract), target, tables.SUMMARY)
+    result = finished(spark, (resolved, latest, totals, issues), counters, started, stage, target, root, parts)
+    return result, target, stage, published_state(ingested)
+
+
+def history_schema(ingested: Ingested, contract: Contract) -> StructType:
+    return resolve_history(ingested.rows, contract).schema
+
+
+def checked(
+    spark: SparkSession, ingested: Ingested, resolved: DataFrame, by_day: DataFrame, target: str, contract: Contract
+) -> tuple[dict[str, int], DataFrame]:
+    """Counters and issues of a run; a blocking issue ends it."""
+    counters = total_counters(ingested, by_day, resolved)
     found = run_issues(spark, ingested, resolved, counters, contract)
     issues = tables.write_table(found, target, tables.ISSUES)
     quality.raise_for_errors(issues, kept_in=f"{target}/{tables.ISSUES}")
+    return counters, issues
 
-    latest = history.latest_position(resolved, contract)
-    latest = tables.write_table(latest, target, tables.LATEST)
-    totals = tables.write_table(history.summary(resolved, contract), target, tables.SUMMARY)
+
+def finished(
+    spark: SparkSession,
+    named: tuple[DataFrame, DataFrame, DataFrame, DataFrame],
+    counters: dict[str, int],
+    started: datetime,
+    stage: Stage,
+    target: str,
+    root: str,
+    parts: list[tables.Part],
+) -> JobResult:
+    """The result of a run, with its report."""
+    resolved, latest, totals, issues = named
     metrics = run_metrics_frame(spark, counters)
     report = tables.write_table(quality_report(issues, metrics, started, datetime.now(UTC)), target, tables.REPORT_TABLE)
-    return JobResult(resolved, latest, totals, issues, report, counters, stage.run_id), target, stage
+    return JobResult(resolved, latest, totals, issues, report, counters, stage.run_id, root=root, parts=parts)
 
 
-def publish_tables(result: JobResult, target: str, output: str, csv: bool) -> None:
-    """Write the report and the optional copies, then make the run the current one."""
+def publish_tables(
+    result: JobResult, target: str, output: str, csv: bool, contract: Contract, state: dict[str, DataFrame]
+) -> None:
+    """Write what the next run needs, the report and the optional copies, then make the run the current one."""
     named = dict(
         zip(tables.TABLES, (result.history, result.latest_position, result.summary, result.issues), strict=True)
     )
+    for name, table in state.items():
+        tables.write_table(table, target, name)
     result.output_paths = {name: f"{target}/{name}" for name in named}
+    result.output_paths[tables.HISTORY] = f"{output}/{tables.HISTORY}"
     result.output_paths |= tables.write_report(result.report, result.issues, target)
     if csv:
         for name, table in named.items():
             result.output_paths[f"{name}_csv"] = tables.write_csv(table, target, name)
-    tables.publish(result.history.sparkSession, output, result.run_id, datetime.now(UTC), named)
+    spark = result.history.sparkSession
+    tables.publish(spark, output, result.run_id, datetime.now(UTC), named, result.parts, contract)
+
+
+def published_state(ingested: Ingested) -> dict[str, DataFrame]:
+    """What a later run that adds days must know of the files of this one: a row per file, worksheet and workbook."""
+    return {STATE_FILES: ingested.numbered, STATE_RECORDS: ingested.records.filter(F.col("record") != "row")}
 
 
 def run_metrics_frame(spark: SparkSession, counters: dict[str, int]) -> DataFrame:
