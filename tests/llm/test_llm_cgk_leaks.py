@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import random
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 
 from tidemark.llm import cgk_leaks
-from tidemark.llm.cgk_leaks import allowed_edits, collide, edit_distances, find_leaks, finder, index_items, without_leaks
+from tidemark.llm.cgk_leaks import TARGET, allowed_edits, edit_distances, find_leaks, finder, index_items, sample_keys, walks_for, walks_tried, without_leaks
 
 VOCABULARY = [f"{a}{b}" for a in "bcdfghklmnprst" for b in ("a", "e", "io", "unt", "ald")]
 
@@ -77,12 +78,56 @@ def test_distances_in_bulk():
         ]
 
 
-def test_equal_sequences_collide_and_others_hardly_ever():
+def test_equal_sequences_share_buckets_and_others_hardly_ever():
     random_ = np.random.default_rng(5)
     sequences = random_.integers(1, 1 << 63, (200, 40), dtype=np.uint64)
-    lengths = np.full(200, 40)
-    assert collide(sequences, sequences, lengths).all()
-    assert collide(sequences, sequences[::-1], lengths).mean() < 0.05
+    lengths, rows, walk = np.full(200, 40), np.arange(200), np.zeros(200, np.int64)
+    mine, other = sample_keys(sequences, lengths, rows, walk), sample_keys(sequences[::-1], lengths, rows, walk)
+    assert (mine[::-1] == other).all() and (mine != 0).any(axis=1).all()
+    assert ((mine == other) & (mine != 0)).mean() < 0.01
+
+
+def test_recall_by_number_of_edits():
+    """Against brute force, for every number of edits up to the limit, in a vocabulary of few and many words."""
+    chance = random.Random(8)
+    assert walks_tried(16, 0.2) <= walks_tried(128, 0.2) < 64
+    hits, all_ = Counter(), Counter()
+    items = [[f"{chance.choice(VOCABULARY)}{chance.randrange(5)}" for _ in range(n)] for n in (15, 20, 30, 45, 59, 90) for _ in range(12)]
+    texts = []
+    for item in items:
+        for k in range(len(item) // 5 + 1):
+            texts.append(["before", *edited(item, k, chance), "after", "it"])
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": [" ".join(t) for t in texts]})
+    index = index_items(list(range(len(items))), [" ".join(i) for i in items], 0.2)
+    found = {(r["doc_id"], r["item"]) for part in finder(index)(iter([batch])) for r in part.to_pylist()}
+    at = 0
+    for i, item in enumerate(items):
+        for _ in range(len(item) // 5 + 1):
+            least = distance(item, texts[at])
+            all_[least] += 1
+            hits[least] += (at, i) in found
+            at += 1
+    assert all(hits[k] >= 0.9 * n for k, n in all_.items() if n >= 10), (hits, all_)
+    assert hits[0] == all_[0] and hits.total() >= (TARGET - 0.02) * all_.total()
+
+
+def test_a_run_that_many_items_share_names_no_item():
+    """A thousand items from one template: a document with the template alone meets none of them, one with an item meets it."""
+    items = [f"which of the following is true {' '.join(f'w{i}x{j}' for j in range(12))}" for i in range(1000)]
+    texts = ["which of the following is true " + "and so on and on and on it goes today", f"x {items[7]} y"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [0, 1], "text": texts})
+    index = index_items(list(range(1000)), items, 0.2)
+    assert len(index.size) == 1000 * 12 + 4  # one posting for each run of the template's own words
+    assert [tuple(r.values()) for part in finder(index)(iter([batch])) for r in part.to_pylist()] == [(1, 7, 0)]
+
+
+def test_short_items_and_repeated_items(spark):
+    benchmark = spark.createDataFrame([(i, "the whole of one sentence here") for i in range(2000)] + [(-1, "Zorblat"), (-2, "grün plumbus")], "item_id INT, text STRING")
+    docs = spark.createDataFrame([(1, "so the whole of one sentence here"), (2, "a zorblat, and a GRÜN plumbus"), (3, "grün zorblats")], "doc_id INT, text STRING")
+    found = {(r.doc_id, r.item_id) for r in find_leaks(docs, benchmark).collect()}
+    assert found == {(1, i) for i in range(2000)}
+    found = {(r.doc_id, r.item_id) for r in find_leaks(docs, benchmark, short_items=True).collect()}
+    assert found == {(1, i) for i in range(2000)} | {(2, -1), (2, -2)}
 
 
 def test_edges(spark):
@@ -120,6 +165,7 @@ def test_one_long_item_among_many_short_ones_in_bounded_memory():
     long = [f"{chance.choice(VOCABULARY)}{chance.randrange(90)}" for _ in range(6_000)]
     texts = [" ".join(items[i] + items[i + 1]) for i in range(0, 2_000, 2)] + [" ".join(["x", *edited(long, 5, chance), "y"]), " ".join(long[:4_000])]
     batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    walks_for(np.array([12, 6_000]), 0.2)  # tried once, beforehand
     tracemalloc.start()
     index = index_items(list(range(10_001)), [" ".join(i) for i in [*items, long]], 0.2)
     found = [tuple(r.values()) for part in finder(index)(iter([batch])) for r in part.to_pylist()]
