@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm.quality_rules import Rule, cascade, in_order, judge
+from tidemark.llm.quality_rules import Rule, _covered, cascade, in_order, judge, measured, sample_of
 
 PROSE = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(80))
 
@@ -58,3 +58,38 @@ def test_the_first_rule_that_rejects_names_the_row(spark):
     rows = spark.createDataFrame([(1,), (5,), (9,), (None,)], "x INT")
     rules = [Rule("over8", F.col("x") > 8), Rule("over4", F.col("x") > 4)]
     assert [r[0] for r in rows.select(cascade(rules)).collect()] == [None, "over4", "over8", None]
+
+
+def test_slow_rules_cost_more(spark):
+    """Of two rules that reject the same rows, the one that does more work comes last, whatever their order and the machine's mood."""
+    text = F.col("text")
+    slow = Rule("slow", (F.length(F.regexp_replace(text, "[a-z]+", "x")) >= 0) & (F.col("n") % 4 == 0))
+    fast = Rule("fast", F.col("n") % 4 == 0)
+    frame = spark.createDataFrame([(i, f"words and words {i} " * 600) for i in range(64)], "n INT, text STRING")
+    for turn in range(10):
+        rules = [slow, fast] if turn % 2 else [fast, slow]
+        costs = measured(frame, rules)
+        assert [rule.name for rule in in_order(rules, costs)] == ["fast", "slow"], costs
+        assert costs["slow"][1] == costs["fast"][1] == 0.25
+
+
+def test_the_sample_covers_all_rows(spark):
+    frame = spark.range(0, 20_000, numPartitions=8).selectExpr("id", "concat('text ', id) AS text", "map('a', id) AS more")
+    one, other = ({r.id for r in sample_of(f, 200).collect()} for f in (frame, frame.repartition(5)))
+    assert one == other and len(one) == 200
+    assert len({i // 2_500 for i in one}) == 8
+
+
+def test_names_of_the_input_never_meet_its_own(spark):
+    helpers = ("_words", "_bits", "_packed", "_copy", "_order", "doc", "text_")
+    frame = spark.createDataFrame([(1, "a b c a b c " * 30)], "doc_id INT, text STRING").withColumns({name: F.lit("mine") for name in helpers})
+    (found,) = judge(frame).collect()
+    assert all(found[name] == "mine" for name in helpers) and found.n_repeat_words == 180
+
+
+def test_equal_hashes_of_other_words_are_no_repeat(spark):
+    """The upper bits of a hash are few for a long text; here there are none."""
+    frame = spark.createDataFrame([("a b c d e f g".split(),)], "found ARRAY<STRING>")
+    packed = F.sort_array(F.transform(F.sequence(F.lit(0), F.size("found") - 3), lambda i: i.cast("bigint")))
+    rows = frame.withColumns({"packed": packed, "bits": F.lit(8)}).select(_covered(F.col("packed"), F.col("bits"), F.col("found")))
+    assert [r[0] for r in rows.collect()] == [0]

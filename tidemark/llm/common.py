@@ -45,6 +45,17 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WORD_GAP))
 
 
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores after it as keep it apart from the columns of ``frame``."""
+    taken = {c.lower() for c in frame.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
 ROW = "_row"
 
 

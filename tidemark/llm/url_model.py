@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidemark.llm.common import ascii_lower, staged, with_results
+from tidemark.llm.common import ascii_lower, free_names, staged, with_results
 
 ORDER = 2  # characters of context at most
 UNIT = 1_000_000  # log-likelihood differences are whole millionths of a nat, so that sums have one value
@@ -211,7 +211,8 @@ def judge_urls(
     model = model_value(spark, decided.filter(~F.col("held")), order)
     calibration = decided.filter(F.col("held")).select("accepted", score(model, F.col("symbols"), order).alias("score"))
     least = threshold(calibration)
-    judged = with_results(ruled.withColumn("_symbols", symbols(F.col(url))), {"score": score(model, F.col("_symbols"), order)})
+    (letters,) = free_names(ruled, "_symbols")
+    judged = with_results(ruled.withColumn(letters, symbols(F.col(url))), {"score": score(model, F.col(letters), order)})
     by_rule = F.when(F.col("rule").isin(allowed), "allow").otherwise("block")
     by_model = F.when(F.col("score") >= least, "allow").otherwise("block")
-    return with_results(judged, {"verdict": F.when(F.col("rule").isNotNull(), by_rule).otherwise(by_model)}).drop("_symbols")
+    return with_results(judged, {"verdict": F.when(F.col("rule").isNotNull(), by_rule).otherwise(by_model)}).drop(letters)
