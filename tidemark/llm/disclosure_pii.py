@@ -129,8 +129,9 @@ def contexts(based: DataFrame) -> DataFrame:
 
     # Mentions take their surroundings with them, and the text stays behind.
     met = let(pieces_of(F.col("whole")), lambda pieces: F.transform("base", mention(pieces)))
-    known = based.filter(F.size("base") > 0).select(
-        F.xxhash64("whole").alias("version"), F.length("whole").alias("length"), met.alias("mentions")
+    # No filter: Spark would find the spans once for it and once more for what it lets pass.
+    known = based.select(
+        F.xxhash64("whole").alias("version"), F.length("whole").alias("length"), F.when(F.size("base") > 0, met).alias("mentions")
     )
     mentions = known.select("version", "length", F.explode("mentions").alias("mention")).select("version", "length", "mention.*")
     mentions = mentions.groupBy(*mentions.columns).agg(F.count(F.lit(1)).alias("n"))  # equal texts are one
