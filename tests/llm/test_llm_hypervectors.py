@@ -88,3 +88,39 @@ def test_many_short_texts_in_bounded_memory():
     (sums, sizes), peak = peak_of(lambda: bundled(texts, np.arange(len(texts)), len(texts)))
     assert peak < 400 << 20 and (sizes == 20).all()
     assert all((sums[i] == trigram_vectors(trigrams(texts[i])).sum(axis=0, dtype=np.int64)).all() for i in range(0, 10_000, 997))
+
+
+def plain_trigrams(text):
+    """Letters in lower case, runs of others as one gap, a gap at both ends."""
+    letters = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+    joined = f" {' '.join(letters.split())} "
+    return [joined[i : i + 3] for i in range(len(joined) - 2)] if joined.strip() else []
+
+
+def test_the_whole_query_against_plain_profiles(spark):
+    """Fifty documents: trigrams one by one, bundles, prototypes and cosines in Python."""
+    chance = random.Random(21)
+    alphabets = {"aa": "abcde", "bb": "defgh", "cc": "ghиßü", "dd": "日本語文字"}
+    docs = []
+    for i in range(50):
+        lang = chance.choice([*alphabets])
+        words = ["".join(chance.choice(alphabets[lang]) for _ in range(chance.randrange(1, 7))) for _ in range(chance.randrange(0, 25))]
+        docs.append((i, chance.choice([" ", ", 7 ", "\n"]).join(words).title(), chance.choice([lang, lang, lang, None])))
+    docs += [(50, None, "aa"), (51, "12 34", "bb")]
+    found = {r.doc_id: r for r in held_out_languages(spark.createDataFrame(docs, "doc_id INT, text STRING, lang STRING").repartition(3)).collect()}
+
+    def vector(trigram):
+        one, two, three = letter_vectors(np.array([ord(c) for c in trigram])).astype(int)
+        return np.roll(one, 2) * np.roll(two, 1) * three
+
+    def bundle(texts):
+        return sum((vector(t) for text in texts for t in plain_trigrams(text)), np.zeros(DIMENSIONS, int))
+
+    held = {i for i, _, _ in docs if zlib.crc32(str(i).encode()) % 5 == 0}
+    known = {lang: bundle([t for i, t, own in docs if own == lang and i not in held]) for lang in sorted(alphabets)}
+    for i, text, _ in docs:
+        own = bundle([text])
+        cosines = {lang: own @ p / np.linalg.norm(own) / np.linalg.norm(p) for lang, p in known.items() if p.any()} if own.any() else {"und": 0.0}
+        best = max(cosines.values())
+        assert found[i].held_out == (i in held)
+        assert abs(found[i].score - max(best, 0)) < 1e-5 and cosines[found[i].lang_pred] > best - 1e-5

@@ -1,12 +1,17 @@
 from __future__ import annotations
 
+import itertools
+import random
+import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from tidemark.llm.subword_quality import BUCKET_BITS, Model, features, held_out_quality, score_quality, scores_of, train
-from tidemark.llm.tokens import texts_of
+from tidemark.llm.tokens import texts_of, words_of
 
 SF = "/root/testdata/sf0.01"
 
@@ -62,3 +67,60 @@ def test_edges(spark):
     assert score_quality(docs.limit(0), model).collect() == []
     labels = spark.createDataFrame([(1, None), (None, 1), (99, 0)], "doc_id INT, quality INT")
     assert {r.score for r in held_out_quality(docs, labels).collect()} == {0.5}
+
+
+def plain_features(text):
+    """Buckets of the words, of repeated words and of the byte n-grams of one text, one by one."""
+    data = (text or "").encode()
+    folded = bytes(32 if b in b" \t\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in data)
+    words = [w for w in folded.split(b" ") if w]
+    found = [int(words_of(texts_of(pa.array([w.decode()]))).hashes[0]) >> (64 - BUCKET_BITS) for w in words]
+    found += [1 for before, word in itertools.pairwise(words) if word == before]
+    for size in (3, 4):
+        for i in range(len(folded) - size + 1):
+            gram = folded[i : i + size]
+            if b" " not in gram[1:-1]:
+                packed = int.from_bytes(bytes([size]) + gram, "big")
+                found.append((packed * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> (64 - BUCKET_BITS))
+    return Counter(found)
+
+
+def test_the_whole_query_against_plain_descent(spark):
+    """Some forty labelled rows: features, order, descent and scores in Python."""
+    chance = random.Random(31)
+    docs = []
+    for i in range(70):
+        words = [chance.choice(["good", "Prose", "été", "日本"] if i % 2 else ["buy", "CLICK", "now", "now"]) for _ in range(chance.randrange(0, 30))]
+        docs.append((i, " ".join(words)))
+    docs += [(70, None), (71, "")]
+    labels = [(i, None if i % 9 == 0 else i % 2) for i in range(72)]
+    held = {i for i, _ in docs if zlib.crc32(str(i).encode()) % 3 == 1}
+    frame = spark.createDataFrame(docs, "doc_id BIGINT, text STRING").repartition(3)
+    found = {r.doc_id: r for r in held_out_quality(frame, spark.createDataFrame(labels, "doc_id BIGINT, quality INT")).collect()}
+
+    texts = dict(docs)
+    learned = [(label, i) for i, label in labels if label is not None and i not in held]
+    learned.sort(key=lambda row: (row[0], xxhash.xxh64_intdigest(struct.pack("<q", row[1]), 42) - (1 << 64 if xxhash.xxh64_intdigest(struct.pack("<q", row[1]), 42) >> 63 else 0)))
+    draw = np.random.default_rng(5)
+    vectors = draw.uniform(-1 / 16, 1 / 16, (1 << BUCKET_BITS, 16))
+    outputs, bias, step = np.zeros((16, 2)), np.zeros(2), 0
+    for _ in range(12):
+        for at in draw.permutation(len(learned)):
+            label, doc = learned[at]
+            rate = 4.0 * (1 - step / (12 * len(learned)))
+            step += 1
+            counts = plain_features(texts[doc])
+            parts = {b: n / counts.total() for b, n in counts.items()}
+            mean = sum((p * vectors[b] for b, p in parts.items()), np.zeros(16))
+            chances = np.exp(mean @ outputs + bias)
+            error = chances / chances.sum() - np.eye(2)[label]
+            back = outputs @ error
+            outputs = outputs - rate * np.outer(mean, error)
+            bias = bias - 0.01 * rate * error
+            for b, p in parts.items():
+                vectors[b] -= rate * p * back
+    worth = vectors @ (outputs[:, 1] - outputs[:, 0])
+    for i, text in docs:
+        counts = plain_features(text)
+        logit = sum(n * worth[b] for b, n in counts.items()) / max(1, counts.total()) + bias[1] - bias[0]
+        assert found[i].held_out == (i in held) and abs(found[i].score - 1 / (1 + np.exp(-logit))) < 1e-3, i
