@@ -5,8 +5,10 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tidemark.llm.components import stars
-from tidemark.llm.minmax_dedup import drop_near_duplicates, min_max, n_bands, near_duplicates, permutations
+from tidemark.llm.minmax_dedup import _meeting, drop_near_duplicates, min_max, n_bands, near_duplicates, permutations
 
 SCHEMA = "doc_id BIGINT, text STRING, node STRING, kept STRING"
 
@@ -122,3 +124,36 @@ def test_components_against_union_find(spark, seed):
     found = stars(spark.createDataFrame(links, "u BIGINT, v BIGINT")).collect()
     assert {r.u: r.v for r in found} == {i: root(i) for i in name if root(i) != i}
     assert len(found) == len({r.u for r in found})
+
+
+def beginnings(spark, docs):
+    """Beginnings of sets as the join gets them: 86 tokens that all sets hold after some of their own, of a hundred."""
+    return spark.range(docs).selectExpr("id AS place", "id AS label", "100L AS n", "explode(sequence(0, 3)) AS t").selectExpr(
+        "CAST(t AS BIGINT) AS token", "place", "label", "n", "CAST(15 + t AS BIGINT) AS at"
+    )
+
+
+def test_a_hot_token_of_sets_below_the_threshold_joins_nothing(spark):
+    """However many sets hold it: 14 own tokens of 100 leave 86 / 114 of the union, less than 80 %."""
+    for docs in (4_000, 64_000):
+        begin = beginnings(spark, docs)
+        most = F.floor((F.col("n") - F.col("at") + 1) * 180 / 80) - F.col("n")
+        assert begin.filter(most >= F.col("n")).isEmpty()  # the left side of the join
+        assert _meeting(begin, 80).isEmpty()
+    alike = beginnings(spark, 30).withColumn("at", F.col("at") - 4)
+    assert _meeting(alike, 80).distinct().count() == 30 * 29 // 2
+
+
+def test_sets_that_meet_are_all_that_can_reach_the_threshold(spark):
+    chance = random.Random(17)
+    rows = [(chance.randrange(3), i, i // 2, n := chance.randrange(1, 40), chance.randrange(1, n + 1)) for i in range(150)]
+    begin = spark.createDataFrame(rows, "token BIGINT, place BIGINT, label BIGINT, n BIGINT, at BIGINT")
+    for percent in (50, 80, 85, 100):
+        found = {tuple(sorted(r)) for r in _meeting(begin, percent).collect()}
+        expected = set()
+        for token, u, label, n, at in rows:
+            for other, v, label_v, n_v, at_v in rows:
+                common = 1 + min(n - at, n_v - at_v)
+                if u < v and token == other and label != label_v and (100 + percent) * common >= percent * (n + n_v) and 100 * min(n, n_v) >= percent * max(n, n_v):
+                    expected.add((u, v))
+        assert found == expected

@@ -160,6 +160,22 @@ def token_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["place", "label", "n", "token"])
 
 
+def _meeting(begin: DataFrame, percent: int) -> DataFrame:
+    """``place_u, place_v`` of sets of different components that share a token and can still reach the threshold.
+
+    What follows the token in a set bounds the size of the other set (``most``). Two sets that both allow only smaller ones than
+    themselves cannot meet, so one of a pair is always *wide*: it allows its own size. A token that all sets of a large group hold
+    after a few of their own joins no wide set, and so makes no pair, if the group's sets are less alike than the threshold.
+    """
+    most = F.floor((F.col("n") - F.col("at") + 1) * (100 + percent) / percent) - F.col("n")
+    begin = begin.withColumn("most", most).withColumn("wide", F.col("most") >= F.col("n"))
+    left = begin.filter("wide").select("token", *[F.col(c).alias(f"{c}_u") for c in ("place", "label", "n", "most")])
+    right = begin.select("token", *[F.col(c).alias(f"{c}_v") for c in ("place", "label", "n", "most", "wide")])
+    fits = (F.col("n_v") <= F.col("most_u")) & (F.col("n_u") <= F.col("most_v")) & _alike_in_size(percent)
+    once = F.when(F.col("wide_v"), F.col("label_u") < F.col("label_v")).otherwise(F.col("label_u") != F.col("label_v"))
+    return left.join(right, "token").filter(fits & once).select("place_u", "place_v")
+
+
 def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components, among the members of divided buckets, that can still be linked.
 
@@ -180,16 +196,10 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     placed = spread.withColumn("at", F.col("n") - F.count(F.lit(1)).over(own) + rank)
     begin = placed.filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
     begin = staged(begin.select("token", "place", "label", "n", "at"), "beginnings")
-    left = begin.withColumnsRenamed({"place": "place_u", "label": "label_u", "n": "n_u", "at": "at_u"})
-    right = begin.withColumnsRenamed({"place": "place_v", "label": "label_v", "n": "n_v", "at": "at_v"})
-    common = 1 + F.least(F.col("n_u") - F.col("at_u"), F.col("n_v") - F.col("at_v"))
-    enough = (100 + percent) * common >= percent * (F.col("n_u") + F.col("n_v"))
-    apart = F.col("label_u") < F.col("label_v")
-    found = left.join(right, (left["token"] == right["token"]) & apart & _alike_in_size(percent) & enough)
+    found = _meeting(begin, percent).distinct()
     named = nodes.select("place", "node")
     pairs = (
-        found.select("place_u", "place_v").distinct()
-        .join(named.select(F.col("place").alias("place_u"), F.col("node").alias("one")), "place_u")
+        found.join(named.select(F.col("place").alias("place_u"), F.col("node").alias("one")), "place_u")
         .join(named.select(F.col("place").alias("place_v"), F.col("node").alias("other")), "place_v")
     )
     return pairs.select(F.greatest("one", "other").alias("u"), F.least("one", "other").alias("v"))
