@@ -29,12 +29,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     root of its number of trigrams, the slower the more different trigrams its language has, and chance moves it by
     ``1 / sqrt(DIMENSIONS)``: a text needs ``PART`` of it less ``NOISES`` times that, and never more than ``LEAST_COSINE``.
     Fewer than eight trigrams tell nothing, so letters are enough for them. Languages are learned from all documents that
-    name theirs.
+    name theirs; a null one teaches nothing. Null and empty texts go, rows with a null id and repeated rows are judged like others.
     """
-    judged = hypervectors.predict_language(docs, docs, expected="_expected")
-    needed = PART * F.col("_expected") - NOISES / hypervectors.DIMENSIONS**0.5
+    own = {name: f"column_{i}" for i, name in enumerate(docs.columns)}  # no result is named like them
+    plain = docs.toDF(*own.values())
+    judged = hypervectors.predict_language(plain, plain, own["text"], own["lang"], expected="expected")
+    needed = PART * F.col("expected") - NOISES / hypervectors.DIMENSIONS**0.5
     strange = F.col("score") < F.least(F.lit(LEAST_COSINE), needed)
-    return judged.filter((F.col("lang_pred") != hypervectors.UNKNOWN) & ~strange).select(*docs.columns)
+    kept = judged.filter((F.col("lang_pred") != hypervectors.UNKNOWN) & ~strange)
+    return kept.select(*[F.col(number).alias(name) for name, number in own.items()])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
