@@ -12,6 +12,7 @@ after) are computed side by side as well and then multiplied in order; that is e
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -236,6 +237,17 @@ def classes_of(tokens: np.ndarray, classes: int) -> np.ndarray:
     return np.where(tokens == END, classes, (tokens.view(np.uint64) % np.uint64(classes)).view(np.int64))
 
 
+def packed_codes(codes: np.ndarray) -> bytes:
+    """Numbers by their bytes, the low ones of all first: a few numbers are frequent, so this packs well."""
+    planes = np.ascontiguousarray(codes.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return zlib.compress(planes.tobytes(), 1)
+
+
+def codes_of(column: pa.Array, row: int) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(column[row].as_buffer()), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 def encoder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks of (id, learned from, text) batches: their texts as numbers of the chunk's distinct tokens."""
     for batch, texts in pieces(batches, 2, CHUNK_BYTES):
@@ -256,7 +268,7 @@ def encoder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def one(values: pa.Array) -> pa.ListArray:
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-        columns = [one(batch.column(0)), one(batch.column(1)), one(pa.array(sizes)), pa.array([codes.tobytes()], pa.binary())]
+        columns = [one(batch.column(0)), one(batch.column(1)), one(pa.array(sizes)), pa.array([packed_codes(codes)], pa.binary())]
         columns += [one(pa.array(tokens)), one(pa.array(counts))]
         yield pa.RecordBatch.from_arrays(columns, names=["ids", "train", "sizes", "codes", "tokens", "counts"])
 
@@ -277,7 +289,7 @@ def trainer(model: Model, classes: int) -> Callable[[Iterator[pa.RecordBatch]],
         for batch in batches:
             for row in range(batch.num_rows):
                 learned, sizes = _values(batch.column(0), row).astype(bool), _values(batch.column(1), row)
-                codes = np.frombuffer(batch.column(2)[row].as_buffer(), np.int32)
+                codes = codes_of(batch.column(2), row)
                 kinds = classes_of(_values(batch.column(3), row), classes)
                 found = expected(kinds[codes[np.repeat(learned, sizes)]], sizes[learned], model)
                 for sums, more in zip(total, found, strict=True):
@@ -334,15 +346,14 @@ def words_in(vocabulary: DataFrame, classes: int) -> Words:
 
 
 def scorer(model: Model, words: Words) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Scores of the texts of (ids, train, sizes, codes, tokens, known) batches."""
+    """Scores of the texts of (ids, train, sizes, codes, kinds, known) batches."""
     classes = len(words.mass) - 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                sizes, tokens = _values(batch.column(2), row), _values(batch.column(4), row)
-                codes, counts = np.frombuffer(batch.column(3)[row].as_buffer(), np.int32), _values(batch.column(5), row)
-                kinds = classes_of(tokens, classes)
+                sizes, kinds = _values(batch.column(2), row), _values(batch.column(4), row)
+                codes, counts = codes_of(batch.column(3), row), _values(batch.column(5), row)
                 of = np.repeat(np.arange(len(sizes)), sizes)
                 base = np.log10((counts + 0.5) / (words.tokens + 0.5 * (words.kinds + 1)))
                 within = np.where(kinds == classes, 0.0, np.log10((counts + 0.5) / words.mass[kinds]))
@@ -356,15 +367,19 @@ def scorer(model: Model, words: Words) -> Callable[[Iterator[pa.RecordBatch]], I
     return score
 
 
-def with_known(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``chunks`` with ``known``: how often the texts that are learned from hold each of their tokens.
+def with_known(chunks: DataFrame, vocabulary: DataFrame, classes: int) -> DataFrame:
+    """``ids, train, sizes, codes`` of the chunks with ``kinds`` (class) and ``known`` of their tokens: how often the texts
+    that are learned from hold it.
 
-    Only the distinct tokens of a chunk are shuffled. A token has a row per chunk, so none has a large share of them.
+    Only the distinct tokens of a chunk are shuffled, and only their classes and counts meet its texts. A token has a row per
+    chunk, so none has a large share of them.
     """
     asked = chunks.select("chunk", F.posexplode("tokens").alias("at", "token"))
-    met = asked.join(vocabulary, "token", "left").select("chunk", F.struct("at", F.coalesce("n", F.lit(0)).alias("n")).alias("count"))
-    known = met.groupBy("chunk").agg(F.sort_array(F.collect_list("count")).getField("n").alias("known"))
-    return chunks.join(known, "chunk")
+    n, kind = F.coalesce("n", F.lit(0)).alias("n"), class_column(F.col("token"), classes).alias("kind")
+    met = asked.join(vocabulary, "token", "left").select("chunk", F.struct("at", n, kind).alias("count"))
+    known = met.groupBy("chunk").agg(F.sort_array(F.collect_list("count")).alias("counts"))
+    known = known.select("chunk", F.col("counts").getField("kind").alias("kinds"), F.col("counts").getField("n").alias("known"))
+    return chunks.select("chunk", "ids", "train", "sizes", "codes").join(known, "chunk").drop("chunk")
 
 
 def score_texts(
@@ -401,7 +416,7 @@ def score_texts(
     model = first_model(words.shares, states, seed)
     for _ in range(rounds):
         model = next_model(expected_counts(chunks, model, classes), words.shares, prior)
-    scored = with_known(chunks, vocabulary).select("ids", "train", "sizes", "codes", "tokens", "known").mapInArrow(
+    scored = with_known(chunks, vocabulary, classes).mapInArrow(
         scorer(model, words), f"id {kind}, held_out BOOLEAN, n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE"
     )
     return scored.select(
