@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged
 from tidemark.llm.radix_sort import radix_ranks
-from tidemark.llm.tokens import LOWER, Texts, pieces, texts_of
+from tidemark.llm.tokens import LOWER, Texts, pieces
 
 BUCKETS = 10_000
 WIDTH = 2  # words of a run, at most
