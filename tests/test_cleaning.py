@@ -85,3 +85,26 @@ def test_other_names_and_formats(spark):
         "source_file STRING, source_sheet STRING, source_row_number INT, key STRING, days STRING, opened STRING",
     )
     assert tuple(cleaning.clean(rows, contract).first())[3:] == ("7", 3, date(2025, 12, 24))
+
+
+def test_one_date_format_per_worksheet_by_vote(spark):
+    """In each worksheet the format that most values fit; equals go to the first, and a worksheet without a date has none."""
+    contract = Contract(date_columns=("DUE_DATE",), date_formats=("dd/MM/yyyy", "MM/dd/yyyy"), date_format_by_worksheet=True)
+    sheets = {
+        "day first": ["01/02/2026", "13/02/2026", "12/31/2026", None, " 14/02/2026 "],
+        "month first": ["01/02/2026", "02/13/2026", "02/14/2026", "13/02/2026", "2026-03-04 00:00:00"],
+        "either": ["01/02/2026", "03/04/2026"],
+        "none": ["soon", None],
+    }
+    rows = [(name, i, f"k{i}", value) for name, values in sheets.items() for i, value in enumerate(values)]
+    frame = spark.createDataFrame(rows, "source_sheet STRING, source_row_number INT, line_id STRING, due_date STRING").repartition(3)
+    found = {name: [] for name in sheets}
+    for r in cleaning.clean_values(frame, contract).orderBy("source_row_number").collect():
+        found[r.source_sheet].append(None if r.due_date is None else r.due_date.isoformat())
+    assert found == {
+        "day first": ["2026-02-01", "2026-02-13", None, None, "2026-02-14"],
+        "month first": ["2026-01-02", "2026-02-13", "2026-02-14", None, "2026-03-04"],
+        "either": ["2026-02-01", "2026-04-03"],
+        "none": [None, None],
+    }
+    assert cleaning.clean_values(frame.limit(0), contract).collect() == []

@@ -35,6 +35,7 @@ def test_names_may_be_written_in_any_spelling():
         {"file_patterns": "*.xlsx"},
         {"date_formats": ("a", 3)},
         {"strict_sheets": "yes"},
+        {"date_format_by_worksheet": 1},
     ],
 )
 def test_inconsistent_contracts_are_rejected(changes):
@@ -51,6 +52,7 @@ GIVEN = {
     "file_patterns": ["*.xlsx"], "expected_sheets": ["Open"], "required_columns": ["key"], "id_column": "key",
     "request_column": "ask", "follow_up_notes_column": "remarks", "number_columns": ["days"], "date_columns": ["born"],
     "date_formats": ["dd.MM.yyyy"], "strict_sheets": False, "allow_empty_sheets": True, "hash_exclude": ["days"],
+    "date_format_by_worksheet": True,
 }
 DATABASE = {"schema": "mart", "table": "states", "if_exists": "fail", "chunksize": 9}
 
