@@ -460,8 +460,8 @@ def added_days_summary(spark, sf_dir):
 @registered
 def published_report(spark, sf_dir):
     """The report and its issues read back from the JSON files."""
-    now, folder = datetime.now(UTC), Stage(spark).root
-    issues = _unresolved_issues(spark, sf_dir)
+    now, stage = datetime.now(UTC), Stage(spark)
+    folder, issues = stage.root, stage.write(_unresolved_issues(spark, sf_dir), "issues")  # read more than once
     row = report.quality_report(issues, run_metrics(spark, sf_dir), now, now)
     paths = tables.write_report(row, issues, folder)
     found = spark.read.json(paths[tables.REPORT])
