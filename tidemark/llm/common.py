@@ -67,8 +67,10 @@ def packed(frame: DataFrame, **working: Column) -> DataFrame:
 def unpacked(frame: DataFrame, columns: list[str], results: dict[str, Column]) -> DataFrame:
     """The ``columns`` that were packed, and result columns; a packed column of the same name (in any case) gives way."""
     taken = {name.lower() for name in results}
+    # Results are computed before any name of the caller stands beside them, which Spark could take for an alias.
+    found = frame.select(ROW, *[value.alias(f"result_{i}") for i, value in enumerate(results.values())])
     kept = [F.col(ROW).getField(c).alias(c) for c in columns if c.lower() not in taken]
-    return frame.select(*kept, *[value.alias(name) for name, value in results.items()])
+    return found.select(*kept, *[F.col(f"result_{i}").alias(name) for i, name in enumerate(results)])
 
 
 _SCAN_BLOCK = 64
