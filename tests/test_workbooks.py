@@ -14,6 +14,7 @@ from tidemark.catalog.workbook_bytes import column_letters, workbook_bytes
 from tidemark.contract import Contract
 from tidemark.operators import contracts
 from tidemark.sources import discovery, workbooks
+from tidemark.staging import Stage
 
 CONTRACT = Contract(expected_sheets=("Open",), required_columns=("KEY",), id_column="KEY")
 
@@ -279,3 +280,19 @@ def test_a_large_worksheet_is_read_in_bounded_memory(tmp_path):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert rows == 60_001 and peak < part.file_size
+
+
+def test_rows_of_one_layout_are_not_dealt_by_it(spark):
+    """However many rows share a list of headers, the few lists come to the rows."""
+    content = workbook_bytes({"Open": [("Key", "N"), *[(f"{i * 7919 % 10_007:x}" * 3, i) for i in range(6_000)]]})
+    files = spark.createDataFrame([(f"/d/b{i}.xlsx", bytearray(content)) for i in range(4)], "path STRING, content BINARY")
+    records = Stage(spark).write(workbooks.parse_workbooks(files, CONTRACT), "records", ("record",))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")  # for a table of this size what 10 MB are for a large one
+    try:
+        rows = workbooks.sheet_rows(records, ["key", "n"], CONTRACT)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(layout" not in plan and "SortMergeJoin" not in plan
+        assert rows.count() == 24_000 and rows.filter("n IS NULL").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
