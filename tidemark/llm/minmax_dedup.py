@@ -4,17 +4,17 @@ Every permutation of the shingles gives two values, its least and its greatest,
 of 2k values costs k hash evaluations. Values are banded; documents that share a band are candidates;
 candidates are confirmed on their whole shingle sets. Copies with equal sets are one node.
 
-Within a bucket not all pairs are compared: members are compared with one hub, then, where a bucket still
-holds several components, with another hub. What is left then is joined across components by an exact
-prefix filter. A pair that was never compared lies in one component already, or cannot
-reach the threshold, so no link between different components is lost.
+Within a bucket not all pairs are compared: members are compared with one hub, the one that shares buckets with most others, then,
+where a bucket still holds several components, with another hub. What is left then is joined across components by an exact
+prefix filter and by an exact bound on the tokens in which two sets differ. A pair that was never compared lies in one component
+already, or cannot reach the threshold, so no link between different components is lost.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,7 @@ from tidemark.llm.tokens import mixed, pieces, shingles, words_of
 ROWS = 4  # values per band: least and greatest of two permutations
 MISSED = 1e-7  # chance that a pair exactly at the threshold shares no band
 
+MARKS = [f"mark_{i}" for i in range(16)]  # a set as 1,024 parities
 _SIGNATURE = "doc BIGINT, version BIGINT, node BINARY, n BIGINT, bands ARRAY<BIGINT>"
 
 
@@ -160,18 +161,40 @@ def token_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["place", "label", "n", "token"])
 
 
-def _meeting(begin: DataFrame, percent: int) -> DataFrame:
+def marker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(place, set) batches as ``place`` and its marks: per bit, whether the set has an odd number of tokens that fall on it.
+
+    A token that two sets share changes the same bit in both. So every bit in which their marks differ stands for at least one
+    token that only one of them has.
+    """
+    for batch in batches:
+        bits = np.zeros((batch.num_rows, 64 * len(MARKS)), np.uint8)
+        for i, one in enumerate(batch.column(1)):
+            places = mixed(np.frombuffer(one.as_buffer(), np.uint64)) % np.uint64(bits.shape[1])
+            bits[i] = np.bincount(places.astype(np.int64), minlength=bits.shape[1]) & 1
+        marks = np.packbits(bits, axis=1).view(np.int64)
+        columns = [pa.array(np.ascontiguousarray(marks[:, i])) for i in range(len(MARKS))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["place", *MARKS])
+
+
+def _meeting(begin: DataFrame, percent: int, marks: Sequence[str] = ()) -> DataFrame:
     """``place_u, place_v`` of sets of different components that share a token and can still reach the threshold.
 
     What follows the token in a set bounds the size of the other set (``most``). Two sets that both allow only smaller ones than
     themselves cannot meet, so one of a pair is always *wide*: it allows its own size. A token that all sets of a large group hold
     after a few of their own joins no wide set, and so makes no pair, if the group's sets are less alike than the threshold.
+
+    With the ``marks`` of the sets (:func:`marker`), two sets whose marks differ in more bits than linked sets can
+    differ in tokens make no pair either: sets that differ from what a large group shares each in another place.
     """
     most = F.floor((F.col("n") - F.col("at") + 1) * (100 + percent) / percent) - F.col("n")
     begin = begin.withColumn("most", most).withColumn("wide", F.col("most") >= F.col("n"))
-    left = begin.filter("wide").select("token", *[F.col(c).alias(f"{c}_u") for c in ("place", "label", "n", "most")])
-    right = begin.select("token", *[F.col(c).alias(f"{c}_v") for c in ("place", "label", "n", "most", "wide")])
+    left = begin.filter("wide").select("token", *[F.col(c).alias(f"{c}_u") for c in ("place", "label", "n", "most", *marks)])
+    right = begin.select("token", *[F.col(c).alias(f"{c}_v") for c in ("place", "label", "n", "most", "wide", *marks)])
     fits = (F.col("n_v") <= F.col("most_u")) & (F.col("n_u") <= F.col("most_v")) & _alike_in_size(percent)
+    if marks:
+        apart = sum((F.bit_count(F.col(f"{c}_u").bitwiseXOR(F.col(f"{c}_v"))) for c in marks), F.lit(0))
+        fits = fits & ((100 + percent) * apart <= (100 - percent) * (F.col("n_u") + F.col("n_v")))
     once = F.when(F.col("wide_v"), F.col("label_u") < F.col("label_v")).otherwise(F.col("label_u") != F.col("label_v"))
     return left.join(right, "token").filter(fits & once).select("place_u", "place_v")
 
@@ -195,8 +218,9 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rank = F.row_number().over(own.orderBy("holders", "token"))
     placed = spread.withColumn("at", F.col("n") - F.count(F.lit(1)).over(own) + rank)
     begin = placed.filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
-    begin = staged(begin.select("token", "place", "label", "n", "at"), "beginnings")
-    found = _meeting(begin, percent).distinct()
+    marked = nodes.select("place", "members").mapInArrow(marker, ", ".join(["place BIGINT", *[f"{c} BIGINT" for c in MARKS]]))
+    begin = staged(begin.join(marked, "place").select("token", "place", "label", "n", "at", *MARKS), "beginnings")
+    found = _meeting(begin, percent, MARKS).distinct()
     named = nodes.select("place", "node")
     pairs = (
         found.join(named.select(F.col("place").alias("place_u"), F.col("node").alias("one")), "place_u")
@@ -216,13 +240,17 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members with the least node of their component as label."""
     named = roots.select(F.col("u").alias("node"), F.col("v").alias("root"))
     joined = members.drop("label").join(named, "node", "left")
-    return joined.select("bucket", "node", "n", F.coalesce("root", "node").alias("label"))
+    return joined.select("bucket", "node", "n", F.coalesce("root", "node").alias("label"), "central")
 
 
 def roots_of(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Components among the nodes that share buckets (``u`` with its least node ``v``); ``None`` without links."""
+    """Components among the nodes that share buckets (``u`` with its least node ``v``); ``None`` without links.
+
+    The first hub is the member with the most others in its buckets (``central``): the one that a group of edited copies stands
+    around reaches those that were edited as much as a link allows, which otherwise are linked only with a few of the group.
+    """
     steps = (
-        lambda m: _with_hub(m, F.col("node"), percent),
+        lambda m: _with_hub(m, -F.col("central"), percent),
         lambda m: _with_hub(m, F.xxhash64("bucket", "node"), percent),
         lambda m: _across(m, sets, percent),
     )
@@ -267,9 +295,8 @@ def near_duplicates(
     )
     spread = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
-    members = staged(
-        spread.join(shared.select("bucket"), "bucket").select("bucket", "node", "n", F.col("node").alias("label")), "members"
-    )
+    central = F.sum("size").over(Window.partitionBy("node")).alias("central")
+    members = staged(spread.join(shared, "bucket").select("bucket", "node", "n", F.col("node").alias("label"), central), "members")
     involved = nodes.join(members.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc"))
     texts = read.join(involved.distinct(), "doc", "left_semi").select("doc", "version", "text")
     sets = staged(
